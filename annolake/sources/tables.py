@@ -148,3 +148,32 @@ def shop_annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(0).cast("long").alias("range_onset"),
         F.round(F.col("l_quantity") * 1000).cast("long").alias("range_offset"),
     )
+
+
+def ev_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as an annotation index with file names (``u<user>.wav``,
+    ``u<user>_<onset>_<offset>.csv``), the shape the cutting step works on."""
+    ev = table(spark, sf_dir, "events")
+    onset = _epoch_ms(F.col("ts"))
+    offset = onset + F.round(F.col("value") * 60000).cast("long")
+    user = F.col("user_id").cast("string")
+    return ev.select(
+        F.col("event_type").alias("set"),
+        F.concat(F.lit("u"), user, F.lit(".wav")).alias("recording_filename"),
+        F.concat(F.lit("u"), user, F.lit(".its")).alias("raw_filename"),
+        F.lit(0).cast("long").alias("time_seek"),
+        onset.alias("range_onset"),
+        offset.alias("range_offset"),
+        F.concat(F.lit("u"), user, F.lit("_"), onset.cast("string"), F.lit("_"), offset.cast("string"),
+                 F.lit(".csv")).alias("annotation_filename"),
+        F.col("event_id").alias("seg_id"),
+    )
+
+
+def ev_file_recordings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = table(spark, sf_dir, "events")
+    user = F.col("user_id").cast("string")
+    return (ev.select("user_id").distinct().select(
+        F.concat(F.lit("u"), user, F.lit(".wav")).alias("recording_filename"),
+        F.lit(EVENT_RECORDING_MS).cast("long").alias("duration"),
+        F.concat(F.lit("u"), user).alias("child_id")))
