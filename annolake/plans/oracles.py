@@ -191,3 +191,98 @@ ORACLES["slice_payload"] = with_views(
               t.onset - i.cs AS piece_start, t.offset_ms - i.cs AS piece_end, t.text
        FROM turns t JOIN islands i ON i.k = t.recording AND i.cs <= t.onset AND t.offset_ms <= i.ce""",
     support_sql("turns", "recording", "onset", "offset_ms"))
+
+# --- splitting ---------------------------------------------------------------------
+
+
+def _wsplit(by: str, seed: int, pm: tuple[int, int, int], key: str = "key", weight: str = "weight",
+            src: str = "docs_index") -> str:
+    a, b = pm[0], pm[0] + pm[1]
+    return f"""SELECT *, CASE WHEN cum * 1000 <= tot * {a} THEN 'train'
+                              WHEN cum * 1000 <= tot * {b} THEN 'test' ELSE 'validate' END AS split
+               FROM (SELECT *, sum({weight}) OVER (PARTITION BY {by} ORDER BY md5('{seed}:' || {key}), {key}
+                                                  ROWS UNBOUNDED PRECEDING) AS cum,
+                              sum({weight}) OVER (PARTITION BY {by}) AS tot
+                     FROM {src}) x"""
+
+
+_DOC_COLS = "key, dataset, set_name, entity, weight, split"
+
+ORACLES["weighted_split"] = with_views(
+    ["docs_index"], f"SELECT {_DOC_COLS} FROM ws", [("ws", _wsplit("dataset", 0, (800, 100, 100)))])
+ORACLES["weighted_split_stratified"] = with_views(
+    ["docs_index"], f"SELECT {_DOC_COLS} FROM ws", [("ws", _wsplit("dataset, set_name", 1, (700, 200, 100)))])
+ORACLES["weighted_split_two_level"] = with_views(
+    ["docs_index"], f"SELECT {_DOC_COLS} FROM ws", [("ws", _wsplit("dataset", 7, (600, 300, 100)))])
+
+
+def _greedy(seed: int, pm: tuple[int, int, int]) -> list[tuple[str, str]]:
+    """Sequential greedy fold as a recursive CTE (the exact, one-shard form)."""
+    p1, p2, p3 = pm
+    g1 = f"(t.tot * {p1} - 1000 * g.c1)"
+    g2 = f"(t.tot * {p2} - 1000 * g.c2)"
+    g3 = f"(t.tot * {p3} - 1000 * g.c3)"
+    pick = f"""CASE WHEN {g1} >= {g2} AND {g1} >= {g3} THEN 'train'
+                    WHEN {g2} >= {g3} THEN 'test' ELSE 'validate' END"""
+    return [
+        ("ent", "SELECT entity, CAST(sum(weight) AS BIGINT) AS w FROM docs_index GROUP BY entity"),
+        ("ord", f"SELECT entity, w, row_number() OVER (ORDER BY md5('{seed}:' || entity), entity) AS rn FROM ent"),
+        ("t", "SELECT CAST(sum(w) AS HUGEINT) AS tot FROM ent"),
+        ("g", f"""SELECT 0 AS rn, CAST(NULL AS VARCHAR) AS entity, CAST(NULL AS VARCHAR) AS split,
+                        CAST(0 AS HUGEINT) AS c1, CAST(0 AS HUGEINT) AS c2, CAST(0 AS HUGEINT) AS c3
+                 UNION ALL
+                 SELECT o.rn, o.entity, {pick},
+                        g.c1 + CASE WHEN {pick} = 'train' THEN o.w ELSE 0 END,
+                        g.c2 + CASE WHEN {pick} = 'test' THEN o.w ELSE 0 END,
+                        g.c3 + CASE WHEN {pick} = 'validate' THEN o.w ELSE 0 END
+                 FROM g JOIN ord o ON o.rn = g.rn + 1 CROSS JOIN t"""),
+    ]
+
+
+def _with_recursive(names, body, extra):
+    sql = with_views(names, body, extra)
+    return "WITH RECURSIVE" + sql[len("WITH"):]
+
+
+ORACLES["entity_split"] = _with_recursive(
+    ["docs_index"],
+    "SELECT d.key, d.entity, d.weight, g.split FROM docs_index d JOIN g ON g.entity = d.entity",
+    _greedy(0, (800, 100, 100)))
+
+ORACLES["split_exclusive_check"] = with_views(
+    ["docs_index"],
+    "SELECT entity, count(DISTINCT split) AS n_splits FROM ws GROUP BY entity HAVING count(DISTINCT split) > 1",
+    [("ws", _wsplit("dataset", 0, (800, 100, 100)))])
+
+ORACLES["split_report"] = _with_recursive(
+    ["docs_index"],
+    """SELECT s.split, CAST((SELECT sum(weight) FROM docs_index) AS DOUBLE) * s.pm / 1000.0 AS desired_weight,
+              CAST(coalesce(r.reached, 0) AS BIGINT) AS reached_weight
+       FROM (VALUES ('train', 800), ('test', 100), ('validate', 100)) s(split, pm)
+       LEFT JOIN (SELECT g.split, sum(d.weight) AS reached FROM docs_index d JOIN g ON g.entity = d.entity
+                  GROUP BY g.split) r ON r.split = s.split""",
+    _greedy(0, (800, 100, 100)))
+
+_SPLIT_INPUT = """
+    SELECT a.recording, a.set_name, a.line, r.child_id, c.dataset,
+           round(datediff('day', c.child_dob, r.date_iso) / 30.4375, 2) AS age_months,
+           a.range_onset, a.range_offset, a.range_offset - a.range_onset AS duration_ms,
+           'datasets/' || c.dataset || '/annotations/' || a.set_name || '/converted/' || a.recording || '_'
+             || a.range_onset || '_' || a.range_offset || '.csv' AS annotation_path,
+           'datasets/' || c.dataset || '/recordings/converted/standard/' || a.recording || '.mp3' AS recording_path
+    FROM shop_annotations a
+    LEFT JOIN (SELECT * FROM shop_recordings WHERE discard IS NULL OR lower(trim(discard)) NOT IN ('1', '1.0', 'true')) r
+      ON r.recording = a.recording
+    LEFT JOIN shop_children c ON c.child_id = r.child_id"""
+
+ORACLES["split_input"] = with_views(
+    ["shop_annotations", "shop_recordings", "shop_children"], "SELECT * FROM si", [("si", _SPLIT_INPUT)])
+
+ORACLES["split_finalize"] = with_views(
+    ["shop_annotations", "shop_recordings", "shop_children"],
+    """SELECT DISTINCT recording, set_name, line, child_id, dataset, range_onset, range_offset, duration_ms,
+              annotation_path, regexp_replace(recording_path, '\\.[^./]*$', '') || '.wav' AS recording_path, split
+       FROM ws""",
+    [("si", _SPLIT_INPUT),
+     ("si2", "SELECT *, concat_ws(':', recording, line, set_name, range_offset) AS _key FROM si"),
+     ("ws", _wsplit("dataset", 0, (800, 100, 100), key="_key", weight="duration_ms", src="si2"))])

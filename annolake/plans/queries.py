@@ -130,3 +130,80 @@ def slice_payload(spark, sf):
     return pieces.select("recording", "turn", "clip_start", "clip_end", "piece_start", "piece_end", "text")
 
 FLAGSHIP = "clip_assign_rebase"
+
+
+# --- splitting --------------------------------------------------------------------
+
+from annolake.operators import split as T  # noqa: E402
+from annolake.functions import columns as C  # noqa: E402
+
+_DOC_COLS = ["key", "dataset", "set_name", "entity", "weight", "split"]
+
+
+@query
+def weighted_split(spark, sf):
+    """Seeded duration-weighted split per corpus (two-level running sum)."""
+    return T.weighted_split(V.docs_index(spark, sf), "key", "weight", (800, 100, 100), by=["dataset"],
+                            seed=0).select(*_DOC_COLS)
+
+
+@query
+def weighted_split_stratified(spark, sf):
+    """Stratified by corpus and set."""
+    return T.weighted_split(V.docs_index(spark, sf), "key", "weight", (0.7, 0.2, 0.1),
+                            by=["dataset", "set_name"], seed=1).select(*_DOC_COLS)
+
+
+@query
+def weighted_split_two_level(spark, sf):
+    """O4 two-level: 4096 md5 buckets per stratum."""
+    return T.weighted_split(V.docs_index(spark, sf), "key", "weight", (600, 300, 100), by=["dataset"],
+                            seed=7, hex_digits=3).select(*_DOC_COLS)
+
+
+@query
+def entity_split(spark, sf):
+    """T4: entity-exclusive greedy split (exact: one shard at this size)."""
+    return T.entity_split(V.docs_index(spark, sf), "entity", "weight", (800, 100, 100), seed=0) \
+            .select("key", "entity", "weight", "split")
+
+
+@query
+def entity_split_sharded(spark, sf):
+    """T4 in 4 hash shards (each with its share of the targets); rows-only check."""
+    return T.entity_split(V.docs_index(spark, sf), "entity", "weight", (800, 100, 100), seed=0, shards=4) \
+            .select("key", "entity", "weight", "split")
+
+
+@query
+def split_exclusive_check(spark, sf):
+    """T5: entities that a row-level split put into more than one split."""
+    rows = T.weighted_split(V.docs_index(spark, sf), "key", "weight", (800, 100, 100), by=["dataset"], seed=0)
+    return T.check_exclusive(rows, "entity").select("entity", "n_splits")
+
+
+@query
+def split_report(spark, sf):
+    """A10: desired vs reached weight per split of the entity split."""
+    rows = T.entity_split(V.docs_index(spark, sf), "entity", "weight", (800, 100, 100), seed=0)
+    return T.split_report(rows, "weight", (800, 100, 100)).select("split", "desired_weight", "reached_weight")
+
+
+def _shop_split_input(spark, sf):
+    from annolake.operators.curate import split_input
+    return split_input(V.shop_annotations(spark, sf), V.shop_recordings(spark, sf), V.shop_children(spark, sf))
+
+
+@query
+def split_input(spark, sf):
+    """J3 + F1 + P3 + P10 + P13: annotations with child, corpus, age and paths."""
+    return _shop_split_input(spark, sf)
+
+
+@query
+def split_finalize(spark, sf):
+    """Split input -> weighted split per corpus -> T7 final shape."""
+    si = _shop_split_input(spark, sf)
+    si = si.withColumn("_key", F.concat_ws(":", "recording", "line", "set_name", "range_offset"))
+    sp = T.weighted_split(si, "_key", "duration_ms", (800, 100, 100), by=["dataset"], seed=0).drop("_key")
+    return T.finalize_split(sp, path_col="recording_path", drop=["age_months"])
