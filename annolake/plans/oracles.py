@@ -286,3 +286,86 @@ ORACLES["split_finalize"] = with_views(
     [("si", _SPLIT_INPUT),
      ("si2", "SELECT *, concat_ws(':', recording, line, set_name, range_offset) AS _key FROM si"),
      ("ws", _wsplit("dataset", 0, (800, 100, 100), key="_key", weight="duration_ms", src="si2"))])
+
+# --- profiling ----------------------------------------------------------------------
+
+VIEWS["doc_sidecars"] = """
+    SELECT lang AS dataset, source AS set_name,
+           CASE WHEN lang = 'en' THEN count(*) WHEN lang = 'es' THEN 0 END AS sampling_count,
+           CASE WHEN lang <> 'fr' THEN 60000 END AS sampling_unit_duration,
+           CASE WHEN lang = 'de' THEN 'N' ELSE 'Y' END AS has_speaker_type,
+           CASE WHEN lang = 'fr' THEN 'y' WHEN lang = 'es' THEN 'Y' END AS has_addressee,
+           source AS segmentation,
+           CASE WHEN source = 'src19' THEN 'automated' ELSE 'manual' END AS method,
+           'random' AS sampling_method,
+           CASE WHEN lang = 'fr' THEN 'xyz' ELSE 'chi' END AS sampling_target,
+           CASE WHEN lang = 'de' THEN '2024-13-01' ELSE '2024-02-01' END AS date_annotation
+    FROM documents WHERE source <> 'src18' GROUP BY lang, source"""
+VIEWS["doc_files"] = """
+    SELECT lang AS dataset, source AS set_name, doc_id AS file_key,
+           doc_id || '_0_' || n_chars || '.csv' AS annotation_filename
+    FROM documents"""
+VIEWS["doc_index"] = """
+    SELECT DISTINCT lang AS dataset, source AS set_name, 'vtc_cols' AS category, 'quality' AS "column" FROM documents
+    UNION ALL
+    SELECT DISTINCT lang, source, CASE WHEN lang IN ('en', 'fr') THEN 'addressee_cols' ELSE 'other' END, 'toxic'
+    FROM documents"""
+
+
+def _label_profile(src: str, by: str) -> list[tuple[str, str]]:
+    return [
+        ("l1", f"""SELECT {by}, label, value, sum(offset_ms - onset) AS ms, count(*) AS n
+                   FROM {src} GROUP BY {by}, label, value"""),
+        ("lp", f"""SELECT {by}, label AS "column",
+                          CAST(coalesce(sum(ms) FILTER (WHERE value IS NOT NULL), 0) AS BIGINT) AS annotated_ms,
+                          CAST(coalesce(sum(n) FILTER (WHERE value IS NOT NULL), 0) AS BIGINT) AS num_non_empty,
+                          count(*) AS n_values, count(*) <= 20 AS categorical,
+                          CASE WHEN count(*) <= 20 THEN
+                            coalesce(list_sort(list(value) FILTER (WHERE value IS NOT NULL)), CAST([] AS VARCHAR[]))
+                          END AS "values"
+                   FROM l1 GROUP BY {by}, label"""),
+    ]
+
+
+_SPAN_RE = r"_(-?\d+)_(-?\d+)(\.[^_/]*)?$"
+_SAMPLED = ("sd", f"""
+    SELECT s.dataset, s.set_name,
+           CAST(CASE WHEN coalesce(s.sampling_count, 0) <> 0 AND coalesce(s.sampling_unit_duration, 0) <> 0
+                     THEN s.sampling_count * s.sampling_unit_duration ELSE coalesce(f.span_ms, 0) END AS BIGINT)
+             AS duration_from_samples_ms,
+           CAST(coalesce(s.sampling_count, f.n_files, 0) AS BIGINT) AS number_of_samples
+    FROM doc_sidecars s LEFT JOIN (
+      SELECT dataset, set_name, count(*) AS n_files,
+             sum(CAST(regexp_extract(annotation_filename, '{_SPAN_RE}', 2) AS BIGINT)
+                 - CAST(regexp_extract(annotation_filename, '{_SPAN_RE}', 1) AS BIGINT)) AS span_ms
+      FROM doc_files GROUP BY dataset, set_name) f
+    ON f.dataset = s.dataset AND f.set_name = s.set_name""")
+_PROFILE = _label_profile("doc_labels", "dataset, set_name") + [_SAMPLED, ("prof", """
+    SELECT lp.dataset, lp.set_name, lp."column", lp.categorical, lp.annotated_ms AS annotated_duration_ms,
+           sd.duration_from_samples_ms, sd.number_of_samples, lp.num_non_empty AS num_of_non_empty_segments
+    FROM lp JOIN sd ON sd.dataset = lp.dataset AND sd.set_name = lp.set_name""")]
+_DOC_META = ["doc_labels", "doc_sidecars", "doc_files", "doc_index"]
+
+ORACLES["label_profile"] = with_views(["doc_labels"], "SELECT * FROM lp", _label_profile("doc_labels", "dataset, set_name"))
+ORACLES["label_categorical"] = with_views(["ev_labels"], "SELECT * FROM lp", _label_profile("ev_labels", "set_name"))
+ORACLES["sampled_duration"] = with_views(["doc_sidecars", "doc_files"], "SELECT * FROM sd", [_SAMPLED])
+ORACLES["generated_profile"] = with_views(_DOC_META, "SELECT * FROM prof", _PROFILE)
+ORACLES["category_summary"] = with_views(_DOC_META, """
+    SELECT dataset, set_name, round(sum(annotated_duration_ms) / 60000.0, 3) AS annotated_total_duration_min,
+           round(max(duration_from_samples_ms) / 60000.0, 3) AS sampled_total_duration_min,
+           CAST(sum(num_of_non_empty_segments) AS BIGINT) AS num_of_segments_non_empty,
+           CAST(max(number_of_samples) AS BIGINT) AS num_of_samples
+    FROM prof p
+    WHERE EXISTS (SELECT 1 FROM doc_index i WHERE i.dataset = p.dataset AND i.set_name = p.set_name
+                  AND i."column" = p."column" AND i.category IN ('vtc', 'vtc_cols'))
+    GROUP BY dataset, set_name HAVING sum(annotated_duration_ms) <> 0""", _PROFILE)
+ORACLES["corpora_info"] = with_views(_DOC_META, """
+    SELECT s.dataset, s.set_name, round(s.smp / 60000.0, 2) AS sampled_duration_minutes,
+           round(coalesce(a.ann, 0) / 60000.0, 2) AS duration_annotated_minutes
+    FROM (SELECT dataset, set_name, max(duration_from_samples_ms) AS smp FROM prof GROUP BY ALL) s
+    LEFT JOIN (SELECT p.dataset, p.set_name, sum(p.annotated_duration_ms) AS ann FROM prof p
+               JOIN doc_index i ON i.dataset = p.dataset AND i.set_name = p.set_name AND i."column" = p."column"
+                 AND i.category IN ('addressee', 'addressee_cols')
+               GROUP BY ALL) a ON a.dataset = s.dataset AND a.set_name = s.set_name
+    WHERE EXISTS (SELECT 1 FROM doc_sidecars c WHERE c.dataset = s.dataset AND c.set_name = s.set_name
+                  AND upper(c.has_addressee) = 'Y')""", _PROFILE)

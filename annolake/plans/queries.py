@@ -207,3 +207,54 @@ def split_finalize(spark, sf):
     si = si.withColumn("_key", F.concat_ws(":", "recording", "line", "set_name", "range_offset"))
     sp = T.weighted_split(si, "_key", "duration_ms", (800, 100, 100), by=["dataset"], seed=0).drop("_key")
     return T.finalize_split(sp, path_col="recording_path", drop=["age_months"])
+
+
+# --- profiling -----------------------------------------------------------------------
+
+from annolake.operators import profile as A  # noqa: E402
+
+_PROFILE_COLS = ["dataset", "set_name", "column", "categorical", "annotated_duration_ms",
+                 "duration_from_samples_ms", "number_of_samples", "num_of_non_empty_segments"]
+
+
+@query
+def label_profile(spark, sf):
+    """A1 + A2 + F6: label coverage of the sparse document labels."""
+    return A.label_profile(V.doc_labels(spark, sf)).select(
+        "dataset", "set_name", "column", "annotated_ms", "num_non_empty", "n_values", "categorical", "values")
+
+
+@query
+def label_categorical(spark, sf):
+    """A2: categorical test on the event labels (speaker_type small, k large)."""
+    return A.label_profile(V.ev_labels(spark, sf), by=["set_name"]).select(
+        "set_name", "column", "annotated_ms", "num_non_empty", "n_values", "categorical", "values")
+
+
+@query
+def sampled_duration(spark, sf):
+    """A3 + A4: sampled duration and sample count per set (sidecar or file-name spans)."""
+    return A.sampled_duration(V.doc_files(spark, sf), V.doc_sidecars(spark, sf))
+
+
+def _doc_profile(spark, sf):
+    return A.build_profile(V.doc_labels(spark, sf), V.doc_files(spark, sf), V.doc_sidecars(spark, sf))
+
+
+@query
+def generated_profile(spark, sf):
+    """The generated profile (dataset, set, column) over sets with a sidecar."""
+    return _doc_profile(spark, sf).select(*_PROFILE_COLS)
+
+
+@query
+def category_summary(spark, sf):
+    """A5 + O1: vtc category summary per set."""
+    return A.category_summary(_doc_profile(spark, sf), V.doc_category_index(spark, sf), "vtc")
+
+
+@query
+def corpora_info(spark, sf):
+    """A6 + J4: addressee corpora table, flag Y in any case."""
+    return A.corpora_info(_doc_profile(spark, sf), V.doc_sidecars(spark, sf), V.doc_category_index(spark, sf),
+                          "addressee")

@@ -177,3 +177,60 @@ def ev_file_recordings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("u"), user, F.lit(".wav")).alias("recording_filename"),
         F.lit(EVENT_RECORDING_MS).cast("long").alias("duration"),
         F.concat(F.lit("u"), user).alias("child_id")))
+
+
+# --- corpus metadata derived from the documents table ---------------------------------
+# Each (lang, source) pair of ``documents`` plays one annotation set of one corpus.
+# Its sidecar and its line in the category index are derived from the rows of
+# the set by the rules below, so their size follows the data.
+
+def doc_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Annotation index of the document corpus: one file per document."""
+    d = table(spark, sf_dir, "documents")
+    return d.select(
+        F.col("lang").alias("dataset"), F.col("source").alias("set_name"), F.col("doc_id").alias("file_key"),
+        F.concat(F.col("doc_id").cast("string"), F.lit("_0_"), F.col("n_chars").cast("string"),
+                 F.lit(".csv")).alias("annotation_filename"))
+
+
+def doc_sidecars_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw sidecar map per set. Rules: 'src18' sets have no sidecar; 'src19' is
+    automated; English sets carry a sample count, Spanish a zero count; the
+    unit is one minute except for French; German sets deny speaker types;
+    French sets have an invalid sampling target."""
+    d = table(spark, sf_dir, "documents").select("lang", "source")
+    g = d.filter(F.col("source") != "src18").groupBy("lang", "source").agg(F.count(F.lit(1)).alias("n"))
+    lang = F.col("lang")
+    entries = [
+        ("segmentation", F.col("source")),
+        ("method", F.when(F.col("source") == "src19", "automated").otherwise("manual")),
+        ("sampling_method", F.lit("random")),
+        ("sampling_target", F.when(lang == "fr", "xyz").otherwise("chi")),
+        ("sampling_count", F.when(lang == "en", F.col("n").cast("string")).when(lang == "es", F.lit("0"))),
+        ("sampling_unit_duration", F.when(lang != "fr", F.lit("60000"))),
+        ("date_annotation", F.when(lang == "de", F.lit("2024-13-01")).otherwise(F.lit("2024-02-01"))),
+        ("has_speaker_type", F.when(lang == "de", "N").otherwise("Y")),
+        ("has_addressee", F.when(lang == "fr", "y").when(lang == "es", "Y")),
+    ]
+    kv = F.array(*[F.struct(F.lit(k).alias("key"), v.cast("string").alias("value")) for k, v in entries])
+    kv = F.filter(kv, lambda e: e["value"].isNotNull())
+    return g.select(F.col("lang").alias("dataset"), F.col("source").alias("set_name"),
+                    F.map_from_entries(kv).alias("raw"))
+
+
+def doc_sidecars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from annolake.sources.sidecars import typed_sidecars
+    return typed_sidecars(doc_sidecars_raw(spark, sf_dir))
+
+
+def doc_category_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long category index (dataset, set_name, category, column): ``quality`` is a
+    vtc column everywhere; ``toxic`` is addressee in English and French sets and
+    'other' elsewhere."""
+    d = table(spark, sf_dir, "documents").select("lang", "source").distinct()
+    toxic_cat = F.when(F.col("lang").isin("en", "fr"), F.lit("addressee_cols")).otherwise(F.lit("other"))
+    return d.select(F.col("lang").alias("dataset"), F.col("source").alias("set_name"),
+                    F.explode(F.array(
+                        F.struct(F.lit("vtc_cols").alias("category"), F.lit("quality").alias("column")),
+                        F.struct(toxic_cat.alias("category"), F.lit("toxic").alias("column")))).alias("e")) \
+            .select("dataset", "set_name", "e.category", "e.column")
