@@ -369,3 +369,92 @@ ORACLES["corpora_info"] = with_views(_DOC_META, """
                GROUP BY ALL) a ON a.dataset = s.dataset AND a.set_name = s.set_name
     WHERE EXISTS (SELECT 1 FROM doc_sidecars c WHERE c.dataset = s.dataset AND c.set_name = s.set_name
                   AND upper(c.has_addressee) = 'Y')""", _PROFILE)
+
+# --- validation ---------------------------------------------------------------------
+
+_V1_FIELDS = [("method", "enum", ("automated", "manual", "mixed", "derivation", "citizen-scientists")),
+              ("sampling_method", "enum", ("none", "manual", "periodic", "random", "high-volubility", "high-energy")),
+              ("sampling_target", "enum", ("chi", "fem", "mal", "och")),
+              ("sampling_count", "int", ()), ("sampling_unit_duration", "int", ()),
+              ("date_annotation", "date", ()),
+              ("has_speaker_type", "enum", ("Y", "N")), ("has_addressee", "enum", ("Y", "N"))]
+
+
+def _v1_sql() -> str:
+    parts = []
+    for f, kind, allowed in _V1_FIELDS:
+        v = f"CAST({f} AS VARCHAR)"
+        if kind == "int":
+            cond = f"TRY_CAST({v} AS BIGINT) IS NULL"
+        elif kind == "date":
+            cond = f"TRY_CAST({v} AS DATE) IS NULL"
+        else:
+            cond = f"{v} NOT IN ({', '.join(repr(a) for a in allowed)})"
+        parts.append(f"SELECT dataset, set_name, '{f}=' || {v} AS detail FROM doc_sidecars "
+                     f"WHERE {f} IS NOT NULL AND {cond}")
+    return " UNION ALL ".join(parts)
+
+
+ORACLES["check_sidecar_values"] = with_views(
+    ["doc_sidecars"], "SELECT dataset, set_name, 'sidecar_value' AS \"check\", detail FROM v1", [("v1", _v1_sql())])
+
+ORACLES["check_index_columns"] = with_views(_DOC_META, """
+    SELECT coalesce(i.dataset, p.dataset) AS dataset, coalesce(i.set_name, p.set_name) AS set_name,
+           'index_columns' AS "check",
+           CASE WHEN i."column" IS NULL THEN 'not in index: ' || p."column"
+                ELSE 'not in profile: ' || i."column" END AS detail
+    FROM (SELECT DISTINCT dataset, set_name, "column" FROM doc_index) i
+    FULL OUTER JOIN (SELECT DISTINCT dataset, set_name, "column" FROM prof) p
+      ON i.dataset = p.dataset AND i.set_name = p.set_name AND i."column" = p."column"
+    WHERE (i."column" IS NULL OR p."column" IS NULL)
+      AND (coalesce(i.dataset, p.dataset), coalesce(i.set_name, p.set_name)) IN
+          (SELECT dataset, set_name FROM doc_index)""", _PROFILE)
+
+ORACLES["check_index_sets"] = with_views(_DOC_META, """
+    SELECT coalesce(i.dataset, p.dataset) AS dataset, coalesce(i.set_name, p.set_name) AS set_name,
+           'index_sets' AS "check",
+           CASE WHEN i.set_name IS NULL THEN 'set not in index' ELSE 'set not in profile' END AS detail
+    FROM (SELECT DISTINCT dataset, set_name FROM doc_index) i
+    FULL OUTER JOIN (SELECT DISTINCT dataset, set_name FROM prof) p
+      ON i.dataset = p.dataset AND i.set_name = p.set_name
+    WHERE (i.set_name IS NULL OR p.set_name IS NULL)
+      AND coalesce(i.dataset, p.dataset) IN (SELECT dataset FROM doc_index)
+      AND coalesce(i.dataset, p.dataset) IN (SELECT dataset FROM prof)
+    UNION ALL
+    SELECT DISTINCT dataset, CAST(NULL AS VARCHAR), 'unknown_corpus', 'corpus not in profile' FROM doc_index
+    WHERE dataset NOT IN (SELECT dataset FROM prof)""", _PROFILE)
+
+_FLAG_GRID = _PROFILE + [("fg", """
+    SELECT g.dataset, g.set_name, g.category, g.flag, CAST(coalesce(a.ann, 0) AS BIGINT) AS annotated_ms,
+           coalesce(CASE g.flag WHEN 'has_addressee' THEN sc.has_addressee
+                                WHEN 'has_speaker_type' THEN sc.has_speaker_type END, 'N') AS flag_value
+    FROM (SELECT s.dataset, s.set_name, c.category, c.list, c.flag
+          FROM (SELECT DISTINCT dataset, set_name FROM doc_index) s
+          CROSS JOIN (VALUES ('addressee', 'addressee_cols', 'has_addressee'), ('vcm', 'vcm_cols', 'has_vcm_type'),
+                             ('vtc', 'vtc_cols', 'has_speaker_type'),
+                             ('transcription', 'transcription_cols', 'has_transcription')) c(category, list, flag)) g
+    LEFT JOIN (SELECT i.dataset, i.set_name, i.category AS list, sum(p.annotated_duration_ms) AS ann
+               FROM doc_index i JOIN prof p ON p.dataset = i.dataset AND p.set_name = i.set_name
+                 AND p."column" = i."column" GROUP BY ALL) a
+      ON a.dataset = g.dataset AND a.set_name = g.set_name AND a.list = g.list
+    JOIN doc_sidecars sc ON sc.dataset = g.dataset AND sc.set_name = g.set_name""")]
+
+ORACLES["check_missing_flag"] = with_views(_DOC_META, """
+    SELECT dataset, set_name, 'missing_flag' AS "check", flag || ' missing (' || annotated_ms || ' ms)' AS detail
+    FROM fg WHERE annotated_ms > 0 AND upper(flag_value) <> 'Y'""", _FLAG_GRID)
+
+ORACLES["check_false_flag"] = with_views(_DOC_META, """
+    SELECT dataset, set_name, 'false_flag' AS "check", flag || ' set but 0 ms' AS detail
+    FROM fg WHERE annotated_ms = 0 AND upper(flag_value) = 'Y'""", _FLAG_GRID)
+
+ORACLES["check_sidecar_missing"] = with_views(["doc_index", "doc_sidecars"], """
+    SELECT DISTINCT i.dataset, i.set_name, 'sidecar_missing' AS "check", 'no sidecar' AS detail
+    FROM doc_index i WHERE NOT EXISTS (SELECT 1 FROM doc_sidecars s
+                                       WHERE s.dataset = i.dataset AND s.set_name = i.set_name)""")
+
+ORACLES["check_index_fields"] = with_views(["doc_index"], """
+    SELECT dataset, set_name, 'index_field' AS "check", 'missing ' || l AS detail
+    FROM (SELECT DISTINCT dataset, set_name FROM doc_index) s
+    CROSS JOIN (VALUES ('addressee_cols'), ('vcm_cols'), ('vtc_cols'), ('transcription_cols'), ('other')) v(l)
+    WHERE NOT EXISTS (SELECT 1 FROM doc_index i WHERE i.dataset = s.dataset AND i.set_name = s.set_name
+                      AND i.category = v.l)""")

@@ -258,3 +258,52 @@ def corpora_info(spark, sf):
     """A6 + J4: addressee corpora table, flag Y in any case."""
     return A.corpora_info(_doc_profile(spark, sf), V.doc_sidecars(spark, sf), V.doc_category_index(spark, sf),
                           "addressee")
+
+
+# --- validation ----------------------------------------------------------------------
+
+from annolake.operators import checks as K  # noqa: E402
+
+
+@query
+def check_sidecar_values(spark, sf):
+    """V1: enum / integer / date / Y-N fields of every sidecar."""
+    return K.check_sidecar_values(V.doc_sidecars_raw(spark, sf))
+
+
+@query
+def check_index_columns(spark, sf):
+    """V2: index columns of a set equal the profile's."""
+    return K.check_index_columns(V.doc_category_index(spark, sf), _doc_profile(spark, sf))
+
+
+@query
+def check_index_sets(spark, sf):
+    """V3: indexed sets equal the profile's; unknown corpora."""
+    return K.check_index_sets(V.doc_category_index(spark, sf), _doc_profile(spark, sf))
+
+
+@query
+def check_missing_flag(spark, sf):
+    """V4: annotated category without its sidecar flag (all four categories)."""
+    return K.check_missing_flag(V.doc_category_index(spark, sf), _doc_profile(spark, sf),
+                                V.doc_sidecars_raw(spark, sf))
+
+
+@query
+def check_false_flag(spark, sf):
+    """V5: sidecar flag set but nothing annotated (all four categories)."""
+    return K.check_false_flag(V.doc_category_index(spark, sf), _doc_profile(spark, sf),
+                              V.doc_sidecars_raw(spark, sf))
+
+
+@query
+def check_sidecar_missing(spark, sf):
+    """V6: indexed set without sidecar."""
+    return K.check_sidecar_missing(V.doc_category_index(spark, sf), V.doc_sidecars_raw(spark, sf))
+
+
+@query
+def check_index_fields(spark, sf):
+    """V7: required lists of each index entry."""
+    return K.check_index_fields(K.nest_index(V.doc_category_index(spark, sf)))
