@@ -135,8 +135,14 @@ def duration(onset="onset", offset="offset") -> Column:
 
 
 def to_minutes(ms, digits: int = 3) -> Column:
-    """ms -> minutes rounded; null stays null."""
-    return F.round(_c(ms).cast("double") / 60000.0, digits)
+    """ms -> minutes rounded half-up to ``digits``; null stays null.
+
+    Integer arithmetic first (exact half-up on the true decimal value), then one
+    division, so every engine returns the same double.
+    """
+    scale = 10 ** digits
+    whole = F.floor((_c(ms).cast("long") * F.lit(scale) + F.lit(30000)) / F.lit(60000)).cast("long")
+    return whole.cast("double") / F.lit(float(scale))
 
 
 def to_hours(ms) -> Column:

@@ -351,8 +351,8 @@ ORACLES["label_categorical"] = with_views(["ev_labels"], "SELECT * FROM lp", _la
 ORACLES["sampled_duration"] = with_views(["doc_sidecars", "doc_files"], "SELECT * FROM sd", [_SAMPLED])
 ORACLES["generated_profile"] = with_views(_DOC_META, "SELECT * FROM prof", _PROFILE)
 ORACLES["category_summary"] = with_views(_DOC_META, """
-    SELECT dataset, set_name, round(sum(annotated_duration_ms) / 60000.0, 3) AS annotated_total_duration_min,
-           round(max(duration_from_samples_ms) / 60000.0, 3) AS sampled_total_duration_min,
+    SELECT dataset, set_name, ((sum(annotated_duration_ms) * 1000 + 30000) // 60000) / 1000.0 AS annotated_total_duration_min,
+           ((max(duration_from_samples_ms) * 1000 + 30000) // 60000) / 1000.0 AS sampled_total_duration_min,
            CAST(sum(num_of_non_empty_segments) AS BIGINT) AS num_of_segments_non_empty,
            CAST(max(number_of_samples) AS BIGINT) AS num_of_samples
     FROM prof p
@@ -360,8 +360,8 @@ ORACLES["category_summary"] = with_views(_DOC_META, """
                   AND i."column" = p."column" AND i.category IN ('vtc', 'vtc_cols'))
     GROUP BY dataset, set_name HAVING sum(annotated_duration_ms) <> 0""", _PROFILE)
 ORACLES["corpora_info"] = with_views(_DOC_META, """
-    SELECT s.dataset, s.set_name, round(s.smp / 60000.0, 2) AS sampled_duration_minutes,
-           round(coalesce(a.ann, 0) / 60000.0, 2) AS duration_annotated_minutes
+    SELECT s.dataset, s.set_name, ((s.smp * 100 + 30000) // 60000) / 100.0 AS sampled_duration_minutes,
+           ((coalesce(a.ann, 0) * 100 + 30000) // 60000) / 100.0 AS duration_annotated_minutes
     FROM (SELECT dataset, set_name, max(duration_from_samples_ms) AS smp FROM prof GROUP BY ALL) s
     LEFT JOIN (SELECT p.dataset, p.set_name, sum(p.annotated_duration_ms) AS ann FROM prof p
                JOIN doc_index i ON i.dataset = p.dataset AND i.set_name = p.set_name AND i."column" = p."column"
@@ -458,3 +458,93 @@ ORACLES["check_index_fields"] = with_views(["doc_index"], """
     CROSS JOIN (VALUES ('addressee_cols'), ('vcm_cols'), ('vtc_cols'), ('transcription_cols'), ('other')) v(l)
     WHERE NOT EXISTS (SELECT 1 FROM doc_index i WHERE i.dataset = s.dataset AND i.set_name = s.set_name
                       AND i.category = v.l)""")
+
+# --- statistics ---------------------------------------------------------------------
+
+_KEPT_REC = ("rk", """SELECT * FROM shop_recordings
+                     WHERE discard IS NULL OR lower(trim(discard)) NOT IN ('1', '1.0', 'true')""")
+_SEGS = [_KEPT_REC, ("segs", """
+    SELECT c.dataset, coalesce(CAST(c.child_sex AS VARCHAR), 'N/A') AS child_sex,
+           a.range_offset - a.range_onset AS d
+    FROM shop_children c JOIN rk r ON r.child_id = c.child_id JOIN shop_annotations a ON a.recording = r.recording""")]
+_SHOP = ["shop_children", "shop_recordings", "shop_annotations"]
+
+ORACLES["distribution_mean"] = with_views(_SHOP, """
+    SELECT dataset, child_sex, avg(d) AS duration_mean, count(d) AS "count" FROM segs GROUP BY ALL""", _SEGS)
+ORACLES["distribution_std"] = with_views(_SHOP, """
+    SELECT dataset, child_sex, round(stddev_samp(d), 6) AS duration_std, count(d) AS "count" FROM segs GROUP BY ALL""",
+    _SEGS)
+ORACLES["distribution_total"] = with_views(_SHOP, """
+    SELECT dataset, child_sex, CAST(sum(d) AS DOUBLE) / 3600000.0 AS duration_total, count(d) AS "count"
+    FROM segs GROUP BY ALL""", _SEGS)
+ORACLES["distribution_count"] = with_views(_SHOP, """
+    SELECT dataset, child_sex, count(d) AS "count" FROM segs GROUP BY ALL""", _SEGS)
+ORACLES["pooled_mean"] = with_views(_SHOP, """
+    SELECT child_sex, round(sum(m * n) / sum(n), 6) AS duration_mean
+    FROM (SELECT dataset, child_sex, avg(d) AS m, count(d) AS n FROM segs GROUP BY ALL) x
+    GROUP BY child_sex""", _SEGS)
+ORACLES["pooled_std"] = with_views(_SHOP, """
+    SELECT child_sex, round(sqrt(sum(s * s * n) / sum(n)), 6) AS duration_std
+    FROM (SELECT dataset, child_sex, round(stddev_samp(d), 6) AS s, count(d) AS n FROM segs GROUP BY ALL) x
+    GROUP BY child_sex""", _SEGS)
+
+_AGES = [_KEPT_REC, ("ra", """
+    SELECT r.*, c.dataset, datediff('day', c.child_dob, r.date_iso) / 30.4375 AS age_raw,
+           round(datediff('day', c.child_dob, r.date_iso) / 30.4375, 2) AS age
+    FROM rk r JOIN shop_children c ON c.child_id = r.child_id""")]
+
+ORACLES["subject_age_bins"] = with_views(_SHOP, """
+    SELECT dataset, age_bin, round(min(mn + (age_bin - 1) * w), 6) AS age_bin_lo,
+           round(max(mn + age_bin * w), 6) AS age_bin_hi, count(*) AS "count",
+           CAST(sum(duration) AS DOUBLE) / 3600000.0 AS duration_total
+    FROM (SELECT ra.*, mm.mn, (mm.mx - mm.mn) / 10 AS w,
+                 CAST(CASE WHEN (mm.mx - mm.mn) / 10 > 0
+                           THEN least(greatest(ceil((age - mm.mn) / ((mm.mx - mm.mn) / 10)), 1), 10)
+                           ELSE 5 END AS INTEGER) AS age_bin
+          FROM ra JOIN (SELECT dataset, min(age) AS mn, max(age) AS mx FROM ra GROUP BY dataset) mm
+            ON mm.dataset = ra.dataset) b
+    GROUP BY dataset, age_bin""", _AGES)
+
+ORACLES["subject_summary"] = with_views(_SHOP, """
+    SELECT c.dataset, count(*) AS n_children, CAST(0 AS BIGINT) AS monolingual, CAST(0 AS BIGINT) AS multilingual,
+           CAST(0 AS BIGINT) AS normative, CAST(0 AS BIGINT) AS non_normative,
+           count(*) FILTER (WHERE upper(trim(child_sex)) IN ('M', 'MALE')) AS male,
+           count(*) FILTER (WHERE upper(trim(child_sex)) IN ('F', 'FEMALE')) AS female,
+           any_value(a.min_age) AS min_age_months, any_value(a.max_age) AS max_age_months,
+           CAST(NULL AS BIGINT) AS languages
+    FROM shop_children c
+    LEFT JOIN (SELECT dataset, round(min(age_raw), 2) AS min_age, round(max(age_raw), 2) AS max_age
+               FROM ra GROUP BY dataset) a ON a.dataset = c.dataset
+    GROUP BY c.dataset""", _AGES)
+
+ORACLES["child_ages"] = with_views(_SHOP, """
+    SELECT c.dataset, c.child_id, c.child_sex, round(f.a, 2) AS age_months
+    FROM shop_children c LEFT JOIN (SELECT child_id, min(age_raw) AS a FROM ra GROUP BY child_id) f
+      ON f.child_id = c.child_id""", _AGES)
+
+# --- incremental merge ----------------------------------------------------------------
+
+_HALVES = [("old", "SELECT * FROM ev_files WHERE range_onset < 20 * CAST(86400000 AS BIGINT)"),
+           ("new", "SELECT * FROM ev_files WHERE range_onset >= 15 * CAST(86400000 AS BIGINT)")]
+
+ORACLES["merge_append"] = with_views(["ev_files"], "SELECT * FROM old UNION SELECT * FROM new", _HALVES)
+ORACLES["merge_replace"] = with_views(["ev_files"], """
+    SELECT * FROM new2 UNION SELECT * FROM old WHERE "set" NOT IN (SELECT "set" FROM new2)""",
+    _HALVES + [("new2", "SELECT * FROM new WHERE \"set\" IN ('click', 'view')")])
+
+
+def _copies(src: str) -> str:
+    return f"""
+      SELECT 'annotation' AS kind, 'datasets/events/annotations/' || "set" || '/converted/' || annotation_filename AS source,
+             'out/annotations/events/' || "set" || '/converted/' || annotation_filename AS target FROM {src}
+      UNION SELECT 'sidecar', 'datasets/events/annotations/' || "set" || '/metannots.yml',
+             'out/annotations/events/' || "set" || '/metannots.yml' FROM {src}
+      UNION SELECT 'standard', 'datasets/events/recordings/converted/standard/' || recording_filename,
+             'out/recordings/converted/standard/events/' || recording_filename FROM {src}
+      UNION SELECT 'raw', 'datasets/events/recordings/raw/' || raw_filename,
+             'out/recordings/raw/events/' || raw_filename FROM {src}"""
+
+
+ORACLES["copy_manifest"] = with_views(["ev_files"], """
+    SELECT * FROM cn WHERE target NOT IN (SELECT target FROM co)""",
+    _HALVES + [("cn", _copies("new")), ("co", _copies("old"))])

@@ -307,3 +307,137 @@ def check_sidecar_missing(spark, sf):
 def check_index_fields(spark, sf):
     """V7: required lists of each index entry."""
     return K.check_index_fields(K.nest_index(V.doc_category_index(spark, sf)))
+
+
+# --- statistics ------------------------------------------------------------------------
+
+from annolake.operators import stats as S  # noqa: E402
+from annolake.operators import curate as CU  # noqa: E402
+
+
+def _shop_segments(spark, sf):
+    seg = V.shop_annotations(spark, sf).withColumn("seg_ms", F.col("range_offset") - F.col("range_onset"))
+    return CU.child_segments(V.shop_children(spark, sf), V.shop_recordings(spark, sf), seg)
+
+
+def _shop_metric(spark, sf, metric):
+    seg = _shop_segments(spark, sf)
+    # totals in hours, mean / std in ms
+    return S.distribution(seg, "child_sex", "seg_ms", by=["dataset"], metrics=[metric], total_unit=3_600_000)
+
+
+@query
+def distribution_mean(spark, sf):
+    """A8 + J5: mean segment duration (ms) per corpus and child_sex."""
+    return _shop_metric(spark, sf, "duration_mean")
+
+
+@query
+def distribution_std(spark, sf):
+    """Sample std of segment duration (ms)."""
+    return _shop_metric(spark, sf, "duration_std")
+
+
+@query
+def distribution_total(spark, sf):
+    """A8 + P10: total annotated hours."""
+    return _shop_metric(spark, sf, "duration_total")
+
+
+@query
+def distribution_count(spark, sf):
+    """Segment count."""
+    return _shop_metric(spark, sf, "count")
+
+
+@query
+def pooled_mean(spark, sf):
+    """Count-weighted mean over corpora."""
+    return S.pooled(_shop_metric(spark, sf, "duration_mean"), "child_sex", "duration_mean")
+
+
+@query
+def pooled_std(spark, sf):
+    """Pooled std over corpora, sqrt(sum(n s^2) / sum(n))."""
+    return S.pooled(_shop_metric(spark, sf, "duration_std"), "child_sex", "duration_std")
+
+
+@query
+def subject_age_bins(spark, sf):
+    """P13 + P14 + A8: recording hours per corpus and 10 equal-width age bins."""
+    ch = V.shop_children(spark, sf)
+    rec = S.with_age(C.drop_discarded(V.shop_recordings(spark, sf)), ch)
+    rec = rec.join(ch.select("child_id", "dataset"), "child_id", "inner")
+    b = S.equal_width_bins(rec, "age_months", 10, by=["dataset"], out="age_bin")
+    return b.groupBy("dataset", "age_bin").agg(
+        F.round(F.min("age_bin_lo"), 6).alias("age_bin_lo"), F.round(F.max("age_bin_hi"), 6).alias("age_bin_hi"),
+        F.count(F.lit(1)).alias("count"),
+        (F.sum("duration").cast("double") / F.lit(3_600_000.0)).alias("duration_total"))
+
+
+@query
+def subject_summary(spark, sf):
+    """Per-corpus subject summary."""
+    return S.subject_summary(V.shop_children(spark, sf), V.shop_recordings(spark, sf))
+
+
+@query
+def child_ages(spark, sf):
+    """P13 (D9): a child's age is its age at the first kept recording."""
+    rec = C.drop_discarded(V.shop_recordings(spark, sf))
+    return S.child_age(rec, V.shop_children(spark, sf)).select("dataset", "child_id", "child_sex", "age_months")
+
+
+# --- incremental merge ------------------------------------------------------------------
+
+from annolake.operators import merge as U  # noqa: E402
+
+DAY_MS = 86_400_000
+
+
+def _halves(spark, sf):
+    f = V.ev_files(spark, sf)
+    return f.filter(F.col("range_onset") < 20 * DAY_MS), f.filter(F.col("range_onset") >= 15 * DAY_MS)
+
+
+@query
+def merge_append(spark, sf):
+    """U1 + U3: two overlapping batches appended with whole-row de-duplication."""
+    old, new = _halves(spark, sf)
+    return U.merge_append(old, new)
+
+
+@query
+def merge_replace(spark, sf):
+    """The new batch (click and view sets) replaces those sets in the corpus."""
+    old, new = _halves(spark, sf)
+    return U.merge_replace(old, new.filter(F.col("set").isin("click", "view")), "set")
+
+
+def _ev_copy(df):
+    src_ann = F.concat(F.lit("datasets/events/annotations/"), F.col("set"), F.lit("/converted/"),
+                       F.col("annotation_filename"))
+    src_side = F.concat(F.lit("datasets/events/annotations/"), F.col("set"), F.lit("/metannots.yml"))
+    src_std = F.concat(F.lit("datasets/events/recordings/converted/standard/"), F.col("recording_filename"))
+    src_raw = F.concat(F.lit("datasets/events/recordings/raw/"), F.col("raw_filename"))
+    return U.copy_manifest(df.withColumn("dataset", F.lit("events")), "out", items=[
+        ("annotation", src_ann, "annotations", ["annotations"]),
+        ("sidecar", src_side, "annotations", ["annotations"]),
+        ("standard", src_std, "standard", ["recordings", "converted", "standard"]),
+        ("raw", src_raw, "raw", ["recordings", "raw"])])
+
+
+@query
+def copy_manifest(spark, sf):
+    """U4 + P4: copies of the new batch whose targets the first batch has not made."""
+    old, new = _halves(spark, sf)
+    existing = _ev_copy(old).select("target")
+    return U.copy_manifest(new.withColumn("dataset", F.lit("events")), "out", items=[
+        ("annotation", F.concat(F.lit("datasets/events/annotations/"), F.col("set"), F.lit("/converted/"),
+                                F.col("annotation_filename")), "annotations", ["annotations"]),
+        ("sidecar", F.concat(F.lit("datasets/events/annotations/"), F.col("set"), F.lit("/metannots.yml")),
+         "annotations", ["annotations"]),
+        ("standard", F.concat(F.lit("datasets/events/recordings/converted/standard/"), F.col("recording_filename")),
+         "standard", ["recordings", "converted", "standard"]),
+        ("raw", F.concat(F.lit("datasets/events/recordings/raw/"), F.col("raw_filename")), "raw",
+         ["recordings", "raw"])], existing=existing)
