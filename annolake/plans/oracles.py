@@ -548,3 +548,66 @@ def _copies(src: str) -> str:
 ORACLES["copy_manifest"] = with_views(["ev_files"], """
     SELECT * FROM cn WHERE target NOT IN (SELECT target FROM co)""",
     _HALVES + [("cn", _copies("new")), ("co", _copies("old"))])
+
+# --- curation and projections -----------------------------------------------------------
+
+VIEWS["shop_sidecars"] = """
+    SELECT DISTINCT l_returnflag AS set_name,
+           CASE WHEN l_returnflag = 'R' THEN 'automated' ELSE 'manual' END AS method
+    FROM lineitem WHERE l_returnflag <> 'N'"""
+
+ORACLES["filter_category"] = with_views(_DOC_META, """
+    SELECT f.dataset, f.set_name, f.file_key FROM doc_files f
+    WHERE EXISTS (SELECT 1 FROM doc_labels l JOIN doc_index i
+                    ON i.dataset = l.dataset AND i.set_name = l.set_name AND i."column" = l.label
+                   AND i.category IN ('addressee', 'addressee_cols')
+                  WHERE l.value IS NOT NULL AND l.dataset = f.dataset AND l.set_name = f.set_name
+                    AND l.file_key = f.file_key)""")
+
+ORACLES["gold_sets"] = with_views(["doc_sidecars"], "SELECT dataset, set_name FROM doc_sidecars WHERE method = 'manual'")
+
+_FILE_INDEX = ("fi", """
+    SELECT a.recording, a.set_name, a.line, a.range_onset, a.range_offset, r.child_id, r.date_iso, r.duration
+    FROM shop_annotations a JOIN rk r ON r.recording = a.recording
+    WHERE a.set_name IN (SELECT set_name FROM shop_sidecars WHERE method = 'manual')
+      AND r.child_id IN (SELECT child_id FROM shop_children)""")
+_SHOP_FI = _SHOP + ["shop_sidecars"]
+
+ORACLES["file_index"] = with_views(_SHOP_FI, "SELECT * FROM fi", [_KEPT_REC, _FILE_INDEX])
+ORACLES["filter_children"] = with_views(_SHOP_FI, """
+    SELECT recording, set_name, line, child_id FROM fi
+    WHERE child_id IN (SELECT child_id FROM shop_children
+                       WHERE child_sex = 'BUILDING' AND child_dob >= DATE '1991-01-01')""", [_KEPT_REC, _FILE_INDEX])
+ORACLES["propagate_children"] = with_views(_SHOP_FI, """
+    SELECT * FROM shop_children WHERE child_id IN (SELECT child_id FROM fi)""", [_KEPT_REC, _FILE_INDEX])
+
+ORACLES["namespace_keys"] = with_views(["shop_recordings", "shop_children"], """
+    SELECT r.recording, c.dataset || '/' || r.recording || '.wav' AS recording_filename,
+           c.dataset || '_' || r.child_id AS child_id, r.date_iso, r.duration, r.discard
+    FROM shop_recordings r JOIN shop_children c ON c.child_id = r.child_id""")
+
+ORACLES["namespace_annotations"] = with_views(_SHOP, """
+    SELECT a.recording, a.line, c.dataset || '/' || a.set_name AS "set", a.range_onset, a.range_offset
+    FROM shop_annotations a JOIN shop_recordings r ON r.recording = a.recording
+    JOIN shop_children c ON c.child_id = r.child_id""")
+
+ORACLES["span_from_name"] = with_views(["ev_files"], f"""
+    SELECT seg_id, annotation_filename,
+           CAST(regexp_extract(annotation_filename, '{_SPAN_RE}', 1) AS BIGINT) AS span_start,
+           CAST(regexp_extract(annotation_filename, '{_SPAN_RE}', 2) AS BIGINT) AS span_end,
+           CAST(regexp_extract(annotation_filename, '{_SPAN_RE}', 2) AS BIGINT)
+             - CAST(regexp_extract(annotation_filename, '{_SPAN_RE}', 1) AS BIGINT) AS span_ms
+    FROM ev_files""")
+
+ORACLES["paths"] = with_views(_SHOP, """
+    SELECT recording, line, annotation_path,
+           'out/annotations/' || dataset || '/' || set_name || '/converted/' || recording || '_' || range_onset
+             || '_' || range_offset || '.csv' AS target_path,
+           'datasets/' || dataset || '/recordings/converted/standard/' || recording || '.wav' AS wav_path,
+           dataset AS dataset_of_set, 'benchmarking' AS experiment
+    FROM si WHERE dataset IS NOT NULL""", [("si", _SPLIT_INPUT)])
+
+ORACLES["align_drop_null"] = with_views(["doc_labels"], "SELECT dataset, set_name, file_key, label, value FROM doc_labels")
+
+ORACLES["select_datasets"] = with_views(["docs_index"], """
+    SELECT key, dataset, set_name FROM docs_index WHERE dataset IN ('de', 'es')""")

@@ -441,3 +441,110 @@ def copy_manifest(spark, sf):
          "standard", ["recordings", "converted", "standard"]),
         ("raw", F.concat(F.lit("datasets/events/recordings/raw/"), F.col("raw_filename")), "raw",
          ["recordings", "raw"])], existing=existing)
+
+
+# --- curation and projections ------------------------------------------------------------
+
+
+@query
+def filter_category(spark, sf):
+    """files with a non-null value in a column the index maps to 'addressee'."""
+    return CU.filter_category(V.doc_files(spark, sf), V.doc_labels(spark, sf), V.doc_category_index(spark, sf),
+                              "addressee").select("dataset", "set_name", "file_key")
+
+
+@query
+def gold_sets(spark, sf):
+    """manual sets of the document corpus."""
+    return CU.gold_sets(V.doc_sidecars(spark, sf)).select("dataset", "set_name")
+
+
+def _shop_file_index(spark, sf, children_expr=None):
+    ch = CU.filter_expr(V.shop_children(spark, sf), children_expr)
+    return CU.build_file_index(V.shop_annotations(spark, sf), V.shop_recordings(spark, sf), ch,
+                               CU.gold_sets(V.shop_sidecars(spark, sf)), rec_key=["recording"],
+                               child_key=["child_id"], set_key=["set_name"])
+
+
+@query
+def file_index(spark, sf):
+    """J1 + F1 + F3: annotations of gold sets with kept recordings and children."""
+    return _shop_file_index(spark, sf).select("recording", "set_name", "line", "range_onset", "range_offset",
+                                              "child_id", "date_iso", "duration")
+
+
+@query
+def filter_children(spark, sf):
+    """F2 + J1: file index restricted by a children filter expression."""
+    return _shop_file_index(spark, sf, "child_sex = 'BUILDING' AND child_dob >= DATE '1991-01-01'") \
+        .select("recording", "set_name", "line", "child_id")
+
+
+@query
+def propagate_children(spark, sf):
+    """J2 + P9: children that keep at least one file (all-null columns dropped)."""
+    return CU.propagate(_shop_file_index(spark, sf), V.shop_children(spark, sf), ["child_id"])
+
+
+def _shop_recordings_ds(spark, sf):
+    rec = V.shop_recordings(spark, sf).join(V.shop_children(spark, sf).select("child_id", "dataset"), "child_id")
+    return rec.withColumn("recording_filename", F.concat(F.col("recording").cast("string"), F.lit(".wav")))
+
+
+@query
+def namespace_keys(spark, sf):
+    """Recordings with corpus-qualified file names and child ids."""
+    ch, rc, an = CU.namespace_keys(V.shop_children(spark, sf), _shop_recordings_ds(spark, sf),
+                                   V.shop_annotations(spark, sf).withColumn("dataset", F.lit("shop"))
+                                   .withColumnRenamed("set_name", "set"))
+    return rc.select("recording", "recording_filename", "child_id", "date_iso", "duration", "discard")
+
+
+@query
+def namespace_annotations(spark, sf):
+    """P1 on annotations: ``set`` -> ``<corpus>/<set>``."""
+    an = V.shop_annotations(spark, sf).join(
+        V.shop_recordings(spark, sf).select("recording", "child_id"), "recording") \
+        .join(V.shop_children(spark, sf).select("child_id", "dataset"), "child_id") \
+        .withColumnRenamed("set_name", "set")
+    _, _, out = CU.namespace_keys(V.shop_children(spark, sf), _shop_recordings_ds(spark, sf), an)
+    return out.select("recording", "line", "set", "range_onset", "range_offset")
+
+
+@query
+def span_from_name(spark, sf):
+    """Onset / offset written in the annotation file name."""
+    f = V.ev_files(spark, sf)
+    s, e = C.span_from_name("annotation_filename")
+    return f.select("seg_id", "annotation_filename", s.alias("span_start"), e.alias("span_end"),
+                    (e - s).alias("span_ms"))
+
+
+@query
+def paths(spark, sf):
+    """P3 + P4 + P5 + P11 + P12: source and target paths of the annotation copies."""
+    si = _shop_split_input(spark, sf).filter(F.col("dataset").isNotNull())
+    set_ns = F.concat(F.col("dataset"), F.lit("/"), F.col("set_name"))
+    return si.select(
+        "recording", "line", "annotation_path",
+        C.dest_path("annotation_path", "annotations", "out", F.col("dataset"), ["annotations"]).alias("target_path"),
+        C.with_suffix("recording_path", ".wav").alias("wav_path"),
+        C.dataset_of_set(set_ns).alias("dataset_of_set"),
+        F.lit("benchmarking").alias("experiment"))
+
+
+@query
+def align_drop_null(spark, sf):
+    """P8 + P9 + F5: labels aligned to a fixed schema, null words nulled, empty columns dropped."""
+    lab = V.doc_labels(spark, sf).withColumn("value", C.nullify("value"))
+    aligned = C.align(lab, [("dataset", "string"), ("set_name", "string"), ("file_key", "bigint"),
+                            ("label", "string"), ("value", "string"), ("annotator", "string"),
+                            ("confidence", "double")])
+    return C.drop_null_columns(aligned)
+
+
+@query
+def select_datasets(spark, sf):
+    """Two corpora by name."""
+    d = V.docs_index(spark, sf)
+    return CU.select_datasets(d, ["de", "es"], known=d).select("key", "dataset", "set_name")

@@ -234,3 +234,10 @@ def doc_category_index(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.struct(F.lit("vtc_cols").alias("category"), F.lit("quality").alias("column")),
                         F.struct(toxic_cat.alias("category"), F.lit("toxic").alias("column")))).alias("e")) \
             .select("dataset", "set_name", "e.category", "e.column")
+
+
+def shop_sidecars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sets of the shop corpus with a sidecar: every return flag but 'N'; 'R' is automated."""
+    li = table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("set_name"))
+    s = li.filter(F.col("set_name") != "N").distinct()
+    return s.withColumn("method", F.when(F.col("set_name") == "R", "automated").otherwise("manual"))
