@@ -611,3 +611,35 @@ ORACLES["align_drop_null"] = with_views(["doc_labels"], "SELECT dataset, set_nam
 
 ORACLES["select_datasets"] = with_views(["docs_index"], """
     SELECT key, dataset, set_name FROM docs_index WHERE dataset IN ('de', 'es')""")
+
+# --- flagship -------------------------------------------------------------------------
+
+_FLAG = [
+    ("kept", """SELECT * FROM ev_files f WHERE EXISTS (
+                  SELECT 1 FROM ev_labels l WHERE l.seg_id = f.seg_id AND l.set_name = f."set"
+                    AND l.label = 'speaker_type' AND l.value IS NOT NULL)"""),
+    ("ann", """SELECT 'events/' || "set" AS "set", 'events/' || recording_filename AS recording_filename,
+                      raw_filename, time_seek, range_onset, range_offset, annotation_filename, seg_id FROM kept"""),
+    ("rec", """SELECT 'events/' || recording_filename AS recording_filename, duration, 'events_' || child_id AS child_id
+               FROM ev_file_recordings WHERE recording_filename IN (SELECT recording_filename FROM kept)"""),
+    ("c", clipped_sql("ann", "rec", "recording_filename", "range_onset", "range_offset", 0)),
+] + support_sql("c", "recording_filename", "s", "e") + [
+    ("clips", """SELECT k AS recording_filename, cs, ce,
+                        regexp_replace(k, '\\.wav$', '') || '-' || cs || 'to' || ce || '.wav' AS clip_filename
+                 FROM islands"""),
+    ("asg", """SELECT a.*, c.cs, c.ce, c.clip_filename FROM ann a JOIN clips c
+               ON c.recording_filename = a.recording_filename AND c.cs <= a.range_onset AND a.range_offset <= c.ce"""),
+]
+
+ORACLES["create_dataset"] = with_views(["ev_files", "ev_file_recordings", "ev_labels"], """
+    SELECT DISTINCT seg_id, "set", clip_filename AS recording_filename, range_onset - cs AS range_onset,
+           range_offset - cs AS range_offset, CAST(0 AS BIGINT) AS time_seek,
+           regexp_replace(regexp_replace(clip_filename, '^.*/', ''), '\\.wav$', '') || '_' || (range_onset - cs)
+             || '_' || (range_offset - cs) || '.csv' AS annotation_filename,
+           regexp_replace(regexp_replace(clip_filename, '^.*/', ''), '\\.wav$', '') || '.its' AS raw_filename
+    FROM asg""", _FLAG)
+
+ORACLES["create_dataset_recordings"] = with_views(["ev_files", "ev_file_recordings", "ev_labels"], """
+    SELECT DISTINCT c.clip_filename AS recording_filename, r.child_id, CAST(c.ce - c.cs AS BIGINT) AS duration,
+           'benchmarking' AS experiment
+    FROM rec r JOIN clips c ON c.recording_filename = r.recording_filename""", _FLAG)

@@ -129,7 +129,7 @@ def slice_payload(spark, sf):
     pieces, _ = I.slice_payload(t, clips, key="recording", onset="onset", offset="offset_ms", col="text")
     return pieces.select("recording", "turn", "clip_start", "clip_end", "piece_start", "piece_end", "text")
 
-FLAGSHIP = "clip_assign_rebase"
+FLAGSHIP = "create_dataset"
 
 
 # --- splitting --------------------------------------------------------------------
@@ -548,3 +548,36 @@ def select_datasets(spark, sf):
     """Two corpora by name."""
     d = V.docs_index(spark, sf)
     return CU.select_datasets(d, ["de", "es"], known=d).select("key", "dataset", "set_name")
+
+
+# --- flagship ---------------------------------------------------------------------------------
+
+def _ev_corpus(spark, sf):
+    from annolake.plans.create_dataset import Corpus
+    ann = V.ev_files(spark, sf).withColumn("dataset", F.lit("events"))
+    rec = V.ev_file_recordings(spark, sf).withColumn("dataset", F.lit("events"))
+    kids = rec.select("dataset", "child_id").distinct()
+    return Corpus(kids, rec, ann)
+
+
+def _ev_labels_keyed(spark, sf):
+    return V.ev_labels(spark, sf).withColumn("dataset", F.lit("events"))
+
+
+@query
+def create_dataset(spark, sf):
+    """E1 flagship: vtc files (non-null speaker_type) -> namespaced -> cut to clips -> rebased annotations."""
+    from annolake.plans.create_dataset import create_dataset as build
+    res = build(_ev_corpus(spark, sf), _ev_labels_keyed(spark, sf), V.ev_category_index(spark, sf), "vtc",
+                file_key=("dataset", "set", "seg_id"))
+    return res.corpus.annotations.select("seg_id", "set", "recording_filename", "range_onset", "range_offset",
+                                         "time_seek", "annotation_filename", "raw_filename")
+
+
+@query
+def create_dataset_recordings(spark, sf):
+    """The clip recordings table of the flagship corpus."""
+    from annolake.plans.create_dataset import create_dataset as build
+    res = build(_ev_corpus(spark, sf), _ev_labels_keyed(spark, sf), V.ev_category_index(spark, sf), "vtc",
+                file_key=("dataset", "set", "seg_id"))
+    return res.corpus.recordings.select("recording_filename", "child_id", "duration", "experiment")

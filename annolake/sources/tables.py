@@ -241,3 +241,13 @@ def shop_sidecars(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(F.col("l_returnflag").alias("set_name"))
     s = li.filter(F.col("set_name") != "N").distinct()
     return s.withColumn("method", F.when(F.col("set_name") == "R", "automated").otherwise("manual"))
+
+
+def ev_category_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long category index of the event corpus: every event set maps
+    ``speaker_type`` to vtc and keeps ``k`` as 'other'."""
+    ev = table(spark, sf_dir, "events").select(F.col("event_type").alias("set_name")).distinct()
+    return ev.select(F.lit("events").alias("dataset"), "set_name", F.explode(F.array(
+        F.struct(F.lit("vtc_cols").alias("category"), F.lit("speaker_type").alias("column")),
+        F.struct(F.lit("other").alias("category"), F.lit("k").alias("column")))).alias("e")) \
+        .select("dataset", "set_name", "e.category", "e.column")
