@@ -98,11 +98,11 @@ def support(df: DataFrame, by: Sequence[str], start: str = "start", end: str = "
     per_chunk = partial.groupBy(KEY, CHUNK).agg(F.max("_ls").alias("_cls"))
     wc = Window.partitionBy(KEY).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     carry = per_chunk.select(KEY, CHUNK, F.max("_cls").over(wc).alias("_carry"))
-    # only partial islands without an opening of their own need the carry
-    cont = partial.filter(F.col("_ls").isNull()).drop("_ls").join(carry, [KEY, CHUNK], "inner") \
-                  .select(KEY, F.col("_carry").alias("_is"), "_ps", "_pe")
-    own = partial.filter(F.col("_ls").isNotNull()).select(KEY, F.col("_ls").alias("_is"), "_ps", "_pe")
-    islands = own.unionByName(cont).groupBy(KEY, "_is").agg(F.min("_ps").alias(start), F.max("_pe").alias(end))
+    # a partial island without an opening of its own continues the last island
+    # opened in an earlier chunk (at most one such partial island per chunk)
+    islands = (partial.join(carry, [KEY, CHUNK], "inner")
+               .select(KEY, F.coalesce("_ls", "_carry").alias("_is"), "_ps", "_pe")
+               .groupBy(KEY, "_is").agg(F.min("_ps").alias(start), F.max("_pe").alias(end)))
     return islands.select(*[F.col(f"{KEY}.{b}").alias(b) for b in by], start, end)
 
 
