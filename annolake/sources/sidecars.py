@@ -81,8 +81,8 @@ def parse_sidecar_text(text: Column) -> Column:
 
 def scan_sidecars(spark: SparkSession, root: str, file_name: str = "metannots.yml") -> DataFrame:
     """S3: read every sidecar under ``root``; dataset and set come from the path."""
-    df = (spark.read.option("wholetext", "true").option("recursiveFileLookup", "true")
-          .option("pathGlobFilter", file_name).text(root)
+    df = (spark.read.option("recursiveFileLookup", "true")
+          .option("pathGlobFilter", file_name).text(root, wholetext=True)
           .select(F.col("value"), F.col("_metadata.file_path").alias("path")))
     rx = rf"/([^/]+)/annotations/(.+)/{file_name.replace('.', '[.]')}$"
     raw = df.select(
