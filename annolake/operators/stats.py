@@ -69,12 +69,15 @@ def label_axis_col(c: Column, is_float: bool) -> Column:
 
 
 def distribution(df: DataFrame, axis: str, value: str = "duration", by: Sequence[str] = ("dataset",),
-                 metrics: Sequence[str] = METRICS, digits: int = 6, total_unit: float | None = None) -> DataFrame:
+                 metrics: Sequence[str] = METRICS, digits: int = 6, total_unit: float | None = None,
+                 sort_by_y: bool | None = None) -> DataFrame:
     """A8 + J8: mean / sample std / total / count of ``value`` per (corpus, axis).
 
     A null axis is a group of its own. Metric and count come from one aggregate.
     The total is summed exactly in the input unit and divided once by
     ``total_unit`` (e.g. 3600000 for ms -> hours); only the std is rounded.
+    O2: ``sort_by_y`` sorts by the (first) metric descending, ``False`` by axis,
+    ``None`` leaves the order to the sink.
     """
     is_float = dict(df.dtypes).get(axis) in ("double", "float")
     d = df.withColumn("_x", label_axis_col(F.col(axis), is_float))
@@ -87,7 +90,12 @@ def distribution(df: DataFrame, axis: str, value: str = "duration", by: Sequence
     sel = [aggs[m] for m in metrics]
     if "count" not in metrics:
         sel.append(F.count(value).alias("count"))
-    return d.groupBy(*by, "_x").agg(*sel).withColumnRenamed("_x", axis)
+    out = d.groupBy(*by, "_x").agg(*sel).withColumnRenamed("_x", axis)
+    if sort_by_y is True:
+        out = out.orderBy(*by, F.col(metrics[0]).desc_nulls_last(), axis)
+    elif sort_by_y is False:
+        out = out.orderBy(*by, axis)
+    return out
 
 
 def pooled(metrics: DataFrame, axis: str, metric: str, count: str = "count", digits: int = 6) -> DataFrame:

@@ -643,3 +643,37 @@ ORACLES["create_dataset_recordings"] = with_views(["ev_files", "ev_file_recordin
     SELECT DISTINCT c.clip_filename AS recording_filename, r.child_id, CAST(c.ce - c.cs AS BIGINT) AS duration,
            'benchmarking' AS experiment
     FROM rec r JOIN clips c ON c.recording_filename = r.recording_filename""", _FLAG)
+
+# --- plan-level -----------------------------------------------------------------------------
+
+_SAME_CHILD = [("si", _SPLIT_INPUT),
+               ("ent", """SELECT child_id, dataset, CAST(sum(duration_ms) AS BIGINT) AS w FROM si
+                          GROUP BY child_id, dataset"""),
+               ("ord", """SELECT child_id, dataset, w,
+                                 row_number() OVER (ORDER BY md5(concat_ws(':', '0', child_id, dataset))) AS rn
+                          FROM ent"""),
+               ("t", "SELECT CAST(sum(w) AS HUGEINT) AS tot FROM ent")]
+_G1, _G2, _G3 = "(t.tot * 800 - 1000 * g.c1)", "(t.tot * 100 - 1000 * g.c2)", "(t.tot * 100 - 1000 * g.c3)"
+_PICK = f"""CASE WHEN {_G1} >= {_G2} AND {_G1} >= {_G3} THEN 'train' WHEN {_G2} >= {_G3} THEN 'test'
+                 ELSE 'validate' END"""
+_SAME_CHILD.append(("g", f"""
+    SELECT 0 AS rn, CAST(NULL AS BIGINT) AS child_id, CAST(NULL AS VARCHAR) AS dataset,
+           CAST(NULL AS VARCHAR) AS split, CAST(0 AS HUGEINT) AS c1, CAST(0 AS HUGEINT) AS c2, CAST(0 AS HUGEINT) AS c3
+    UNION ALL
+    SELECT o.rn, o.child_id, o.dataset, {_PICK},
+           g.c1 + CASE WHEN {_PICK} = 'train' THEN o.w ELSE 0 END,
+           g.c2 + CASE WHEN {_PICK} = 'test' THEN o.w ELSE 0 END,
+           g.c3 + CASE WHEN {_PICK} = 'validate' THEN o.w ELSE 0 END
+    FROM g JOIN ord o ON o.rn = g.rn + 1 CROSS JOIN t"""))
+
+ORACLES["split_same_child"] = _with_recursive(["shop_annotations", "shop_recordings", "shop_children"], """
+    SELECT DISTINCT si.recording, si.set_name, si.line, si.child_id, si.dataset, si.range_onset, si.range_offset,
+           si.duration_ms, si.annotation_path,
+           regexp_replace(si.recording_path, '\\.[^./]*$', '') || '.wav' AS recording_path, g.split
+    FROM si JOIN g ON g.rn > 0 AND g.child_id IS NOT DISTINCT FROM si.child_id
+                   AND g.dataset IS NOT DISTINCT FROM si.dataset""", _SAME_CHILD)
+
+ORACLES["validation_report"] = " UNION ALL ".join(
+    f"({ORACLES[k]})" for k in ["check_sidecar_values", "check_index_columns", "check_index_sets",
+                                "check_missing_flag", "check_false_flag", "check_sidecar_missing",
+                                "check_index_fields"])

@@ -581,3 +581,24 @@ def create_dataset_recordings(spark, sf):
     res = build(_ev_corpus(spark, sf), _ev_labels_keyed(spark, sf), V.ev_category_index(spark, sf), "vtc",
                 file_key=("dataset", "set", "seg_id"))
     return res.corpus.recordings.select("recording_filename", "child_id", "duration", "experiment")
+
+
+# --- plan-level queries -------------------------------------------------------------------------
+
+
+@query
+def split_same_child(spark, sf):
+    """E2 with --same-child: weighted split then entity-exclusive reassignment by (child, corpus)."""
+    from annolake.plans.splits import make_splits
+    si = _shop_split_input(spark, sf).withColumn(
+        "_key", F.concat_ws(":", "recording", "line", "set_name", "range_offset"))
+    res = make_splits(si, "_key", same_child=True)
+    return res.rows.drop("_key")
+
+
+@query
+def validation_report(spark, sf):
+    """Every validation check as one violations table."""
+    from annolake.plans.profiling import validation_report as report
+    idx = V.doc_category_index(spark, sf)
+    return report(idx, K.nest_index(idx), _doc_profile(spark, sf), V.doc_sidecars_raw(spark, sf))
