@@ -138,7 +138,23 @@ def scan_segments(spark: SparkSession, root: str, index: DataFrame | None = None
     return out
 
 
-def segments_long(segments: DataFrame) -> DataFrame:
-    """Segments -> long label map (one row per segment and label; null values kept)."""
-    return segments.select("dataset", "set", "annotation_filename", "segment_onset", "segment_offset",
-                           F.explode_outer("labels").alias("label", "value")).filter(F.col("label").isNotNull())
+def segments_long(segments: DataFrame, fill_set_columns: bool = True) -> DataFrame:
+    """Segments -> long label map (one row per segment and label; null values kept).
+
+    With ``fill_set_columns`` every segment gets a row for every label column
+    that any file of its set has (null when its own file lacks the column), as a
+    row-wise concat of the set's files would give. The per-set column list is
+    tiny (distinct label names of a set); segments are joined to it on the set
+    and exploded, so nothing grows beyond the output itself.
+    """
+    keys = ["dataset", "set"]
+    seg_cols = [*keys, "annotation_filename", "segment_onset", "segment_offset"]
+    base = segments.select(*seg_cols, "labels")
+    if not fill_set_columns:
+        return base.select(*seg_cols, F.explode("labels").alias("label", "value"))
+    cols = (base.select(*keys, F.explode(F.map_keys("labels")).alias("label")).distinct()
+                .groupBy(*keys).agg(F.array_sort(F.collect_list("label")).alias("_cols")))
+    return (base.join(cols, keys, "inner")
+                .select(*seg_cols, "labels", F.explode("_cols").alias("label"))
+                .withColumn("value", F.element_at(F.col("labels"), F.col("label")))
+                .drop("labels"))

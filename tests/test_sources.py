@@ -54,6 +54,13 @@ def test_scan_segments_label_maps(spark, tmp_path):
                    ("s2", 0, [("addressee", None), ("speaker_type", "FEM")])]
     long = segments_long(seg)
     assert long.filter(F.col("label") == "addressee").count() == 1   # all-null column is still data
+    # a column present in only some files of a set gives null rows for the others
+    _w(f"{root}/c1/annotations/s1/converted/r2_0_50.csv", "segment_onset,segment_offset,speaker_type,vcm_type\n0,5,CHI,C\n")
+    long = segments_long(scan_segments(spark, root)).filter("set = 's1'")
+    got = sorted((r.annotation_filename, r.segment_onset, r.label, r.value) for r in long.collect())
+    assert got == [("r1_0_1000.csv", 0, "speaker_type", "CHI"), ("r1_0_1000.csv", 0, "vcm_type", None),
+                   ("r1_0_1000.csv", 10, "speaker_type", None), ("r1_0_1000.csv", 10, "vcm_type", None),
+                   ("r2_0_50.csv", 0, "speaker_type", "CHI"), ("r2_0_50.csv", 0, "vcm_type", "C")]
 
 
 def test_scan_sidecars(spark, tmp_path):
