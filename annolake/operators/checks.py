@@ -49,7 +49,8 @@ def _sets(df: DataFrame) -> DataFrame:
 
 def check_index_columns(index_long: DataFrame, profile: DataFrame) -> DataFrame:
     """V2: the columns of an indexed set (all lists incl. other/ignore) equal the profile's."""
-    idx = index_long.select(*KEYS, "column").distinct().withColumn("_i", F.lit(True))
+    idx = index_long.filter(F.col("column").isNotNull()).select(*KEYS, "column").distinct() \
+                    .withColumn("_i", F.lit(True))
     prof = profile.select(*KEYS, "column").distinct().withColumn("_p", F.lit(True))
     j = idx.join(prof, KEYS + ["column"], "full_outer").join(_sets(index_long), KEYS, "left_semi")
     one_sided = j.filter(F.col("_i").isNull() | F.col("_p").isNull())

@@ -56,11 +56,16 @@ def scan_category_index(spark: SparkSession, path: str) -> tuple[DataFrame, Data
     ds = raw.select(F.explode("datasets").alias("d"))
     sets = ds.select(F.col("d.name").alias("dataset"), F.explode("d.sets").alias("s"))
     nested = sets.select("dataset", F.col("s.name").alias("set_name"), *[F.col(f"s.{lst}").alias(lst) for lst in LISTS])
-    stacked = nested.select("dataset", "set_name", F.explode(F.array(*[
-        F.struct(F.lit(lst).alias("category"), F.coalesce(F.col(lst), F.array().cast("array<string>")).alias("cols"))
-        for lst in LISTS])).alias("g"))
-    long = stacked.select("dataset", "set_name", F.col("g.category").alias("category"),
-                          F.explode("g.cols").alias("column"))
+    # every (category, column) pair of a set; a set without any column keeps one
+    # row with null category / column, so set-level checks still see it
+    def tag(lst):
+        return lambda c: F.struct(F.lit(lst).alias("category"), c.alias("column"))
+
+    pairs = F.flatten(F.array(*[
+        F.transform(F.coalesce(F.col(lst), F.array().cast("array<string>")), tag(lst)) for lst in LISTS]))
+    long = nested.select("dataset", "set_name", F.explode_outer(pairs).alias("p")) \
+                 .select("dataset", "set_name", F.col("p.category").alias("category"),
+                         F.col("p.column").alias("column"))
     return long, nested
 
 
