@@ -47,7 +47,7 @@ def _case_split(cum_x1000, tot, pm) -> F.Column:
 
 
 def weighted_split(df: DataFrame, key: str, weight: str, fractions=(800, 100, 100),
-                   by: Sequence[str] = ("dataset",), seed: int = 0, hex_digits: int | None = 2,
+                   by: Sequence[str] = ("dataset",), seed: int = 0, hex_digits: int | None = 4,
                    out: str = "split") -> DataFrame:
     """Shuffled running sum of ``weight`` against the stratum total.
 
