@@ -21,8 +21,11 @@ from pyspark.sql import functions as F
 from annolake.functions.columns import clip_name, stem_of, with_stem
 from annolake.operators.scan import CHUNK, KEY, running_agg
 
-# One chunk of the time axis per scan step: one hour of milliseconds.
-DEFAULT_CHUNK = 3_600_000
+# Width of one chunk of the time axis: one minute of milliseconds. Rows per
+# chunk are then bounded by how many segments can start within one minute of
+# one recording (whatever the recording's share of all rows), and the carry
+# scan of a recording holds one row per minute of it (a year = 525,600 rows).
+DEFAULT_CHUNK = 60_000
 
 
 def _c(c) -> Column:

@@ -150,10 +150,13 @@ def shop_annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def ev_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ev_files(spark: SparkSession, sf_dir: str, where: Column | None = None) -> DataFrame:
     """Events as an annotation index with file names (``u<user>.wav``,
-    ``u<user>_<onset>_<offset>.csv``), the shape the cutting step works on."""
+    ``u<user>_<onset>_<offset>.csv``), the shape the cutting step works on.
+    ``where`` filters the raw events (so it reaches the parquet scan)."""
     ev = table(spark, sf_dir, "events")
+    if where is not None:
+        ev = ev.filter(where)
     onset = _epoch_ms(F.col("ts"))
     offset = onset + F.round(F.col("value") * 60000).cast("long")
     user = F.col("user_id").cast("string")
