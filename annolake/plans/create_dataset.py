@@ -16,6 +16,7 @@ from annolake.functions.columns import with_stamp
 from annolake.operators import curate as CU
 from annolake.operators import intervals as I
 from annolake.operators import merge as U
+from annolake.session import cut_lineage
 
 
 @dataclass
@@ -36,12 +37,19 @@ class CutResult:
 
 
 def curate(corpus: Corpus, labels: DataFrame, index_long: DataFrame, category: str,
-           file_key: tuple[str, ...] = ("dataset", "set", "annotation_filename")) -> Corpus:
-    """Keep annotations of the category (F4), then the recordings and children they use."""
+           file_key: tuple[str, ...] = ("dataset", "set", "annotation_filename"),
+           materialize: bool = False) -> Corpus:
+    """Keep annotations of the category (F4), then the recordings and children they use.
+
+    With ``materialize`` the kept annotations are written once (shared
+    checkpoint folder) and the recordings / children are derived from that table.
+    """
     files = corpus.annotations.withColumnRenamed("set", "set_name")
     keys = ["set_name" if k == "set" else k for k in file_key]
     kept = CU.filter_category(files, labels, index_long, category, file_key=keys) \
              .withColumnRenamed("set_name", "set")
+    if materialize:
+        kept = cut_lineage(kept, "curated_annotations")
     recs = corpus.recordings.join(kept.select("dataset", "recording_filename").distinct(),
                                   ["dataset", "recording_filename"], "left_semi")
     kids = corpus.children.join(recs.select("dataset", "child_id").distinct(), ["dataset", "child_id"], "left_semi")
@@ -54,9 +62,16 @@ def namespace(corpus: Corpus) -> Corpus:
     return Corpus(ch, rc, an)
 
 
-def cut(corpus: Corpus, pad_ms: int = 0, stamp: str = "benchmarking") -> CutResult:
-    """Clips from the support of the annotations; annotations rebased onto them."""
+def cut(corpus: Corpus, pad_ms: int = 0, stamp: str = "benchmarking", materialize: bool = True) -> CutResult:
+    """Clips from the support of the annotations; annotations rebased onto them.
+
+    The clip list feeds the containment, the recordings table and the cut jobs;
+    with ``materialize`` it is checkpointed once (reliable checkpoint in the
+    shared ``spark.checkpoint.dir``) instead of being recomputed per consumer.
+    """
     clips = I.clip_list(corpus.annotations, corpus.recordings, pad_ms=pad_ms, ignore_time_seek=True)
+    if materialize:
+        clips = cut_lineage(clips, "clips")
     assigned, discarded = I.assign_to_clip(corpus.annotations, clips, ignore_time_seek=True)
     rebased = I.rebase(assigned)
     recs = I.recordings_on_clips(corpus.recordings, clips, stamp=stamp)
@@ -84,8 +99,13 @@ def merge(existing: Corpus | None, new: Corpus, replace: bool = True) -> Corpus:
 
 def create_dataset(corpus: Corpus, labels: DataFrame, index_long: DataFrame, category: str,
                    pad_ms: int = 0, existing: Corpus | None = None,
-                   file_key: tuple[str, ...] = ("dataset", "set", "annotation_filename")) -> CutResult:
-    curated = namespace(curate(corpus, labels, index_long, category, file_key))
-    res = cut(curated, pad_ms)
+                   file_key: tuple[str, ...] = ("dataset", "set", "annotation_filename"),
+                   materialize: bool = True) -> CutResult:
+    """curate -> namespace -> cut -> merge. With ``materialize`` the curated
+    annotations and recordings (read by the clip list, the containment and the
+    recordings table) are checkpointed once, like the source tool writing its
+    metadata tables before cutting."""
+    curated = namespace(curate(corpus, labels, index_long, category, file_key, materialize=materialize))
+    res = cut(curated, pad_ms, materialize=materialize)
     res.corpus = merge(existing, res.corpus)
     return res
