@@ -59,6 +59,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return sc.getCheckpointDir() or conf_dir
     if current is not None:
         return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder; a machine-local folder "
+                           "does not survive the loss of an executor")
     local = tempfile.mkdtemp(prefix="annolake-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)

@@ -103,3 +103,23 @@ def test_orphans_side_output(spark, recordings):
     c, orphans = clip_to_recording(shift(a), recordings, "recording_filename")
     assert [r.recording_filename for r in orphans.collect()] == ["nope.wav"]
     assert [(r.start, r.end) for r in c.collect()] == [(61000, 62000)]
+
+
+def test_gap_equal_to_collar_opens_island(spark):
+    df = spark.createDataFrame([("r", 0, 10), ("r", 15, 20), ("r", 24, 30)], "rec string, start long, end long")
+    got = sorted(tuple(r) for r in support(df, ["rec"], collar=5, chunk=7).collect())
+    assert got == [("r", 0, 10), ("r", 15, 30)]        # gap 5 == collar splits, gap 4 merges
+
+
+def test_rebase_keeps_length_and_stays_inside(spark):
+    rows = make_rows(11, n=300)
+    clips = brute_support(rows, 0)
+    ann = [(i, rec, s, e) for i, (rec, s, e) in enumerate(rows)]
+    adf = spark.createDataFrame(ann, "aid long, rec string, range_onset long, range_offset long")
+    cdf = spark.createDataFrame(clips, "rec string, start long, end long")
+    a, _ = assign_to_clip(adf, cdf, key="rec", chunk=50)
+    r = rebase(a, key="rec", annotation_name=None, raw_name=None)
+    for x in r.collect():
+        src = ann[x.aid]
+        assert x.range_offset - x.range_onset == src[3] - src[2]
+        assert 0 <= x.range_onset <= x.range_offset <= x.clip_end - x.clip_start
