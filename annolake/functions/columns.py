@@ -73,17 +73,23 @@ def span_duration_from_name(c) -> Column:
 
 # --- P3 / P4 / P5 paths ----------------------------------------------------
 
-def path_for(*parts) -> Column:
-    """Join path parts with '/'."""
-    return F.concat_ws("/", *[_c(p) if not isinstance(p, str) or not p.startswith("=") else F.lit(p[1:])
-                              for p in parts])
-
-
 def lit_path(*parts) -> Column:
-    """Join literal strings and columns: strings are literals, Columns are columns."""
+    """Join path parts with '/': strings are literals, Columns are columns
+    (a null column part is skipped)."""
     return F.concat_ws("/", *[F.lit(p) if isinstance(p, str) else p for p in parts])
 
 
+def path_for(*parts) -> Column:
+    """Like :func:`lit_path` but null when any part is null (an unknown
+    corpus or file gives no path)."""
+    cols = []
+    for i, p in enumerate(parts):
+        if i:
+            cols.append(F.lit("/"))
+        cols.append(F.lit(p) if isinstance(p, str) else p)
+    return F.concat(*cols)
+
+
 def after_marker(c, marker: str) -> Column:
     """Part of a path after the first ``marker`` directory ('' when absent)."""
     return F.regexp_extract(_c(c), rf"^(?:.*?/)?{marker}/(.*)$", 1)

@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annolake.functions.columns import age_months, drop_discarded, drop_null_columns
+from annolake.functions.columns import age_months, drop_discarded, drop_null_columns, path_for
 
 # Columns every annotation / segment table has; the rest are labels.
 STANDARD_COLUMNS = (
@@ -146,12 +146,11 @@ def split_input(annotations: DataFrame, recordings: DataFrame, children: DataFra
     rec = drop_discarded(recordings).select(rec_key, child_key, "date_iso")
     ch = drop_discarded(children).select(child_key, "dataset", "child_dob")
     j = annotations.join(rec, rec_key, "left").join(ch, child_key, "left")
-    ann_path = F.concat(F.lit(f"{root}/"), F.col("dataset"), F.lit("/annotations/"), F.col("set_name"),
-                        F.lit("/converted/"), F.col(rec_key).cast("string"), F.lit("_"),
-                        F.col("range_onset").cast("string"), F.lit("_"), F.col("range_offset").cast("string"),
-                        F.lit(".csv"))
-    rec_path = F.concat(F.lit(f"{root}/"), F.col("dataset"), F.lit("/recordings/converted/standard/"),
-                        F.col(rec_key).cast("string"), F.lit(".mp3"))
+    ann_name = F.concat(F.col(rec_key).cast("string"), F.lit("_"), F.col("range_onset").cast("string"), F.lit("_"),
+                        F.col("range_offset").cast("string"), F.lit(".csv"))
+    ann_path = path_for(root, F.col("dataset"), "annotations", F.col("set_name"), "converted", ann_name)
+    rec_path = path_for(root, F.col("dataset"), "recordings", "converted", "standard",
+                        F.concat(F.col(rec_key).cast("string"), F.lit(".mp3")))
     return j.select(
         rec_key, "set_name", "line", child_key, "dataset",
         age_months("date_iso", "child_dob").alias("age_months"),

@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from annolake.functions.columns import age_months, drop_discarded, to_hours
+from annolake.functions.columns import age_months, drop_discarded
 
 # Metric names.
 METRICS = ("duration_mean", "duration_std", "duration_total", "count")
@@ -150,6 +150,3 @@ def subject_summary(children: DataFrame, recordings: DataFrame, dataset: str = "
         out = out.withColumn("languages", F.lit(None).cast("long"))
     return out
 
-
-def hours(c) -> Column:
-    return to_hours(c)

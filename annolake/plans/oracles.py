@@ -677,3 +677,13 @@ ORACLES["validation_report"] = " UNION ALL ".join(
     f"({ORACLES[k]})" for k in ["check_sidecar_values", "check_index_columns", "check_index_sets",
                                 "check_missing_flag", "check_false_flag", "check_sidecar_missing",
                                 "check_index_fields"])
+
+ORACLES["clip_orphans"] = with_views(["shop_annotations", "shop_recordings"], """
+    SELECT recording, set_name, line, range_onset, range_offset FROM shop_annotations a
+    WHERE NOT EXISTS (SELECT 1 FROM rk WHERE rk.recording = a.recording)""", [_KEPT_REC])
+ORACLES["propagate_recordings"] = with_views(_SHOP_FI, """
+    SELECT recording, child_id, date_iso, duration FROM shop_recordings WHERE recording IN (SELECT recording FROM fi)""",
+    [_KEPT_REC, _FILE_INDEX])
+ORACLES["propagate_annotations"] = with_views(_SHOP_FI, """
+    SELECT * FROM shop_annotations a WHERE EXISTS (SELECT 1 FROM fi WHERE fi.recording = a.recording
+      AND fi.set_name = a.set_name AND fi.line = a.line)""", [_KEPT_REC, _FILE_INDEX])

@@ -604,3 +604,25 @@ def validation_report(spark, sf):
     from annolake.plans.profiling import validation_report as report
     idx = V.doc_category_index(spark, sf)
     return report(idx, K.nest_index(idx), _doc_profile(spark, sf), V.doc_sidecars_raw(spark, sf))
+
+
+@query
+def clip_orphans(spark, sf):
+    """I3 side output: annotations whose recording is not among the kept (non-discarded) recordings."""
+    ann = I.shift(V.shop_annotations(spark, sf))
+    _, orphans = I.clip_to_recording(ann, C.drop_discarded(V.shop_recordings(spark, sf)), "recording")
+    return orphans.select("recording", "set_name", "line", "range_onset", "range_offset")
+
+
+@query
+def propagate_recordings(spark, sf):
+    """J2 + P9: recordings that keep at least one file of the gold-set file index."""
+    return CU.propagate(_shop_file_index(spark, sf), V.shop_recordings(spark, sf), ["recording"])
+
+
+@query
+def propagate_annotations(spark, sf):
+    """Annotation rows of the file index (distinct keys, no fan-out from repeated keys)."""
+    fi = _shop_file_index(spark, sf)
+    return CU.propagate(fi.select("recording", "set_name", "line").distinct(), V.shop_annotations(spark, sf),
+                        ["recording", "set_name", "line"])
