@@ -46,7 +46,7 @@ def main():
         t0 = time.perf_counter()
         df.collect()
         el = time.perf_counter() - t0
-        plan = df._jdf.queryExecution().executedPlan().toString()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
         rows.append((name, round(el, 2), shape(plan)))
         pushed[name] = sorted(set(re.findall(r"PushedFilters: \[([^\]]+)\]", plan)))
     keys = list(rows[0][2])
