@@ -61,8 +61,8 @@ def span_from_name(c) -> tuple[Column, Column]:
     """``a_b_<start>_<end>.csv`` -> (start, end) as longs; null when absent."""
     col = _c(c)
     ok = col.rlike(_SPAN_RE)
-    start = F.when(ok, F.regexp_extract(col, _SPAN_RE, 1).cast("long"))
-    end = F.when(ok, F.regexp_extract(col, _SPAN_RE, 2).cast("long"))
+    start = F.when(ok, F.regexp_extract(col, _SPAN_RE, 1).try_cast("long"))
+    end = F.when(ok, F.regexp_extract(col, _SPAN_RE, 2).try_cast("long"))
     return start, end
 
 

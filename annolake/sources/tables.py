@@ -28,11 +28,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _epoch_ms(ts: Column) -> Column:
-    # timestamps are stored without zone; the session zone is UTC
-    return F.floor(
-        (F.unix_micros(ts.cast("timestamp")) - F.unix_micros(F.lit(EVENT_EPOCH).cast("timestamp")))
-        / F.lit(1000)
-    ).cast("long")
+    """Milliseconds since the event epoch. Timestamps are stored without zone;
+    the difference of two zone-less timestamps does not depend on the session
+    time zone (no daylight-saving shifts)."""
+    us = F.timestamp_diff("MICROSECOND", F.lit(EVENT_EPOCH).cast("timestamp_ntz"), ts.cast("timestamp_ntz"))
+    return F.floor(us / F.lit(1000)).cast("long")
 
 
 def ev_recordings(spark: SparkSession, sf_dir: str) -> DataFrame:
