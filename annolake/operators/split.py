@@ -46,6 +46,16 @@ def _case_split(cum_x1000, tot, pm) -> F.Column:
     return expr
 
 
+_INTEGRAL = ("tinyint", "smallint", "int", "bigint")
+
+
+def _weight(df: DataFrame, weight: str) -> F.Column:
+    """Weight column, null -> 0; integral weights stay exact longs, others doubles."""
+    t = dict(df.dtypes)[weight]
+    kind = "long" if t in _INTEGRAL else "double"
+    return F.coalesce(F.col(weight).cast(kind), F.lit(0).cast(kind))
+
+
 def weighted_split(df: DataFrame, key: str, weight: str, fractions=(800, 100, 100),
                    by: Sequence[str] = ("dataset",), seed: int = 0, hex_digits: int | None = 4,
                    out: str = "split") -> DataFrame:
@@ -59,10 +69,10 @@ def weighted_split(df: DataFrame, key: str, weight: str, fractions=(800, 100, 10
     """
     pm = per_mille(fractions)
     by = list(by)
-    d = df.withColumn("_sk", shuffle_key(seed, key)).withColumn("_w", F.coalesce(F.col(weight).cast("long"), F.lit(0)))
+    d = df.withColumn("_sk", shuffle_key(seed, key)).withColumn("_w", _weight(df, weight))
     chunk = F.substring("_sk", 1, hex_digits) if hex_digits else None
     d = running_agg(d, by, ["_sk", key], "_w", "_cum", "sum", chunk_of=chunk)
-    totals = df.groupBy(*by).agg(F.sum(F.coalesce(F.col(weight).cast("long"), F.lit(0))).alias("_tot"))
+    totals = df.groupBy(*by).agg(F.sum(_weight(df, weight)).alias("_tot"))
     d = d.join(totals, [d[b].eqNullSafe(totals[b]) for b in by], "inner").drop(*[totals[b] for b in by])
     d = d.withColumn(out, _case_split(F.col("_cum") * F.lit(1000), F.col("_tot"), pm))
     return d.drop("_sk", "_w", "_cum", "_tot")
@@ -75,12 +85,13 @@ def _greedy_fold(pm: tuple[int, ...]):
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["_sk", "_entity"], kind="mergesort")
-        w = pdf["_w"].to_numpy(dtype=np.int64)
-        tot = int(w.sum())
+        integral = np.issubdtype(pdf["_w"].dtype, np.integer)
+        w = pdf["_w"].to_numpy(dtype=np.int64 if integral else np.float64)
+        tot = int(w.sum()) if integral else float(w.sum())
         targets = [tot * p for p in pm]          # scaled by 1000
         cur = [0] * len(pm)
         out = []
-        for x in w.tolist():
+        for x in w.tolist():   # exact Python ints for integral weights
             gaps = [targets[i] - 1000 * cur[i] for i in range(len(pm))]
             best = max(range(len(pm)), key=lambda i: (gaps[i], -i))
             cur[best] += x
@@ -109,7 +120,7 @@ def entity_split(df: DataFrame, entity: str | Sequence[str], weight: str, fracti
         if len(ents) > 1 else F.col(ents[0]).cast("string")
     sk_col = shuffle_key(seed, *ents)
     per_entity = (df.groupBy(*ents)
-                    .agg(F.sum(F.coalesce(F.col(weight).cast("long"), F.lit(0))).alias("_w"))
+                    .agg(F.sum(_weight(df, weight)).alias("_w"))
                     .withColumn("_entity", ent_col)
                     .withColumn("_sk", sk_col))
     if shards is None:
@@ -137,8 +148,9 @@ def split_report(df: DataFrame, weight: str, fractions=(800, 100, 100), split: s
     """A10: desired and reached weight per split (and per stratum when ``by``)."""
     pm = per_mille(fractions)
     by = list(by)
-    reached = df.groupBy(*by, split).agg(F.sum(F.col(weight).cast("long")).alias("reached_weight"))
-    total = df.groupBy(*by).agg(F.sum(F.col(weight).cast("long")).alias("_tot"))
+    w = _weight(df, weight)
+    reached = df.groupBy(*by, split).agg(F.sum(w).alias("reached_weight"))
+    total = df.groupBy(*by).agg(F.sum(w).alias("_tot"))
     # one row per (stratum, split) from the fixed split list: an explode, not a join
     grid = total.select(*by, "_tot", F.explode(F.array(*[
         F.struct(F.lit(n).alias(split), F.lit(p).alias("_pm")) for n, p in zip(SPLITS, pm)])).alias("_g")) \
@@ -146,7 +158,8 @@ def split_report(df: DataFrame, weight: str, fractions=(800, 100, 100), split: s
     rep = grid.join(reached, by + [split], "left")
     return rep.select(*by, split,
                       (F.col("_tot").cast("double") * F.col("_pm") / 1000.0).alias("desired_weight"),
-                      F.coalesce(F.col("reached_weight"), F.lit(0).cast("long")).alias("reached_weight"))
+                      F.coalesce(F.col("reached_weight"), F.lit(0).cast(dict(total.dtypes)["_tot"]))
+                      .alias("reached_weight"))
 
 
 def finalize_split(df: DataFrame, path_col: str = "full recording path",

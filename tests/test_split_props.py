@@ -84,3 +84,18 @@ def test_per_mille():
 def test_check_exclusive_finds_offenders(spark):
     df = spark.createDataFrame([("a", "train"), ("a", "test"), ("b", "train")], "entity string, split string")
     assert [(r.entity, r.n_splits) for r in check_exclusive(df, "entity").collect()] == [("a", 2)]
+
+
+def test_fractional_weights(spark):
+    rows = [(i, "d", f"e{i % 7}", (i % 5) * 0.25 + 0.1) for i in range(60)]
+    df = spark.createDataFrame(rows, "key long, dataset string, entity string, weight double")
+    ws = {r.key: r.split for r in weighted_split(df, "key", "weight", (600, 200, 200), seed=1).collect()}
+    # same decisions as a float running sum in md5 order
+    g = sorted(rows, key=lambda r: (md5(f"1:{r[0]}"), r[0]))
+    tot, cum, exp = sum(r[3] for r in rows), 0.0, {}
+    for r in g:
+        cum += r[3]
+        exp[r[0]] = "train" if cum * 1000 <= tot * 600 else ("test" if cum * 1000 <= tot * 800 else "validate")
+    assert ws == exp
+    es = entity_split(df, "entity", "weight", (600, 200, 200), seed=1, shards=1)
+    assert check_exclusive(es, "entity").count() == 0 and es.count() == 60
