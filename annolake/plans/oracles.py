@@ -687,3 +687,6 @@ ORACLES["propagate_recordings"] = with_views(_SHOP_FI, """
 ORACLES["propagate_annotations"] = with_views(_SHOP_FI, """
     SELECT * FROM shop_annotations a WHERE EXISTS (SELECT 1 FROM fi WHERE fi.recording = a.recording
       AND fi.set_name = a.set_name AND fi.line = a.line)""", [_KEPT_REC, _FILE_INDEX])
+
+ORACLES["overall_std"] = with_views(_SHOP, """
+    SELECT child_sex, round(stddev_samp(d), 6) AS duration_std, count(d) AS "count" FROM segs GROUP BY ALL""", _SEGS)

@@ -626,3 +626,10 @@ def propagate_annotations(spark, sf):
     fi = _shop_file_index(spark, sf)
     return CU.propagate(fi.select("recording", "set_name", "line").distinct(), V.shop_annotations(spark, sf),
                         ["recording", "set_name", "line"])
+
+
+@query
+def overall_std(spark, sf):
+    """A9 companion (D14): the true sample std over all corpora per axis value, beside the pooled one."""
+    seg = _shop_segments(spark, sf)
+    return S.distribution(seg, "child_sex", "seg_ms", by=[], metrics=["duration_std"])
