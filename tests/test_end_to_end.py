@@ -100,3 +100,19 @@ def test_profile_round_trip_and_checks(spark, tmp_path):
     raw = sc.select("dataset", "set_name", "raw")
     rep = sorted((r.set_name, r.check, r.detail) for r in validation_report(long, nested, back, raw).collect())
     assert rep == [("ghost", "index_sets", "set not in profile"), ("ghost", "sidecar_missing", "no sidecar")]
+
+
+def test_ingest_to_parquet(spark, tmp_path):
+    from annolake.plans.ingest import ingest, read_ingested
+    root = str(tmp_path / "c")
+    build_tree(root)
+    _w(f"{root}/other/metadata/recordings.csv", "recording_filename,duration\nq.wav,5\n")
+    out = str(tmp_path / "pq")
+    paths = ingest(spark, root, out)
+    assert set(paths) == {"children", "recordings", "annotations", "segments", "sidecars"}
+    rec = read_ingested(spark, out, "recordings", ["other"])
+    assert [r.recording_filename for r in rec.collect()] == ["q.wav"]
+    plan = rec._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dataset" in plan
+    seg = read_ingested(spark, out, "segments")
+    assert seg.count() == 5 and dict(seg.dtypes)["labels"] == "map<string,string>"
