@@ -28,9 +28,16 @@ def merge_append(existing: DataFrame, new: DataFrame, stamp: str | None = None)
 
 
 def merge_replace(existing: DataFrame, new: DataFrame, key: str | Sequence[str]) -> DataFrame:
-    """Drop existing rows whose key occurs in the new batch, then U1."""
+    """Drop existing rows whose key occurs in the new batch (a null key
+    matches a null key), then U1. The new batch's distinct keys are small next
+    to the corpus; AQE broadcasts them when they measure small."""
     keys = [key] if isinstance(key, str) else list(key)
-    kept = existing.join(new.select(*keys).distinct(), keys, "left_anti")
+    nk = new.select(*[F.col(k).alias(f"_nk_{k}") for k in keys]).distinct()
+    cond = None
+    for k in keys:
+        c = existing[k].eqNullSafe(nk[f"_nk_{k}"])
+        cond = c if cond is None else cond & c
+    kept = existing.join(nk, cond, "left_anti")
     return merge_append(new, kept)
 
 

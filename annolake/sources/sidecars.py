@@ -73,7 +73,7 @@ def parse_sidecar_text(text: Column) -> Column:
     kv = F.filter(
         F.transform(lines, lambda ln: F.struct(
             F.trim(F.regexp_extract(ln, r"^\s*([^#:\s][^:]*?)\s*:", 1)).alias("k"),
-            F.regexp_replace(F.trim(F.regexp_extract(ln, r"^[^:#]*:\s*(.*?)\s*(#.*)?$", 1)),
+            F.regexp_replace(F.trim(F.regexp_extract(ln, r"^[^:]*:\s*(.*?)(\s+#.*)?\s*$", 1)),
                              r"^(['\"])(.*)\1$", "$2").alias("v"))),
         lambda e: (e["k"] != "") & ~e["v"].isin(*_YAML_NULL))
     return F.map_from_entries(kv)

@@ -111,3 +111,22 @@ def test_write_table_partitioned(spark, tmp_path):
     assert [r.x for r in back.collect()] == [2]
     write_table(df, str(tmp_path / "c"), fmt="csv")
     assert spark.read.option("header", True).csv(str(tmp_path / "c")).count() == 2
+
+
+def test_sidecar_values_with_colons_and_hashes(spark, tmp_path):
+    root = str(tmp_path / "corpora")
+    _w(f"{root}/c9/annotations/x/y/metannots.yml",
+       "annotation_algorithm_repo: https://example.org/a#frag   # trailing comment\n"
+       "notes: \"see: here\"\n# full-line comment\nsampling_unit_duration: 500\n")
+    r = scan_sidecars(spark, root).collect()[0]
+    assert (r.dataset, r.set_name) == ("c9", "x/y")
+    assert r.annotation_algorithm_repo == "https://example.org/a#frag"
+    assert r.notes == "see: here" and r.sampling_unit_duration == 500
+
+
+def test_merge_replace_null_keys(spark):
+    from annolake.operators.merge import merge_replace
+    old = spark.createDataFrame([(None, 1), ("a", 2), ("b", 3)], "k string, v int")
+    new = spark.createDataFrame([(None, 9), ("a", 8)], "k string, v int")
+    got = sorted((str(r.k), r.v) for r in merge_replace(old, new, "k").collect())
+    assert got == [("None", 9), ("a", 8), ("b", 3)]
