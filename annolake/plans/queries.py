@@ -56,8 +56,11 @@ def interval_covered(spark, sf):
 
 
 def _ev_clips(spark, sf):
-    return I.clip_list(V.ev_files(spark, sf), V.ev_file_recordings(spark, sf), pad_ms=PAD,
-                       ignore_time_seek=True)
+    # the clip list (one row per island) feeds containment, recordings and cut
+    # jobs: written once to the checkpoint folder instead of recomputed per use
+    from annolake.session import cut_lineage
+    return cut_lineage(I.clip_list(V.ev_files(spark, sf), V.ev_file_recordings(spark, sf), pad_ms=PAD,
+                                   ignore_time_seek=True), "clips")
 
 
 @query
@@ -238,7 +241,11 @@ def sampled_duration(spark, sf):
 
 
 def _doc_profile(spark, sf):
-    return A.build_profile(V.doc_labels(spark, sf), V.doc_files(spark, sf), V.doc_sidecars(spark, sf))
+    # the generated profile (one row per set and column) is the E3 artifact the
+    # summaries and checks read: written once, like the profile JSON
+    from annolake.session import cut_lineage
+    return cut_lineage(A.build_profile(V.doc_labels(spark, sf), V.doc_files(spark, sf),
+                                       V.doc_sidecars(spark, sf)), "profile")
 
 
 @query
