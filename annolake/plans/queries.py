@@ -398,6 +398,7 @@ def child_ages(spark, sf):
 # --- incremental merge ------------------------------------------------------------------
 
 from annolake.operators import merge as U  # noqa: E402
+from annolake.sources.sidecars import SIDECAR_FILE  # noqa: E402
 
 DAY_MS = 86_400_000
 
@@ -426,7 +427,7 @@ def merge_replace(spark, sf):
 def _ev_copy(df):
     src_ann = F.concat(F.lit("datasets/events/annotations/"), F.col("set"), F.lit("/converted/"),
                        F.col("annotation_filename"))
-    src_side = F.concat(F.lit("datasets/events/annotations/"), F.col("set"), F.lit("/metannots.yml"))
+    src_side = F.concat(F.lit("datasets/events/annotations/"), F.col("set"), F.lit("/" + SIDECAR_FILE))
     src_std = F.concat(F.lit("datasets/events/recordings/converted/standard/"), F.col("recording_filename"))
     src_raw = F.concat(F.lit("datasets/events/recordings/raw/"), F.col("raw_filename"))
     return U.copy_manifest(df.withColumn("dataset", F.lit("events")), "out", items=[
@@ -444,7 +445,7 @@ def copy_manifest(spark, sf):
     return U.copy_manifest(new.withColumn("dataset", F.lit("events")), "out", items=[
         ("annotation", F.concat(F.lit("datasets/events/annotations/"), F.col("set"), F.lit("/converted/"),
                                 F.col("annotation_filename")), "annotations", ["annotations"]),
-        ("sidecar", F.concat(F.lit("datasets/events/annotations/"), F.col("set"), F.lit("/metannots.yml")),
+        ("sidecar", F.concat(F.lit("datasets/events/annotations/"), F.col("set"), F.lit("/" + SIDECAR_FILE)),
          "annotations", ["annotations"]),
         ("standard", F.concat(F.lit("datasets/events/recordings/converted/standard/"), F.col("recording_filename")),
          "standard", ["recordings", "converted", "standard"]),

@@ -1,6 +1,6 @@
 """S3: per-set sidecar files (flat ``key: value`` YAML) -> one row per set.
 
-Layout: ``<root>/<dataset>/annotations/<set...>/metannots.yml`` (a set name may
+Layout: ``<root>/<dataset>/annotations/<set...>/<SIDECAR_FILE>`` (a set name may
 contain '/'). Files are read whole by Spark (one row per file, many files per
 task), split into lines and folded into a ``MAP<STRING,STRING>`` with
 ``map_from_entries``; typed columns come from that map with ``try_cast`` and
@@ -39,6 +39,8 @@ SIDECAR_FIELDS: list[tuple[str, str, tuple[str, ...]]] = [
     ("has_words", "yn", ("Y", "N")),
     ("notes", "str", ()),
 ]
+# Fixed value: file name of a set's sidecar.
+SIDECAR_FILE = "metannots.yml"
 # Category -> sidecar flag.
 CATEGORY_FLAG = {
     "addressee": "has_addressee",
@@ -79,7 +81,7 @@ def parse_sidecar_text(text: Column) -> Column:
     return F.map_from_entries(kv)
 
 
-def scan_sidecars(spark: SparkSession, root: str, file_name: str = "metannots.yml") -> DataFrame:
+def scan_sidecars(spark: SparkSession, root: str, file_name: str = SIDECAR_FILE) -> DataFrame:
     """S3: read every sidecar under ``root``; dataset and set come from the path."""
     df = (spark.read.option("recursiveFileLookup", "true")
           .option("pathGlobFilter", file_name).text(root, wholetext=True)

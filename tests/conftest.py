@@ -22,8 +22,8 @@ def spark():
 @pytest.fixture(scope="session")
 def recordings(spark):
     return spark.createDataFrame(
-        [("exp1", "C1", "2024-06-01", "09:00:00", "LENA", "recording_1.wav", 62000),
-         ("exp1", "C2", "2024-06-02", "10:30:00", "LENA", "recording_2.wav", 52000)],
+        [("exp1", "C1", "2024-06-01", "09:00:00", "dev1", "recording_1.wav", 62000),
+         ("exp1", "C2", "2024-06-02", "10:30:00", "dev1", "recording_2.wav", 52000)],
         "experiment string, child_id string, date_iso string, start_time string, "
         "recording_device string, recording_filename string, duration long")
 
