@@ -21,7 +21,8 @@ CATEGORICAL_CUTOFF = 20
 
 def label_profile(labels: DataFrame, by: Sequence[str] = ("dataset", "set_name"), label: str = "label",
                   value: str = "value", onset: str = "onset", offset: str = "offset_ms",
-                  cutoff: int = CATEGORICAL_CUTOFF, with_values: bool = True) -> DataFrame:
+                  cutoff: int = CATEGORICAL_CUTOFF, with_values: bool = True,
+                  exact_counts: bool = True) -> DataFrame:
     """A1 + A2: per (by.., column): annotated ms and count over non-null values,
     number of distinct values (null counts as one), categorical flag and, for
     categorical columns, the sorted non-null values.
@@ -29,7 +30,16 @@ def label_profile(labels: DataFrame, by: Sequence[str] = ("dataset", "set_name")
     Two aggregation levels: (group, value) first, then group. A hot column with
     millions of distinct values is spread over the (group, value) hash, never
     collected; value lists are only built for groups at or under the cutoff.
+
+    ``exact_counts=False`` (what the profile needs: the flag, not the count)
+    first sketches every group with HyperLogLog in one map-side-combined
+    aggregate; groups estimated above twice the cutoff are not categorical and
+    their values are never shuffled (free-text columns), only the groups near or
+    under the cutoff get the exact two-level count. ``n_values`` is then null for
+    the sketched-out groups.
     """
+    if not exact_counts:
+        return _label_profile_sketched(labels, list(by), label, value, onset, offset, cutoff, with_values)
     keys = list(by) + [label]
     lvl1 = labels.groupBy(*keys, value).agg(
         F.sum((F.col(offset) - F.col(onset)).cast("long")).alias("_ms"),
@@ -48,6 +58,27 @@ def label_profile(labels: DataFrame, by: Sequence[str] = ("dataset", "set_name")
     return out.withColumnRenamed(label, "column")
 
 
+def _label_profile_sketched(labels, by, label, value, onset, offset, cutoff, with_values):
+    from annolake.operators.curate import broadcast_if_small
+
+    keys = by + [label]
+    ms = (F.col(offset) - F.col(onset)).cast("long")
+    base = labels.groupBy(*keys).agg(
+        F.coalesce(F.sum(F.when(F.col(value).isNotNull(), ms)), F.lit(0).cast("long")).alias("annotated_ms"),
+        F.count(value).alias("num_non_empty"),
+        F.approx_count_distinct(value, 0.01).alias("_approx"))
+    near = broadcast_if_small(base.filter(F.col("_approx") <= F.lit(2 * cutoff)).select(*keys))
+    exact = (labels.join(near, keys, "left_semi")
+                   .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+                   .groupBy(*keys).agg(F.count(F.lit(1)).alias("n_values"),
+                                       F.array_sort(F.collect_list(value)).alias("_vals")))
+    out = base.join(exact, keys, "left").drop("_approx")
+    out = out.withColumn("categorical", F.coalesce(F.col("n_values") <= F.lit(cutoff), F.lit(False)))
+    if with_values:
+        out = out.withColumn("values", F.when(F.col("categorical"), F.col("_vals")))
+    return out.drop("_vals").withColumnRenamed(label, "column")
+
+
 def sampled_duration(files: DataFrame, sidecars: DataFrame, by: Sequence[str] = ("dataset", "set_name"),
                      file_name: str = "annotation_filename") -> DataFrame:
     """A3 + A4 per set.
@@ -76,7 +107,7 @@ def sampled_duration(files: DataFrame, sidecars: DataFrame, by: Sequence[str] =
 def build_profile(labels: DataFrame, files: DataFrame, sidecars: DataFrame,
                   by: Sequence[str] = ("dataset", "set_name"), cutoff: int = CATEGORICAL_CUTOFF) -> DataFrame:
     """Generated profile, one row per (dataset, set, column); only sets with a sidecar."""
-    lp = label_profile(labels, by, cutoff=cutoff, with_values=False)
+    lp = label_profile(labels, by, cutoff=cutoff, with_values=False, exact_counts=False)
     sd = sampled_duration(files, sidecars, by)
     return lp.join(sd, list(by), "inner").select(
         *by, "column", "categorical", F.col("annotated_ms").alias("annotated_duration_ms"),
