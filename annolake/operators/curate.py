@@ -95,11 +95,12 @@ def filter_category(files: DataFrame, labels: DataFrame, index_long: DataFrame,
     non-null value in one of them.
 
     ``labels`` is the long label map (file key, label, value). Non-null label
-    rows are semi-joined with the category's columns (a small, size-checked
-    broadcast), the distinct file keys then semi-join the files.
+    rows are semi-joined with the category's columns (one row per set and
+    column: AQE broadcasts it once measured small, with no extra job), the
+    distinct file keys then semi-join the files.
     """
     keys = list(file_key)
-    cols = broadcast_if_small(category_columns(index_long, category))
+    cols = category_columns(index_long, category)
     hit = (labels.filter(F.col("value").isNotNull())
                  .join(cols, (labels["dataset"] == cols["dataset"]) & (labels["set_name"] == cols["set_name"])
                        & (labels["label"] == cols["column"]), "left_semi")

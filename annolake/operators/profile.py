@@ -59,15 +59,14 @@ def label_profile(labels: DataFrame, by: Sequence[str] = ("dataset", "set_name")
 
 
 def _label_profile_sketched(labels, by, label, value, onset, offset, cutoff, with_values):
-    from annolake.operators.curate import broadcast_if_small
-
     keys = by + [label]
     ms = (F.col(offset) - F.col(onset)).cast("long")
     base = labels.groupBy(*keys).agg(
         F.coalesce(F.sum(F.when(F.col(value).isNotNull(), ms)), F.lit(0).cast("long")).alias("annotated_ms"),
         F.count(value).alias("num_non_empty"),
         F.approx_count_distinct(value, 0.01).alias("_approx"))
-    near = broadcast_if_small(base.filter(F.col("_approx") <= F.lit(2 * cutoff)).select(*keys))
+    # one row per (set, column) near the cutoff; AQE broadcasts it when it measures small
+    near = base.filter(F.col("_approx") <= F.lit(2 * cutoff)).select(*keys)
     exact = (labels.join(near, keys, "left_semi")
                    .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
                    .groupBy(*keys).agg(F.count(F.lit(1)).alias("n_values"),
