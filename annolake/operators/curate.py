@@ -135,9 +135,16 @@ def build_file_index(annotations: DataFrame, recordings: DataFrame, children: Da
 
 
 def propagate(selection: DataFrame, table: DataFrame, keys: Sequence[str], drop_empty: bool = True) -> DataFrame:
-    """Rows of ``table`` whose key occurs in the selection; then P9 (drop all-null columns)."""
+    """Rows of ``table`` whose key occurs in the selection; then P9 (drop all-null columns).
+
+    P9 needs a census of the result before the result itself: the selected rows
+    are written once (shared checkpoint folder), the census and the output read
+    that table (the output reads only the kept columns)."""
     out = table.join(selection.select(*keys), list(keys), "left_semi")
-    return drop_null_columns(out) if drop_empty else out
+    if not drop_empty:
+        return out
+    from annolake.session import cut_lineage
+    return drop_null_columns(cut_lineage(out, "propagated"))
 
 
 def split_input(annotations: DataFrame, recordings: DataFrame, children: DataFrame,

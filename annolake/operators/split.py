@@ -124,6 +124,10 @@ def entity_split(df: DataFrame, entity: str | Sequence[str], weight: str, fracti
                     .withColumn("_entity", ent_col)
                     .withColumn("_sk", sk_col))
     if shards is None:
+        # the per-entity table (one row per entity) is written once, so counting
+        # it does not recompute the aggregate over all rows
+        from annolake.session import cut_lineage
+        per_entity = cut_lineage(per_entity, "entities")
         n = per_entity.count()
         shards = max(1, math.ceil(n / max_per_shard))
     per_entity = per_entity.withColumn("_shard", F.pmod(F.xxhash64("_entity"), F.lit(shards)) if shards > 1
