@@ -16,6 +16,7 @@ gathered on the driver or in one task.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,7 +33,9 @@ def start_batch_log(spark: SparkSession, source: str, schema: StructType, log_pa
                     checkpoint: str | None = None, fmt: str = "parquet",
                     available_now: bool = True) -> StreamingQuery:
     """Stream files from ``source`` into the batch log at ``log_path``."""
-    ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/batch-log-{abs(hash(log_path))}"
+    # stable across restarts (Python's hash() is salted per process)
+    tag = hashlib.sha1(log_path.rstrip("/").encode()).hexdigest()[:16]
+    ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/batch-log-{tag}"
 
     def write_batch(df: DataFrame, batch_id: int) -> None:
         (df.withColumn(BATCH, F.lit(batch_id).cast("long"))
