@@ -46,25 +46,22 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    ``spark.checkpoint.dir`` is read from the session. Only when it is unset
-    (tests, local runs) do we make a scratch folder of our own.
+    ``spark.checkpoint.dir`` is read from the session and returned as is (the
+    same folder across applications, so streaming checkpoints survive restarts);
+    RDD checkpoints are pointed at it too. Only when it is unset on a local
+    master (tests, local runs) do we make a scratch folder of our own.
     """
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if conf_dir:
-        if current is None:
-            sc.setCheckpointDir(conf_dir)
-        return sc.getCheckpointDir() or conf_dir
-    if current is not None:
-        return current
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder; a machine-local folder "
-                           "does not survive the loss of an executor")
-    local = tempfile.mkdtemp(prefix="annolake-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
-    sc.setCheckpointDir(local)
-    return sc.getCheckpointDir() or local
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder; a machine-local folder "
+                               "does not survive the loss of an executor")
+        conf_dir = tempfile.mkdtemp(prefix="annolake-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", conf_dir)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(conf_dir)
+    return conf_dir
 
 
 def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
