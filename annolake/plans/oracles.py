@@ -690,3 +690,6 @@ ORACLES["propagate_annotations"] = with_views(_SHOP_FI, """
 
 ORACLES["overall_std"] = with_views(_SHOP, """
     SELECT child_sex, round(stddev_samp(d), 6) AS duration_std, count(d) AS "count" FROM segs GROUP BY ALL""", _SEGS)
+
+ORACLES["filter_sidecars"] = with_views(["doc_sidecars"], """
+    SELECT dataset, set_name FROM doc_sidecars WHERE method = 'manual' AND has_speaker_type = 'Y'""")

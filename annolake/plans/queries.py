@@ -641,3 +641,10 @@ def overall_std(spark, sf):
     """A9 companion (D14): the true sample std over all corpora per axis value, beside the pooled one."""
     seg = _shop_segments(spark, sf)
     return S.distribution(seg, "child_sex", "seg_ms", by=[], metrics=["duration_std"])
+
+
+@query
+def filter_sidecars(spark, sf):
+    """F2 on sidecars: sets whose sidecar satisfies a user expression."""
+    return CU.filter_expr(V.doc_sidecars(spark, sf), "method = 'manual' AND has_speaker_type = 'Y'") \
+             .select("dataset", "set_name")
