@@ -27,11 +27,14 @@ def make_splits(split_input: DataFrame, key: str, weight: str = "duration_ms", f
                 entity: tuple[str, ...] = ("child_id", "dataset"), path_col: str = "recording_path",
                 drop: tuple[str, ...] = ("age_months",)) -> SplitResult:
     by = ["dataset", "set_name"] if stratify_set else ["dataset"]
-    rows = T.weighted_split(split_input, key, weight, fractions, by=by, seed=seed)
     offenders = None
     if same_child:
-        rows = T.entity_split(rows.drop("split"), list(entity), weight, fractions, seed=seed)
+        # the entity-exclusive assignment replaces the row-level split entirely,
+        # so the row-level running sum is not computed at all
+        rows = T.entity_split(split_input, list(entity), weight, fractions, seed=seed)
         offenders = T.check_exclusive(rows, list(entity))
+    else:
+        rows = T.weighted_split(split_input, key, weight, fractions, by=by, seed=seed)
     final = T.finalize_split(rows, path_col=path_col, drop=drop)
     report = T.split_report(rows, weight, fractions)
     return SplitResult(final, report, offenders)
