@@ -203,3 +203,23 @@ def namespace_keys(children: DataFrame, recordings: DataFrame, annotations: Data
         rc = rc.withColumn("child_id", pre("_", "child_id"))
     rc = rc.drop(dataset)
     return ch, rc, an
+
+
+def file_split_input(annotations: DataFrame, recordings: DataFrame, children: DataFrame,
+                     root: str = "datasets") -> DataFrame:
+    """J3 over the standard column names: annotations LEFT JOIN recordings on
+    (dataset, recording_filename) LEFT JOIN children on (dataset, child_id); adds
+    the age at recording when dates exist (P13), the duration (P10) and the
+    annotation / standard recording paths (P3)."""
+    rec_cols = [c for c in ("dataset", "recording_filename", "child_id", "date_iso") if c in recordings.columns]
+    ch_cols = [c for c in ("dataset", "child_id", "child_dob") if c in children.columns]
+    j = (annotations.join(drop_discarded(recordings).select(*rec_cols), ["dataset", "recording_filename"], "left")
+                    .join(drop_discarded(children).select(*ch_cols), ["dataset", "child_id"], "left"))
+    age = age_months("date_iso", "child_dob") if {"date_iso", "child_dob"} <= set(j.columns) \
+        else F.lit(None).cast("double")
+    return j.withColumn("age_months", age) \
+            .withColumn("duration_ms", F.col("range_offset") - F.col("range_onset")) \
+            .withColumn("annotation_path", path_for(root, F.col("dataset"), "annotations", F.col("set"), "converted",
+                                                    F.col("annotation_filename"))) \
+            .withColumn("recording_path", path_for(root, F.col("dataset"), "recordings", "converted", "standard",
+                                                   F.col("recording_filename")))

@@ -693,3 +693,13 @@ ORACLES["overall_std"] = with_views(_SHOP, """
 
 ORACLES["filter_sidecars"] = with_views(["doc_sidecars"], """
     SELECT dataset, set_name FROM doc_sidecars WHERE method = 'manual' AND has_speaker_type = 'Y'""")
+
+ORACLES["split_curated"] = with_views(["ev_files", "ev_file_recordings", "ev_labels"], """
+    SELECT DISTINCT seg_id, "set", child_id, duration_ms, annotation_path, recording_path, split FROM ws""",
+    [_FLAG[0],
+     ("si", """SELECT k.seg_id, k."set" AS set_name, k."set", r.child_id, k.range_offset - k.range_onset AS duration_ms,
+                      'datasets/events/annotations/' || k."set" || '/converted/' || k.annotation_filename AS annotation_path,
+                      'datasets/events/recordings/converted/standard/'
+                        || regexp_replace(k.recording_filename, '\\.[^./]*$', '') || '.wav' AS recording_path
+               FROM kept k LEFT JOIN ev_file_recordings r ON r.recording_filename = k.recording_filename"""),
+     ("ws", _wsplit("set_name", 0, (700, 200, 100), key="seg_id", weight="duration_ms", src="si"))])

@@ -648,3 +648,12 @@ def filter_sidecars(spark, sf):
     """F2 on sidecars: sets whose sidecar satisfies a user expression."""
     return CU.filter_expr(V.doc_sidecars(spark, sf), "method = 'manual' AND has_speaker_type = 'Y'") \
              .select("dataset", "set_name")
+
+
+@query
+def split_curated(spark, sf):
+    """E1 curation (vtc files) then E2: split stratified by set, weighted by annotation length."""
+    from annolake.plans.splits import split_curated as run
+    res = run(_ev_corpus(spark, sf), _ev_labels_keyed(spark, sf), V.ev_category_index(spark, sf), "vtc",
+              key="seg_id", fractions=(700, 200, 100), stratify_set=True, file_key=("dataset", "set", "seg_id"))
+    return res.rows.select("seg_id", "set", "child_id", "duration_ms", "annotation_path", "recording_path", "split")
