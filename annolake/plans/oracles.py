@@ -703,3 +703,8 @@ ORACLES["split_curated"] = with_views(["ev_files", "ev_file_recordings", "ev_lab
                         || regexp_replace(k.recording_filename, '\\.[^./]*$', '') || '.wav' AS recording_path
                FROM kept k LEFT JOIN ev_file_recordings r ON r.recording_filename = k.recording_filename"""),
      ("ws", _wsplit("set_name", 0, (700, 200, 100), key="seg_id", weight="duration_ms", src="si"))])
+
+ORACLES["distribution_recordings"] = with_views(["shop_children", "shop_recordings"], """
+    SELECT c.dataset, coalesce(CAST(c.child_sex AS VARCHAR), 'N/A') AS child_sex,
+           avg(r.duration) / 3600000.0 AS duration_mean, count(r.duration) AS "count"
+    FROM rk r JOIN shop_children c ON c.child_id = r.child_id GROUP BY ALL""", [_KEPT_REC])

@@ -657,3 +657,16 @@ def split_curated(spark, sf):
     res = run(_ev_corpus(spark, sf), _ev_labels_keyed(spark, sf), V.ev_category_index(spark, sf), "vtc",
               key="seg_id", fractions=(700, 200, 100), stratify_set=True, file_key=("dataset", "set", "seg_id"))
     return res.rows.select("seg_id", "set", "child_id", "duration_ms", "annotation_path", "recording_path", "split")
+
+
+@query
+def distribution_recordings(spark, sf):
+    """A8 on the recording axis: mean and total recording hours per corpus and child_sex
+    (discarded recordings dropped; hours for every metric on this axis)."""
+    S.check_axes("child_sex", "recording")
+    ch = V.shop_children(spark, sf)
+    rec = C.drop_discarded(V.shop_recordings(spark, sf)).join(ch.select("child_id", "dataset", "child_sex"),
+                                                             "child_id", "inner")
+    # mean of the exact millisecond counts, then one division to hours
+    out = S.distribution(rec, "child_sex", "duration", by=["dataset"], metrics=["duration_mean", "count"])
+    return out.withColumn("duration_mean", F.col("duration_mean") / F.lit(3_600_000.0))
