@@ -708,3 +708,11 @@ ORACLES["distribution_recordings"] = with_views(["shop_children", "shop_recordin
     SELECT c.dataset, coalesce(CAST(c.child_sex AS VARCHAR), 'N/A') AS child_sex,
            avg(r.duration) / 3600000.0 AS duration_mean, count(r.duration) AS "count"
     FROM rk r JOIN shop_children c ON c.child_id = r.child_id GROUP BY ALL""", [_KEPT_REC])
+
+ORACLES["split_created"] = with_views(["ev_files", "ev_file_recordings", "ev_labels"], """
+    SELECT seg_id, dataset, child_id, duration_ms, split FROM ws""",
+    _FLAG + [
+        ("si", """SELECT DISTINCT a.seg_id, split_part(a."set", '/', 1) AS dataset, r.child_id,
+                         a.range_offset - a.range_onset AS duration_ms
+                  FROM asg a JOIN rec r ON r.recording_filename = a.recording_filename"""),
+        ("ws", _wsplit("dataset", 0, (800, 100, 100), key="seg_id", weight="duration_ms", src="si"))])

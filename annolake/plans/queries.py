@@ -670,3 +670,19 @@ def distribution_recordings(spark, sf):
     # mean of the exact millisecond counts, then one division to hours
     out = S.distribution(rec, "child_sex", "duration", by=["dataset"], metrics=["duration_mean", "count"])
     return out.withColumn("duration_mean", F.col("duration_mean") / F.lit(3_600_000.0))
+
+
+@query
+def split_created(spark, sf):
+    """E2 on a built corpus: corpus from the set prefix (P11), annotations joined to the
+    clip recordings (J3), split per corpus weighted by annotation length."""
+    from annolake.plans.create_dataset import create_dataset as build
+    res = build(_ev_corpus(spark, sf), _ev_labels_keyed(spark, sf), V.ev_category_index(spark, sf), "vtc",
+                file_key=("dataset", "set", "seg_id"))
+    ann = res.corpus.annotations.select("seg_id", "set", "recording_filename", "range_onset", "range_offset")
+    rec = res.corpus.recordings.select("recording_filename", "child_id")
+    si = (ann.join(rec, "recording_filename", "left")
+             .withColumn("dataset", C.dataset_of_set("set"))
+             .withColumn("duration_ms", F.col("range_offset") - F.col("range_onset")))
+    return T.weighted_split(si, "seg_id", "duration_ms", (800, 100, 100), by=["dataset"], seed=0) \
+            .select("seg_id", "dataset", "child_id", "duration_ms", "split")
