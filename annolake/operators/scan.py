@@ -47,7 +47,7 @@ CHUNK = "_scan_ck"
 
 def running_agg(df: DataFrame, by: Sequence[str], order: Sequence, value, out: str,
                 fn: str = "sum", chunk_of: Column | None = None, inclusive: bool = True,
-                keep_partition_cols: bool = False) -> DataFrame:
+                keep_partition_cols: bool = False, total_out: str | None = None) -> DataFrame:
     """``out`` = running ``fn`` (sum|max) of ``value`` within ``by`` in ``order``.
 
     ``order`` must be a total order inside a key when the result must not depend
@@ -57,6 +57,8 @@ def running_agg(df: DataFrame, by: Sequence[str], order: Sequence, value, out: s
     group-by) and the join stays a plain equi-join; the rows then stay
     hash-partitioned on (KEY, CHUNK), and ``keep_partition_cols`` keeps those
     two columns for a following operator on the same partitioning.
+    ``total_out`` adds the aggregate over the whole key, taken from the chunk
+    rows and shipped with the carry (no join on the bare key).
     Without ``chunk_of`` this is the plain window (fine when keys are bounded).
     """
     by = list(by)
@@ -69,13 +71,17 @@ def running_agg(df: DataFrame, by: Sequence[str], order: Sequence, value, out: s
         res = agg(_VAL).over(w)
         if fn == "sum":
             res = F.coalesce(res, F.lit(0).cast(d.schema[_VAL].dataType))
-        return d.withColumn(out, res).drop(_VAL)
+        d = d.withColumn(out, res)
+        if total_out:
+            d = d.withColumn(total_out, agg(_VAL).over(Window.partitionBy(*by)))
+        return d.drop(_VAL)
 
     d = d.withColumn(KEY, F.struct(*[F.col(b) for b in by])).withColumn(CHUNK, F.struct(chunk_of.alias("c")))
     keys = [KEY, CHUNK]
     per_chunk = d.groupBy(*keys).agg(agg(_VAL).alias("_cv"))
     wc = Window.partitionBy(KEY).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    carry = per_chunk.select(*keys, agg("_cv").over(wc).alias(_CARRY))
+    extra = [agg("_cv").over(Window.partitionBy(KEY)).alias(total_out)] if total_out else []
+    carry = per_chunk.select(*keys, agg("_cv").over(wc).alias(_CARRY), *extra)
     d = d.join(carry, keys, "inner")
     wl = Window.partitionBy(*keys).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, upper)
     local = agg(_VAL).over(wl)

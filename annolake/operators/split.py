@@ -65,15 +65,16 @@ def weighted_split(df: DataFrame, key: str, weight: str, fractions=(800, 100, 10
     ``train + test``; the last split takes the rest. With ``hex_digits`` the
     running sum is two-level: the md5 order is cut into 16**hex_digits buckets
     per stratum, so a stratum holding a third of all rows is still scanned by
-    many tasks (see ``scan.running_agg``). ``hex_digits=None`` is the plain window.
+    many tasks (see ``scan.running_agg``); the stratum total is computed from the
+    chunk sums. ``hex_digits=None`` is the plain window.
     """
     pm = per_mille(fractions)
     by = list(by)
     d = df.withColumn("_sk", shuffle_key(seed, key)).withColumn("_w", _weight(df, weight))
     chunk = F.substring("_sk", 1, hex_digits) if hex_digits else None
-    d = running_agg(d, by, ["_sk", key], "_w", "_cum", "sum", chunk_of=chunk)
-    totals = df.groupBy(*by).agg(F.sum(_weight(df, weight)).alias("_tot"))
-    d = d.join(totals, [d[b].eqNullSafe(totals[b]) for b in by], "inner").drop(*[totals[b] for b in by])
+    # the stratum total comes with the carry (from the chunk rows), so rows are
+    # never joined or shuffled on the bare stratum key
+    d = running_agg(d, by, ["_sk", key], "_w", "_cum", "sum", chunk_of=chunk, total_out="_tot")
     d = d.withColumn(out, _case_split(F.col("_cum") * F.lit(1000), F.col("_tot"), pm))
     return d.drop("_sk", "_w", "_cum", "_tot")
 

@@ -37,3 +37,17 @@ def test_filters_and_columns_reach_the_scan(spark):
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", fi)
     lineitem = [s for s in schemas if "l_orderkey" in s]
     assert lineitem and all("l_shipdate" not in s and "l_extendedprice" not in s for s in lineitem)
+
+
+def test_weighted_split_never_shuffles_rows_by_stratum(spark):
+    df = spark.createDataFrame([(i, "d" if i % 3 else "e", i % 7) for i in range(200)],
+                               "key long, dataset string, weight long")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = weighted_split(df, "key", "weight", by=["dataset"])
+        out.collect()
+        plan = plan_of(out).split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange hashpartitioning(dataset" not in plan
+    assert "Exchange hashpartitioning(coalesce(dataset" not in plan

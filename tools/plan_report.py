@@ -57,6 +57,21 @@ def main():
     print("| --- | --- | " + " | ".join("---" for _ in keys) + " |")
     for name, el, s in rows:
         print(f"| {name} | {el} | " + " | ".join(str(s[k]) for k in keys) + " |")
+    print("\n## Plan trees with broadcasts off (what large sides look like)\n")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    for name in ("interval_support", "weighted_split"):
+        df = Q[name](spark, sf)
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        keep = []
+        for line in plan.splitlines():
+            m = re.match(r"^([\s:+-]*)(?:\*\(\d+\) )?(Exchange \w+\([^)]*\)|ReusedExchange|Window \[[^\]]{0,60}|"
+                         r"SortMergeJoin \[[^\]]*\]|HashAggregate\(keys=\[[^\]]*\]|FileScan parquet \[[^\]]*\]|Union)",
+                         line)
+            if m:
+                keep.append(m.group(1) + re.sub(r"#\d+L?", "", m.group(2)))
+        print(f"`{name}`:\n\n```\n" + "\n".join(keep) + "\n```\n")
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     print("\n## Filters pushed to the parquet scans\n")
     for name, p in pushed.items():
         if p:
