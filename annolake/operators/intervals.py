@@ -109,6 +109,27 @@ def support(df: DataFrame, by: Sequence[str], start: str = "start", end: str = "
     return islands.select(*[F.col(f"{KEY}.{b}").alias(b) for b in by], start, end)
 
 
+def support_in_recording(df: DataFrame, recordings: DataFrame, key: str = "recording", duration: str = "duration",
+                         start: str = "start", end: str = "end", collar: int = 0,
+                         chunk: int = DEFAULT_CHUNK) -> DataFrame:
+    """I3 + I4: islands of the intervals inside ``[0, duration]`` of their recording.
+
+    With collar 0 the islands of the cropped intervals are the cropped islands
+    of the raw intervals (cropping keeps overlaps and touches inside the
+    window), so the support runs first and only the islands meet the
+    recordings table: a recording with a third of all segments never passes
+    through a join on its key. With a collar the crop must come first (a gap
+    outside the window could otherwise bridge two islands), as in the
+    crop-then-merge definition.
+    """
+    if collar:
+        c, _ = clip_to_recording(df, recordings, key, duration, start, end)
+        return support(c, [key], start, end, collar=collar, chunk=chunk)
+    islands = support(df.select(key, start, end), [key], start, end, chunk=chunk)
+    c, _ = clip_to_recording(islands, recordings, key, duration, start, end)
+    return c
+
+
 def covered(clips: DataFrame, by: Sequence[str], start: str = "start", end: str = "end") -> DataFrame:
     """Covered length and number of clips per key."""
     return clips.groupBy(*by).agg(
@@ -127,8 +148,7 @@ def clip_list(annotations: DataFrame, recordings: DataFrame, key: str = "recordi
     s = shift(annotations.select(*{key, onset, offset} | ({time_seek} & set(annotations.columns))),
               onset, offset, time_seek, ignore_time_seek)
     s = pad(s, pad_ms)
-    c, _ = clip_to_recording(s, recordings, key, duration)
-    clips = support(c, [key], collar=collar, chunk=chunk)
+    clips = support_in_recording(s, recordings, key, duration, collar=collar, chunk=chunk)
     if name:
         clips = clips.withColumn("clip_filename", clip_name(F.col(key).cast("string"), "start", "end"))
     return clips

@@ -28,31 +28,25 @@ def query(fn):
 
 # --- intervals -------------------------------------------------------------------
 
-def _ev_clipped(spark, sf, pad_ms):
-    seg = V.ev_segments(spark, sf)
-    s = I.pad(I.shift(seg, "onset", "offset_ms"), pad_ms)
-    c, _ = I.clip_to_recording(s, V.ev_recordings(spark, sf), "recording")
-    return c
-
-
 @query
 def interval_support(spark, sf):
-    """Merged annotated stretches per recording."""
-    sup = I.support(_ev_clipped(spark, sf, 0), ["recording"])
+    """Merged annotated stretches per recording (support, then crop the islands)."""
+    sup = I.support_in_recording(_ev_padded(spark, sf, 0), V.ev_recordings(spark, sf), "recording")
     return sup.select("recording", F.col("start").alias("clip_start"), F.col("end").alias("clip_end"))
 
 
 @query
 def interval_support_collar(spark, sf):
-    """I4 with a collar: gaps shorter than 10 minutes merge."""
-    sup = I.support(_ev_clipped(spark, sf, 0), ["recording"], collar=COLLAR)
+    """I4 with a collar: gaps shorter than 10 minutes merge (crop first, then merge)."""
+    sup = I.support_in_recording(_ev_padded(spark, sf, 0), V.ev_recordings(spark, sf), "recording", collar=COLLAR)
     return sup.select("recording", F.col("start").alias("clip_start"), F.col("end").alias("clip_end"))
 
 
 @query
 def interval_covered(spark, sf):
     """Covered milliseconds and clip count per recording (30 min padding)."""
-    return I.covered(I.support(_ev_clipped(spark, sf, PAD), ["recording"]), ["recording"])
+    return I.covered(I.support_in_recording(_ev_padded(spark, sf, PAD), V.ev_recordings(spark, sf), "recording"),
+                     ["recording"])
 
 
 def _ev_clips(spark, sf):

@@ -25,3 +25,17 @@ def test_support_property(spark, ivs, collar, chunk):
         if collar == 0:
             cover = {p for kk, s, e in rows if kk == k for p in range(s, e)}
             assert cover == {p for s, e in isl for p in range(s, e)}            # cover unchanged
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(ivs=intervals, chunk=st.sampled_from([1, 13, 1000]))
+def test_support_then_crop_equals_crop_then_support(spark, ivs, chunk):
+    from annolake.operators.intervals import support_in_recording
+    dur = {"a": 100, "b": 250, "hot": 0}                   # "hot" has no room: everything vanishes
+    rows = [(k, s - 30, s - 30 + ln) for k, s, ln in ivs]   # starts from -50, some past the end
+    cropped = [(k, max(s, 0), min(e, dur[k])) for k, s, e in rows]
+    expect = brute_support([r for r in cropped if r[1] < r[2]], 0)
+    df = spark.createDataFrame(rows, "recording string, start long, end long")
+    rec = spark.createDataFrame(list(dur.items()), "recording string, duration long")
+    got = sorted(tuple(r) for r in support_in_recording(df, rec, chunk=chunk).collect())
+    assert got == expect
