@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from annolake.functions.columns import shuffle_key
 from annolake.operators.scan import running_agg
@@ -104,7 +105,7 @@ def _greedy_fold(pm: tuple[int, ...]):
 
 def entity_split(df: DataFrame, entity: str | Sequence[str], weight: str, fractions=(800, 100, 100),
                  seed: int = 0, shards: int | None = None, max_per_shard: int = 2_000_000,
-                 out: str = "split") -> DataFrame:
+                 out: str = "split", salt: int = 32) -> DataFrame:
     """T4: entity-exclusive greedy split (one split per entity).
 
     Rows are first aggregated to one (entity, weight) row per entity (partial
@@ -114,6 +115,11 @@ def entity_split(df: DataFrame, entity: str | Sequence[str], weight: str, fracti
     shard count is ceil(#entities / max_per_shard): exact while one task can
     hold the entity list, sharded beyond (each split then misses its target by
     less than (#splits) x the largest entity per shard).
+
+    The assignment goes back to the rows through a salted join: a row's salt
+    is a hash of its own values (stable under retries), every entity's
+    assignment is repeated once per salt, so an entity holding a third of all
+    rows is joined by ``salt`` tasks.
     """
     pm = per_mille(fractions)
     ents = [entity] if isinstance(entity, str) else list(entity)
@@ -137,7 +143,14 @@ def entity_split(df: DataFrame, entity: str | Sequence[str], weight: str, fracti
                 .groupBy("_shard")
                 .applyInPandas(_greedy_fold(pm), schema="_entity string, _split string"))
     rows = df.withColumn("_entity", ent_col)
-    return rows.join(assigned, "_entity", "left").withColumnRenamed("_split", out).drop("_entity")
+    if salt > 1:
+        hashable = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+        rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*hashable), F.lit(salt)).cast("int"))
+        assigned = assigned.select("_entity", "_split", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))).alias("_salt"))
+        joined = rows.join(assigned, ["_entity", "_salt"], "left").drop("_salt")
+    else:
+        joined = rows.join(assigned, "_entity", "left")
+    return joined.withColumnRenamed("_split", out).drop("_entity")
 
 
 def check_exclusive(df: DataFrame, entity: str | Sequence[str], split: str = "split") -> DataFrame:
