@@ -28,6 +28,10 @@ def query(fn):
 
 # --- intervals -------------------------------------------------------------------
 
+def _ev_padded(spark, sf, pad_ms):
+    return I.pad(I.shift(V.ev_segments(spark, sf), "onset", "offset_ms"), pad_ms)
+
+
 @query
 def interval_support(spark, sf):
     """Merged annotated stretches per recording (support, then crop the islands)."""

@@ -14,3 +14,20 @@ def test_registry_consistent():
     assert set(o) <= set(q)
     assert len(q) >= 55
     assert set(q) - set(o) == {"entity_split_sharded"}
+
+
+def test_every_query_builds_with_oracle_columns(spark):
+    """Each registered query builds on sf0.001 and (when it has one) its oracle
+    names the same columns."""
+    import duckdb
+
+    from tests.conftest import SF_SMALL
+    con = duckdb.connect()
+    for t in ("customer nation orders lineitem events documents labels conversations").split():
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+    q, o = E.queries(), E.oracle_sql()
+    for name, fn in q.items():
+        cols = fn(spark, SF_SMALL).columns
+        assert cols, name
+        if name in o:
+            assert sorted(cols) == sorted(con.sql(o[name]).columns), name
