@@ -274,14 +274,20 @@ def rename_manifest(rebased: DataFrame, name: str = "annotation_filename",
 
 def slice_payload(payload: DataFrame, clips: DataFrame, key: str = "recording",
                   onset: str = "onset", offset: str = "offset_ms", col: str = "text",
-                  chunk: int = DEFAULT_CHUNK) -> tuple[DataFrame, DataFrame]:
+                  chunk: int = DEFAULT_CHUNK, texts: DataFrame | None = None,
+                  text_keys: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """Cut a payload (text by character, or binary by byte) to the clips.
 
     Each payload row lands in the clip that contains it (J6); the piece keeps its
     place on the clip clock. Rows outside every clip are returned as discarded.
+    With ``texts`` the positions in ``payload`` are narrow rows and the payload
+    column comes from ``texts`` joined once on ``text_keys`` after the
+    assignment, so the (large) payload never passes through the ordered scans.
     """
     assigned, discarded = assign_to_clip(payload, clips, key, onset, offset, time_seek="",
                                          ignore_time_seek=True, chunk=chunk)
+    if texts is not None:
+        assigned = assigned.join(texts.select(*text_keys, col), list(text_keys), "inner")
     lo = F.greatest(F.col("_on"), F.col("clip_start"))
     hi = F.least(F.col("_off"), F.col("clip_end"))
     out = (assigned

@@ -123,11 +123,14 @@ def recordings_on_clips(spark, sf):
 
 @query
 def slice_payload(spark, sf):
-    """Conversation text cut to the clips of its turns."""
-    t = V.turns(spark, sf)
+    """Conversation text cut to the clips of its turns. Offsets, clips and the
+    assignment run on narrow rows; the text joins once, on (conversation, turn)."""
+    t = V.turns(spark, sf, with_text=False)
     clips = I.support(t, ["recording"], start="onset", end="offset_ms") \
              .withColumnRenamed("onset", "start").withColumnRenamed("offset_ms", "end")
-    pieces, _ = I.slice_payload(t, clips, key="recording", onset="onset", offset="offset_ms", col="text")
+    texts = V.table(spark, sf, "conversations").select(F.col("conv_id").alias("recording"), "turn", "text")
+    pieces, _ = I.slice_payload(t, clips, key="recording", onset="onset", offset="offset_ms", col="text",
+                                texts=texts, text_keys=["recording", "turn"])
     return pieces.select("recording", "turn", "clip_start", "clip_end", "piece_start", "piece_end", "text")
 
 FLAGSHIP = "create_dataset"
