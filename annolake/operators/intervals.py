@@ -245,13 +245,12 @@ def cut_manifest(clips: DataFrame, key: str = "recording_filename", existing: Da
     recordings; default is the recording name itself.
     """
     srcs = list(sources) or [("standard", F.col(key).cast("string"))]
-    jobs = None
-    for version, path in srcs:
-        j = clips.select(F.lit(version).alias("version"), path.alias("source"),
-                         F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"))
-        j = j.withColumn("output", clip_name(F.col("source"), "start", "end"))
-        jobs = j if jobs is None else jobs.unionByName(j)
-    jobs = jobs.dropDuplicates()
+    # one row per (clip, version) from a single pass over the clips
+    versions = F.array(*[F.struct(F.lit(v).alias("version"), p.alias("source")) for v, p in srcs])
+    jobs = clips.select(F.explode(versions).alias("v"), F.col("start").cast("long").alias("start"),
+                        F.col("end").cast("long").alias("end")) \
+                .select("v.version", "v.source", "start", "end")
+    jobs = jobs.withColumn("output", clip_name(F.col("source"), "start", "end")).dropDuplicates()
     if existing is not None:
         jobs = jobs.join(existing.select(F.col(existing.columns[0]).alias("output")), "output", "left_anti")
     return jobs

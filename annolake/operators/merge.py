@@ -50,12 +50,12 @@ def copy_manifest(file_infos: DataFrame, out_root: str, corpus: str = "dataset",
     parts): the target is ``out_root/<middle..>/<corpus>/<path after marker>`` (P4).
     ``existing`` is a listing whose first column holds present target paths.
     """
-    parts = []
-    for kind, src, marker, middle in items:
-        parts.append(file_infos.select(
-            F.lit(kind).alias("kind"), src.alias("source"),
-            lit_path(out_root, *middle, F.col(corpus), after_marker(src, marker)).alias("target")))
-    man = union_all(parts).distinct()
+    # every row yields all its (kind, source, target) pairs: one scan, one explode
+    pairs = F.array(*[
+        F.struct(F.lit(kind).alias("kind"), src.alias("source"),
+                 lit_path(out_root, *middle, F.col(corpus), after_marker(src, marker)).alias("target"))
+        for kind, src, marker, middle in items])
+    man = file_infos.select(F.explode(pairs).alias("p")).select("p.kind", "p.source", "p.target").distinct()
     if existing is not None:
         man = man.join(existing.select(F.col(existing.columns[0]).alias("target")), "target", "left_anti")
     return man
