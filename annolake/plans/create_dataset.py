@@ -109,3 +109,16 @@ def create_dataset(corpus: Corpus, labels: DataFrame, index_long: DataFrame, cat
     res = cut(curated, pad_ms, materialize=materialize)
     res.corpus = merge(existing, res.corpus)
     return res
+
+
+def write_corpus(res: CutResult, out: str, fmt: str = "csv") -> dict[str, str]:
+    """Write the built corpus (children, recordings, annotations) under
+    ``<out>/metadata`` and the file manifests (cut jobs, renames, superseded
+    recordings, discarded annotations) under ``<out>/manifests``."""
+    from annolake.sources.sinks import write_table
+
+    tables = {"metadata/children": res.corpus.children, "metadata/recordings": res.corpus.recordings,
+              "metadata/annotations": res.corpus.annotations, "manifests/cut_jobs": res.cut_jobs,
+              "manifests/renames": res.renames, "manifests/superseded": res.superseded,
+              "manifests/discarded": res.discarded}
+    return {name: write_table(df, f"{out.rstrip('/')}/{name}", fmt=fmt) for name, df in tables.items()}

@@ -116,3 +116,24 @@ def test_ingest_to_parquet(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(dataset" in plan
     seg = read_ingested(spark, out, "segments")
     assert seg.count() == 5 and dict(seg.dtypes)["labels"] == "map<string,string>"
+
+
+def test_write_corpus(spark, tmp_path):
+    from annolake.plans.create_dataset import write_corpus
+    root = str(tmp_path / "c")
+    build_tree(root)
+    ch, rc, an = (scan_index(spark, root, t) for t in ("children", "recordings", "annotations"))
+    an = an.select("dataset", "set", "recording_filename", "raw_filename", "annotation_filename",
+                   *[F.col(c).cast("long").alias(c) for c in ("time_seek", "range_onset", "range_offset")])
+    rc = rc.withColumn("duration", F.col("duration").cast("long"))
+    seg = segments_long(scan_segments(spark, root)).withColumnRenamed("set", "set_name") \
+        .withColumnRenamed("segment_onset", "onset").withColumnRenamed("segment_offset", "offset_ms")
+    idx = spark.createDataFrame([("lab", "human", "vtc_cols", "speaker_type"), ("lab", "auto", "vtc_cols", "speaker_type")],
+                                "dataset string, set_name string, category string, column string")
+    res = create_dataset(Corpus(ch, rc, an), seg, idx, "vtc")
+    paths = write_corpus(res, str(tmp_path / "out"))
+    back = spark.read.option("header", True).csv(paths["metadata/annotations"])
+    assert back.count() == res.corpus.annotations.count() == 3   # the NA-only file carries no vtc label
+    jobs = spark.read.option("header", True).csv(paths["manifests/cut_jobs"])
+    assert sorted(r.output for r in jobs.collect()) == sorted(
+        "recordings/converted/standard/" + r.recording_filename for r in res.corpus.recordings.collect())
