@@ -24,14 +24,23 @@ from annolake.operators.curate import label_columns
 
 
 def _first_lines(batches):
-    """mapInPandas: (path) -> (path, first line). Reads one line per file."""
+    """mapInPandas: (path) -> (path, first line). Reads one line per file; one
+    filesystem client per (scheme, authority) and partition."""
+    from urllib.parse import urlparse
+
     import pandas as pd
     from pyarrow import fs as pafs
 
+    clients = {}
     for pdf in batches:
         heads = []
         for p in pdf["path"]:
-            filesystem, rel = pafs.FileSystem.from_uri(p)
+            u = urlparse(p)
+            if (u.scheme, u.netloc) not in clients:
+                clients[(u.scheme, u.netloc)] = pafs.FileSystem.from_uri(p)[0]
+            filesystem = clients[(u.scheme, u.netloc)]
+            # object stores address files as bucket/key, the others by path
+            rel = f"{u.netloc}{u.path}" if u.scheme in ("s3", "s3a", "gs", "gcs") else u.path
             with filesystem.open_input_stream(rel) as f:
                 buf = b""
                 while b"\n" not in buf:
@@ -39,8 +48,7 @@ def _first_lines(batches):
                     if not chunk:
                         break
                     buf += chunk
-            line = buf.split(b"\n", 1)[0].decode("utf-8-sig").rstrip("\r")
-            heads.append(line)
+            heads.append(buf.split(b"\n", 1)[0].decode("utf-8-sig").rstrip("\r"))
         yield pd.DataFrame({"path": pdf["path"], "header": heads})
 
 
