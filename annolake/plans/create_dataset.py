@@ -34,6 +34,7 @@ class CutResult:
     renames: DataFrame        # I11
     superseded: DataFrame     # I10
     clips: DataFrame
+    copies: DataFrame | None = None   # U4: files to copy into the new corpus
 
 
 def curate(corpus: Corpus, labels: DataFrame, index_long: DataFrame, category: str,
@@ -83,6 +84,26 @@ def cut(corpus: Corpus, pad_ms: int = 0, stamp: str = "benchmarking", materializ
     return CutResult(out, discarded, jobs, I.rename_manifest(rebased), I.superseded(rebased), clips)
 
 
+def copies_of(curated: Corpus, datasets_root: str = "datasets", out_root: str = ".") -> DataFrame:
+    """U4 + P3/P4: annotation files, set sidecars and raw / standard recordings of
+    the curated (not yet namespaced) corpus, with their place in the new corpus."""
+    from annolake.sources.sidecars import SIDECAR_FILE
+
+    a = curated.annotations.join(curated.recordings.select("dataset", "recording_filename"),
+                                 ["dataset", "recording_filename"], "inner")
+    base = F.concat(F.lit(datasets_root.rstrip("/") + "/"), F.col("dataset"))
+    ann = F.concat(base, F.lit("/annotations/"), F.col("set"), F.lit("/converted/"), F.col("annotation_filename"))
+    side = F.concat(base, F.lit("/annotations/"), F.col("set"), F.lit("/" + SIDECAR_FILE))
+    raw = F.concat(base, F.lit("/recordings/raw/"), F.col("recording_filename"))
+    std = F.concat(base, F.lit("/recordings/converted/standard/"),
+                   F.regexp_replace("recording_filename", r"(?<=[^/.])\.[^./]*$", ""), F.lit(".wav"))
+    return U.copy_manifest(a, out_root, items=[
+        ("annotation", ann, "annotations", ["annotations"]),
+        ("sidecar", side, "annotations", ["annotations"]),
+        ("raw", raw, "raw", ["recordings", "raw"]),
+        ("standard", std, "standard", ["recordings", "converted", "standard"])])
+
+
 def merge(existing: Corpus | None, new: Corpus, replace: bool = True) -> Corpus:
     """Add to an existing corpus; with ``replace`` the new sets / children
     replace what the corpus held for them."""
@@ -100,13 +121,14 @@ def merge(existing: Corpus | None, new: Corpus, replace: bool = True) -> Corpus:
 def create_dataset(corpus: Corpus, labels: DataFrame, index_long: DataFrame, category: str,
                    pad_ms: int = 0, existing: Corpus | None = None,
                    file_key: tuple[str, ...] = ("dataset", "set", "annotation_filename"),
-                   materialize: bool = True) -> CutResult:
+                   materialize: bool = True, datasets_root: str = "datasets") -> CutResult:
     """curate -> namespace -> cut -> merge. With ``materialize`` the curated
     annotations and recordings (read by the clip list, the containment and the
     recordings table) are checkpointed once, like the source tool writing its
     metadata tables before cutting."""
-    curated = namespace(curate(corpus, labels, index_long, category, file_key, materialize=materialize))
-    res = cut(curated, pad_ms, materialize=materialize)
+    kept = curate(corpus, labels, index_long, category, file_key, materialize=materialize)
+    res = cut(namespace(kept), pad_ms, materialize=materialize)
+    res.copies = copies_of(kept, datasets_root)
     res.corpus = merge(existing, res.corpus)
     return res
 
@@ -121,4 +143,6 @@ def write_corpus(res: CutResult, out: str, fmt: str = "csv") -> dict[str, str]:
               "metadata/annotations": res.corpus.annotations, "manifests/cut_jobs": res.cut_jobs,
               "manifests/renames": res.renames, "manifests/superseded": res.superseded,
               "manifests/discarded": res.discarded}
+    if res.copies is not None:
+        tables["manifests/copies"] = res.copies
     return {name: write_table(df, f"{out.rstrip('/')}/{name}", fmt=fmt) for name, df in tables.items()}

@@ -716,3 +716,15 @@ ORACLES["split_created"] = with_views(["ev_files", "ev_file_recordings", "ev_lab
                          a.range_offset - a.range_onset AS duration_ms
                   FROM asg a JOIN rec r ON r.recording_filename = a.recording_filename"""),
         ("ws", _wsplit("dataset", 0, (800, 100, 100), key="seg_id", weight="duration_ms", src="si"))])
+
+ORACLES["create_dataset_copies"] = with_views(["ev_files", "ev_file_recordings", "ev_labels"], """
+    SELECT 'annotation' AS kind, 'datasets/events/annotations/' || "set" || '/converted/' || annotation_filename AS source,
+           './annotations/events/' || "set" || '/converted/' || annotation_filename AS target FROM kept
+    UNION SELECT 'sidecar', 'datasets/events/annotations/' || "set" || '/metannots.yml',
+           './annotations/events/' || "set" || '/metannots.yml' FROM kept
+    UNION SELECT 'raw', 'datasets/events/recordings/raw/' || recording_filename,
+           './recordings/raw/events/' || recording_filename FROM kept
+    UNION SELECT 'standard', 'datasets/events/recordings/converted/standard/'
+             || regexp_replace(recording_filename, '\\.[^./]*$', '') || '.wav',
+           './recordings/converted/standard/events/' || regexp_replace(recording_filename, '\\.[^./]*$', '') || '.wav'
+      FROM kept""", [_FLAG[0]])

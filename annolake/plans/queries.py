@@ -687,3 +687,12 @@ def split_created(spark, sf):
              .withColumn("duration_ms", F.col("range_offset") - F.col("range_onset")))
     return T.weighted_split(si, "seg_id", "duration_ms", (800, 100, 100), by=["dataset"], seed=0) \
             .select("seg_id", "dataset", "child_id", "duration_ms", "split")
+
+
+@query
+def create_dataset_copies(spark, sf):
+    """E1 + U4: files the flagship corpus copies (annotations, sidecars, raw and standard recordings)."""
+    from annolake.plans.create_dataset import create_dataset as build
+    res = build(_ev_corpus(spark, sf), _ev_labels_keyed(spark, sf), V.ev_category_index(spark, sf), "vtc",
+                file_key=("dataset", "set", "seg_id"))
+    return res.copies.select("kind", "source", "target")

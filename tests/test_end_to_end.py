@@ -137,3 +137,25 @@ def test_write_corpus(spark, tmp_path):
     jobs = spark.read.option("header", True).csv(paths["manifests/cut_jobs"])
     assert sorted(r.output for r in jobs.collect()) == sorted(
         "recordings/converted/standard/" + r.recording_filename for r in res.corpus.recordings.collect())
+
+
+def test_copy_manifest_of_flagship(spark, tmp_path):
+    root = str(tmp_path / "c")
+    build_tree(root)
+    ch, rc, an = (scan_index(spark, root, t) for t in ("children", "recordings", "annotations"))
+    an = an.select("dataset", "set", "recording_filename", "raw_filename", "annotation_filename",
+                   *[F.col(c).cast("long").alias(c) for c in ("time_seek", "range_onset", "range_offset")])
+    rc = rc.withColumn("duration", F.col("duration").cast("long"))
+    seg = segments_long(scan_segments(spark, root)).withColumnRenamed("set", "set_name") \
+        .withColumnRenamed("segment_onset", "onset").withColumnRenamed("segment_offset", "offset_ms")
+    idx = spark.createDataFrame([("lab", "human", "transcription_cols", "transcription")],
+                                "dataset string, set_name string, category string, column string")
+    res = create_dataset(Corpus(ch, rc, an), seg, idx, "transcription", datasets_root=root)
+    got = sorted((r.kind, r.target) for r in res.copies.collect())
+    assert got == [
+        ("annotation", "./annotations/lab/human/converted/recording_1_42000_60000.csv"),
+        ("annotation", "./annotations/lab/human/converted/recording_2_15000_45000.csv"),
+        ("raw", "./recordings/raw/lab/recording_1.wav"), ("raw", "./recordings/raw/lab/recording_2.wav"),
+        ("sidecar", "./annotations/lab/human/metannots.yml"),
+        ("standard", "./recordings/converted/standard/lab/recording_1.wav"),
+        ("standard", "./recordings/converted/standard/lab/recording_2.wav")]
