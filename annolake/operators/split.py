@@ -137,8 +137,10 @@ def entity_split(df: DataFrame, entity: str | Sequence[str], weight: str, fracti
         per_entity = cut_lineage(per_entity, "entities")
         n = per_entity.count()
         shards = max(1, math.ceil(n / max_per_shard))
-    per_entity = per_entity.withColumn("_shard", F.pmod(F.xxhash64("_entity"), F.lit(shards)) if shards > 1
-                                       else F.lit(0).cast("long"))
+    # shard = first 32 bits of md5(entity) mod shards: stable, uniform, and the
+    # same in any SQL engine (so the sharded split has an exact oracle too)
+    shard = F.conv(F.substring(F.md5("_entity"), 1, 8), 16, 10).cast("long") % F.lit(shards)
+    per_entity = per_entity.withColumn("_shard", shard if shards > 1 else F.lit(0).cast("long"))
     assigned = (per_entity.select("_shard", "_entity", "_sk", "_w")
                 .groupBy("_shard")
                 .applyInPandas(_greedy_fold(pm), schema="_entity string, _split string"))

@@ -728,3 +728,34 @@ ORACLES["create_dataset_copies"] = with_views(["ev_files", "ev_file_recordings",
              || regexp_replace(recording_filename, '\\.[^./]*$', '') || '.wav',
            './recordings/converted/standard/events/' || regexp_replace(recording_filename, '\\.[^./]*$', '') || '.wav'
       FROM kept""", [_FLAG[0]])
+
+
+def _greedy_sharded(seed: int, pm: tuple[int, int, int], shards: int) -> list[tuple[str, str]]:
+    """Greedy fold inside md5 shards, each aiming at its share of the targets."""
+    p1, p2, p3 = pm
+    g1, g2, g3 = (f"(t.tot * {p1} - 1000 * g.c1)", f"(t.tot * {p2} - 1000 * g.c2)",
+                  f"(t.tot * {p3} - 1000 * g.c3)")
+    pick = f"""CASE WHEN {g1} >= {g2} AND {g1} >= {g3} THEN 'train' WHEN {g2} >= {g3} THEN 'test'
+                    ELSE 'validate' END"""
+    shard = f"(('0x' || substr(md5(entity), 1, 8))::BIGINT % {shards})"
+    return [
+        ("ent", "SELECT entity, CAST(sum(weight) AS BIGINT) AS w FROM docs_index GROUP BY entity"),
+        ("ord", f"""SELECT entity, w, {shard} AS shard,
+                           row_number() OVER (PARTITION BY {shard} ORDER BY md5('{seed}:' || entity), entity) AS rn
+                    FROM ent"""),
+        ("t", "SELECT shard, CAST(sum(w) AS HUGEINT) AS tot FROM ord GROUP BY shard"),
+        ("g", f"""SELECT shard, 0 AS rn, CAST(NULL AS VARCHAR) AS entity, CAST(NULL AS VARCHAR) AS split,
+                        CAST(0 AS HUGEINT) AS c1, CAST(0 AS HUGEINT) AS c2, CAST(0 AS HUGEINT) AS c3 FROM t
+                 UNION ALL
+                 SELECT o.shard, o.rn, o.entity, {pick},
+                        g.c1 + CASE WHEN {pick} = 'train' THEN o.w ELSE 0 END,
+                        g.c2 + CASE WHEN {pick} = 'test' THEN o.w ELSE 0 END,
+                        g.c3 + CASE WHEN {pick} = 'validate' THEN o.w ELSE 0 END
+                 FROM g JOIN ord o ON o.shard = g.shard AND o.rn = g.rn + 1 JOIN t ON t.shard = g.shard"""),
+    ]
+
+
+ORACLES["entity_split_sharded"] = _with_recursive(
+    ["docs_index"],
+    "SELECT d.key, d.entity, d.weight, g.split FROM docs_index d JOIN g ON g.entity = d.entity",
+    _greedy_sharded(0, (800, 100, 100), 4))

@@ -13,7 +13,7 @@ def test_registry_consistent():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     assert len(q) >= 55
-    assert set(q) - set(o) == {"entity_split_sharded"}
+    assert set(q) == set(o)
 
 
 def test_every_query_builds_with_oracle_columns(spark):
