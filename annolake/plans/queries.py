@@ -425,7 +425,7 @@ def merge_replace(spark, sf):
     return U.merge_replace(old, new.filter(F.col("set").isin("click", "view")), "set")
 
 
-def _ev_copy(df):
+def _ev_copy(df, existing=None):
     src_ann = F.concat(F.lit("datasets/events/annotations/"), F.col("set"), F.lit("/converted/"),
                        F.col("annotation_filename"))
     src_side = F.concat(F.lit("datasets/events/annotations/"), F.col("set"), F.lit("/" + SIDECAR_FILE))
@@ -435,23 +435,14 @@ def _ev_copy(df):
         ("annotation", src_ann, "annotations", ["annotations"]),
         ("sidecar", src_side, "annotations", ["annotations"]),
         ("standard", src_std, "standard", ["recordings", "converted", "standard"]),
-        ("raw", src_raw, "raw", ["recordings", "raw"])])
+        ("raw", src_raw, "raw", ["recordings", "raw"])], existing=existing)
 
 
 @query
 def copy_manifest(spark, sf):
     """U4 + P4: copies of the new batch whose targets the first batch has not made."""
     old, new = _halves(spark, sf)
-    existing = _ev_copy(old).select("target")
-    return U.copy_manifest(new.withColumn("dataset", F.lit("events")), "out", items=[
-        ("annotation", F.concat(F.lit("datasets/events/annotations/"), F.col("set"), F.lit("/converted/"),
-                                F.col("annotation_filename")), "annotations", ["annotations"]),
-        ("sidecar", F.concat(F.lit("datasets/events/annotations/"), F.col("set"), F.lit("/" + SIDECAR_FILE)),
-         "annotations", ["annotations"]),
-        ("standard", F.concat(F.lit("datasets/events/recordings/converted/standard/"), F.col("recording_filename")),
-         "standard", ["recordings", "converted", "standard"]),
-        ("raw", F.concat(F.lit("datasets/events/recordings/raw/"), F.col("raw_filename")), "raw",
-         ["recordings", "raw"])], existing=existing)
+    return _ev_copy(new, existing=_ev_copy(old).select("target"))
 
 
 # --- curation and projections ------------------------------------------------------------
