@@ -125,7 +125,10 @@ def recordings_on_clips(spark, sf):
 def slice_payload(spark, sf):
     """Conversation text cut to the clips of its turns. Offsets, clips and the
     assignment run on narrow rows; the text joins once, on (conversation, turn)."""
-    t = V.turns(spark, sf, with_text=False)
+    from annolake.session import cut_lineage
+    # narrow positions (recording, turn, onset, offset) written once: the clip
+    # list and the assignment both read them instead of redoing the prefix sums
+    t = cut_lineage(V.turns(spark, sf, with_text=False), "turn_positions")
     clips = I.support(t, ["recording"], start="onset", end="offset_ms") \
              .withColumnRenamed("onset", "start").withColumnRenamed("offset_ms", "end")
     texts = V.table(spark, sf, "conversations").select(F.col("conv_id").alias("recording"), "turn", "text")
