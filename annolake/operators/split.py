@@ -12,7 +12,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from annolake.functions.columns import shuffle_key
 from annolake.operators.scan import running_agg
@@ -146,7 +145,7 @@ def entity_split(df: DataFrame, entity: str | Sequence[str], weight: str, fracti
                 .applyInPandas(_greedy_fold(pm), schema="_entity string, _split string"))
     rows = df.withColumn("_entity", ent_col)
     if salt > 1:
-        hashable = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+        hashable = [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
         rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*hashable), F.lit(salt)).cast("int"))
         assigned = assigned.select("_entity", "_split", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))).alias("_salt"))
         joined = rows.join(assigned, ["_entity", "_salt"], "left").drop("_salt")

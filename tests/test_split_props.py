@@ -99,3 +99,10 @@ def test_fractional_weights(spark):
     assert ws == exp
     es = entity_split(df, "entity", "weight", (600, 200, 200), seed=1, shards=1)
     assert check_exclusive(es, "entity").count() == 0 and es.count() == 60
+
+
+def test_entity_split_with_nested_map_columns(spark):
+    df = spark.createDataFrame([(i, f"e{i % 3}", i, [{"a": "b"}]) for i in range(30)],
+                               "key long, entity string, weight long, meta array<map<string,string>>")
+    out = entity_split(df, "entity", "weight", (800, 100, 100), shards=1)
+    assert out.count() == 30 and check_exclusive(out, "entity").count() == 0
