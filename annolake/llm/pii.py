@@ -71,17 +71,15 @@ def _found(text: Column, pattern: str, gate: Column) -> Column:
 
 
 def _placed(col: str) -> str:
-    """SQL: the rows of ``_found`` with start and end. Sums go over blocks of 200 rows, so that a text
-    of very many matches costs little more than their number."""
+    """SQL: the rows of ``_found`` with start and end. They are placed in blocks of 200 rows, each carrying on where the
+    one before ended, so that a text of very many matches costs little more than their number."""
+    kind = "array<struct<s:int,e:int,m:string,before:string,after:string>>"
     step = ("(a, x) -> named_struct('p', a.p + x.gap + x.len, 'o', concat(a.o, array(named_struct("
             "'s', a.p + x.gap, 'e', a.p + x.gap + x.len, 'm', x.m, 'before', x.before, 'after', x.after))))")
-    empty = "cast(array() as array<struct<s:int,e:int,m:string,before:string,after:string>>)"
-    block = f"slice({col}, 200 * c + 1, 200)"
-    blocks = f"sequence(0, cast((size({col}) - 1) div 200 as int))"
-    sums = f"transform({blocks}, c -> aggregate({block}, 0, (a, x) -> a + x.gap + x.len))"
-    return (f"if(size({col}) = 0, {empty}, flatten(transform(zip_with({blocks}, {sums}, (c, t) -> named_struct('c', c, 'all', {sums})), "
-            f"r -> aggregate(slice({col}, 200 * r.c + 1, 200), named_struct('p', aggregate(slice(r.all, 1, r.c), 0, (a, x) -> a + x), 'o', {empty}), "
-            f"{step}, a -> a.o))))")
+    block = (f"aggregate(slice({col}, 200 * c + 1, 200), named_struct('p', b.p, 'o', cast(array() as {kind})), {step})")
+    return (f"if(size({col}) = 0, cast(array() as {kind}), flatten(aggregate(sequence(0, cast((size({col}) - 1) div 200 as int)), "
+            f"named_struct('p', 0, 'o', cast(array() as array<{kind}>)), (b, c) -> element_at(transform(array({block}), "
+            f"i -> named_struct('p', i.p, 'o', concat(b.o, array(i.o)))), 1)).o))")
 
 
 def _digits(m: Column) -> Column:
@@ -245,7 +243,7 @@ def redact(docs: DataFrame, text: str = "text", n_chars: str | None = "n_chars",
     """``docs`` with every span of the text replaced by its kind in angle brackets (overlapping spans by the kind of
     the first); a column ``n_chars``, if there, gets the new length. A null text stays null."""
     spans, parts = fresh(docs, "_spans", "_parts")
-    w = fit(find_spans(docs.select(text), text, spans), spans)
+    w = fit(cut_lineage(find_spans(docs.select(text), text, spans).select(spans), "pii_spans"), spans)
     d = find_spans(docs, text, spans)
     d = d.withColumn(spans, F.filter(spans, lambda x: _accepted(x, w, accept)))
     merged = F.expr(f"""aggregate(`{spans}`, cast(array() as array<struct<s:int,k:int,e:int>>), (a, x) ->
