@@ -11,10 +11,12 @@ is padded.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,40 +26,86 @@ from annolake.llm.common import CACHE_ENTRIES, CACHE_WORD, small_batches, texts_
 WINDOW = 4096
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
+BLOCK_BYTES = 16 << 20     # texts whose ids are looked up together
+
+
+# Texts of these characters (ASCII without apostrophe and "<", Latin-1 letters) are split here as the tokenizer's own
+# pattern splits them: runs of letters, single digits, runs of the rest, white space dropped. In other texts each word
+# goes through the tokenizer.
+_PLAIN = re.compile("[\x20\x09-\x0D!-&(-;=-~À-ÖØ-öø-ÿ]*")
+_APART = "([^\x20\x09-\x0Da-zß-öø-ÿ0-9]+|[0-9])"
 
 
 class Ids:
-    """Texts to little-endian uint32 ids. Words are told apart at ASCII white space, which the
-    tokenizer drops, so a text's ids are those of its words one after the other."""
+    """Texts to little-endian uint32 ids.
+
+    The tokenizer drops white space, so a text's ids are those of its words one after the other, and a plain
+    word's ids are those of its parts, which the tokenizer's model gives. The texts of a block are
+    taken apart together, each distinct part is looked up once, and the ids are gathered by array operations."""
 
     def __init__(self, path: str | None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         if path is None:
             import public_tokenizers
             path = public_tokenizers.path(TOKENIZER)
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        self.model = self.tokenizer.model
+        spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.letters = {k: spell(chr(k))[0][0] for k in range(0xC0, 0x100)}   # how the model spells a letter's bytes
+        self.words: dict[bytes, bytes] = {}
+
+    def block(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each text."""
+        out: list[bytes] = [b""] * len(texts)
+        at, plain = [], []
+        for k, t in enumerate(texts):
+            s = t.decode()
+            if _PLAIN.fullmatch(s):
+                at.append(k)
+                plain.append(s.lower())
+            else:
+                out[k] = b"".join(map(self.word, t.split()))
+        if plain:
+            spaced = pc.replace_substring_regex(pa.array(plain, pa.large_string()), _APART, r" \1 ")
+            split = pc.ascii_split_whitespace(spaced)
+            parts = split.flatten()
+            bounds = np.zeros(len(plain) + 1, np.int64)
+            coded = parts.dictionary_encode()
+            idx = coded.indices.to_numpy(zero_copy_only=False)
+            ids, n = [], []
+            for p in coded.dictionary.to_pylist():
+                got = self.part(p) if p else []
+                ids += got
+                n.append(len(got))
+            flat, n = np.array(ids, "<u4"), np.array(n, np.int64)
+            first = np.cumsum(n) - n
+            size = n[idx] if len(idx) else np.zeros(0, np.int64)
+            upto = np.concatenate([[0], np.cumsum(size)])
+            gather = np.arange(upto[-1]) + np.repeat(first[idx] - upto[:-1], size) if len(idx) else np.zeros(0, np.int64)
+            raw = flat[gather].tobytes()
+            bounds[1:] = np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))
+            cut = (4 * upto[bounds]).tolist()
+            for k, a, b in zip(at, cut, cut[1:]):
+                out[k] = raw[a:b]
+        return out
+
+    def part(self, part: str) -> list[int]:
+        return [t.id for t in self.model.tokenize(part if part.isascii() else part.translate(self.letters))]
+
+    def word(self, word: bytes) -> bytes:
+        got = self.words.get(word)
+        if got is None:
+            got = np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+            if len(word) <= CACHE_WORD:
+                if len(self.words) >= CACHE_ENTRIES:
+                    self.words.clear()
+                self.words[word] = got
+        return got
 
     def __call__(self, text: bytes) -> bytes:
-        words = text.split()
-        known = self.known
-        new = [w for w in dict.fromkeys(words) if w not in known]
-        long = {}
-        if new:
-            if len(known) + len(new) > CACHE_ENTRIES:
-                known.clear()
-                new = list(dict.fromkeys(words))
-            for w, e in zip(new, self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False)):
-                ids = np.array(e.ids, "<u4").tobytes()
-                if len(w) > CACHE_WORD:
-                    long[w] = ids
-                known[w] = ids
-        out = b"".join(map(known.__getitem__, words))
-        for w in long:
-            del known[w]
-        return out
+        return self.block([text])[0]
 
 
 class Packer:
@@ -166,12 +214,20 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: in
                 cols.append(pa.array([x[2] for x in r], pa.binary()))
             return pa.RecordBatch.from_arrays(cols, names=schema.names)
 
+        docs_, texts, size = [], [], 0
         for b in batches:
             kind = b.schema.field("doc_id").type
             for doc, t in zip(b.column(0).to_pylist(), texts_of(b, "text")):
-                packer.add(doc, to_ids(t) + end)
-                if len(packer.ready) >= 4096:
+                docs_.append(doc)
+                texts.append(t)
+                size += len(t)
+                if size >= BLOCK_BYTES:
+                    for x, ids in zip(docs_, to_ids.block(texts)):
+                        packer.add(x, ids + end)
+                    docs_, texts, size = [], [], 0
                     yield rows()
+        for x, ids in zip(docs_, to_ids.block(texts)):
+            packer.add(x, ids + end)
         packer.finish()
         if packer.ready:
             yield rows()

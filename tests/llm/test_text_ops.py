@@ -139,6 +139,20 @@ def test_token_counts_on_odd_and_empty(spark):
     assert viterbi.token_counts(empty(spark)).count() == 0
 
 
+def test_ids_of_words_equal_the_tokenizer():
+    import random
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    t, ids = Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER)), packing.Ids(None)
+    rng = random.Random(4)
+    some = "abcXYZ019.,!?&$#%*|-_'\"<>()@éÉüÜßÿÞÀ×÷ªµ²½İΣςσ中文\u0301\u00a0\u2028\U0001f600"
+    texts = ["".join(rng.choices(some + " \n", k=rng.randint(1, 30))) for _ in range(3000)] + [r["text"] for r in rows("documents")]
+    texts += [chr(c) + x for c in range(0x21, 0x180) for x in ("", "a", "1")] + ["don't 's <|endoftext|>x", "A" * 300, "é" * 100]
+    for x in texts:
+        assert np.frombuffer(ids(x.encode()), "<u4").tolist() == t.encode(x, add_special_tokens=False).ids, x[:80]
+
+
 def check_packed(docs, got, window=4096):
     import public_tokenizers
     from tokenizers import Tokenizer
