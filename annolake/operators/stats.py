@@ -63,8 +63,8 @@ def equal_width_bins(df: DataFrame, col: str, n: int = 10, by: Sequence[str] = (
 
 
 def label_axis_col(c: Column, is_float: bool) -> Column:
-    """Float labels rounded to one digit; null -> 'N/A' (applied before grouping)."""
-    c = F.round(c, 1) if is_float else c
+    """Float labels rounded to one digit, ties to even; null -> 'N/A' (applied before grouping)."""
+    c = F.bround(c, 1) if is_float else c
     return F.coalesce(c.cast("string"), F.lit("N/A"))
 
 
