@@ -170,20 +170,10 @@ def with_stamp(df: DataFrame, name: str = "experiment", value: str = "benchmarki
 # --- P13 age -----------------------------------------------------------------
 
 def age_months(date_col, dob_col, digits: int | None = 2) -> Column:
-    a = F.datediff(_c(date_col).cast("date"), _c(dob_col).cast("date")).cast("double") / F.lit(DAYS_PER_MONTH)
+    a = F.datediff(_c(date_col).try_cast("date"), _c(dob_col).try_cast("date")).cast("double") / F.lit(DAYS_PER_MONTH)
     return F.round(a, digits) if digits is not None else a
 
 
-# --- P15 axis labels ------------------------------------------------------------
-
-def label_axis(c, dtype: T.DataType | None = None) -> Column:
-    """Round float labels to 1 digit, then null -> 'N/A' (string axis)."""
-    col = _c(c)
-    if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        col = F.round(col, 1)
-    return F.coalesce(col.cast("string"), F.lit("N/A"))
-
-
 # --- T1 seeded shuffle key ---------------------------------------------------------
 
 def shuffle_key(seed: int, *keys) -> Column:

@@ -25,16 +25,6 @@ CATEGORY_LISTS = {
     "vtc": "vtc_cols",
     "transcription": "transcription_cols",
 }
-# Largest hand-written index we broadcast without measuring.
-SMALL_TABLE_ROWS = 1_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_TABLE_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after checking it has at most ``max_rows`` rows;
-    above that it stays a normal (shuffled) join side."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
 
 # --- S9 ---------------------------------------------------------------------------
 

@@ -277,19 +277,28 @@ def slice_payload(payload: DataFrame, clips: DataFrame, key: str = "recording",
                   text_keys: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
     """Cut a payload (text by character, or binary by byte) to the clips.
 
-    Each payload row lands in the clip that contains it (J6); the piece keeps its
-    place on the clip clock. Rows outside every clip are returned as discarded.
+    One piece for each payload row and clip that overlap: the part of the payload
+    inside the clip, placed on the clip's clock. Rows that overlap no clip are
+    returned as discarded. Both sides are spread over the chunks of the clock
+    they touch and joined on (key, chunk); a pair is kept in the chunk where
+    its overlap begins, so it is found once and no range join is planned.
     With ``texts`` the positions in ``payload`` are narrow rows and the payload
-    column comes from ``texts`` joined once on ``text_keys`` after the
-    assignment, so the (large) payload never passes through the ordered scans.
+    column comes from ``texts`` joined once on ``text_keys`` after the cut.
     """
-    assigned, discarded = assign_to_clip(payload, clips, key, onset, offset, time_seek="",
-                                         ignore_time_seek=True, chunk=chunk)
+    def spread(df: DataFrame, lo: str, hi: str) -> DataFrame:
+        return df.filter(F.col(lo) < F.col(hi)).withColumn("_ck", F.explode(F.sequence(
+            F.floor(F.col(lo) / F.lit(chunk)), F.floor((F.col(hi) - 1) / F.lit(chunk)))))
+
+    p = payload.withColumn("_on", _c(onset).cast("long")).withColumn("_off", _c(offset).cast("long"))
+    c = clips.select(key, F.col("start").cast("long").alias("clip_start"), F.col("end").cast("long").alias("clip_end"))
+    lo, hi = F.greatest("_on", "clip_start"), F.least("_off", "clip_end")
+    found = (spread(p, "_on", "_off").join(spread(c, "clip_start", "clip_end"), [key, "_ck"])
+             .filter((lo < hi) & (F.floor(lo / F.lit(chunk)) == F.col("_ck"))).drop("_ck"))
+    same = list(text_keys) or [x for x in payload.columns if x != col]
+    discarded = payload.join(found.select(*same).distinct(), same, "left_anti")
     if texts is not None:
-        assigned = assigned.join(texts.select(*text_keys, col), list(text_keys), "inner")
-    lo = F.greatest(F.col("_on"), F.col("clip_start"))
-    hi = F.least(F.col("_off"), F.col("clip_end"))
-    out = (assigned
+        found = found.join(texts.select(*text_keys, col), list(text_keys), "inner")
+    out = (found
            .withColumn("piece_start", lo - F.col("clip_start"))
            .withColumn("piece_end", hi - F.col("clip_start"))
            .withColumn(col, F.col(col).substr((lo - F.col("_on") + 1).cast("int"), (hi - lo).cast("int")))

@@ -30,17 +30,6 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
-    """Equi-join on ``keys`` where null matches null; keeps the left key columns."""
-    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
-                     *[c for c in right.columns if c not in keys])
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(r[f"_r_{k}"])
-        cond = c if cond is None else cond & c
-    return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
-
-
 KEY = "_scan_key"
 CHUNK = "_scan_ck"
 

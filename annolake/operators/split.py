@@ -7,7 +7,6 @@ so the split does not depend on partitioning and equals the SQL oracle.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -46,18 +45,19 @@ def _case_split(cum_x1000, tot, pm) -> F.Column:
     return expr
 
 
+HEX_DIGITS = 2     # 256 buckets a stratum: the answer does not depend on it
 _INTEGRAL = ("tinyint", "smallint", "int", "bigint")
 
 
 def _weight(df: DataFrame, weight: str) -> F.Column:
-    """Weight column, null -> 0; integral weights stay exact longs, others doubles."""
+    """Weight column, null -> 0; integral weights are longs, others decimals, so that sums are exact in any order."""
     t = dict(df.dtypes)[weight]
-    kind = "long" if t in _INTEGRAL else "double"
+    kind = "long" if t in _INTEGRAL else "decimal(24,6)"
     return F.coalesce(F.col(weight).cast(kind), F.lit(0).cast(kind))
 
 
 def weighted_split(df: DataFrame, key: str, weight: str, fractions=(800, 100, 100),
-                   by: Sequence[str] = ("dataset",), seed: int = 0, hex_digits: int | None = 4,
+                   by: Sequence[str] = ("dataset",), seed: int = 0, hex_digits: int | None = HEX_DIGITS,
                    out: str = "split") -> DataFrame:
     """Shuffled running sum of ``weight`` against the stratum total.
 
@@ -87,8 +87,8 @@ def _greedy_fold(pm: tuple[int, ...]):
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["_sk", "_entity"], kind="mergesort")
         integral = np.issubdtype(pdf["_w"].dtype, np.integer)
-        w = pdf["_w"].to_numpy(dtype=np.int64 if integral else np.float64)
-        tot = int(w.sum()) if integral else float(w.sum())
+        w = pdf["_w"].to_numpy(dtype=np.int64 if integral else object)
+        tot = int(w.sum()) if integral else sum(w, 0)
         targets = [tot * p for p in pm]          # scaled by 1000
         cur = [0] * len(pm)
         out = []
@@ -103,17 +103,17 @@ def _greedy_fold(pm: tuple[int, ...]):
 
 
 def entity_split(df: DataFrame, entity: str | Sequence[str], weight: str, fractions=(800, 100, 100),
-                 seed: int = 0, shards: int | None = None, max_per_shard: int = 2_000_000,
-                 out: str = "split", salt: int = 32) -> DataFrame:
-    """T4: entity-exclusive greedy split (one split per entity).
+                 seed: int = 0, shards: int | None = None, out: str = "split", salt: int = 32) -> DataFrame:
+    """T4: entity-exclusive split (one split per entity; rows with a null entity are one entity, D18).
 
     Rows are first aggregated to one (entity, weight) row per entity (partial
-    aggregation, so a hot entity costs nothing extra). Entities are then folded
-    greedily in md5 order inside hash shards, each shard aiming at its own share
-    of the targets; ``shards=1`` is the exact sequential greedy. By default the
-    shard count is ceil(#entities / max_per_shard): exact while one task can
-    hold the entity list, sharded beyond (each split then misses its target by
-    less than (#splits) x the largest entity per shard).
+    aggregation, so a hot entity costs nothing extra). By default entities are put
+    in md5 order and split where their running weight passes the bounds, as T2
+    does with rows: parallel, exclusive by construction, and each bound is missed
+    by less than one entity. With ``shards`` (an explicit, fixed number) entities are
+    instead folded greedily, each to the split with the largest gap, inside that many
+    md5 shards, each shard aiming at its own share of the targets; ``shards=1`` is the
+    sequential greedy over all entities.
 
     The assignment goes back to the rows through a salted join: a row's salt
     is a hash of its own values (stable under retries), every entity's
@@ -123,34 +123,29 @@ def entity_split(df: DataFrame, entity: str | Sequence[str], weight: str, fracti
     pm = per_mille(fractions)
     ents = [entity] if isinstance(entity, str) else list(entity)
     ent_col = F.concat_ws("\u0001", *[F.coalesce(F.col(e).cast("string"), F.lit("\u0000")) for e in ents]) \
-        if len(ents) > 1 else F.col(ents[0]).cast("string")
-    sk_col = shuffle_key(seed, *ents)
+        if len(ents) > 1 else F.coalesce(F.col(ents[0]).cast("string"), F.lit("\u0000"))
     per_entity = (df.groupBy(*ents)
                     .agg(F.sum(_weight(df, weight)).alias("_w"))
                     .withColumn("_entity", ent_col)
-                    .withColumn("_sk", sk_col))
+                    .withColumn("_sk", shuffle_key(seed, *ents)))
     if shards is None:
-        # the per-entity table (one row per entity) is written once, so counting
-        # it does not recompute the aggregate over all rows
-        from annolake.session import cut_lineage
-        per_entity = cut_lineage(per_entity, "entities")
-        n = per_entity.count()
-        shards = max(1, math.ceil(n / max_per_shard))
-    # shard = first 32 bits of md5(entity) mod shards: stable, uniform, and the
-    # same in any SQL engine (so the sharded split has an exact oracle too)
-    shard = F.conv(F.substring(F.md5("_entity"), 1, 8), 16, 10).cast("long") % F.lit(shards)
-    per_entity = per_entity.withColumn("_shard", shard if shards > 1 else F.lit(0).cast("long"))
-    assigned = (per_entity.select("_shard", "_entity", "_sk", "_w")
-                .groupBy("_shard")
-                .applyInPandas(_greedy_fold(pm), schema="_entity string, _split string"))
-    rows = df.withColumn("_entity", ent_col)
-    if salt > 1:
-        hashable = [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
-        rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*hashable), F.lit(salt)).cast("int"))
-        assigned = assigned.select("_entity", "_split", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))).alias("_salt"))
-        joined = rows.join(assigned, ["_entity", "_salt"], "left").drop("_salt")
+        d = per_entity.select(F.lit(0).alias("_all"), "_entity", "_sk", "_w")
+        d = running_agg(d, ["_all"], ["_sk", "_entity"], "_w", "_cum", "sum",
+                        chunk_of=F.substring("_sk", 1, HEX_DIGITS), total_out="_tot")
+        assigned = d.select("_entity", _case_split(F.col("_cum") * F.lit(1000), F.col("_tot"), pm).alias("_split"))
     else:
-        joined = rows.join(assigned, "_entity", "left")
+        # shard = first 32 bits of md5(entity) mod shards: stable, uniform, and the
+        # same in any SQL engine (so the sharded split has an exact oracle too)
+        shard = F.conv(F.substring(F.md5("_entity"), 1, 8), 16, 10).cast("long") % F.lit(shards)
+        per_entity = per_entity.withColumn("_shard", shard if shards > 1 else F.lit(0).cast("long"))
+        assigned = (per_entity.select("_shard", "_entity", "_sk", "_w")
+                    .groupBy("_shard")
+                    .applyInPandas(_greedy_fold(pm), schema="_entity string, _split string"))
+    rows = df.withColumn("_entity", ent_col)
+    hashable = [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*hashable), F.lit(salt)).cast("int"))
+    assigned = assigned.select("_entity", "_split", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))).alias("_salt"))
+    joined = rows.join(assigned, ["_entity", "_salt"], "left").drop("_salt")
     return joined.withColumnRenamed("_split", out).drop("_entity")
 
 

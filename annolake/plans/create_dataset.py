@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annolake.functions.columns import with_stamp
+from annolake.functions.columns import drop_discarded, with_stamp
 from annolake.operators import curate as CU
 from annolake.operators import intervals as I
 from annolake.operators import merge as U
@@ -37,16 +37,36 @@ class CutResult:
     copies: DataFrame | None = None   # U4: files to copy into the new corpus
 
 
+def select_files(corpus: Corpus, sidecars: DataFrame | None = None, children_expr: str | None = None,
+                 on_error: str = "raise") -> Corpus:
+    """The file selection that comes first: children that pass the user's expression (F2) and are not
+    discarded, their recordings that are not discarded (F1), and the annotations of these
+    recordings in manual sets (F3; sets without a sidecar are not manual). Without
+    ``sidecars`` all sets count."""
+    kids = drop_discarded(CU.filter_expr(corpus.children, children_expr, on_error))
+    recs = drop_discarded(corpus.recordings).join(kids.select("dataset", "child_id"), ["dataset", "child_id"], "left_semi")
+    ann = corpus.annotations.join(recs.select("dataset", "recording_filename"), ["dataset", "recording_filename"], "left_semi")
+    if sidecars is not None:
+        gold = CU.gold_sets(sidecars)
+        name = "set" if "set" in gold.columns else "set_name"
+        ann = ann.join(gold.select("dataset", F.col(name).alias("set")), ["dataset", "set"], "left_semi")
+    return Corpus(kids, recs, ann)
+
+
 def curate(corpus: Corpus, labels: DataFrame, index_long: DataFrame, category: str,
            file_key: tuple[str, ...] = ("dataset", "set", "annotation_filename"),
            materialize: bool = False) -> Corpus:
     """Keep annotations of the category (F4), then the recordings and children they use.
+    A set that the index does not know is an error.
 
     With ``materialize`` the kept annotations are written once (shared
     checkpoint folder) and the recordings / children are derived from that table.
     """
     files = corpus.annotations.withColumnRenamed("set", "set_name")
     keys = ["set_name" if k == "set" else k for k in file_key]
+    unknown = CU.unmapped_sets(files, index_long).orderBy("dataset", "set_name").limit(5).collect()
+    if unknown:
+        raise ValueError(f"sets that the category index does not map: {[tuple(r) for r in unknown]}")
     kept = CU.filter_category(files, labels, index_long, category, file_key=keys) \
              .withColumnRenamed("set_name", "set")
     if materialize:
@@ -90,7 +110,7 @@ def copies_of(curated: Corpus, datasets_root: str = "datasets", out_root: str =
     from annolake.sources.sidecars import SIDECAR_FILE
 
     a = curated.annotations.join(curated.recordings.select("dataset", "recording_filename"),
-                                 ["dataset", "recording_filename"], "inner")
+                                 ["dataset", "recording_filename"], "left_semi")
     base = F.concat(F.lit(datasets_root.rstrip("/") + "/"), F.col("dataset"))
     ann = F.concat(base, F.lit("/annotations/"), F.col("set"), F.lit("/converted/"), F.col("annotation_filename"))
     side = F.concat(base, F.lit("/annotations/"), F.col("set"), F.lit("/" + SIDECAR_FILE))
@@ -108,7 +128,7 @@ def merge(existing: Corpus | None, new: Corpus, replace: bool = True) -> Corpus:
     """Add to an existing corpus; with ``replace`` the new sets / children
     replace what the corpus held for them."""
     if existing is None:
-        return Corpus(new.children.distinct(), new.recordings.distinct(), new.annotations.distinct())
+        return new
     if replace:
         return Corpus(U.merge_append(existing.children, new.children),
                       U.merge_replace(existing.recordings, new.recordings, "child_id"),
@@ -121,12 +141,14 @@ def merge(existing: Corpus | None, new: Corpus, replace: bool = True) -> Corpus:
 def create_dataset(corpus: Corpus, labels: DataFrame, index_long: DataFrame, category: str,
                    pad_ms: int = 0, existing: Corpus | None = None,
                    file_key: tuple[str, ...] = ("dataset", "set", "annotation_filename"),
-                   materialize: bool = True, datasets_root: str = "datasets") -> CutResult:
-    """curate -> namespace -> cut -> merge. With ``materialize`` the curated
+                   materialize: bool = True, datasets_root: str = "datasets",
+                   sidecars: DataFrame | None = None, children_expr: str | None = None) -> CutResult:
+    """select files -> curate -> namespace -> cut -> merge. With ``materialize`` the curated
     annotations and recordings (read by the clip list, the containment and the
     recordings table) are checkpointed once, like the source tool writing its
     metadata tables before cutting."""
-    kept = curate(corpus, labels, index_long, category, file_key, materialize=materialize)
+    kept = curate(select_files(corpus, sidecars, children_expr), labels, index_long, category, file_key,
+                  materialize=materialize)
     res = cut(namespace(kept), pad_ms, materialize=materialize)
     res.copies = copies_of(kept, datasets_root)
     res.corpus = merge(existing, res.corpus)

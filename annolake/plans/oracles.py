@@ -188,9 +188,12 @@ ORACLES["recordings_on_clips"] = with_views(
 ORACLES["slice_payload"] = with_views(
     ["turns"],
     """SELECT t.recording, t.turn, i.cs AS clip_start, i.ce AS clip_end,
-              t.onset - i.cs AS piece_start, t.offset_ms - i.cs AS piece_end, t.text
-       FROM turns t JOIN islands i ON i.k = t.recording AND i.cs <= t.onset AND t.offset_ms <= i.ce""",
-    support_sql("turns", "recording", "onset", "offset_ms"))
+              greatest(t.onset, i.cs) - i.cs AS piece_start, least(t.offset_ms, i.ce) - i.cs AS piece_end,
+              substring(t.text, greatest(t.onset, i.cs) - t.onset + 1,
+                        least(t.offset_ms, i.ce) - greatest(t.onset, i.cs)) AS text
+       FROM turns t JOIN islands i ON i.k = t.recording AND greatest(t.onset, i.cs) < least(t.offset_ms, i.ce)""",
+    [("ev", "SELECT recording, onset + 10 AS s, offset_ms + 15 AS e FROM turns WHERE turn % 2 = 0")]
+    + support_sql("ev", "recording", "s", "e"))
 
 # --- splitting ---------------------------------------------------------------------
 
@@ -216,27 +219,9 @@ ORACLES["weighted_split_two_level"] = with_views(
     ["docs_index"], f"SELECT {_DOC_COLS} FROM ws", [("ws", _wsplit("dataset", 7, (600, 300, 100)))])
 
 
-def _greedy(seed: int, pm: tuple[int, int, int]) -> list[tuple[str, str]]:
-    """Sequential greedy fold as a recursive CTE (the exact, one-shard form)."""
-    p1, p2, p3 = pm
-    g1 = f"(t.tot * {p1} - 1000 * g.c1)"
-    g2 = f"(t.tot * {p2} - 1000 * g.c2)"
-    g3 = f"(t.tot * {p3} - 1000 * g.c3)"
-    pick = f"""CASE WHEN {g1} >= {g2} AND {g1} >= {g3} THEN 'train'
-                    WHEN {g2} >= {g3} THEN 'test' ELSE 'validate' END"""
-    return [
-        ("ent", "SELECT entity, CAST(sum(weight) AS BIGINT) AS w FROM docs_index GROUP BY entity"),
-        ("ord", f"SELECT entity, w, row_number() OVER (ORDER BY md5('{seed}:' || entity), entity) AS rn FROM ent"),
-        ("t", "SELECT CAST(sum(w) AS HUGEINT) AS tot FROM ent"),
-        ("g", f"""SELECT 0 AS rn, CAST(NULL AS VARCHAR) AS entity, CAST(NULL AS VARCHAR) AS split,
-                        CAST(0 AS HUGEINT) AS c1, CAST(0 AS HUGEINT) AS c2, CAST(0 AS HUGEINT) AS c3
-                 UNION ALL
-                 SELECT o.rn, o.entity, {pick},
-                        g.c1 + CASE WHEN {pick} = 'train' THEN o.w ELSE 0 END,
-                        g.c2 + CASE WHEN {pick} = 'test' THEN o.w ELSE 0 END,
-                        g.c3 + CASE WHEN {pick} = 'validate' THEN o.w ELSE 0 END
-                 FROM g JOIN ord o ON o.rn = g.rn + 1 CROSS JOIN t"""),
-    ]
+_ENTITIES = [
+    ("ent", "SELECT entity, CAST(sum(weight) AS BIGINT) AS w FROM docs_index GROUP BY entity"),
+    ("es", _wsplit("1", 0, (800, 100, 100), key="entity", weight="w", src="ent"))]
 
 
 def _with_recursive(names, body, extra):
@@ -244,24 +229,22 @@ def _with_recursive(names, body, extra):
     return "WITH RECURSIVE" + sql[len("WITH"):]
 
 
-ORACLES["entity_split"] = _with_recursive(
+ORACLES["entity_split"] = with_views(
     ["docs_index"],
-    "SELECT d.key, d.entity, d.weight, g.split FROM docs_index d JOIN g ON g.entity = d.entity",
-    _greedy(0, (800, 100, 100)))
+    "SELECT d.key, d.entity, d.weight, g.split FROM docs_index d JOIN es g ON g.entity = d.entity", _ENTITIES)
 
 ORACLES["split_exclusive_check"] = with_views(
     ["docs_index"],
     "SELECT entity, count(DISTINCT split) AS n_splits FROM ws GROUP BY entity HAVING count(DISTINCT split) > 1",
     [("ws", _wsplit("dataset", 0, (800, 100, 100)))])
 
-ORACLES["split_report"] = _with_recursive(
+ORACLES["split_report"] = with_views(
     ["docs_index"],
     """SELECT s.split, CAST((SELECT sum(weight) FROM docs_index) AS DOUBLE) * s.pm / 1000.0 AS desired_weight,
               CAST(coalesce(r.reached, 0) AS BIGINT) AS reached_weight
        FROM (VALUES ('train', 800), ('test', 100), ('validate', 100)) s(split, pm)
-       LEFT JOIN (SELECT g.split, sum(d.weight) AS reached FROM docs_index d JOIN g ON g.entity = d.entity
-                  GROUP BY g.split) r ON r.split = s.split""",
-    _greedy(0, (800, 100, 100)))
+       LEFT JOIN (SELECT g.split, sum(d.weight) AS reached FROM docs_index d JOIN es g ON g.entity = d.entity
+                  GROUP BY g.split) r ON r.split = s.split""", _ENTITIES)
 
 _SPLIT_INPUT = """
     SELECT a.recording, a.set_name, a.line, r.child_id, c.dataset,
@@ -340,7 +323,8 @@ _SAMPLED = ("sd", f"""
                  - CAST(regexp_extract(annotation_filename, '{_SPAN_RE}', 1) AS BIGINT)) AS span_ms
       FROM doc_files GROUP BY dataset, set_name) f
     ON f.dataset = s.dataset AND f.set_name = s.set_name""")
-_PROFILE = _label_profile("doc_labels", "dataset, set_name") + [_SAMPLED, ("prof", """
+_SAMPLED_GOLD = ("sd", _SAMPLED[1] + " WHERE s.method = 'manual'")
+_PROFILE = _label_profile("doc_labels", "dataset, set_name") + [_SAMPLED_GOLD, ("prof", """
     SELECT lp.dataset, lp.set_name, lp."column", lp.categorical, lp.annotated_ms AS annotated_duration_ms,
            sd.duration_from_samples_ms, sd.number_of_samples, lp.num_non_empty AS num_of_non_empty_segments
     FROM lp JOIN sd ON sd.dataset = lp.dataset AND sd.set_name = lp.set_name""")]
@@ -461,13 +445,19 @@ ORACLES["check_index_fields"] = with_views(["doc_index"], """
 
 # --- statistics ---------------------------------------------------------------------
 
+VIEWS["shop_sidecars"] = """
+    SELECT DISTINCT l_returnflag AS set_name,
+           CASE WHEN l_returnflag = 'R' THEN 'automated' ELSE 'manual' END AS method
+    FROM lineitem WHERE l_returnflag <> 'N'"""
+
 _KEPT_REC = ("rk", """SELECT * FROM shop_recordings
                      WHERE discard IS NULL OR lower(trim(discard)) NOT IN ('1', '1.0', 'true')""")
 _SEGS = [_KEPT_REC, ("segs", """
     SELECT c.dataset, coalesce(CAST(c.child_sex AS VARCHAR), 'N/A') AS child_sex,
            a.range_offset - a.range_onset AS d
-    FROM shop_children c JOIN rk r ON r.child_id = c.child_id JOIN shop_annotations a ON a.recording = r.recording""")]
-_SHOP = ["shop_children", "shop_recordings", "shop_annotations"]
+    FROM shop_children c JOIN rk r ON r.child_id = c.child_id JOIN shop_annotations a ON a.recording = r.recording
+    WHERE a.set_name IN (SELECT set_name FROM shop_sidecars WHERE method = 'manual')""")]
+_SHOP = ["shop_children", "shop_recordings", "shop_annotations", "shop_sidecars"]
 
 ORACLES["distribution_mean"] = with_views(_SHOP, """
     SELECT dataset, child_sex, avg(d) AS duration_mean, count(d) AS "count" FROM segs GROUP BY ALL""", _SEGS)
@@ -551,11 +541,6 @@ ORACLES["copy_manifest"] = with_views(["ev_files"], """
 
 # --- curation and projections -----------------------------------------------------------
 
-VIEWS["shop_sidecars"] = """
-    SELECT DISTINCT l_returnflag AS set_name,
-           CASE WHEN l_returnflag = 'R' THEN 'automated' ELSE 'manual' END AS method
-    FROM lineitem WHERE l_returnflag <> 'N'"""
-
 ORACLES["filter_category"] = with_views(_DOC_META, """
     SELECT f.dataset, f.set_name, f.file_key FROM doc_files f
     WHERE EXISTS (SELECT 1 FROM doc_labels l JOIN doc_index i
@@ -571,7 +556,7 @@ _FILE_INDEX = ("fi", """
     FROM shop_annotations a JOIN rk r ON r.recording = a.recording
     WHERE a.set_name IN (SELECT set_name FROM shop_sidecars WHERE method = 'manual')
       AND r.child_id IN (SELECT child_id FROM shop_children)""")
-_SHOP_FI = _SHOP + ["shop_sidecars"]
+_SHOP_FI = _SHOP
 
 ORACLES["file_index"] = with_views(_SHOP_FI, "SELECT * FROM fi", [_KEPT_REC, _FILE_INDEX])
 ORACLES["filter_children"] = with_views(_SHOP_FI, """
@@ -617,7 +602,9 @@ ORACLES["select_datasets"] = with_views(["docs_index"], """
 _FLAG = [
     ("kept", """SELECT * FROM ev_files f WHERE EXISTS (
                   SELECT 1 FROM ev_labels l WHERE l.seg_id = f.seg_id AND l.set_name = f."set"
-                    AND l.label = 'speaker_type' AND l.value IS NOT NULL)"""),
+                    AND l.label = 'speaker_type' AND l.value IS NOT NULL)
+                  AND f."set" NOT IN ('signup', 'purchase')
+                  AND f.recording_filename NOT IN (SELECT 'u' || user_id || '.wav' FROM events WHERE user_id % 10 IN (3, 7))"""),
     ("ann", """SELECT 'events/' || "set" AS "set", 'events/' || recording_filename AS recording_filename,
                       raw_filename, time_seek, range_onset, range_offset, annotation_filename, seg_id FROM kept"""),
     ("rec", """SELECT 'events/' || recording_filename AS recording_filename, duration, 'events_' || child_id AS child_id
@@ -649,28 +636,16 @@ ORACLES["create_dataset_recordings"] = with_views(["ev_files", "ev_file_recordin
 _SAME_CHILD = [("si", _SPLIT_INPUT),
                ("ent", """SELECT child_id, dataset, CAST(sum(duration_ms) AS BIGINT) AS w FROM si
                           GROUP BY child_id, dataset"""),
-               ("ord", """SELECT child_id, dataset, w,
-                                 row_number() OVER (ORDER BY md5(concat_ws(':', '0', child_id, dataset))) AS rn
-                          FROM ent"""),
-               ("t", "SELECT CAST(sum(w) AS HUGEINT) AS tot FROM ent")]
-_G1, _G2, _G3 = "(t.tot * 800 - 1000 * g.c1)", "(t.tot * 100 - 1000 * g.c2)", "(t.tot * 100 - 1000 * g.c3)"
-_PICK = f"""CASE WHEN {_G1} >= {_G2} AND {_G1} >= {_G3} THEN 'train' WHEN {_G2} >= {_G3} THEN 'test'
-                 ELSE 'validate' END"""
-_SAME_CHILD.append(("g", f"""
-    SELECT 0 AS rn, CAST(NULL AS BIGINT) AS child_id, CAST(NULL AS VARCHAR) AS dataset,
-           CAST(NULL AS VARCHAR) AS split, CAST(0 AS HUGEINT) AS c1, CAST(0 AS HUGEINT) AS c2, CAST(0 AS HUGEINT) AS c3
-    UNION ALL
-    SELECT o.rn, o.child_id, o.dataset, {_PICK},
-           g.c1 + CASE WHEN {_PICK} = 'train' THEN o.w ELSE 0 END,
-           g.c2 + CASE WHEN {_PICK} = 'test' THEN o.w ELSE 0 END,
-           g.c3 + CASE WHEN {_PICK} = 'validate' THEN o.w ELSE 0 END
-    FROM g JOIN ord o ON o.rn = g.rn + 1 CROSS JOIN t"""))
+               ("g", """SELECT child_id, dataset, CASE WHEN cum * 1000 <= tot * 800 THEN 'train'
+                               WHEN cum * 1000 <= tot * 900 THEN 'test' ELSE 'validate' END AS split
+                        FROM (SELECT *, sum(w) OVER (ORDER BY md5(concat_ws(':', '0', child_id, dataset))
+                                                     ROWS UNBOUNDED PRECEDING) AS cum, sum(w) OVER () AS tot FROM ent) x""")]
 
-ORACLES["split_same_child"] = _with_recursive(["shop_annotations", "shop_recordings", "shop_children"], """
+ORACLES["split_same_child"] = with_views(["shop_annotations", "shop_recordings", "shop_children"], """
     SELECT DISTINCT si.recording, si.set_name, si.line, si.child_id, si.dataset, si.range_onset, si.range_offset,
            si.duration_ms, si.annotation_path,
            regexp_replace(si.recording_path, '\\.[^./]*$', '') || '.wav' AS recording_path, g.split
-    FROM si JOIN g ON g.rn > 0 AND g.child_id IS NOT DISTINCT FROM si.child_id
+    FROM si JOIN g ON g.child_id IS NOT DISTINCT FROM si.child_id
                    AND g.dataset IS NOT DISTINCT FROM si.dataset""", _SAME_CHILD)
 
 ORACLES["validation_report"] = " UNION ALL ".join(

@@ -123,14 +123,15 @@ def recordings_on_clips(spark, sf):
 
 @query
 def slice_payload(spark, sf):
-    """Conversation text cut to the clips of its turns. Offsets, clips and the
-    assignment run on narrow rows; the text joins once, on (conversation, turn)."""
+    """Conversation text cut to clips that begin and end inside turns (every second turn, moved by
+    some characters). Offsets and clips are narrow rows; the text joins once, on (conversation, turn)."""
     from annolake.session import cut_lineage
     # narrow positions (recording, turn, onset, offset) written once: the clip
     # list and the assignment both read them instead of redoing the prefix sums
     t = cut_lineage(V.turns(spark, sf, with_text=False), "turn_positions")
-    clips = I.support(t, ["recording"], start="onset", end="offset_ms") \
-             .withColumnRenamed("onset", "start").withColumnRenamed("offset_ms", "end")
+    every = t.filter(F.col("turn") % 2 == 0).select(
+        "recording", (F.col("onset") + 10).alias("start"), (F.col("offset_ms") + 15).alias("end"))
+    clips = I.support(every, ["recording"])
     texts = V.table(spark, sf, "conversations").select(F.col("conv_id").alias("recording"), "turn", "text")
     pieces, _ = I.slice_payload(t, clips, key="recording", onset="onset", offset="offset_ms", col="text",
                                 texts=texts, text_keys=["recording", "turn"])
@@ -170,14 +171,14 @@ def weighted_split_two_level(spark, sf):
 
 @query
 def entity_split(spark, sf):
-    """T4: entity-exclusive greedy split (exact: one shard at this size)."""
+    """T4: entity-exclusive split by the running weight of the entities."""
     return T.entity_split(V.docs_index(spark, sf), "entity", "weight", (800, 100, 100), seed=0) \
             .select("key", "entity", "weight", "split")
 
 
 @query
 def entity_split_sharded(spark, sf):
-    """T4 in 4 hash shards (each with its share of the targets); rows-only check."""
+    """T4, greedy in 4 hash shards (each with its share of the targets)."""
     return T.entity_split(V.docs_index(spark, sf), "entity", "weight", (800, 100, 100), seed=0, shards=4) \
             .select("key", "entity", "weight", "split")
 
@@ -248,13 +249,14 @@ def _doc_profile(spark, sf):
     # the generated profile (one row per set and column) is the E3 artifact the
     # summaries and checks read: written once, like the profile JSON
     from annolake.session import cut_lineage
-    return cut_lineage(A.build_profile(V.doc_labels(spark, sf), V.doc_files(spark, sf),
+    from annolake.plans.profiling import profile_corpora
+    return cut_lineage(profile_corpora(V.doc_labels(spark, sf), V.doc_files(spark, sf),
                                        V.doc_sidecars(spark, sf)), "profile")
 
 
 @query
 def generated_profile(spark, sf):
-    """The generated profile (dataset, set, column) over sets with a sidecar."""
+    """The generated profile (dataset, set, column) over manual sets."""
     return _doc_profile(spark, sf).select(*_PROFILE_COLS)
 
 
@@ -327,7 +329,10 @@ from annolake.operators import curate as CU  # noqa: E402
 
 
 def _shop_segments(spark, sf):
-    seg = V.shop_annotations(spark, sf).withColumn("seg_ms", F.col("range_offset") - F.col("range_onset"))
+    # manual sets only
+    gold = CU.gold_sets(V.shop_sidecars(spark, sf)).select("set_name")
+    seg = V.shop_annotations(spark, sf).join(gold, "set_name", "left_semi") \
+        .withColumn("seg_ms", F.col("range_offset") - F.col("range_onset"))
     return CU.child_segments(V.shop_children(spark, sf), V.shop_recordings(spark, sf), seg)
 
 
@@ -561,10 +566,20 @@ def _ev_corpus(spark, sf):
     from annolake.plans.create_dataset import Corpus
     ann = V.ev_files(spark, sf).withColumn("dataset", F.lit("events"))
     rec = V.ev_file_recordings(spark, sf).withColumn("dataset", F.lit("events"))
-    kids = rec.select("dataset", "child_id").distinct()
+    # users whose number ends in 3: recording discarded; in 7: child discarded
+    last = F.regexp_extract("child_id", "([0-9])$", 1)
+    kids = rec.select("dataset", "child_id", F.when(last == "7", "1").alias("discard")).distinct()
+    rec = rec.withColumn("discard", F.when(last == "3", "1"))
     return Corpus(kids, rec, ann)
 
 
+def _ev_sidecars(spark, sf):
+    """Sidecars of the event sets: ``signup`` has none, ``purchase`` is automated."""
+    sets = V.table(spark, sf, "events").select(F.lit("events").alias("dataset"), F.col("event_type").alias("set")).distinct()
+    return sets.filter("set <> 'signup'").withColumn(
+        "method", F.when(F.col("set") == "purchase", "automated").otherwise("manual"))
+
+
 def _ev_labels_keyed(spark, sf):
     return V.ev_labels(spark, sf).withColumn("dataset", F.lit("events"))
 
@@ -574,7 +589,8 @@ def create_dataset(spark, sf):
     """E1 flagship: vtc files (non-null speaker_type) -> namespaced -> cut to clips -> rebased annotations."""
     from annolake.plans.create_dataset import create_dataset as build
     res = build(_ev_corpus(spark, sf), _ev_labels_keyed(spark, sf), V.ev_category_index(spark, sf), "vtc",
-                file_key=("dataset", "set", "seg_id"))
+                file_key=("dataset", "set", "seg_id"),
+                sidecars=_ev_sidecars(spark, sf))
     return res.corpus.annotations.select("seg_id", "set", "recording_filename", "range_onset", "range_offset",
                                          "time_seek", "annotation_filename", "raw_filename")
 
@@ -584,7 +600,8 @@ def create_dataset_recordings(spark, sf):
     """The clip recordings table of the flagship corpus."""
     from annolake.plans.create_dataset import create_dataset as build
     res = build(_ev_corpus(spark, sf), _ev_labels_keyed(spark, sf), V.ev_category_index(spark, sf), "vtc",
-                file_key=("dataset", "set", "seg_id"))
+                file_key=("dataset", "set", "seg_id"),
+                sidecars=_ev_sidecars(spark, sf))
     return res.corpus.recordings.select("recording_filename", "child_id", "duration", "experiment")
 
 
@@ -650,7 +667,8 @@ def split_curated(spark, sf):
     """E1 curation (vtc files) then E2: split stratified by set, weighted by annotation length."""
     from annolake.plans.splits import split_curated as run
     res = run(_ev_corpus(spark, sf), _ev_labels_keyed(spark, sf), V.ev_category_index(spark, sf), "vtc",
-              key="seg_id", fractions=(700, 200, 100), stratify_set=True, file_key=("dataset", "set", "seg_id"))
+              key="seg_id", fractions=(700, 200, 100), stratify_set=True, file_key=("dataset", "set", "seg_id"),
+                sidecars=_ev_sidecars(spark, sf))
     return res.rows.select("seg_id", "set", "child_id", "duration_ms", "annotation_path", "recording_path", "split")
 
 
@@ -673,7 +691,8 @@ def split_created(spark, sf):
     clip recordings (J3), split per corpus weighted by annotation length."""
     from annolake.plans.create_dataset import create_dataset as build
     res = build(_ev_corpus(spark, sf), _ev_labels_keyed(spark, sf), V.ev_category_index(spark, sf), "vtc",
-                file_key=("dataset", "set", "seg_id"))
+                file_key=("dataset", "set", "seg_id"),
+                sidecars=_ev_sidecars(spark, sf))
     ann = res.corpus.annotations.select("seg_id", "set", "recording_filename", "range_onset", "range_offset")
     rec = res.corpus.recordings.select("recording_filename", "child_id")
     si = (ann.join(rec, "recording_filename", "left")
@@ -688,5 +707,6 @@ def create_dataset_copies(spark, sf):
     """E1 + U4: files the flagship corpus copies (annotations, sidecars, raw and standard recordings)."""
     from annolake.plans.create_dataset import create_dataset as build
     res = build(_ev_corpus(spark, sf), _ev_labels_keyed(spark, sf), V.ev_category_index(spark, sf), "vtc",
-                file_key=("dataset", "set", "seg_id"))
+                file_key=("dataset", "set", "seg_id"),
+                sidecars=_ev_sidecars(spark, sf))
     return res.copies.select("kind", "source", "target")

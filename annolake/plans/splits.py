@@ -46,18 +46,15 @@ def assert_exclusive(res: SplitResult) -> None:
         raise AssertionError("an entity is in more than one split")
 
 
-def key_of(*cols: str):
-    return F.concat_ws(":", *cols)
-
-
 def split_curated(corpus, labels: DataFrame, index_long: DataFrame, category: str, key: str,
                   fractions=(800, 100, 100), stratify_set: bool = False, same_child: bool = False, seed: int = 0,
-                  file_key=("dataset", "set", "annotation_filename")) -> SplitResult:
-    """E1 curation (category filter and propagation) followed by E2."""
+                  file_key=("dataset", "set", "annotation_filename"), sidecars: DataFrame | None = None,
+                  children_expr: str | None = None) -> SplitResult:
+    """E1 selection and curation (manual sets, discarded rows, category) followed by E2."""
     from annolake.operators.curate import file_split_input
-    from annolake.plans.create_dataset import curate
+    from annolake.plans.create_dataset import curate, select_files
 
-    cur = curate(corpus, labels, index_long, category, file_key)
+    cur = curate(select_files(corpus, sidecars, children_expr), labels, index_long, category, file_key)
     si = file_split_input(cur.annotations, cur.recordings, cur.children).withColumnRenamed("set", "set_name")
     res = make_splits(si, key, "duration_ms", fractions, stratify_set=stratify_set, same_child=same_child,
                       seed=seed, path_col="recording_path")
