@@ -13,3 +13,10 @@ DataFrame / SQL / window primitives. Sub-packages:
 from annolake.session import get_session, checkpoint_dir
 
 __all__ = ["get_session", "checkpoint_dir"]
+
+import sys  # noqa: E402
+
+from pyspark import cloudpickle  # noqa: E402
+
+# Functions that run in tasks travel by value, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -21,8 +21,11 @@ def ingest(spark: SparkSession, root: str, out: str, datasets=None) -> dict[str,
     paths = {}
     for t in TABLES:
         paths[t] = write_table(scan_index(spark, root, t, datasets), f"{out}/{t}", partition_by=["dataset"])
-    paths["segments"] = write_table(scan_segments(spark, root), f"{out}/segments", partition_by=["dataset"])
-    paths["sidecars"] = write_table(scan_sidecars(spark, root), f"{out}/sidecars", partition_by=["dataset"])
+    paths["segments"] = write_table(scan_segments(spark, root, datasets=datasets), f"{out}/segments", partition_by=["dataset"])
+    sidecars = scan_sidecars(spark, root)
+    if datasets:
+        sidecars = sidecars.filter(sidecars["dataset"].isin(list(datasets)))
+    paths["sidecars"] = write_table(sidecars, f"{out}/sidecars", partition_by=["dataset"])
     return paths
 
 

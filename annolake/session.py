@@ -71,4 +71,19 @@ def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
+    _WRITTEN.append(path)
     return spark.read.parquet(path)
+
+
+_WRITTEN: list[str] = []
+
+
+def drop_tables(spark: SparkSession) -> int:
+    """Delete the tables that ``cut_lineage`` has written in this process, and nothing else: to be
+    called when the results that read them have been written. Returns their number."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    n = 0
+    while _WRITTEN:
+        path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        n += bool(path.getFileSystem(conf).delete(path, True))
+    return n

@@ -1,149 +1,105 @@
 """Index tables (one CSV per corpus) and segment tables (many small CSVs
 whose columns differ by set).
 
-Spark's CSV reader matches columns by position, so files with different headers
-must not share a reader. Headers are found by a distributed job (the file list
-comes from a content-free ``binaryFile`` listing; each executor reads only the
-first line of its files), files are grouped by header, and each group is read
-by one CSV reader with an all-string schema taken from its header. Groups are
-unioned by name (missing columns -> null). The number of readers is the number
-of distinct headers (bounded by the number of sets), not of files.
+Files differ in their headers, so each file is parsed whole in the task that reads
+it and its rows become maps from column name to value. Only distinct column
+names ever come to the driver (S1, whose result has a column for each); the list
+of files never does. Paths, selections and the annotation index prune the files
+before their content is read. Cells may hold line breaks. Paths go through Spark's own
+reader, so any store that Spark reads will do. A file is one annotation index or one
+annotated stretch: small enough for one task by nature.
 """
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from annolake.functions.columns import NULL_WORDS, nullify
-from annolake.operators.curate import label_columns
-
-
-def _first_lines(batches):
-    """mapInPandas: (path) -> (path, first line). Reads one line per file; one
-    filesystem client per (scheme, authority) and partition."""
-    from urllib.parse import urlparse
-
-    import pandas as pd
-    from pyarrow import fs as pafs
-
-    clients = {}
-    for pdf in batches:
-        heads = []
-        for p in pdf["path"]:
-            u = urlparse(p)
-            if (u.scheme, u.netloc) not in clients:
-                clients[(u.scheme, u.netloc)] = pafs.FileSystem.from_uri(p)[0]
-            filesystem = clients[(u.scheme, u.netloc)]
-            # object stores address files as bucket/key, the others by path
-            rel = f"{u.netloc}{u.path}" if u.scheme in ("s3", "s3a", "gs", "gcs") else u.path
-            with filesystem.open_input_stream(rel) as f:
-                buf = b""
-                while b"\n" not in buf:
-                    chunk = f.read(4096)
-                    if not chunk:
-                        break
-                    buf += chunk
-            heads.append(buf.split(b"\n", 1)[0].decode("utf-8-sig").rstrip("\r"))
-        yield pd.DataFrame({"path": pdf["path"], "header": heads})
-
-
-def _split_header(line: str) -> list[str]:
-    import csv
-    return [h.strip() for h in next(csv.reader([line]))]
+from annolake.operators.curate import STANDARD_COLUMNS
+
+# Columns of the index tables that are not text.
+LONG_COLUMNS = ("time_seek", "range_onset", "range_offset", "duration", "segment_onset", "segment_offset")
+DATE_COLUMNS = ("date_iso", "child_dob")
 
 
 def list_files(spark: SparkSession, root: str, glob: str) -> DataFrame:
-    """Distributed listing (no file content is read)."""
+    """(path, content) of the files under ``root``; the content is only read where it is used."""
     return (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-            .option("recursiveFileLookup", "true").load(root).select("path"))
-
-
-def read_csv_groups(spark: SparkSession, files: DataFrame,
-                    null_words: Iterable[str] = NULL_WORDS) -> list[tuple[list[str], DataFrame]]:
-    """One (header columns, DataFrame) per distinct header; all columns strings,
-    null words nulled, ``_path`` = source file."""
-    heads = files.mapInPandas(_first_lines, "path string, header string")
-    groups: dict[str, list[str]] = defaultdict(list)
-    for r in heads.collect():      # one (path, header) row per file: the file list Spark's own reader needs
-        groups[r["header"]].append(r["path"])
-    out = []
-    for header, paths in sorted(groups.items()):
-        cols = _split_header(header)
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in cols])
-        df = (spark.read.option("header", "true").option("mode", "PERMISSIVE").option("escape", '"')
-              .schema(schema).csv(paths)
-              .withColumn("_path", F.col("_metadata.file_path")))
-        df = df.select(*[nullify(F.col(f"`{c}`"), null_words).alias(c) for c in cols], "_path")
-        out.append((cols, df))
-    return out
-
-
-def read_csv_by_header(spark: SparkSession, files: DataFrame, null_words: Iterable[str] = NULL_WORDS) -> DataFrame:
-    """Read CSV files with heterogeneous headers, union by name (missing -> null).
-
-    Adds ``_path`` (the source file). Repeated headers in another order form
-    their own group; the union is by name.
-    """
-    groups = read_csv_groups(spark, files, null_words)
-    if not groups:
-        return spark.createDataFrame([], "_path string")
-    out = groups[0][1]
-    for _, f in groups[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out
+            .option("recursiveFileLookup", "true").load(root).select("path", "content"))
+
+
+def csv_rows(files: DataFrame, null_words: Iterable[str] = NULL_WORDS) -> DataFrame:
+    """(path, content) -> (path, row MAP<STRING,STRING>), one for each CSV row.
+
+    Cells that are null words and cells that a short row lacks are null; blank lines are
+    no rows; of two columns of one name the last counts."""
+    def parse(batches):
+        import csv
+        import io
+
+        import pyarrow as pa
+
+        csv.field_size_limit(1 << 30)
+        for batch in batches:
+            for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                lines = csv.reader(io.StringIO(content.decode("utf-8-sig"), newline=""))
+                head = [h.strip() for h in next(lines, [])]
+                rows = [list(dict(zip(head, [*r, *[None] * (len(head) - len(r))])).items()) for r in lines if r]
+                for k in range(0, len(rows), 4096):
+                    part = rows[k:k + 4096]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([path] * len(part), pa.string()), pa.array(part, pa.map_(pa.string(), pa.string()))],
+                        names=["path", "row"])
+
+    out = files.select("path", "content").mapInArrow(parse, "path string, row map<string,string>")
+    return out.select("path", F.transform_values("row", lambda k, v: nullify(v, null_words)).alias("row"))
+
+
+def _typed(name: str):
+    v = F.col("row")[name]
+    return (v.try_cast("long") if name in LONG_COLUMNS else v.try_cast("date") if name in DATE_COLUMNS else v).alias(name)
 
 
 def scan_index(spark: SparkSession, root: str, table: str, datasets: Sequence[str] | None = None) -> DataFrame:
-    """``<root>/<dataset>/metadata/<table>.csv`` of every corpus, tagged with ``dataset``."""
-    files = list_files(spark, root, f"{table}.csv")
+    """``<root>/<dataset>/metadata/<table>.csv`` of every corpus, tagged with ``dataset``;
+    the union of all columns (missing -> null), times as longs and dates as dates."""
     rx = rf"/([^/]+)/metadata/{table}\.csv$"
-    files = files.filter(F.col("path").rlike(rx))
+    files = list_files(spark, root, f"{table}.csv").filter(F.col("path").rlike(rx))
     if datasets:
         files = files.filter(F.regexp_extract("path", rx, 1).isin(list(datasets)))
-    df = read_csv_by_header(spark, files)
-    return df.withColumn("dataset", F.regexp_extract("_path", rx, 1)).drop("_path")
+    rows = csv_rows(files)
+    names = sorted(r[0] for r in rows.select(F.explode(F.map_keys("row")).alias("k")).distinct().collect())
+    return rows.select(*[_typed(n) for n in names if n != "dataset"], F.regexp_extract("path", rx, 1).alias("dataset"))
 
 
 def scan_segments(spark: SparkSession, root: str, index: DataFrame | None = None,
-                  onset: str = "segment_onset", offset: str = "segment_offset") -> DataFrame:
+                  onset: str = "segment_onset", offset: str = "segment_offset",
+                  datasets: Sequence[str] | None = None) -> DataFrame:
     """Segment CSVs under ``<root>/<dataset>/annotations/<set>/converted/``.
 
     Label columns (all but the standard ones, F6) are folded into
     ``labels MAP<STRING,STRING>`` (a header column that is all null stays a key
-    with null values). When an annotation ``index`` is given, only its files are
-    kept (semi-join on dataset, set, annotation_filename).
+    with null values). ``datasets`` and an annotation ``index`` (semi-join on dataset, set,
+    annotation_filename) choose the files before they are parsed.
     """
-    files = list_files(spark, root, "*.csv")
     rx = r"/([^/]+)/annotations/(.+)/converted/([^/]+)$"
-    files = files.filter(F.col("path").rlike(rx))
-    parts = []
-    for cols, raw in read_csv_groups(spark, files):
-        lab = label_columns(cols)      # fold per header: only this header's label columns
-        labels = (F.map_from_arrays(F.array(*[F.lit(c) for c in lab]),
-                                    F.array(*[F.col(f"`{c}`") for c in lab])) if lab
-                  else F.create_map().cast("map<string,string>"))
-        parts.append(raw.select(
-            F.regexp_extract("_path", rx, 1).alias("dataset"),
-            F.regexp_extract("_path", rx, 2).alias("set"),
-            F.regexp_extract("_path", rx, 3).alias("annotation_filename"),
-            (F.col(onset) if onset in cols else F.lit(None)).try_cast("long").alias(onset),
-            (F.col(offset) if offset in cols else F.lit(None)).try_cast("long").alias(offset),
-            labels.alias("labels")))
-    if not parts:
-        return spark.createDataFrame([], f"dataset string, set string, annotation_filename string, {onset} bigint, "
-                                         f"{offset} bigint, labels map<string,string>")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    names = ("dataset", "set", "annotation_filename")
+    part = {n: F.regexp_extract("path", rx, k + 1) for k, n in enumerate(names)}
+    files = list_files(spark, root, "*.csv").filter(F.col("path").rlike(rx))
+    if datasets:
+        files = files.filter(part["dataset"].isin(list(datasets)))
     if index is not None:
-        out = out.join(index.select("dataset", "set", "annotation_filename").distinct(),
-                       ["dataset", "set", "annotation_filename"], "left_semi")
-    return out
+        wanted = index.select(*names).distinct()
+        chosen = files.select("path", *[part[n].alias(n) for n in names]).join(wanted, list(names), "left_semi").select("path")
+        files = files.join(chosen, "path", "left_semi")
+    standard = F.array(*[F.lit(c) for c in STANDARD_COLUMNS])
+    return csv_rows(files).select(
+        *[part[n].alias(n) for n in names],
+        F.col("row")[onset].try_cast("long").alias(onset), F.col("row")[offset].try_cast("long").alias(offset),
+        F.map_filter("row", lambda k, v: ~F.array_contains(standard, k)).alias("labels"))
 
 
 def segments_long(segments: DataFrame, fill_set_columns: bool = True) -> DataFrame:

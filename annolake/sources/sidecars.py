@@ -78,7 +78,9 @@ def parse_sidecar_text(text: Column) -> Column:
             F.regexp_replace(F.trim(F.regexp_extract(ln, r"^[^:]*:\s*(.*?)(\s+#.*)?\s*$", 1)),
                              r"^(['\"])(.*)\1$", "$2").alias("v"))),
         lambda e: (e["k"] != "") & ~e["v"].isin(*_YAML_NULL))
-    return F.map_from_entries(kv)
+    # a key given twice has its last value
+    last = F.filter(kv, lambda e, i: ~F.exists(F.slice(kv, i + 2, F.size(kv)), lambda x: x["k"] == e["k"]))
+    return F.map_from_entries(last)
 
 
 def scan_sidecars(spark: SparkSession, root: str, file_name: str = SIDECAR_FILE) -> DataFrame:

@@ -27,7 +27,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = [a for a in sys.argv[1:]] or HEADLINE
-    from annolake.session import get_session
+    from annolake.session import drop_tables, get_session
     from annolake.plans.queries import QUERIES
 
     spark = get_session(f"local[{cpus}]", shuffle_partitions=cpus)   # one shuffle partition per core; AQE coalesces
@@ -39,6 +39,7 @@ def main() -> None:
         t0 = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)
+        drop_tables(spark)
     sf = sf_dir.rsplit("sf", 1)[-1]
     print(json.dumps({"metric": "headline_queries_total", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": sf}))

@@ -4,8 +4,6 @@ filter -> cut -> rebased corpus, and the profile JSON round trip."""
 import json
 import os
 
-from pyspark.sql import functions as F
-
 from annolake.operators import profile as A
 from annolake.plans.create_dataset import Corpus, create_dataset
 from annolake.plans.profiling import profile_corpora, validation_report
@@ -21,23 +19,23 @@ def _w(path, text):
 
 
 def build_tree(root):
-    _w(f"{root}/lab/metadata/children.csv", "child_id,child_sex,child_dob\nC1,F,2023-01-01\nC2,M,2022-06-01\n")
+    _w(f"{root}/lab/metadata/children.csv", "child_id,child_sex,child_dob\nK7,F,2019-11-05\nK9,M,2020-02-20\n")
     _w(f"{root}/lab/metadata/recordings.csv",
        "experiment,child_id,date_iso,recording_filename,duration\n"
-       "exp1,C1,2024-06-01,recording_1.wav,62000\nexp1,C2,2024-06-02,recording_2.wav,52000\n")
+       "pilot,K7,2021-03-14,dawn.wav,71000\npilot,K9,2021-03-15,dusk.wav,64000\n")
     _w(f"{root}/lab/metadata/annotations.csv",
        "set,recording_filename,raw_filename,time_seek,range_onset,range_offset,annotation_filename\n"
-       "human,recording_1.wav,recording_1.wav,0,42000,60000,recording_1_42000_60000.csv\n"
-       "human,recording_1.wav,recording_1.wav,0,0,38000,recording_1_0_38000.csv\n"
-       "human,recording_2.wav,recording_2.mp3,5000,15000,45000,recording_2_15000_45000.csv\n"
-       "auto,recording_2.wav,recording_2.mp3,0,0,52000,recording_2_0_52000.csv\n")
-    _w(f"{root}/lab/annotations/human/converted/recording_1_42000_60000.csv",
-       "segment_onset,segment_offset,speaker_type,transcription\n42000,43000,CHI,hi\n50000,52000,FEM,\n")
-    _w(f"{root}/lab/annotations/human/converted/recording_1_0_38000.csv",
+       "human,dawn.wav,dawn.wav,0,47000,66000,dawn_47000_66000.csv\n"
+       "human,dawn.wav,dawn.wav,0,0,33000,dawn_0_33000.csv\n"
+       "human,dusk.wav,dusk.mp3,2500,12000,41000,dusk_12000_41000.csv\n"
+       "auto,dusk.wav,dusk.mp3,0,0,64000,dusk_0_64000.csv\n")
+    _w(f"{root}/lab/annotations/human/converted/dawn_47000_66000.csv",
+       "segment_onset,segment_offset,speaker_type,transcription\n47000,48000,CHI,hi\n50000,52000,FEM,\n")
+    _w(f"{root}/lab/annotations/human/converted/dawn_0_33000.csv",
        "segment_onset,segment_offset,speaker_type,transcription\n1000,2000,NA,\n")
-    _w(f"{root}/lab/annotations/human/converted/recording_2_15000_45000.csv",
+    _w(f"{root}/lab/annotations/human/converted/dusk_12000_41000.csv",
        "segment_onset,segment_offset,speaker_type,transcription\n16000,17000,MAL,yo\n")
-    _w(f"{root}/lab/annotations/auto/converted/recording_2_0_52000.csv",
+    _w(f"{root}/lab/annotations/auto/converted/dusk_0_64000.csv",
        "segment_onset,segment_offset,speaker_type\n0,100,CHI\n")
     _w(f"{root}/lab/annotations/human/metannots.yml", "method: manual\nhas_speaker_type: Y\nhas_transcription: Y\n")
     _w(f"{root}/lab/annotations/auto/metannots.yml", "method: automated\n")
@@ -47,9 +45,6 @@ def test_create_dataset_from_files(spark, tmp_path):
     root = str(tmp_path / "c")
     build_tree(root)
     ch, rc, an = (scan_index(spark, root, t) for t in ("children", "recordings", "annotations"))
-    an = an.select("dataset", "set", "recording_filename", "raw_filename", "annotation_filename",
-                   *[F.col(c).cast("long").alias(c) for c in ("time_seek", "range_onset", "range_offset")])
-    rc = rc.withColumn("duration", F.col("duration").cast("long"))
     seg = segments_long(scan_segments(spark, root)).withColumnRenamed("set", "set_name") \
         .withColumnRenamed("segment_onset", "onset").withColumnRenamed("segment_offset", "offset_ms")
     idx = spark.createDataFrame([("lab", "human", "vtc_cols", "speaker_type"),
@@ -61,13 +56,13 @@ def test_create_dataset_from_files(spark, tmp_path):
     out = sorted((r.set, r.recording_filename, r.range_onset, r.range_offset, r.annotation_filename)
                  for r in res.corpus.annotations.collect())
     assert out == [
-        ("lab/human", "lab/recording_1-42000to60000.wav", 0, 18000, "recording_1-42000to60000_0_18000.csv"),
-        ("lab/human", "lab/recording_2-15000to45000.wav", 0, 30000, "recording_2-15000to45000_0_30000.csv"),
+        ("lab/human", "lab/dawn-47000to66000.wav", 0, 19000, "dawn-47000to66000_0_19000.csv"),
+        ("lab/human", "lab/dusk-12000to41000.wav", 0, 29000, "dusk-12000to41000_0_29000.csv"),
     ]
     recs = sorted((r.recording_filename, r.duration, r.child_id, r.experiment) for r in res.corpus.recordings.collect())
-    assert recs == [("lab/recording_1-42000to60000.wav", 18000, "lab_C1", "benchmarking"),
-                    ("lab/recording_2-15000to45000.wav", 30000, "lab_C2", "benchmarking")]
-    assert sorted(r.child_id for r in res.corpus.children.collect()) == ["lab_C1", "lab_C2"]
+    assert recs == [("lab/dawn-47000to66000.wav", 19000, "lab_K7", "benchmarking"),
+                    ("lab/dusk-12000to41000.wav", 29000, "lab_K9", "benchmarking")]
+    assert sorted(r.child_id for r in res.corpus.children.collect()) == ["lab_K7", "lab_K9"]
     assert res.discarded.count() == 0
 
 
@@ -81,8 +76,8 @@ def test_profile_round_trip_and_checks(spark, tmp_path):
     prof = profile_corpora(seg, an, sc)        # gold (manual) sets only
     got = sorted((r.set_name, r.column, r.annotated_duration_ms, r.num_of_non_empty_segments,
                   r.duration_from_samples_ms, r.number_of_samples) for r in prof.collect())
-    assert got == [("human", "speaker_type", 4000, 3, 18000 + 38000 + 30000, 3),
-                   ("human", "transcription", 2000, 2, 86000, 3)]
+    assert got == [("human", "speaker_type", 4000, 3, 19000 + 33000 + 29000, 3),
+                   ("human", "transcription", 2000, 2, 81000, 3)]
     out = str(tmp_path / "profiles")
     write_profiles(prof, out)
     back = scan_profiles(spark, out)
@@ -123,9 +118,6 @@ def test_write_corpus(spark, tmp_path):
     root = str(tmp_path / "c")
     build_tree(root)
     ch, rc, an = (scan_index(spark, root, t) for t in ("children", "recordings", "annotations"))
-    an = an.select("dataset", "set", "recording_filename", "raw_filename", "annotation_filename",
-                   *[F.col(c).cast("long").alias(c) for c in ("time_seek", "range_onset", "range_offset")])
-    rc = rc.withColumn("duration", F.col("duration").cast("long"))
     seg = segments_long(scan_segments(spark, root)).withColumnRenamed("set", "set_name") \
         .withColumnRenamed("segment_onset", "onset").withColumnRenamed("segment_offset", "offset_ms")
     idx = spark.createDataFrame([("lab", "human", "vtc_cols", "speaker_type"), ("lab", "auto", "vtc_cols", "speaker_type")],
@@ -143,19 +135,48 @@ def test_copy_manifest_of_flagship(spark, tmp_path):
     root = str(tmp_path / "c")
     build_tree(root)
     ch, rc, an = (scan_index(spark, root, t) for t in ("children", "recordings", "annotations"))
-    an = an.select("dataset", "set", "recording_filename", "raw_filename", "annotation_filename",
-                   *[F.col(c).cast("long").alias(c) for c in ("time_seek", "range_onset", "range_offset")])
-    rc = rc.withColumn("duration", F.col("duration").cast("long"))
     seg = segments_long(scan_segments(spark, root)).withColumnRenamed("set", "set_name") \
         .withColumnRenamed("segment_onset", "onset").withColumnRenamed("segment_offset", "offset_ms")
     idx = spark.createDataFrame([("lab", "human", "transcription_cols", "transcription")],
                                 "dataset string, set_name string, category string, column string")
-    res = create_dataset(Corpus(ch, rc, an), seg, idx, "transcription", datasets_root=root)
+    res = create_dataset(Corpus(ch, rc, an), seg, idx, "transcription", datasets_root=root, sidecars=scan_sidecars(spark, root))
     got = sorted((r.kind, r.target) for r in res.copies.collect())
     assert got == [
-        ("annotation", "./annotations/lab/human/converted/recording_1_42000_60000.csv"),
-        ("annotation", "./annotations/lab/human/converted/recording_2_15000_45000.csv"),
-        ("raw", "./recordings/raw/lab/recording_1.wav"), ("raw", "./recordings/raw/lab/recording_2.wav"),
+        ("annotation", "./annotations/lab/human/converted/dawn_47000_66000.csv"),
+        ("annotation", "./annotations/lab/human/converted/dusk_12000_41000.csv"),
+        ("raw", "./recordings/raw/lab/dawn.wav"), ("raw", "./recordings/raw/lab/dusk.wav"),
         ("sidecar", "./annotations/lab/human/metannots.yml"),
-        ("standard", "./recordings/converted/standard/lab/recording_1.wav"),
-        ("standard", "./recordings/converted/standard/lab/recording_2.wav")]
+        ("standard", "./recordings/converted/standard/lab/dawn.wav"),
+        ("standard", "./recordings/converted/standard/lab/dusk.wav")]
+
+
+def test_flagship_selects_files(spark, tmp_path):
+    """Discarded children and recordings, sets that are not manual and sets without a sidecar do not come out;
+    a set that the index does not know is an error."""
+    import pytest
+    kids = spark.createDataFrame([("d", "a", None, 1), ("d", "b", "1", 2), ("d", "c", None, 3)],
+                                 "dataset string, child_id string, discard string, age int")
+    recs = spark.createDataFrame([("d", "a.wav", "a", 100, None), ("d", "a2.wav", "a", 100, "1"), ("d", "b.wav", "b", 100, None),
+                                  ("d", "c.wav", "c", 100, None)],
+                                 "dataset string, recording_filename string, child_id string, duration long, discard string")
+    ann = spark.createDataFrame([("d", s, f"{r}.wav", f"{r}.wav", 0, 0, 50, f"{s}_{r}_0_50.csv") for s in ("man", "auto", "bare")
+                                 for r in ("a", "a2", "b", "c")],
+                                "dataset string, set string, recording_filename string, raw_filename string, time_seek long, "
+                                "range_onset long, range_offset long, annotation_filename string")
+    lab = ann.selectExpr("dataset", "set set_name", "annotation_filename", "'x' label", "'v' value")
+    side = spark.createDataFrame([("d", "man", "manual"), ("d", "auto", "automated")], "dataset string, set_name string, method string")
+    idx = spark.createDataFrame([("d", "man", "vtc_cols", "x")], "dataset string, set_name string, category string, column string")
+    res = create_dataset(Corpus(kids, recs, ann), lab, idx, "vtc", sidecars=side, children_expr="age < 3")
+    assert [(r.set, r.recording_filename) for r in res.corpus.annotations.collect()] == [("d/man", "d/a-0to50.wav")]
+    assert [r.child_id for r in res.corpus.children.collect()] == ["d_a"]
+    with pytest.raises(ValueError, match="auto"):
+        create_dataset(Corpus(kids, recs, ann), lab, idx, "vtc")
+
+
+def test_written_tables_are_dropped(spark):
+    import os
+
+    from annolake.session import cut_lineage, drop_tables
+    drop_tables(spark)
+    path = cut_lineage(spark.range(3).toDF("x"), "t").inputFiles()[0].removeprefix("file://")
+    assert os.path.exists(path) and drop_tables(spark) == 1 and not os.path.exists(path)

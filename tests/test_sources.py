@@ -39,8 +39,8 @@ def test_scan_index_heterogeneous_headers(spark, tmp_path):
     _tree(root)
     df = scan_index(spark, root, "recordings")
     rows = sorted((r.dataset, r.recording_filename, r.child_id, r.duration, r.discard) for r in df.collect())
-    assert rows == [("c1", "r1.wav", "A", "1000", None), ("c1", "r2.wav", "B", None, None),
-                    ("c2", "y,1.wav", "Y", "7", None), ("c2", "z1.wav", "Z", "5", "1")]
+    assert rows == [("c1", "r1.wav", "A", 1000, None), ("c1", "r2.wav", "B", None, None),
+                    ("c2", "y,1.wav", "Y", 7, None), ("c2", "z1.wav", "Z", 5, "1")]
     only = scan_index(spark, root, "recordings", datasets=["c2"])
     assert {r.dataset for r in only.collect()} == {"c2"}
 
@@ -130,3 +130,54 @@ def test_merge_replace_null_keys(spark):
     new = spark.createDataFrame([(None, 9), ("a", 8)], "k string, v int")
     got = sorted((str(r.k), r.v) for r in merge_replace(old, new, "k").collect())
     assert got == [("None", 9), ("a", 8), ("b", 3)]
+
+
+def test_cells_with_line_breaks(spark, tmp_path):
+    root = str(tmp_path / "corpora")
+    _w(f"{root}/c1/annotations/s/converted/a_0_9.csv",
+       'segment_onset,segment_offset,transcription\n0,5,"one\ntwo, ""three"""\n\n5,9\n')
+    got = sorted((r.segment_onset, r.segment_offset, r.labels["transcription"]) for r in scan_segments(spark, root).collect())
+    assert got == [(0, 5, 'one\ntwo, "three"'), (5, 9, None)]
+
+
+def test_repeated_sidecar_key_has_its_last_value(spark, tmp_path):
+    root = str(tmp_path / "corpora")
+    _w(f"{root}/c1/annotations/s/metannots.yml", "method: manual\nhas_words: N\nmethod: mixed\n")
+    _w(f"{root}/c1/annotations/t/metannots.yml", "# nothing\n")
+    got = {r.set_name: (r.method, r.has_words) for r in scan_sidecars(spark, root).collect()}
+    assert got == {"s": ("mixed", "N"), "t": (None, None)}
+
+
+def test_selection_prunes_files(spark, tmp_path):
+    from annolake.plans.ingest import ingest, read_ingested
+    root = str(tmp_path / "corpora")
+    _tree(root)
+    _w(f"{root}/c2/annotations/s1/converted/z_0_5.csv", "segment_onset,segment_offset,speaker_type\n0,5,CHI\n")
+    _w(f"{root}/c2/annotations/s1/metannots.yml", "method: manual\n")
+    for t in ("children", "annotations"):
+        _w(f"{root}/c2/metadata/{t}.csv", "child_id\nZ\n")
+    out = str(tmp_path / "out")
+    ingest(spark, root, out, datasets=["c2"])
+    for t in ("recordings", "segments", "sidecars"):
+        assert {r.dataset for r in read_ingested(spark, out, t).collect()} == {"c2"}, t
+    index = spark.createDataFrame([("c1", "s2", "r1_0_500.csv")], "dataset string, set string, annotation_filename string")
+    assert [r.annotation_filename for r in scan_segments(spark, root, index).collect()] == ["r1_0_500.csv"]
+
+
+def test_age_of_a_malformed_date_is_null(spark):
+    from annolake.functions.columns import age_months
+    df = spark.createDataFrame([("2024-13-01", "2020-01-01"), ("2021-01-01", "2020-01-01")], "d string, b string")
+    assert [r.a for r in df.select(age_months("d", "b").alias("a")).collect()] == [None, 12.02]
+
+
+def test_slice_payload_cuts_inside_rows(spark):
+    from annolake.operators.intervals import slice_payload
+    text = spark.createDataFrame([("r", 1, 0, 10, "abcdefghij"), ("r", 2, 10, 12, "kl"), ("r", 3, 12, 12, "")],
+                                 "recording string, turn int, onset long, offset_ms long, text string")
+    clips = spark.createDataFrame([("r", 2, 4), ("r", 6, 9), ("q", 0, 9)], "recording string, start long, end long")
+    for chunk in (1, 3, 60_000):
+        out, gone = slice_payload(text, clips, chunk=chunk)
+        assert sorted((r.clip_start, r.piece_start, r.piece_end, r.text) for r in out.collect()) == [(2, 0, 2, "cd"), (6, 0, 3, "ghi")]
+        assert sorted(r.turn for r in gone.collect()) == [2, 3]
+    raw = text.selectExpr("recording", "turn", "onset", "offset_ms", "cast(text as binary) text")
+    assert sorted(bytes(r.text) for r in slice_payload(raw, clips)[0].collect()) == [b"cd", b"ghi"]
