@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BATCH_ROWS = 1000
-CACHE_ENTRIES = 600_000   # distinct words a task remembers; the cache only saves time
+CACHE_ENTRIES = 300_000   # distinct words a task remembers; the cache only saves time
 CACHE_WORD = 64           # longer words are computed anew each time
 
 

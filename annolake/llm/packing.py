@@ -26,7 +26,7 @@ from annolake.llm.common import CACHE_ENTRIES, CACHE_WORD, small_batches, texts_
 WINDOW = 4096
 END_ID = 2
 TOKENIZER = "word_bpe_49k.json"
-BLOCK_BYTES = 16 << 20     # texts whose ids are looked up together
+BLOCK_BYTES = 8 << 20     # texts whose ids are looked up together
 
 
 # Texts of these characters (ASCII without apostrophe and "<", Latin-1 letters) are split here as the tokenizer's own
