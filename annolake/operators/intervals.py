@@ -78,33 +78,40 @@ def support(df: DataFrame, by: Sequence[str], start: str = "start", end: str = "
             collar: int = 0, chunk: int = DEFAULT_CHUNK) -> DataFrame:
     """I4: merge overlapping / touching intervals per ``by`` key.
 
-    Plan: rows are hash-partitioned once on (key, time chunk). Inside a chunk the
-    running max of earlier ends (seeded with the max end of all earlier chunks)
-    flags where a new island opens; each row's island is the last opening at or
-    before it. Rows fold into partial islands per chunk (partial aggregate, no
-    new exchange); the one leading partial island of a chunk that continues an
-    island from an earlier chunk takes the carried island start. A final
-    aggregate (map-side combined) gives one row per island.
-    Output: ``by`` + [start, end].
+    Support is associative, so rows are read and shuffled once, on (key, time chunk).
+    Inside a chunk equal starts fold to their largest end (a chunk then holds at
+    most ``chunk`` rows, however many intervals start in it), a running max of ends finds
+    the islands of the chunk alone, and only these partial islands go further.
+
+    Partial islands of a chunk are disjoint and ordered, so what an earlier chunk
+    reaches over is a leading run of them: with the largest end of all earlier chunks
+    (``_m``, one row a chunk), a partial island either opens an island of its own or continues
+    the last one opened before its chunk (``_open``). A final aggregate (map-side
+    combined) gives one row per island. Output: ``by`` + [start, end].
     """
     by = list(by)
-    d = df.select(*by, F.col(start).cast("long").alias("_s"), F.col(end).cast("long").alias("_e")) \
-          .filter(F.col("_s") < F.col("_e"))
-    chunk_of = F.floor(F.col("_s") / F.lit(chunk))
-    d = running_agg(d, by, ["_s", "_e"], "_e", "_prev", fn="max", chunk_of=chunk_of,
-                    inclusive=False, keep_partition_cols=True)
-    gap = F.col("_s") - F.col("_prev")
-    new = F.col("_prev").isNull() | ((gap > 0) & (gap >= F.lit(collar)))
-    w = Window.partitionBy(KEY, CHUNK).orderBy("_s", "_e").rowsBetween(Window.unboundedPreceding, 0)
-    d = d.withColumn("_ls", F.max(F.when(new, F.col("_s"))).over(w))
-    partial = d.groupBy(KEY, CHUNK, "_ls").agg(F.min("_s").alias("_ps"), F.max("_e").alias("_pe"))
-    per_chunk = partial.groupBy(KEY, CHUNK).agg(F.max("_ls").alias("_cls"))
+    gap_opens = lambda gap: (gap > 0) & (gap >= F.lit(collar))
+    d = (df.select(F.struct(*[F.col(b) for b in by]).alias(KEY), F.col(start).cast("long").alias("_s"),
+                   F.col(end).cast("long").alias("_e"))
+         .filter(F.col("_s") < F.col("_e"))
+         .withColumn(CHUNK, F.struct(F.floor(F.col("_s") / F.lit(chunk)).alias("c")))
+         .repartition(KEY, CHUNK)
+         .groupBy(KEY, CHUNK, "_s").agg(F.max("_e").alias("_e")))
+    w = Window.partitionBy(KEY, CHUNK).orderBy("_s")
+    d = d.withColumn("_prev", F.max("_e").over(w.rowsBetween(Window.unboundedPreceding, -1)))
+    new = F.col("_prev").isNull() | gap_opens(F.col("_s") - F.col("_prev"))
+    d = d.withColumn("_ps", F.max(F.when(new, F.col("_s"))).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    # the exchange of the partial islands is read by both branches below, the rows only once; its
+    # column order differs from the rows' so that it is not taken for the same partitioning and left out
+    partial = d.groupBy(KEY, CHUNK, "_ps").agg(F.max("_e").alias("_pe")).repartition(CHUNK, KEY)
+    per_chunk = partial.groupBy(KEY, CHUNK).agg(F.max("_ps").alias("_last"), F.max("_pe").alias("_reach"))
     wc = Window.partitionBy(KEY).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    carry = per_chunk.select(KEY, CHUNK, F.max("_cls").over(wc).alias("_carry"))
-    # a partial island without an opening of its own continues the last island
-    # opened in an earlier chunk (at most one such partial island per chunk)
+    opens = lambda at: F.col("_m").isNull() | gap_opens(F.col(at) - F.col("_m"))
+    carry = (per_chunk.withColumn("_m", F.max("_reach").over(wc))
+             .withColumn("_open", F.max(F.when(opens("_last"), F.col("_last"))).over(wc))
+             .select(KEY, CHUNK, "_m", "_open"))
     islands = (partial.join(carry, [KEY, CHUNK], "inner")
-               .select(KEY, F.coalesce("_ls", "_carry").alias("_is"), "_ps", "_pe")
+               .select(KEY, "_ps", "_pe", F.when(opens("_ps"), F.col("_ps")).otherwise(F.col("_open")).alias("_is"))
                .groupBy(KEY, "_is").agg(F.min("_ps").alias(start), F.max("_pe").alias(end)))
     return islands.select(*[F.col(f"{KEY}.{b}").alias(b) for b in by], start, end)
 
@@ -125,7 +132,9 @@ def support_in_recording(df: DataFrame, recordings: DataFrame, key: str = "recor
     if collar:
         c, _ = clip_to_recording(df, recordings, key, duration, start, end)
         return support(c, [key], start, end, collar=collar, chunk=chunk)
-    islands = support(df.select(key, start, end), [key], start, end, chunk=chunk)
+    # null keys have no recording; said here, both branches of the support read the same rows and share their exchange
+    known = df.where(F.col(key).isNotNull())
+    islands = support(known.select(key, start, end), [key], start, end, chunk=chunk)
     c, _ = clip_to_recording(islands, recordings, key, duration, start, end)
     return c
 
