@@ -33,6 +33,17 @@ def with_age(recordings: DataFrame, children: DataFrame, keys: Sequence[str] = (
         "age_months", age_months("date_iso", "child_dob", digits)).drop("child_dob")
 
 
+# Columns of the children table that the subject table keeps.
+SUBJECT_COLUMNS = ("child_id", "child_sex", "normative", "normative_criterion", "dob_criterion", "dob_accuracy")
+
+
+def subject_table(children: DataFrame, recordings: DataFrame, dataset: str = "dataset") -> DataFrame:
+    """A7's other table: one row per kept child with its age in months and those of SUBJECT_COLUMNS that are there."""
+    ch = drop_discarded(children)
+    keep = [c for c in SUBJECT_COLUMNS if c in ch.columns]
+    return child_age(drop_discarded(recordings), ch).select(dataset, *keep, "age_months")
+
+
 def child_age(recordings: DataFrame, children: DataFrame, keys: Sequence[str] = ("child_id",)) -> DataFrame:
     """Age of a child = age at the first recording."""
     r = with_age(recordings, children, keys, digits=None)
@@ -76,7 +87,7 @@ def distribution(df: DataFrame, axis: str, value: str = "duration", by: Sequence
     A null axis is a group of its own. Metric and count come from one aggregate.
     The total is summed exactly in the input unit and divided once by
     ``total_unit`` (e.g. 3600000 for ms -> hours); only the std is rounded.
-    O2: ``sort_by_y`` sorts by the (first) metric descending, ``False`` by axis,
+    O2: ``sort_by_y`` sorts by the (first) metric descending, ``False`` by the axis (by value, not by label),
     ``None`` leaves the order to the sink.
     """
     is_float = dict(df.dtypes).get(axis) in ("double", "float")
@@ -90,12 +101,12 @@ def distribution(df: DataFrame, axis: str, value: str = "duration", by: Sequence
     sel = [aggs[m] for m in metrics]
     if "count" not in metrics:
         sel.append(F.count(value).alias("count"))
-    out = d.groupBy(*by, "_x").agg(*sel).withColumnRenamed("_x", axis)
-    if sort_by_y is True:
-        out = out.orderBy(*by, F.col(metrics[0]).desc_nulls_last(), axis)
-    elif sort_by_y is False:
-        out = out.orderBy(*by, axis)
-    return out
+    sel += [F.min(axis).alias("_at")] if sort_by_y is not None else []
+    out = d.groupBy(*by, "_x").agg(*sel)
+    if sort_by_y is not None:
+        at = F.col("_at").asc_nulls_last()
+        out = out.orderBy(*by, *([F.col(metrics[0]).desc_nulls_last(), at] if sort_by_y else [at])).drop("_at")
+    return out.withColumnRenamed("_x", axis)
 
 
 def pooled(metrics: DataFrame, axis: str, metric: str, count: str = "count", digits: int = 6) -> DataFrame:

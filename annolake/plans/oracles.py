@@ -478,6 +478,20 @@ ORACLES["pooled_std"] = with_views(_SHOP, """
     FROM (SELECT dataset, child_sex, round(stddev_samp(d), 6) AS s, count(d) AS n FROM segs GROUP BY ALL) x
     GROUP BY child_sex""", _SEGS)
 
+VIEWS["shop_subjects"] = """
+    SELECT c.dataset, c.child_id, c.child_dob,
+           CASE WHEN c.child_id % 7 = 0 THEN NULL WHEN c.child_id % 3 = 0 THEN 'F' WHEN c.child_id % 3 = 1 THEN 'm' ELSE 'Male' END AS child_sex,
+           CASE c.child_sex WHEN 'BUILDING' THEN 'en; fr' WHEN 'MACHINERY' THEN NULL ELSE lower(c.child_sex[1:2]) END AS languages,
+           CASE WHEN c.child_id % 5 = 0 THEN 'N' WHEN c.child_id % 5 < 4 THEN 'Y' END AS normative,
+           CASE WHEN c.child_id % 5 = 0 THEN lower(c.child_sex) END AS normative_criterion,
+           'extrapolated' AS dob_criterion, CASE WHEN c.child_id % 2 = 0 THEN 'day' ELSE 'month' END AS dob_accuracy,
+           c.child_id % 11 = 0 AS gone
+    FROM shop_children c"""
+VIEWS["shop_segments"] = """
+    SELECT l_orderkey AS recording, l_returnflag AS set_name, CAST(round(l_quantity * 1000) AS BIGINT) AS d,
+           CASE WHEN l_linenumber > 1 THEN l_linestatus END AS speaker_type, CAST(l_suppkey % 20 AS VARCHAR) AS speaker_id
+    FROM lineitem"""
+
 _AGES = [_KEPT_REC, ("ra", """
     SELECT r.*, c.dataset, datediff('day', c.child_dob, r.date_iso) / 30.4375 AS age_raw,
            round(datediff('day', c.child_dob, r.date_iso) / 30.4375, 2) AS age
@@ -495,22 +509,66 @@ ORACLES["subject_age_bins"] = with_views(_SHOP, """
             ON mm.dataset = ra.dataset) b
     GROUP BY dataset, age_bin""", _AGES)
 
-ORACLES["subject_summary"] = with_views(_SHOP, """
-    SELECT c.dataset, count(*) AS n_children, CAST(0 AS BIGINT) AS monolingual, CAST(0 AS BIGINT) AS multilingual,
-           CAST(0 AS BIGINT) AS normative, CAST(0 AS BIGINT) AS non_normative,
+_SUBJECTS = ["shop_children", "shop_recordings", "shop_subjects", "shop_segments", "shop_sidecars"]
+_KEPT_CH = [_KEPT_REC, ("ck", "SELECT * FROM shop_subjects WHERE NOT gone"), ("ca", """
+    SELECT ck.*, round(f.a, 2) AS age FROM ck LEFT JOIN (
+      SELECT ck.child_id, min(datediff('day', ck.child_dob, rk.date_iso) / 30.4375) AS a
+      FROM ck JOIN rk ON rk.child_id = ck.child_id GROUP BY ck.child_id) f ON f.child_id = ck.child_id""")]
+
+ORACLES["subject_summary"] = with_views(_SUBJECTS, """
+    SELECT ck.dataset, count(*) AS n_children, count(*) FILTER (WHERE languages NOT LIKE '%;%') AS monolingual,
+           count(*) FILTER (WHERE languages LIKE '%;%') AS multilingual,
+           count(*) FILTER (WHERE normative = 'Y') AS normative, count(*) FILTER (WHERE normative = 'N') AS non_normative,
            count(*) FILTER (WHERE upper(trim(child_sex)) IN ('M', 'MALE')) AS male,
            count(*) FILTER (WHERE upper(trim(child_sex)) IN ('F', 'FEMALE')) AS female,
            any_value(a.min_age) AS min_age_months, any_value(a.max_age) AS max_age_months,
-           CAST(NULL AS BIGINT) AS languages
-    FROM shop_children c
-    LEFT JOIN (SELECT dataset, round(min(age_raw), 2) AS min_age, round(max(age_raw), 2) AS max_age
-               FROM ra GROUP BY dataset) a ON a.dataset = c.dataset
-    GROUP BY c.dataset""", _AGES)
-
-ORACLES["child_ages"] = with_views(_SHOP, """
-    SELECT c.dataset, c.child_id, c.child_sex, round(f.a, 2) AS age_months
-    FROM shop_children c LEFT JOIN (SELECT child_id, min(age_raw) AS a FROM ra GROUP BY child_id) f
-      ON f.child_id = c.child_id""", _AGES)
+           coalesce(any_value(l.n), 0) AS languages
+    FROM ck
+    LEFT JOIN (SELECT c.dataset, round(min(datediff('day', child_dob, date_iso) / 30.4375), 2) AS min_age,
+                      round(max(datediff('day', child_dob, date_iso) / 30.4375), 2) AS max_age
+               FROM ck c JOIN rk ON rk.child_id = c.child_id GROUP BY c.dataset) a ON a.dataset = ck.dataset
+    LEFT JOIN (SELECT dataset, count(DISTINCT trim(x)) AS n
+               FROM (SELECT dataset, unnest(string_split(languages, ';')) AS x FROM ck) u GROUP BY dataset) l ON l.dataset = ck.dataset
+    GROUP BY ck.dataset""", _KEPT_CH)
+
+ORACLES["child_ages"] = with_views(_SUBJECTS, """
+    SELECT dataset, child_id, child_sex, normative, normative_criterion, dob_criterion, dob_accuracy, age AS age_months
+    FROM ca""", _KEPT_CH)
+
+_DESC = _KEPT_CH + [("ds", """
+    SELECT ca.dataset, CAST(ca.child_id AS VARCHAR) AS child_id,
+           coalesce(CAST(CAST(round_even(age, 1) AS DECIMAL(18, 1)) AS VARCHAR), 'N/A') AS child_age,
+           coalesce(s.speaker_type, 'N/A') AS speaker_type, s.speaker_id, s.d
+    FROM ca JOIN rk r ON r.child_id = ca.child_id JOIN shop_segments s ON s.recording = r.recording
+    WHERE s.set_name IN (SELECT set_name FROM shop_sidecars WHERE method = 'manual')""")]
+
+
+def _bins_sql(over: str) -> list[tuple[str, str]]:
+    """Recordings of kept children in 10 equal-width age bins (``over``: the window of a bin's range)."""
+    return _KEPT_CH + [
+        ("rb", f"""SELECT ca.dataset, ca.age, r.duration, min(age) OVER ({over}) AS mn, (max(age) OVER ({over}) - min(age) OVER ({over})) / 10 AS w
+                   FROM rk r JOIN ca ON ca.child_id = r.child_id"""),
+        ("bn", """SELECT *, CASE WHEN age IS NULL THEN NULL WHEN w > 0 THEN CAST(least(greatest(ceil((age - mn) / w), 1), 10) AS INTEGER) ELSE 5 END AS b
+                  FROM rb"""),
+        ("ba", """SELECT dataset, duration, CASE WHEN b IS NULL THEN 'N/A' ELSE lpad(CAST(b AS VARCHAR), 2, '0')
+                    || CASE WHEN w > 0 THEN printf(' (%.2f, %.2f]', floor((mn + (b - 1) * w) * 100 + 0.5) / 100, floor((mn + b * w) * 100 + 0.5) / 100) ELSE '' END
+                    END AS child_age FROM bn""")]
+
+
+ORACLES["describe_child_id"] = with_views(_SUBJECTS, """
+    SELECT dataset, child_id, CAST(sum(d) AS DOUBLE) / 3600000.0 AS duration_total, count(d) AS "count" FROM ds GROUP BY ALL""", _DESC)
+ORACLES["describe_child_age"] = with_views(_SUBJECTS, """
+    SELECT dataset, child_age, avg(d) AS duration_mean, count(d) AS "count" FROM ds GROUP BY ALL""", _DESC)
+ORACLES["describe_speaker_type"] = with_views(_SUBJECTS, """
+    SELECT dataset, speaker_type, round(stddev_samp(d), 6) AS duration_std, count(d) AS "count" FROM ds GROUP BY ALL""", _DESC)
+ORACLES["describe_speaker_id"] = with_views(_SUBJECTS, """
+    SELECT 'all datasets' AS dataset, speaker_id, count(d) AS "count" FROM ds GROUP BY ALL""", _DESC)
+ORACLES["describe_age_bins"] = with_views(_SUBJECTS, """
+    SELECT dataset, child_age, CAST(sum(duration) AS DOUBLE) / 3600000.0 AS duration_total, count(duration) AS "count"
+    FROM ba GROUP BY ALL""", _bins_sql("PARTITION BY ca.dataset"))
+ORACLES["describe_age_bins_pooled"] = with_views(_SUBJECTS, """
+    SELECT 'all datasets' AS dataset, child_age, round(avg(duration) / 3600000.0, 6) AS duration_mean FROM ba GROUP BY ALL""",
+    _bins_sql(""))
 
 # --- incremental merge ----------------------------------------------------------------
 
@@ -519,8 +577,9 @@ _HALVES = [("old", "SELECT * FROM ev_files WHERE range_onset < 20 * CAST(8640000
 
 ORACLES["merge_append"] = with_views(["ev_files"], "SELECT * FROM old UNION SELECT * FROM new", _HALVES)
 ORACLES["merge_replace"] = with_views(["ev_files"], """
-    SELECT * FROM new2 UNION SELECT * FROM old WHERE "set" NOT IN (SELECT "set" FROM new2)""",
-    _HALVES + [("new2", "SELECT * FROM new WHERE \"set\" IN ('click', 'view')")])
+    SELECT * FROM n UNION SELECT * FROM o WHERE NOT EXISTS (
+      SELECT 1 FROM n WHERE n."set" = o."set" AND n.recording_filename = o.recording_filename AND n.day = o.day)""",
+    _HALVES + [("n", "SELECT *, range_onset // 86400000 AS day FROM new"), ("o", "SELECT *, range_onset // 86400000 AS day FROM old")])
 
 
 def _copies(src: str) -> str:

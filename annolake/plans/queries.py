@@ -394,14 +394,55 @@ def subject_age_bins(spark, sf):
 @query
 def subject_summary(spark, sf):
     """Per-corpus subject summary."""
-    return S.subject_summary(V.shop_children(spark, sf), V.shop_recordings(spark, sf))
+    return S.subject_summary(V.shop_subjects(spark, sf), V.shop_recordings(spark, sf))
 
 
 @query
 def child_ages(spark, sf):
-    """P13 (D9): a child's age is its age at the first kept recording."""
-    rec = C.drop_discarded(V.shop_recordings(spark, sf))
-    return S.child_age(rec, V.shop_children(spark, sf)).select("dataset", "child_id", "child_sex", "age_months")
+    """P13 (D9), A7: subjects with the columns kept, a child's age is its age at the first kept recording."""
+    return S.subject_table(V.shop_subjects(spark, sf), V.shop_recordings(spark, sf))
+
+
+def _describe(spark, sf, *args, **kw):
+    from annolake.plans.describe import describe as run
+    return run(V.shop_subjects(spark, sf), V.shop_recordings(spark, sf), V.shop_segments(spark, sf),
+               V.shop_sidecars(spark, sf), *args, **kw)
+
+
+@query
+def describe_child_id(spark, sf):
+    """Annotated hours per child, most first in each corpus."""
+    return _describe(spark, sf, "child_id", metric="duration_total", sort_by_y=True)
+
+
+@query
+def describe_child_age(spark, sf):
+    """Mean segment length (ms) by age label, sorted by age."""
+    return _describe(spark, sf, "child_age", metric="duration_mean", sort_by_y=False)
+
+
+@query
+def describe_speaker_type(spark, sf):
+    """Spread of segment lengths by a segment-level axis with nulls."""
+    return _describe(spark, sf, "speaker_type", metric="duration_std")
+
+
+@query
+def describe_speaker_id(spark, sf):
+    """A8 + A9: segments per speaker over all corpora."""
+    return _describe(spark, sf, "speaker_id", metric="count", aggregate=True, sort_by_y=True)
+
+
+@query
+def describe_age_bins(spark, sf):
+    """Recorded hours per age bin of each corpus."""
+    return _describe(spark, sf, "child_age", "recording", "duration_total")
+
+
+@query
+def describe_age_bins_pooled(spark, sf):
+    """A9, P14 (D11): mean recorded hours over all corpora in common age bins."""
+    return _describe(spark, sf, "child_age", "recording", "duration_mean", aggregate=True, sort_by_y=False)
 
 
 # --- incremental merge ------------------------------------------------------------------
@@ -428,9 +469,9 @@ def merge_append(spark, sf):
 
 @query
 def merge_replace(spark, sf):
-    """The new batch (click and view sets) replaces those sets in the corpus."""
-    old, new = _halves(spark, sf)
-    return U.merge_replace(old, new.filter(F.col("set").isin("click", "view")), "set")
+    """The files of a set and recording in the new batch replace those of the same day (the days both hold)."""
+    old, new = (h.withColumn("day", F.expr(f"range_onset div {DAY_MS}")) for h in _halves(spark, sf))
+    return U.merge_replace(old, new, ["set", "recording_filename", "day"])
 
 
 def _ev_copy(df, existing=None):

@@ -128,6 +128,22 @@ def shop_children(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def shop_subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The children with what a subject table holds: sex, languages, norm and its criteria, discarded ones among them."""
+    seg = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("child_id"), F.col("c_mktsegment").alias("_m"))
+    k = F.col("child_id")
+    return shop_children(spark, sf_dir).drop("child_sex").join(seg, "child_id").select(
+        "dataset", "child_id", "child_dob",
+        F.when(k % 7 == 0, None).when(k % 3 == 0, "F").when(k % 3 == 1, "m").otherwise("Male").alias("child_sex"),
+        F.when(F.col("_m") == "BUILDING", "en; fr").when(F.col("_m") == "MACHINERY", None)
+         .otherwise(F.lower(F.substring("_m", 1, 2))).alias("languages"),
+        F.when(k % 5 == 0, "N").when(k % 5 < 4, "Y").alias("normative"),
+        F.when(k % 5 == 0, F.lower("_m")).alias("normative_criterion"),
+        F.lit("extrapolated").alias("dob_criterion"),
+        F.when(k % 2 == 0, "day").otherwise("month").alias("dob_accuracy"),
+        F.when(k % 11 == 0, "1").alias("discard"))
+
+
 def shop_recordings(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     return o.select(
@@ -150,6 +166,16 @@ def shop_annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def shop_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The order lines as segments with a speaker: type by line status (null for the first line), one speaker a supplier of 20."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.select(
+        F.col("l_orderkey").alias("recording"), F.col("l_returnflag").alias("set_name"),
+        F.lit(0).cast("long").alias("segment_onset"), F.round(F.col("l_quantity") * 1000).cast("long").alias("segment_offset"),
+        F.when(F.col("l_linenumber") > 1, F.col("l_linestatus")).alias("speaker_type"),
+        (F.col("l_suppkey") % 20).cast("string").alias("speaker_id"))
+
+
 def ev_files(spark: SparkSession, sf_dir: str, where: Column | None = None) -> DataFrame:
     """Events as an annotation index with file names (``u<user>.wav``,
     ``u<user>_<onset>_<offset>.csv``), the shape the cutting step works on.

@@ -67,3 +67,40 @@ def test_distribution_axis_labels_and_sort(spark):
                          total_unit=1)
     got = [(r.child_age, r.duration_total, r["count"]) for r in out.collect()]
     assert got == [("1.0", 30.0, 2), ("N/A", 5.0, 1), ("2.0", 1.0, 1)]
+
+
+def _shop(spark):
+    from datetime import date
+    ch = spark.createDataFrame([("A", 1, "F", date(2020, 1, 1), None), ("A", 2, None, date(2020, 1, 1), None),
+                                ("A", 3, "M", date(2020, 1, 1), "1")],
+                               "dataset string, child_id long, child_sex string, child_dob date, discard string")
+    rec = spark.createDataFrame([("r1", 1, date(2021, 1, 1), 3_600_000, None), ("r2", 2, date(2022, 1, 1), 7_200_000, None),
+                                 ("r3", 2, date(2023, 1, 1), 1, "1"), ("r4", 3, date(2021, 1, 1), 1, None)],
+                                "recording string, child_id long, date_iso date, duration long, discard string")
+    seg = spark.createDataFrame([("r1", "m", 0, 1000, "CHI", "a"), ("r1", "m", 0, 3000, None, "b"), ("r2", "m", 5, 505, "CHI", "a"),
+                                 ("r1", "auto", 0, 9000, "CHI", "a"), ("r4", "m", 0, 9000, "CHI", "a")],
+                                "recording string, set_name string, segment_onset long, segment_offset long, speaker_type string, speaker_id string")
+    side = spark.createDataFrame([("m", "manual"), ("auto", "automated")], "set_name string, method string")
+    return ch, rec, seg, side
+
+
+def test_describe_axes(spark):
+    from annolake.plans.describe import ALL, describe
+    t = _shop(spark)
+    rows = lambda *a, **k: [tuple(r) for r in describe(*t, *a, **k).collect()]
+    assert rows("child_id", metric="count", sort_by_y=True) == [("A", "1", 2), ("A", "2", 1)]
+    assert rows("child_sex", metric="duration_mean", sort_by_y=False) == [("A", "F", 2000.0, 2), ("A", "N/A", 500.0, 1)]
+    assert set(rows("speaker_type", metric="count")) == {("A", "CHI", 2), ("A", "N/A", 1)}
+    assert set(rows("speaker_id", metric="count", aggregate=True)) == {(ALL, "a", 2), (ALL, "b", 1)}
+    assert rows("child_age", metric="count", sort_by_y=False) == [("A", "12.0", 2), ("A", "24.0", 1)]
+    got = rows("child_age", "recording", "duration_total", sort_by_y=False)
+    assert [(r[1][:2], r[2]) for r in got] == [("01", 1.0), ("10", 2.0)]
+    with pytest.raises(ValueError):
+        describe(*t, "speaker_id", "recording")
+
+
+def test_subject_table_keeps_what_is_there(spark):
+    ch, rec, _, _ = _shop(spark)
+    got = S.subject_table(ch.withColumn("normative", F.lit("Y")), rec)
+    assert got.columns == ["dataset", "child_id", "child_sex", "normative", "age_months"]
+    assert sorted((r.child_id, r.age_months) for r in got.collect()) == [(1, 12.02), (2, 24.02)]
