@@ -138,22 +138,31 @@ def propagate(selection: DataFrame, table: DataFrame, keys: Sequence[str], drop_
 
 
 def split_input(annotations: DataFrame, recordings: DataFrame, children: DataFrame,
-                rec_key: str = "recording", child_key: str = "child_id", root: str = "datasets") -> DataFrame:
+                rec_key: str = "recording", child_key: str = "child_id", root: str = "datasets",
+                paths: bool = True) -> DataFrame:
     """Annotations LEFT JOIN recordings LEFT JOIN children (null child kept),
-    with corpus, age (P13), duration (P10) and file paths (P3)."""
+    with corpus, age (P13), duration (P10) and file paths (P3).
+
+    The children meet the recordings first: annotations pass through one join only, and those
+    without a child do not gather on a null key. ``paths=False`` leaves the paths to ``with_split_paths``.
+    """
     rec = drop_discarded(recordings).select(rec_key, child_key, "date_iso")
     ch = drop_discarded(children).select(child_key, "dataset", "child_dob")
-    j = annotations.join(rec, rec_key, "left").join(ch, child_key, "left")
-    ann_name = F.concat(F.col(rec_key).cast("string"), F.lit("_"), F.col("range_onset").cast("string"), F.lit("_"),
-                        F.col("range_offset").cast("string"), F.lit(".csv"))
-    ann_path = path_for(root, F.col("dataset"), "annotations", F.col("set_name"), "converted", ann_name)
-    rec_path = path_for(root, F.col("dataset"), "recordings", "converted", "standard",
-                        F.concat(F.col(rec_key).cast("string"), F.lit(".mp3")))
-    return j.select(
+    j = annotations.join(rec.join(ch, child_key, "left"), rec_key, "left").select(
         rec_key, "set_name", "line", child_key, "dataset",
         age_months("date_iso", "child_dob").alias("age_months"),
-        "range_onset", "range_offset", (F.col("range_offset") - F.col("range_onset")).alias("duration_ms"),
-        ann_path.alias("annotation_path"), rec_path.alias("recording_path"))
+        "range_onset", "range_offset", (F.col("range_offset") - F.col("range_onset")).alias("duration_ms"))
+    return with_split_paths(j, rec_key, root) if paths else j
+
+
+def with_split_paths(df: DataFrame, rec_key: str = "recording", root: str = "datasets") -> DataFrame:
+    """The annotation and recording paths (P3) of ``split_input`` rows."""
+    ann_name = F.concat(F.col(rec_key).cast("string"), F.lit("_"), F.col("range_onset").cast("string"), F.lit("_"),
+                        F.col("range_offset").cast("string"), F.lit(".csv"))
+    return df.withColumns({
+        "annotation_path": path_for(root, F.col("dataset"), "annotations", F.col("set_name"), "converted", ann_name),
+        "recording_path": path_for(root, F.col("dataset"), "recordings", "converted", "standard",
+                                   F.concat(F.col(rec_key).cast("string"), F.lit(".mp3")))})
 
 
 def child_segments(children: DataFrame, recordings: DataFrame, segments: DataFrame,
@@ -196,20 +205,26 @@ def namespace_keys(children: DataFrame, recordings: DataFrame, annotations: Data
 
 
 def file_split_input(annotations: DataFrame, recordings: DataFrame, children: DataFrame,
-                     root: str = "datasets") -> DataFrame:
+                     root: str = "datasets", paths: bool = True) -> DataFrame:
     """J3 over the standard column names: annotations LEFT JOIN recordings on
-    (dataset, recording_filename) LEFT JOIN children on (dataset, child_id); adds
-    the age at recording when dates exist (P13), the duration (P10) and the
-    annotation / standard recording paths (P3)."""
+    (dataset, recording_filename) LEFT JOIN children on (dataset, child_id), the children
+    joined to the recordings first; adds the age at recording when dates exist (P13), the
+    duration (P10) and, unless ``paths`` is false, the annotation / standard recording paths (P3)."""
     rec_cols = [c for c in ("dataset", "recording_filename", "child_id", "date_iso") if c in recordings.columns]
     ch_cols = [c for c in ("dataset", "child_id", "child_dob") if c in children.columns]
-    j = (annotations.join(drop_discarded(recordings).select(*rec_cols), ["dataset", "recording_filename"], "left")
-                    .join(drop_discarded(children).select(*ch_cols), ["dataset", "child_id"], "left"))
+    rc = drop_discarded(recordings).select(*rec_cols).join(
+        drop_discarded(children).select(*ch_cols), ["dataset", "child_id"], "left")
+    j = annotations.join(rc, ["dataset", "recording_filename"], "left")
     age = age_months("date_iso", "child_dob") if {"date_iso", "child_dob"} <= set(j.columns) \
         else F.lit(None).cast("double")
-    return j.withColumn("age_months", age) \
-            .withColumn("duration_ms", F.col("range_offset") - F.col("range_onset")) \
-            .withColumn("annotation_path", path_for(root, F.col("dataset"), "annotations", F.col("set"), "converted",
-                                                    F.col("annotation_filename"))) \
-            .withColumn("recording_path", path_for(root, F.col("dataset"), "recordings", "converted", "standard",
-                                                   F.col("recording_filename")))
+    j = j.withColumn("age_months", age).withColumn("duration_ms", F.col("range_offset") - F.col("range_onset"))
+    return with_file_paths(j, "set", root) if paths else j
+
+
+def with_file_paths(df: DataFrame, set_col: str = "set", root: str = "datasets") -> DataFrame:
+    """The annotation and standard recording paths (P3) of ``file_split_input`` rows."""
+    return df.withColumns({
+        "annotation_path": path_for(root, F.col("dataset"), "annotations", F.col(set_col), "converted",
+                                    F.col("annotation_filename")),
+        "recording_path": path_for(root, F.col("dataset"), "recordings", "converted", "standard",
+                                   F.col("recording_filename"))})

@@ -7,7 +7,7 @@ so the split does not depend on partitioning and equals the SQL oracle.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -177,11 +177,18 @@ def split_report(df: DataFrame, weight: str, fractions=(800, 100, 100), split: s
 
 
 def finalize_split(df: DataFrame, path_col: str = "full recording path",
-                   drop: Sequence[str] = ("age (months)",), suffix: str = ".wav") -> DataFrame:
-    """Drop the age, de-duplicate, point the recording path at the .wav file."""
+                   drop: Sequence[str] = ("age (months)",), suffix: str = ".wav",
+                   derive: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Drop the age, de-duplicate, point the recording path at the .wav file.
+
+    ``derive`` adds columns that follow from the others (the paths) after the
+    de-duplication, whose shuffle then carries narrow rows.
+    """
     from annolake.functions.columns import with_suffix
 
     d = df.drop(*[c for c in drop if c in df.columns]).dropDuplicates()
+    if derive is not None:
+        d = derive(d)
     if path_col in d.columns:
         d = d.withColumn(path_col, with_suffix(F.col(f"`{path_col}`"), suffix))
     return d

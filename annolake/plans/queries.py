@@ -197,9 +197,9 @@ def split_report(spark, sf):
     return T.split_report(rows, "weight", (800, 100, 100)).select("split", "desired_weight", "reached_weight")
 
 
-def _shop_split_input(spark, sf):
+def _shop_split_input(spark, sf, paths=True):
     from annolake.operators.curate import split_input
-    return split_input(V.shop_annotations(spark, sf), V.shop_recordings(spark, sf), V.shop_children(spark, sf))
+    return split_input(V.shop_annotations(spark, sf), V.shop_recordings(spark, sf), V.shop_children(spark, sf), paths=paths)
 
 
 @query
@@ -211,10 +211,11 @@ def split_input(spark, sf):
 @query
 def split_finalize(spark, sf):
     """Split input -> weighted split per corpus -> T7 final shape."""
-    si = _shop_split_input(spark, sf)
+    from annolake.operators.curate import with_split_paths
+    si = _shop_split_input(spark, sf, paths=False)
     si = si.withColumn("_key", F.concat_ws(":", "recording", "line", "set_name", "range_offset"))
     sp = T.weighted_split(si, "_key", "duration_ms", (800, 100, 100), by=["dataset"], seed=0).drop("_key")
-    return T.finalize_split(sp, path_col="recording_path", drop=["age_months"])
+    return T.finalize_split(sp, path_col="recording_path", drop=["age_months"], derive=with_split_paths)
 
 
 # --- profiling -----------------------------------------------------------------------
