@@ -134,6 +134,15 @@ ORACLES["clip_list"] = with_views(
     ["ev_files", "ev_file_recordings"],
     "SELECT recording_filename, cs AS clip_start, ce AS clip_end, clip_filename FROM clips", _CLIPS_EV)
 
+ORACLES["clip_list_seek"] = with_views(
+    ["ev_files", "ev_file_recordings"],
+    """SELECT k AS recording_filename, cs AS clip_start, ce AS clip_end,
+              regexp_replace(k, '\\.wav$', '') || '-' || cs || 'to' || ce || '.wav' AS clip_filename FROM islands""",
+    [("f", """SELECT recording_filename, range_onset + seg_id % 5 * 600000 AS a, range_offset + seg_id % 5 * 600000 AS b
+              FROM ev_files"""),
+     ("c", clipped_sql("f", "ev_file_recordings", "recording_filename", "a", "b", 0))]
+    + support_sql("c", "recording_filename", "s", "e"))
+
 ORACLES["cut_manifest"] = with_views(
     ["ev_files", "ev_file_recordings"],
     """SELECT DISTINCT version, source, cs AS "start", ce AS "end",

@@ -68,6 +68,14 @@ def clip_list(spark, sf):
                                        F.col("end").alias("clip_end"), "clip_filename")
 
 
+@query
+def clip_list_seek(spark, sf):
+    """I1 + I5: clips of files that lie 0 to 40 minutes into their recording (``time_seek`` counts)."""
+    files = V.ev_files(spark, sf).withColumn("time_seek", F.col("seg_id") % 5 * 600_000)
+    return I.clip_list(files, V.ev_file_recordings(spark, sf)).select(
+        "recording_filename", F.col("start").alias("clip_start"), F.col("end").alias("clip_end"), "clip_filename")
+
+
 @query
 def cut_manifest(spark, sf):
     """I8: distinct cut jobs for raw and standard versions of every clipped recording."""
