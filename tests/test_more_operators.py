@@ -104,3 +104,31 @@ def test_subject_table_keeps_what_is_there(spark):
     got = S.subject_table(ch.withColumn("normative", F.lit("Y")), rec)
     assert got.columns == ["dataset", "child_id", "child_sex", "normative", "age_months"]
     assert sorted((r.child_id, r.age_months) for r in got.collect()) == [(1, 12.02), (2, 24.02)]
+
+
+@pytest.mark.parametrize("collar", [0, 15])
+def test_support_dense_chunk_null_key_and_bridges(spark, collar):
+    # equal starts, an interval that reaches over many chunks, chunks without an opening of their own, a null key
+    rows = [("a", 5, 6 + k % 30) for k in range(300)] + [("a", 40, 1000), ("a", 45, 50), ("a", 60, 70), ("a", 990, 1001),
+                                                         ("a", 1010, 1020), ("a", 1035, 1040), (None, 1, 2), (None, 2, 3), ("a", 7, 7)]
+    want = []
+    for key in ("a", None):
+        cur = None
+        for s, e in sorted((s, e) for k, s, e in rows if k == key and s < e):
+            if cur and not (s > cur[1] and s - cur[1] >= collar):
+                cur[1] = max(cur[1], e)
+            else:
+                cur = [s, e]
+                want.append((key, cur))
+    df = spark.createDataFrame(rows, "k string, start long, end long").repartition(7)
+    got = {(r.k, r.start, r.end) for r in I.support(df, ["k"], collar=collar, chunk=10).collect()}
+    assert got == {(k, s, e) for k, (s, e) in want}
+
+
+def test_support_reads_its_rows_once(spark):
+    df = spark.range(1000).selectExpr("id % 7 AS k", "id * 10 AS start", "id * 10 + id % 15 + 1 AS end")
+    out = I.support(df, ["k"])
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    assert final.count("Range (") == 1 and "ReusedExchange" in final
