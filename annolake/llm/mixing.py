@@ -105,7 +105,7 @@ def tilts(sizes: DataFrame, targets: DataFrame, limit: float = LIMIT, rounds: in
 def _round(pdf: pd.DataFrame) -> pd.DataFrame:
     """Copies of one shard: largest first, each takes the whole number of copies nearest to
     what its own rate and the words missed so far ask for."""
-    pdf = pdf.sort_values(["size", "u", "key"], ascending=[False, True, True], kind="stable")
+    pdf = pdf.sort_values(["size", "u", "key", "tie", "row"], ascending=[False, True, True, True, True], kind="stable")
     size, want = pdf["size"].to_numpy(), pdf["rate"].to_numpy() * pdf["size"].to_numpy()
     copies, missed = np.zeros(len(pdf), np.int64), 0.0
     for k in range(len(pdf)):
@@ -113,56 +113,60 @@ def _round(pdf: pd.DataFrame) -> pd.DataFrame:
             missed += want[k]
             copies[k] = min(LIMIT, max(0, int(np.floor(missed / size[k] + 0.5))))
             missed -= copies[k] * size[k]
-    return pdf.assign(copies=copies)[["source", "key", "size", "copies"]]
+    return pdf.assign(copies=copies)[["source", "key", "row", "size", "copies"]]
 
 
-def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
-        weights=WEIGHTS, budget: float = BUDGET, limit: int = LIMIT) -> DataFrame:
-    """(doc_id, size, source_size, target, taken), one row for each row of ``docs``.
-
-    ``taken`` is copies (0 to ``limit``) times size. Null and empty texts have size 0 and are not
-    taken. A null source is the last source. Repeated rows are documents of their own: how many
-    of them are taken is fixed, which of the equal rows is not. A null id is an id like others.
-    Empty table: empty result. Other columns are not read. The order of rounding is by size
-    and a hash of the id, so reruns agree.
-    """
+def _copies(sized: DataFrame, weights=WEIGHTS, budget: float = BUDGET, limit: int = LIMIT) -> DataFrame:
+    """(key, row, size, source_size, target, copies) of (key, source, size, tie, row): ``key``, ``size`` and ``tie``
+    say how a row is rounded; ``row`` is passed on."""
     if limit != LIMIT:
         raise ValueError(f"rounding holds for a limit of {LIMIT}")
-    sized = cut_lineage(docs.select(F.col(doc_id).alias("key"), F.col(source).alias("source"),
-                                    word_count(text).alias("size")), "mix_sizes")
     per = cut_lineage(source_targets(sized, weights, budget, limit), "mix_targets")
     lam = tilts(sized, per, limit)
     info = per.join(lam.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).select(
         F.col("source").alias("s"), "n", "source_size", "target", "lam", "mean")
     info = cut_lineage(info, "mix_rates")
-    shard = F.pmod(F.xxhash64("key", "size"), F.greatest(F.lit(1), F.ceil(F.col("n") / SHARD_ROWS)))
+    shard = F.pmod(F.xxhash64("key", "size", "tie"), F.greatest(F.lit(1), F.ceil(F.col("n") / SHARD_ROWS)))
     rated = sized.join(info, F.col("source").eqNullSafe(F.col("s"))).select(
-        "source", "key", "size", shard.alias("shard"), F.xxhash64("key").alias("u"),
+        "source", "key", "size", "tie", "row", shard.alias("shard"), F.xxhash64("key").alias("u"),
         F.when(F.col("lam").isNull(), float(limit)).otherwise(
             F.least(F.lit(float(limit)), F.exp(F.least(F.col("lam") * F.col("size") / F.col("mean"), F.lit(700.0))))).alias("rate"))
     kind = sized.schema["key"].dataType.simpleString()
     source_kind = sized.schema["source"].dataType.simpleString()
     got = rated.groupBy("source", "shard").applyInPandas(
-        _round, f"source {source_kind}, key {kind}, size bigint, copies bigint")
+        _round, f"source {source_kind}, key {kind}, row bigint, size bigint, copies bigint")
     return got.join(info, F.col("source").eqNullSafe(F.col("s"))).select(
+        "key", "row", "size", "source_size", "target", "copies")
+
+
+def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
+        weights=WEIGHTS, budget: float = BUDGET, limit: int = LIMIT) -> DataFrame:
+    """(doc_id, size, source_size, target, taken), one row for each row of ``docs``.
+
+    ``taken`` is copies (0 to ``limit``) times size. Null and empty texts have size 0 and are not
+    taken. A null source is the last source. Repeated rows are documents of their own: how many
+    of them are taken is fixed, which of the equal rows is not. A null id is an id like others.
+    Empty table: empty result. Other columns are not read. The order of rounding is by size
+    and a hash of the id, so reruns agree.
+    """
+    none = F.lit(None).cast("bigint")      # hashes of columns pass over nulls
+    sized = cut_lineage(docs.select(F.col(doc_id).alias("key"), F.col(source).alias("source"), word_count(text).alias("size"),
+                                    none.alias("tie"), none.alias("row")), "mix_sizes")
+    return _copies(sized, weights, budget, limit).select(
         F.col("key").alias("doc_id"), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
 def mixed_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """The rows of ``docs``, each as often as the mix takes it; rows without words are not taken.
+    """The rows of ``docs``, each as often as the mix takes it (0 to LIMIT times); rows without words are not taken.
 
-    Where an id is repeated, the copies that its rows were given are put together and the
-    id's row of the smallest text hash stands for them.
+    Every row is a document of its own, whatever its id: ``docs`` is written once with a number for
+    each row, and the copies are joined back on it. Ids and texts, not these numbers, order the
+    rounding, so reruns agree but for which of several equal rows is taken.
     """
-    key, copies, tag = fresh(docs, "_key", "_copies", "_tag")
-    taken = mix(docs, doc_id, text, source).where("taken > 0").groupBy("doc_id").agg(
-        F.sum(F.expr("taken div size")).alias(copies)).withColumnRenamed("doc_id", key)
-    many = docs.groupBy(doc_id).agg(F.count("*").alias(tag), F.min(F.xxhash64(text)).alias("_h")).where(F.col(tag) > 1)
-    out = docs.join(taken, docs[doc_id].eqNullSafe(F.col(key)))
-    if not many.isEmpty():
-        low = many.select(F.col(doc_id).alias("_d"), "_h")
-        out = (out.join(low, out[doc_id].eqNullSafe(F.col("_d")), "left")
-               .where(F.col("_h").isNull() | (F.col("_h") == F.xxhash64(text))))
-        single = out.where(F.col("_h").isNull())
-        out = single.unionByName(out.where(F.col("_h").isNotNull()).dropDuplicates([doc_id])).drop("_d", "_h")
-    return out.withColumn(copies, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int")))).drop(key, copies)
+    row, copies = fresh(docs, "_row", "_copies")
+    kept = cut_lineage(docs.withColumn(row, F.monotonically_increasing_id()), "mix_rows")
+    sized = cut_lineage(kept.select(F.col(doc_id).alias("key"), F.col(source).alias("source"), word_count(text).alias("size"),
+                                    F.xxhash64(text).alias("tie"), F.col(row).alias("row")), "mix_sizes")
+    taken = _copies(sized).where("copies > 0").select(F.col("row").alias(row), F.col("copies").alias(copies))
+    return (kept.join(taken, row).withColumn(copies, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int"))))
+            .select(*docs.columns))

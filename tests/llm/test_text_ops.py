@@ -286,3 +286,23 @@ def test_mix_empty_and_copies(spark):
     assert out.columns == df.columns
     want = sum(r.taken // r.size for r in mixing.mix(df).collect() if r.size)
     assert out.count() == want
+
+
+def test_mixed_documents_keeps_rows_that_share_an_id(spark):
+    """Many null ids, one id with two texts in two sources, and empty texts among the null ids."""
+    data = [(None, f"null id {k} " + "w " * (k % 7), "a", k) for k in range(60)] + [(None, "", "a", 60), (None, None, "b", 61)]
+    data += [(1, "one id, first text", "a", 62), (1, "one id, the second and longer text", "b", 63)]
+    data += [(10 + k, f"own id {k} " + "v " * (k % 5), "b", 64 + k) for k in range(40)]
+    df = spark.createDataFrame(data, "doc_id bigint, text string, source string, _row int")
+    out = mixing.mixed_documents(df)
+    assert out.columns == df.columns
+    got = Counter(map(tuple, out.collect()))
+    assert set(got) <= set(data) and all(r[1] for r in got) and max(got.values()) <= mixing.LIMIT
+    words = Counter()
+    for r, n in got.items():
+        words[r[2]] += n * len(r[1].split())
+    info = {r.source: r for r in mixing.source_targets(df.select("source", mixing.word_count("text").alias("size"))).collect()}
+    for s in "ab":
+        assert abs(words[s] - info[s].target) <= 10
+    assert sum(r[0] is None for r in got) > 20
+    assert got == Counter(map(tuple, mixing.mixed_documents(df.repartition(3)).collect()))
