@@ -151,14 +151,16 @@ def held_out(doc_id) -> F.Column:
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
         label: str = "quality", sample: int = SAMPLE, **settings) -> Model:
     """Fit on at most ``sample`` labelled documents of each class, taken in the order of a hash of
-    the id; ids held out, null labels and ids with two different labels are not used.
+    the id; ids held out, null labels and ids with two different labels are not used. A repeated id counts once.
     Ids and labels are no inputs. The sample's features, not its texts, come to the driver."""
     lab = labels.select(F.col(doc_id).alias("_id"), F.col(label).cast("int").alias("_y")).where(
         F.col("_y").isin(0, 1) & F.col("_id").isNotNull() & ~held_out("_id"))
     lab = lab.groupBy("_id").agg(F.min("_y").alias("_y"), F.max("_y").alias("_z")).where("_y = _z").drop("_z")
     picked = [lab.where(f"_y = {y}").orderBy(F.xxhash64("_id"), "_id").limit(sample) for y in (0, 1)]
     few = F.broadcast(picked[0].unionByName(picked[1]))        # at most 2 * sample rows of two numbers
-    d = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(few, "_id")
+    # one row an id, that of the smallest text hash: rows of a repeated id stay in the cluster, and each id is fitted once
+    d = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(few, "_id") \
+        .groupBy("_id", "_y").agg(F.min_by("_text", F.xxhash64("_text")).alias("_text"))
 
     def make():
         def f(texts):
@@ -169,8 +171,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
 
     rows = text_columns(d, "_text", [("idx", T.ArrayType(T.IntegerType())), ("cnt", T.ArrayType(T.IntegerType()))],
                         make).toArrow().to_pydict()
-    # rows of one id: the order of a hash of id and features, so that a rerun fits the same model
-    got = sorted(zip(rows["_id"], rows["_y"], rows["idx"], rows["cnt"]), key=lambda r: (str(r[0]), r[1], len(r[2]), r[2][:8]))
+    got = sorted(zip(rows["_id"], rows["_y"], rows["idx"], rows["cnt"]), key=lambda r: str(r[0]))     # a rerun fits the same model
     return train([(np.array(i, np.int64), np.array(c, float), y) for _, y, i, c in got if i], **settings)
 
 

@@ -288,6 +288,17 @@ def test_mix_empty_and_copies(spark):
     assert out.count() == want
 
 
+def test_fit_takes_one_row_of_a_repeated_id(spark, monkeypatch):
+    docs = spark.createDataFrame([(k, f"good text {k}" if k % 2 else f"bad line {k}") for k in range(40)] + [(1, "x y")] * 500 + [(1, "z")] * 500,
+                                 "doc_id bigint, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(40)], "doc_id bigint, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "train", lambda rows, **kw: seen.extend(rows))
+    quality.fit(docs, labels)
+    ids = [r.doc_id for r in labels.where(~quality.held_out("doc_id")).collect()]
+    assert 1 in ids and len(seen) == len(ids)
+
+
 def test_mixed_documents_keeps_rows_that_share_an_id(spark):
     """Many null ids, one id with two texts in two sources, and empty texts among the null ids."""
     data = [(None, f"null id {k} " + "w " * (k % 7), "a", k) for k in range(60)] + [(None, "", "a", 60), (None, None, "b", 61)]
