@@ -10,6 +10,12 @@ The classifier is trained on a bounded sample of pages: blocks under ``article``
 ``main`` are examples of text, blocks under ``nav``, ``footer``, ``aside``, ``form`` and the
 like of boilerplate; each example is learned with and without what its
 surroundings tell, so that pages without such elements are judged by their text.
+
+A boilerplate mark counts for all that its element holds, but an ``article`` or ``main``
+inside starts anew, unless the mark says that what it holds is not the page's own
+article (comments, hidden parts; for ``article`` also navigation, asides, related stories).
+Marks that may as well be a wrapper's (a form, a name like ``header-fixed``) are weak:
+text and cut decide. Names like ``has-sidebar`` are no marks.
 """
 
 from __future__ import annotations
@@ -54,6 +60,16 @@ BAD_WORDS = frozenset(
     "sidebar side menu nav navbar navigation breadcrumb breadcrumbs footer masthead topbar share sharing social related "
     "recommended recommendations widget login signup signin search pagination pager toolbar skip copyright".split())
 BAD_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
+# what an article inside cannot undo, and what not even a main element can
+FAST_TAGS = BAD_TAGS - {"form", "fieldset"}
+FAST_ROLES = BAD_ROLES - {"form", "search", "banner"}
+FAST_WORDS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored related recommended recommendations".split())
+COMMENT_WORDS = frozenset("comment comments disqus replies reply respond".split())
+# has-sidebar says nothing of the element itself; header-fixed may be said of the page around the header
+ABOUT = frozenset("has have no with without is not hide show".split())
+STATE = frozenset("fixed sticky static open opened closed on off enabled disabled none free left right top active visible collapsed expanded".split())
+WEAK, MARKED, FAST, FASTEST = 1, 2, 3, 4     # how strongly an element is marked as boilerplate; 0 is not
+WEAK_PART = 0.25                             # of the weight of a mark
 GOOD_WORDS = frozenset("article post entry story content body text".split())
 
 
@@ -63,7 +79,7 @@ class Block:
     parent: int
     tag: str
     good: bool
-    bad: bool
+    bad: int
     link: int
     path: tuple = ()
 
@@ -73,37 +89,53 @@ class Open:
     tag: str
     key: int
     good: bool
-    bad: bool
+    bad: int
     children: dict = field(default_factory=dict)
 
 
-def _hints(tag: str, attrs: str, up: Open) -> tuple[bool, bool]:
-    """(under article text, under boilerplate) of an element."""
+def _named(names: str, main: bool, in_good: bool) -> tuple[int, bool]:
+    """(mark, article text) that the names of an element's class or id tell."""
+    bad, good = 0, False
+    for name in names.split():
+        words = [w.lower() for w in _PART.findall(name)]
+        if len(words) > 1 and words[0] in ABOUT:
+            continue
+        hits = set(words) & ({"comment", "comments", "ad", "ads"} if main else BAD_WORDS)
+        if "header" in words and not in_good:
+            hits.add("header")
+        if not hits:
+            good = good or not GOOD_WORDS.isdisjoint(words)
+        elif not STATE.isdisjoint(words):
+            bad = max(bad, WEAK)
+        else:
+            bad = max(bad, FASTEST if hits & COMMENT_WORDS else FAST if hits & FAST_WORDS else MARKED)
+    return bad, good
+
+
+def _hints(tag: str, attrs: str, up: Open) -> tuple[bool, int]:
+    """(under article text, how strongly under boilerplate) of an element."""
     good, bad = up.good, up.bad
-    if tag in BAD_TAGS or tag == "header" and not up.good:
-        bad = True
     main = tag in ("article", "main")
-    if main:
+    a = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(attrs)} if attrs and tag not in ("html", "body") else {}
+    role = a.get("role", "").lower()
+    body = "articleBody" in a.get("itemprop", "")
+    if main or role in ("main", "article") or body:
         good = True
-    if attrs and tag not in ("html", "body"):
-        a = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(attrs)}
-        if a.get("role", "").lower() in BAD_ROLES or "hidden" in a or a.get("aria-hidden") == "true" \
-                or "display:none" in a.get("style", "").replace(" ", "").lower():
-            bad = True
-        if a.get("role", "").lower() in ("main", "article") or "articleBody" in a.get("itemprop", ""):
-            good = True
-        words = {w.lower() for n in ("class", "id") for w in _PART.findall(a.get(n, ""))}
-        if words:
-            if words & ({"comment", "comments", "ad", "ads"} if main else BAD_WORDS) or "header" in words and not up.good:
-                bad = True
-            elif words & GOOD_WORDS:
-                good = True
-    return good, bad
+        if bad < (FAST if "article" in (tag, role) and not body else FASTEST):
+            bad = 0
+    if tag in BAD_TAGS or tag == "header" and not up.good:
+        bad = max(bad, FAST if tag in FAST_TAGS else WEAK if tag in ("form", "fieldset") else MARKED)
+    if role in BAD_ROLES:
+        bad = max(bad, FAST if role in FAST_ROLES else WEAK if role == "form" else MARKED)
+    if "hidden" in a or a.get("aria-hidden") == "true" or "display:none" in a.get("style", "").replace(" ", "").lower():
+        bad = FASTEST
+    mark, text = _named(f"{a.get('class', '')} {a.get('id', '')}", main, up.good)
+    return good or text and not mark, max(bad, mark)
 
 
 def blocks_of(page: str) -> list[Block]:
     """The text blocks of a page in page order."""
-    stack = [Open("", 0, False, False)]
+    stack = [Open("", 0, False, 0)]
     out: list[Block] = []
     buf: list[str] = []
     link = keys = 0
@@ -201,7 +233,7 @@ def features(b: Block, blind: bool = False) -> list[float]:
     """Ten numbers; ``blind`` leaves out what the surrounding elements tell."""
     n = len(b.text)
     words = b.text.count(" ") + 1
-    return [1.0, 0.0 if blind else float(b.good and not b.bad), 0.0 if blind else float(b.bad),
+    return [1.0, 0.0 if blind else float(b.good and not b.bad), 0.0 if blind else WEAK_PART if b.bad == WEAK else float(b.bad > 0),
             min(1.0, b.link / n), min(words, 60) / 60, float(words < 4), float(bool(_SENTENCE.search(b.text))),
             float(b.tag in ("p", "pre", "blockquote")), float(b.tag[:1] == "h" and b.tag[1:].isdigit()), float(b.tag == "li")]
 
@@ -305,7 +337,7 @@ def fit(pages: DataFrame, url: str = "url", page: str = "html", sample: int = SA
             for t in texts:
                 rows = []
                 for b in blocks_of(t.decode()):
-                    if b.good != b.bad:
+                    if b.good != (b.bad > 0) and b.bad != WEAK:
                         y = float(b.good)
                         rows += [y, *features(b), y, *features(b, True)]
                 out.append(rows)

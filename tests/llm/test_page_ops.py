@@ -44,6 +44,30 @@ def test_page_with_everything(beta, tag):
         "The title First & bold para­graph, with a comma and enough words to look like prose. Second one with a link. point a point b")
 
 
+BODY = ("<h1>The title</h1><p>A first paragraph of the article, with a comma and enough words to look like prose.</p>"
+        "<p>The second paragraph goes on, and it also has more than a few words in it.</p>")
+TEXT = ("The title A first paragraph of the article, with a comma and enough words to look like prose. "
+        "The second paragraph goes on, and it also has more than a few words in it.")
+
+
+@pytest.mark.parametrize("wrap", [
+    'form id="aspnetForm"', 'div class="layout has-sidebar"', 'div class="page no-comments"', 'div class="header-fixed"',
+    'div class="layout sidebar-right"', 'div id="page" class="nav-open"', 'div class="with-side-menu"', 'div class="banner"'])
+@pytest.mark.parametrize("inner", ["article", "main", 'div role="main"', "div"])
+def test_marked_wrapper_keeps_the_article(beta, wrap, inner):
+    if inner == "div" and "banner" in wrap:
+        return          # a plain element named as boilerplate is boilerplate
+    page = (f"<html><body><{wrap}><nav><a>One</a> <a>Two</a></nav><{inner}>{BODY}<div class=ad><p>Buy this now, it is a very fine product.</p></div>"
+            f"</{inner.split()[0]}><aside><p>Other stories that you may like to read next.</p></aside><footer>&copy; me</footer></{wrap.split()[0]}>")
+    assert pages.main_text(page, beta) == TEXT
+
+
+@pytest.mark.parametrize("wrap", ['section id="comments"', 'div class="related-posts"', "aside", "div hidden"])
+def test_article_of_others_stays_out(beta, wrap):
+    other = "<article><p>I liked this very much, thank you for writing it, said one reader.</p></article>"
+    assert pages.main_text(f"<body><article>{BODY}</article><{wrap}>{other}</{wrap.split()[0]}>", beta) == TEXT
+
+
 def test_odd_pages(spark, beta):
     for h in ("", "   ", "<", "<p", "<script>x", "<!-- x", "</p></div>", "<a title=\"x", "&amp;", "<nav>menu</nav>"):
         pages.main_text(h, beta)
