@@ -3,7 +3,7 @@
 Four sources of evidence are added as log probabilities, language by language:
 
 * the visible text: a naive Bayes model of hashed byte trigrams within words, fitted on a
-  bounded sample of documents with a language; as trigrams of a text depend on each
+  bounded sample of the documents of each language; as trigrams of a text depend on each
   other, a text counts as at most EVIDENCE of them;
 * the language that the markup declares, and the suffix of the address (top-level domain and
   a two-letter first path segment): how often each value goes with each language, by grouped counts
@@ -21,14 +21,14 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from annolake.llm.common import CACHE_ENTRIES, CACHE_WORD, text_columns
 from annolake.session import cut_lineage
 
-SAMPLE = 2000          # documents that are fitted, at most
+SAMPLE = 2000          # documents of each language that are fitted, at most
 BUCKETS = 1 << 14
 EVIDENCE = 30.0        # trigrams that a text counts for, at most
 SMOOTH = 0.5
@@ -50,11 +50,19 @@ def trigrams(word: bytes) -> list[int]:
 
 
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Model:
-    """Trigram counts of at most ``sample`` documents, in the order of a hash of the id; rows without id or
-    language are not used. The driver sees bucket counts, not texts."""
-    few = docs.select(F.col(doc_id).alias("_id"), F.col(lang).alias("_lang")).where("_id is not null and _lang is not null") \
-        .groupBy("_id").agg(F.min("_lang").alias("_lang")).orderBy(F.xxhash64("_id"), "_id").limit(sample)
-    d = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(few), "_id").select("_lang", "_text")
+    """Trigram counts of at most ``sample`` documents of each language, in the order of a hash of the id; every
+    language of the table is in the model, however rare. A null id is an id like others, a repeated id counts once
+    in a language, and rows without language are not used. The driver sees bucket counts, not texts."""
+    ids = docs.select(F.col(doc_id).alias("_id"), F.col(lang).alias("_lang")).where("_lang is not null").distinct()
+    langs = ids.groupBy("_lang").agg(F.count("*").alias("_n"))
+    # a range of the hash that holds about twice the sample, so that no window sees a whole language
+    first = F.pmod(F.xxhash64("_id"), F.lit(1 << 40)) / F.lit(float(1 << 40)) <= 2.0 * sample / F.col("_n")
+    order = Window.partitionBy("_lang").orderBy(F.pmod(F.xxhash64("_id"), F.lit(1 << 40)), "_id")
+    few = ids.join(F.broadcast(langs), "_lang").where(first).withColumn("_k", F.row_number().over(order)) \
+        .where(F.col("_k") <= sample).select(F.col("_id").alias("_id2"), F.col("_lang").alias("_lang2"))
+    d = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"), F.col(lang).alias("_lang")).join(
+        F.broadcast(few), F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_lang") == F.col("_lang2")))
+    d = d.groupBy("_id", "_lang").agg(F.min_by("_text", F.xxhash64("_text")).alias("_text")).select("_lang", "_text")
 
     def make():
         def f(texts):
@@ -69,12 +77,18 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
             return [pa.array(x, pa.list_(pa.int32())) for x in (idx, cnt)]
         return f
 
-    rows = text_columns(d, "_text", [(n, T.ArrayType(T.IntegerType())) for n in ("idx", "cnt")], make).toArrow().to_pydict()
-    langs = sorted(set(rows["_lang"])) or ["und"]
-    count = np.full((BUCKETS, len(langs)), SMOOTH)
+    seen = text_columns(d, "_text", [(n, T.ArrayType(T.IntegerType())) for n in ("idx", "cnt")], make)
+    # outer: a language whose documents have no trigrams stays in the model
+    seen = seen.select("_lang", F.explode_outer(F.arrays_zip("idx", "cnt")).alias("z")) \
+        .groupBy("_lang", F.col("z.idx").alias("idx")).agg(F.sum("z.cnt").alias("cnt"))
+    rows = seen.toArrow().to_pydict()              # at most BUCKETS rows a language
+    names = sorted(set(rows["_lang"])) or ["und"]
+    at = {x: k for k, x in enumerate(names)}
+    count = np.full((BUCKETS, len(names)), SMOOTH)
     for lang_, idx, cnt in zip(rows["_lang"], rows["idx"], rows["cnt"]):
-        np.add.at(count[:, langs.index(lang_)], idx, cnt)
-    return Model(langs, np.log(count / count.sum(axis=0)))
+        if idx is not None:
+            count[idx, at[lang_]] += cnt
+    return Model(names, np.log(count / count.sum(axis=0)))
 
 
 class Words(dict):

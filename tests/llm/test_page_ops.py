@@ -121,6 +121,20 @@ def test_language_fusion_by_hand(spark):
     assert langid.languages(df.limit(0), model).count() == 0
 
 
+def test_rare_languages_are_in_the_model(spark):
+    """One document in thousands, or one without id, is enough for its language to be known."""
+    data = [(k, "the and of that with was this from for are", "en") for k in range(5000)]
+    data += [(9001, "le la les des une est dans pour que qui avec sur", "fr"), (None, "een het van dat niet zijn voor met ook maar", "nl"),
+             (9002, None, "xx"), (1, "der die und", "de"), (9003, "no language", None)] + [(9004, "och att det som en av", "sv")] * 3
+    docs = spark.createDataFrame(data, "doc_id bigint, text string, lang string")
+    model = langid.fit(docs, sample=50)
+    assert model.langs == ["de", "en", "fr", "nl", "sv", "xx"]
+    pages_ = spark.createDataFrame([(1, None, "<p>les une est dans pour avec"), (2, None, "<p>the and that with")], "page_id int, url string, html string")
+    assert {r.page_id: r.text_lang for r in langid.languages(pages_, model).collect()} == {1: "fr", 2: "en"}
+    once = langid.fit(docs.dropDuplicates(), sample=50)
+    assert (once.weight == model.weight).all()
+
+
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
