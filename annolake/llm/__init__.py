@@ -1,5 +1,6 @@
 """Operators for training-data pipelines: quality, near-duplicates, language,
-personal data, token counts, page extraction, mixing and packing.
+personal data, token counts, page extraction, mixing, packing, exact search,
+tokenizer alignment and periodic runs.
 
 Nothing else in the library imports this package; its queries are in
 ``annolake.llm.queries`` and its DuckDB SQL in ``annolake.llm.oracles``.

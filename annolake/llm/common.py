@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BATCH_ROWS = 1000
+BATCH_BYTES = 4 << 20
 CACHE_ENTRIES = 300_000   # distinct words a task remembers; the cache only saves time
 CACHE_WORD = 64           # longer words are computed anew each time
 
@@ -26,6 +27,14 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_ROWS))
 
 
+def text_batches(spark: SparkSession, most: int = BATCH_BYTES) -> None:
+    """Arrow batches of at most ``most`` bytes, or of one row: a batch of long texts stays as small as one of short ones."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key))
+    if now > most:
+        spark.conf.set(key, str(most))
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """``names``, each with underscores before it until no column of ``df`` is called so."""
     taken, out = {c.lower() for c in df.columns}, []

@@ -45,4 +45,13 @@ SELECT vec_id, coalesce(n.n, 0) AS n_links, least(vec_id, coalesce(low.c, vec_id
 FROM v LEFT JOIN n USING (k) LEFT JOIN low USING (k)
 """
 
-ORACLES = {"op2_quality_rules": _OP2, "op4_embedding_near_duplicates": _OP4}
+_OP11 = r"""
+WITH v AS (SELECT row_number() OVER () AS k, vec_id, list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor(256 * x)) AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+s AS (SELECT a.k, a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score
+      FROM v a JOIN v b ON a.k <> b.k AND len(a.e) = len(b.e) WHERE a.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY k ORDER BY score DESC, vec_id NULLS LAST) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= 5
+"""
+
+ORACLES = {"op2_quality_rules": _OP2, "op4_embedding_near_duplicates": _OP4, "op11_top_k_search": _OP11}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from annolake.llm import langid, mixing, packing, pages, pii, quality, rules, simhash, vectors, viterbi
+from annolake.llm import align, langid, mixing, packing, pages, periodic, pii, quality, rules, simhash, topk, vectors, viterbi
 from annolake.llm.common import table
 
 
@@ -50,6 +50,19 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op11_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align(table(spark, sf_dir, "documents")).withColumnRenamed("groups", "groups_sha256")
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.run_digests(periodic.periodic_runs(periodic.planted(table(spark, sf_dir, "documents"))))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_quality_classifier, op2_quality_rules, op3_simhash_near_duplicates, op4_embedding_near_duplicates,
-    op5_language_id, op6_personal_data, op7_token_counts, op8_main_text, op9_source_mix, op10_packing)}
+    op5_language_id, op6_personal_data, op7_token_counts, op8_main_text, op9_source_mix, op10_packing, op11_top_k_search,
+    op12_tokenizer_alignment, op13_periodic_runs)}
