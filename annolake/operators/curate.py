@@ -4,13 +4,15 @@ files that carry labels of a category, propagate the selection, namespace keys.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
+from typing import Any
 
 from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from annolake.functions.columns import age_months, drop_discarded, drop_null_columns, path_for
+from annolake.functions.expressions import FilterError, translate
 
 # Columns every annotation / segment table has; the rest are labels.
 STANDARD_COLUMNS = (
@@ -44,16 +46,21 @@ def select_datasets(df: DataFrame, names: Iterable[str] | None, col: str = "data
 
 # --- F2 / F3 / F6 ---------------------------------------------------------------------
 
-def filter_expr(df: DataFrame, expr: str | None, on_error: str = "raise") -> DataFrame:
-    """user filter as a Spark SQL predicate. A bad expression raises, or with
-    ``on_error='ignore'`` means no filter (as the source tool did)."""
-    if not expr:
+def filter_expr(df: DataFrame, expr: str | None, on_error: str = "raise", syntax: str = "query",
+                given: Mapping[str, Any] | None = None) -> DataFrame:
+    """keep the rows that pass the user's filter.
+
+    ``syntax='query'`` is the data-frame query language (``functions.expressions``; ``given``
+    holds the values of its ``@names``), ``'sql'`` a Spark SQL predicate. A bad
+    expression raises, or with ``on_error='ignore'`` means no filter (as the source tool did).
+    """
+    if not expr or not expr.strip():
         return df
     try:
-        out = df.filter(expr)
+        out = df.filter(translate(df, expr, given) if syntax == "query" else expr)
         out.schema  # analyse now
         return out
-    except (AnalysisException, ParseException):
+    except (FilterError, AnalysisException, ParseException):
         if on_error == "ignore":
             return df
         raise

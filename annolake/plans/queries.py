@@ -536,7 +536,7 @@ def file_index(spark, sf):
 @query
 def filter_children(spark, sf):
     """F2 + J1: file index restricted by a children filter expression."""
-    return _shop_file_index(spark, sf, "child_sex = 'BUILDING' AND child_dob >= DATE '1991-01-01'") \
+    return _shop_file_index(spark, sf, "child_sex in ['BUILDING'] & '1991-01-01' <= child_dob < '2100-01-01'") \
         .select("recording", "set_name", "line", "child_id")
 
 
@@ -708,7 +708,7 @@ def overall_std(spark, sf):
 @query
 def filter_sidecars(spark, sf):
     """F2 on sidecars: sets whose sidecar satisfies a user expression."""
-    return CU.filter_expr(V.doc_sidecars(spark, sf), "method = 'manual' AND has_speaker_type = 'Y'") \
+    return CU.filter_expr(V.doc_sidecars(spark, sf), "method.str.lower() == 'manual' and ~(has_speaker_type != 'Y')") \
              .select("dataset", "set_name")
 
 

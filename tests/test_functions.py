@@ -50,9 +50,10 @@ def test_align_and_drop_null(spark):
 
 def test_filter_expr(spark):
     df = spark.createDataFrame([("F", 1), ("M", 2)], "child_sex string, n int")
-    assert CU.filter_expr(df, "child_sex = 'F'").count() == 1
+    assert CU.filter_expr(df, "child_sex == 'F'").count() == 1
+    assert CU.filter_expr(df, "child_sex = 'F'", syntax="sql").count() == 1
     with pytest.raises((AnalysisException, ParseException)):
-        CU.filter_expr(df, "nope = 1")
+        CU.filter_expr(df, "nope = 1", syntax="sql")
     assert CU.filter_expr(df, "child_sex ==== 'F'", on_error="ignore").count() == 2
 
 
