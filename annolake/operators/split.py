@@ -79,43 +79,64 @@ def weighted_split(df: DataFrame, key: str, weight: str, fractions=(800, 100, 10
     return d.drop("_sk", "_w", "_cum", "_tot")
 
 
-def _greedy_fold(pm: tuple[int, ...]):
-    """Per shard: entities in shuffled order, each to the split with the largest gap."""
-    import numpy as np
+HEADS = 1000       # an entity of more than total / HEADS is placed greedily: fewer than HEADS entities can be that heavy
+
+
+def _place_heads(pm: tuple[int, ...]):
+    """For each shard: its heavy entities in shuffled order, each to the split with the largest gap, and
+    the bounds that the running weight of the others is cut at.
+
+    What the others weigh levels the gaps from the largest down, as the greedy would with
+    infinitely small entities: split i gets ``max(gap_i - level, 0)``, where the level makes these add up.
+    Everything is scaled by 6000 (per mille, and the level may be a half or a third), so it stays exact.
+    """
+    from decimal import Decimal
+
     import pandas as pd
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["_sk", "_entity"], kind="mergesort")
-        integral = np.issubdtype(pdf["_w"].dtype, np.integer)
-        w = pdf["_w"].to_numpy(dtype=np.int64 if integral else object)
-        tot = int(w.sum()) if integral else sum(w, 0)
-        targets = [tot * p for p in pm]          # scaled by 1000
-        cur = [0] * len(pm)
-        out = []
-        for x in w.tolist():   # exact Python ints for integral weights
-            gaps = [targets[i] - 1000 * cur[i] for i in range(len(pm))]
+    def place(pdf: pd.DataFrame) -> pd.DataFrame:
+        heads = pdf[pdf["_entity"].notna()].sort_values(["_sk", "_entity"], kind="mergesort")
+        tot = sum(pdf.loc[pdf["_entity"].isna(), "_w"].tolist(), 0)
+        weights = heads["_w"].tolist()
+        gaps = [tot * p for p in pm]
+        picks = []
+        for w in weights:   # exact: ints, or decimals for weights with a fraction
             best = max(range(len(pm)), key=lambda i: (gaps[i], -i))
-            cur[best] += x
-            out.append(SPLITS[best])
-        return pd.DataFrame({"_entity": pdf["_entity"].to_numpy(), "_split": out})
-
-    return fold
+            gaps[best] -= 1000 * w
+            picks.append(SPLITS[best])
+        rest, down = 1000 * (tot - sum(weights, 0)), sorted(gaps, reverse=True)
+        for m in range(1, len(pm) + 1):
+            level6 = 6 // m * (sum(down[:m]) - rest)
+            if m == len(pm) or level6 >= 6 * down[m]:
+                break
+        quota = [max(6 * g - level6, 0) for g in gaps]
+        bounds = [Decimal(int(q) if q == int(q) else q) for q in (quota[0], quota[0] + quota[1])]
+        n = len(picks)
+        return pd.DataFrame({"_shard": [pdf["_shard"].iloc[0]] * (n + 1), "_entity": [*heads["_entity"], None], "_split": [*picks, None],
+                             "_b1": [None] * n + bounds[:1], "_b2": [None] * n + bounds[1:]})
+
+    return place
 
 
 def entity_split(df: DataFrame, entity: str | Sequence[str], weight: str, fractions=(800, 100, 100),
-                 seed: int = 0, shards: int | None = None, out: str = "split", salt: int = 32) -> DataFrame:
+                 seed: int = 0, shards: int = 1, out: str = "split", salt: int = 32, heads: int = HEADS) -> DataFrame:
     """T4: entity-exclusive split (one split per entity; rows with a null entity are one entity, D18).
 
     Rows are first aggregated to one (entity, weight) row per entity (partial
-    aggregation, so a hot entity costs nothing extra). By default entities are put
-    in md5 order and split where their running weight passes the bounds, as T2
-    does with rows: parallel, exclusive by construction, and each bound is missed
-    by less than one entity. With ``shards`` (an explicit, fixed number) entities are
-    instead folded greedily, each to the split with the largest gap, inside that many
-    md5 shards, each shard aiming at its own share of the targets; ``shards=1`` is the
-    sequential greedy over all entities.
-
-    The assignment goes back to the rows through a salted join: a row's salt
+    aggregation, so a hot entity costs nothing extra). Entities of more than total / ``heads``, of which
+    there are fewer than ``heads``, are the head: in md5 order each goes to the split with the largest
+    gap to its target. The tail, however long, levels the gaps that are left: its running weight in
+    md5 order is cut at the resulting bounds, which is parallel. Where all entities are
+    heavy this is the sequential greedy; ``heads`` decides how long it is followed.
+
+    How near it comes: the gaps add up to what is still to be placed, so an entity of weight w meets a gap of w / 3 at
+    least and no split passes its target by more than 2 / 3 of the heaviest entity. With W the heaviest, two
+    splits together pass theirs by 4 / 3 W at most, which is the most that the third can lack; and each cut of the tail is
+    missed by less than one entity of the tail, total / ``heads`` at most. The greedy itself is
+    bound by the same first two terms.
+
+    With ``shards`` (a fixed number) the rule is applied inside that many md5 shards, each aiming at its own
+    share of the targets. The assignment goes back to the rows through a salted join: a row's salt
     is a hash of its own values (stable under retries), every entity's
     assignment is repeated once per salt, so an entity holding a third of all
     rows is joined by ``salt`` tasks.
@@ -124,23 +145,29 @@ def entity_split(df: DataFrame, entity: str | Sequence[str], weight: str, fracti
     ents = [entity] if isinstance(entity, str) else list(entity)
     ent_col = F.concat_ws("\u0001", *[F.coalesce(F.col(e).cast("string"), F.lit("\u0000")) for e in ents]) \
         if len(ents) > 1 else F.coalesce(F.col(ents[0]).cast("string"), F.lit("\u0000"))
+    # shard = first 32 bits of md5(entity) mod shards: stable, uniform, and the same in any SQL engine
+    shard = F.conv(F.substring(F.md5("_entity"), 1, 8), 16, 10).cast("long") % F.lit(shards) if shards > 1 else F.lit(0).cast("long")
     per_entity = (df.groupBy(*ents)
                     .agg(F.sum(_weight(df, weight)).alias("_w"))
                     .withColumn("_entity", ent_col)
-                    .withColumn("_sk", shuffle_key(seed, *ents)))
-    if shards is None:
-        d = per_entity.select(F.lit(0).alias("_all"), "_entity", "_sk", "_w")
-        d = running_agg(d, ["_all"], ["_sk", "_entity"], "_w", "_cum", "sum",
-                        chunk_of=F.substring("_sk", 1, HEX_DIGITS), total_out="_tot")
-        assigned = d.select("_entity", _case_split(F.col("_cum") * F.lit(1000), F.col("_tot"), pm).alias("_split"))
-    else:
-        # shard = first 32 bits of md5(entity) mod shards: stable, uniform, and the
-        # same in any SQL engine (so the sharded split has an exact oracle too)
-        shard = F.conv(F.substring(F.md5("_entity"), 1, 8), 16, 10).cast("long") % F.lit(shards)
-        per_entity = per_entity.withColumn("_shard", shard if shards > 1 else F.lit(0).cast("long"))
-        assigned = (per_entity.select("_shard", "_entity", "_sk", "_w")
-                    .groupBy("_shard")
-                    .applyInPandas(_greedy_fold(pm), schema="_entity string, _split string"))
+                    .withColumn("_sk", shuffle_key(seed, *ents))
+                    .select(shard.alias("_shard"), "_entity", "_sk", "_w"))
+    kind = dict(per_entity.dtypes)["_w"]
+    total = per_entity.groupBy("_shard").agg(F.sum("_w").cast(kind).alias("_tot"), F.sum(F.abs("_w")).alias("_size"))
+    sized = per_entity.join(F.broadcast(total), "_shard")          # one row for each shard
+    heavy = F.abs("_w").cast("decimal(38,6)") * heads > F.col("_size").cast("decimal(38,6)")
+    none = F.lit(None).cast("string")
+    placed = (sized.where(heavy).select("_shard", "_entity", "_sk", "_w")
+              .unionByName(total.select("_shard", none.alias("_entity"), none.alias("_sk"), F.col("_tot").alias("_w")))
+              .groupBy("_shard")
+              .applyInPandas(_place_heads(pm), schema="_shard long, _entity string, _split string, _b1 decimal(38,6), _b2 decimal(38,6)"))
+    tail = running_agg(sized.where(~heavy).select("_shard", "_entity", "_sk", "_w"), ["_shard"], ["_sk", "_entity"], "_w", "_cum", "sum",
+                       chunk_of=F.substring("_sk", 1, HEX_DIGITS))
+    at = F.col("_cum").cast("decimal(32,6)") * F.lit(6000)
+    cut = (F.when(at <= F.col("_b1"), F.lit(SPLITS[0])).when(at <= F.col("_b2"), F.lit(SPLITS[1])).otherwise(F.lit(SPLITS[2])))
+    bounds = placed.where("_entity is null").select("_shard", "_b1", "_b2")
+    assigned = (placed.where("_entity is not null").select("_entity", "_split")
+                .unionByName(tail.join(F.broadcast(bounds), "_shard").select("_entity", cut.alias("_split"))))
     rows = df.withColumn("_entity", ent_col)
     hashable = [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
     rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*hashable), F.lit(salt)).cast("int"))

@@ -228,9 +228,41 @@ ORACLES["weighted_split_two_level"] = with_views(
     ["docs_index"], f"SELECT {_DOC_COLS} FROM ws", [("ws", _wsplit("dataset", 7, (600, 300, 100)))])
 
 
-_ENTITIES = [
-    ("ent", "SELECT entity, CAST(sum(weight) AS BIGINT) AS w FROM docs_index GROUP BY entity"),
-    ("es", _wsplit("1", 0, (800, 100, 100), key="entity", weight="w", src="ent"))]
+def _entity_ctes(ent: str, entity: str, shuffled: str, pm=(800, 100, 100), shards: int = 1, heads: int = 1000) -> list[tuple[str, str]]:
+    """T4 in SQL: the heavy entities one after the other (recursive), then the others cut at the levelled gaps.
+    ``ent``: one row (its columns, w) for each entity; ``entity``: its text; ``shuffled``: its place in the shuffle."""
+    shard = f"('0x' || substr(md5({entity}), 1, 8))::BIGINT % {shards}" if shards > 1 else "0"
+    gap = [f"(t.tot * {p} - 1000 * h.c{k})" for k, p in enumerate(pm)]
+    pick = f"CASE WHEN {gap[0]} >= {gap[1]} AND {gap[0]} >= {gap[2]} THEN 'train' WHEN {gap[1]} >= {gap[2]} THEN 'test' ELSE 'validate' END"
+    more = ", ".join(f"h.c{k} + CASE WHEN {pick} = '{n}' THEN o.w ELSE 0 END" for k, n in enumerate(("train", "test", "validate")))
+    return [
+        ("ent0", ent),
+        ("ent", f"SELECT *, {entity} AS e, {shuffled} AS sk, {shard} AS shard FROM ent0"),
+        ("t", "SELECT shard, CAST(sum(w) AS HUGEINT) AS tot, CAST(sum(abs(w)) AS HUGEINT) AS size FROM ent GROUP BY shard"),
+        ("sized", f"SELECT ent.*, CAST(abs(w) AS HUGEINT) * {heads} > t.size AS heavy FROM ent JOIN t USING (shard)"),
+        ("ord", "SELECT *, row_number() OVER (PARTITION BY shard ORDER BY sk, e) AS rn FROM sized WHERE heavy"),
+        ("h", f"""SELECT shard, 0 AS rn, CAST(NULL AS VARCHAR) AS e, CAST(NULL AS VARCHAR) AS split,
+                         CAST(0 AS HUGEINT) AS c0, CAST(0 AS HUGEINT) AS c1, CAST(0 AS HUGEINT) AS c2 FROM t
+                  UNION ALL
+                  SELECT o.shard, o.rn, o.e, {pick}, {more}
+                  FROM h JOIN ord o ON o.shard = h.shard AND o.rn = h.rn + 1 JOIN t ON t.shard = h.shard"""),
+        ("gaps", "SELECT shard, tot, " + ", ".join(f"tot * {p} - 1000 * c{k} AS g{k}" for k, p in enumerate(pm))
+                 + ", 1000 * (tot - c0 - c1 - c2) AS rest FROM h JOIN t USING (shard) QUALIFY rn = max(rn) OVER (PARTITION BY shard)"),
+        ("down", "SELECT *, list_reverse_sort([g0, g1, g2]) AS d FROM gaps"),
+        ("levels", """SELECT *, CASE WHEN 6 * (d[1] - rest) >= 6 * d[2] THEN 6 * (d[1] - rest)
+                                     WHEN 3 * (d[1] + d[2] - rest) >= 6 * d[3] THEN 3 * (d[1] + d[2] - rest)
+                                     ELSE 2 * (d[1] + d[2] + d[3] - rest) END AS l FROM down"""),
+        ("bounds", "SELECT shard, greatest(6 * g0 - l, 0) AS b1, greatest(6 * g0 - l, 0) + greatest(6 * g1 - l, 0) AS b2 FROM levels"),
+        ("run", "SELECT e, shard, sum(w) OVER (PARTITION BY shard ORDER BY sk, e ROWS UNBOUNDED PRECEDING) AS cum FROM sized WHERE NOT heavy"),
+        ("es", """SELECT e, split FROM h WHERE e IS NOT NULL
+                  UNION ALL
+                  SELECT e, CASE WHEN cum * 6000 <= b1 THEN 'train' WHEN cum * 6000 <= b2 THEN 'test' ELSE 'validate' END
+                  FROM run JOIN bounds USING (shard)""")]
+
+
+_DOC_ENTITY = ("SELECT entity, CAST(sum(weight) AS BIGINT) AS w FROM docs_index GROUP BY entity",
+               "coalesce(CAST(entity AS VARCHAR), chr(0))", "md5(concat_ws(':', '0', entity))")
+_ENTITIES = _entity_ctes(*_DOC_ENTITY)
 
 
 def _with_recursive(names, body, extra):
@@ -238,22 +270,22 @@ def _with_recursive(names, body, extra):
     return "WITH RECURSIVE" + sql[len("WITH"):]
 
 
-ORACLES["entity_split"] = with_views(
-    ["docs_index"],
-    "SELECT d.key, d.entity, d.weight, g.split FROM docs_index d JOIN es g ON g.entity = d.entity", _ENTITIES)
+for _name, _ctes in (("entity_split", _ENTITIES), ("entity_split_sharded", _entity_ctes(*_DOC_ENTITY, shards=4))):
+    ORACLES[_name] = _with_recursive(
+        ["docs_index"], "SELECT d.key, d.entity, d.weight, es.split FROM docs_index d JOIN es ON es.e = coalesce(d.entity, chr(0))", _ctes)
 
 ORACLES["split_exclusive_check"] = with_views(
     ["docs_index"],
     "SELECT entity, count(DISTINCT split) AS n_splits FROM ws GROUP BY entity HAVING count(DISTINCT split) > 1",
     [("ws", _wsplit("dataset", 0, (800, 100, 100)))])
 
-ORACLES["split_report"] = with_views(
+ORACLES["split_report"] = _with_recursive(
     ["docs_index"],
     """SELECT s.split, CAST((SELECT sum(weight) FROM docs_index) AS DOUBLE) * s.pm / 1000.0 AS desired_weight,
               CAST(coalesce(r.reached, 0) AS BIGINT) AS reached_weight
        FROM (VALUES ('train', 800), ('test', 100), ('validate', 100)) s(split, pm)
-       LEFT JOIN (SELECT g.split, sum(d.weight) AS reached FROM docs_index d JOIN es g ON g.entity = d.entity
-                  GROUP BY g.split) r ON r.split = s.split""", _ENTITIES)
+       LEFT JOIN (SELECT es.split, sum(d.weight) AS reached FROM docs_index d JOIN es ON es.e = coalesce(d.entity, chr(0))
+                  GROUP BY es.split) r ON r.split = s.split""", _ENTITIES)
 
 _SPLIT_INPUT = """
     SELECT a.recording, a.set_name, a.line, r.child_id, c.dataset,
@@ -701,20 +733,15 @@ ORACLES["create_dataset_recordings"] = with_views(["ev_files", "ev_file_recordin
 
 # --- plan-level -----------------------------------------------------------------------------
 
-_SAME_CHILD = [("si", _SPLIT_INPUT),
-               ("ent", """SELECT child_id, dataset, CAST(sum(duration_ms) AS BIGINT) AS w FROM si
-                          GROUP BY child_id, dataset"""),
-               ("g", """SELECT child_id, dataset, CASE WHEN cum * 1000 <= tot * 800 THEN 'train'
-                               WHEN cum * 1000 <= tot * 900 THEN 'test' ELSE 'validate' END AS split
-                        FROM (SELECT *, sum(w) OVER (ORDER BY md5(concat_ws(':', '0', child_id, dataset))
-                                                     ROWS UNBOUNDED PRECEDING) AS cum, sum(w) OVER () AS tot FROM ent) x""")]
+_SAME_CHILD = [("si", _SPLIT_INPUT)] + _entity_ctes(
+    "SELECT child_id, dataset, CAST(sum(duration_ms) AS BIGINT) AS w FROM si GROUP BY child_id, dataset",
+    "coalesce(CAST(child_id AS VARCHAR), chr(0)) || chr(1) || coalesce(dataset, chr(0))", "md5(concat_ws(':', '0', child_id, dataset))")
 
-ORACLES["split_same_child"] = with_views(["shop_annotations", "shop_recordings", "shop_children"], """
+ORACLES["split_same_child"] = _with_recursive(["shop_annotations", "shop_recordings", "shop_children"], """
     SELECT DISTINCT si.recording, si.set_name, si.line, si.child_id, si.dataset, si.range_onset, si.range_offset,
            si.duration_ms, si.annotation_path,
-           regexp_replace(si.recording_path, '\\.[^./]*$', '') || '.wav' AS recording_path, g.split
-    FROM si JOIN g ON g.child_id IS NOT DISTINCT FROM si.child_id
-                   AND g.dataset IS NOT DISTINCT FROM si.dataset""", _SAME_CHILD)
+           regexp_replace(si.recording_path, '\\.[^./]*$', '') || '.wav' AS recording_path, es.split
+    FROM si JOIN es ON es.e = coalesce(CAST(si.child_id AS VARCHAR), chr(0)) || chr(1) || coalesce(si.dataset, chr(0))""", _SAME_CHILD)
 
 ORACLES["validation_report"] = " UNION ALL ".join(
     f"({ORACLES[k]})" for k in ["check_sidecar_values", "check_index_columns", "check_index_sets",
@@ -771,34 +798,3 @@ ORACLES["create_dataset_copies"] = with_views(["ev_files", "ev_file_recordings",
              || regexp_replace(recording_filename, '\\.[^./]*$', '') || '.wav',
            './recordings/converted/standard/events/' || regexp_replace(recording_filename, '\\.[^./]*$', '') || '.wav'
       FROM kept""", [_FLAG[0]])
-
-
-def _greedy_sharded(seed: int, pm: tuple[int, int, int], shards: int) -> list[tuple[str, str]]:
-    """Greedy fold inside md5 shards, each aiming at its share of the targets."""
-    p1, p2, p3 = pm
-    g1, g2, g3 = (f"(t.tot * {p1} - 1000 * g.c1)", f"(t.tot * {p2} - 1000 * g.c2)",
-                  f"(t.tot * {p3} - 1000 * g.c3)")
-    pick = f"""CASE WHEN {g1} >= {g2} AND {g1} >= {g3} THEN 'train' WHEN {g2} >= {g3} THEN 'test'
-                    ELSE 'validate' END"""
-    shard = f"(('0x' || substr(md5(entity), 1, 8))::BIGINT % {shards})"
-    return [
-        ("ent", "SELECT entity, CAST(sum(weight) AS BIGINT) AS w FROM docs_index GROUP BY entity"),
-        ("ord", f"""SELECT entity, w, {shard} AS shard,
-                           row_number() OVER (PARTITION BY {shard} ORDER BY md5('{seed}:' || entity), entity) AS rn
-                    FROM ent"""),
-        ("t", "SELECT shard, CAST(sum(w) AS HUGEINT) AS tot FROM ord GROUP BY shard"),
-        ("g", f"""SELECT shard, 0 AS rn, CAST(NULL AS VARCHAR) AS entity, CAST(NULL AS VARCHAR) AS split,
-                        CAST(0 AS HUGEINT) AS c1, CAST(0 AS HUGEINT) AS c2, CAST(0 AS HUGEINT) AS c3 FROM t
-                 UNION ALL
-                 SELECT o.shard, o.rn, o.entity, {pick},
-                        g.c1 + CASE WHEN {pick} = 'train' THEN o.w ELSE 0 END,
-                        g.c2 + CASE WHEN {pick} = 'test' THEN o.w ELSE 0 END,
-                        g.c3 + CASE WHEN {pick} = 'validate' THEN o.w ELSE 0 END
-                 FROM g JOIN ord o ON o.shard = g.shard AND o.rn = g.rn + 1 JOIN t ON t.shard = g.shard"""),
-    ]
-
-
-ORACLES["entity_split_sharded"] = _with_recursive(
-    ["docs_index"],
-    "SELECT d.key, d.entity, d.weight, g.split FROM docs_index d JOIN g ON g.entity = d.entity",
-    _greedy_sharded(0, (800, 100, 100), 4))

@@ -179,14 +179,14 @@ def weighted_split_two_level(spark, sf):
 
 @query
 def entity_split(spark, sf):
-    """T4: entity-exclusive split by the running weight of the entities."""
+    """T4: entity-exclusive split, heavy entities greedily, the others by running weight."""
     return T.entity_split(V.docs_index(spark, sf), "entity", "weight", (800, 100, 100), seed=0) \
             .select("key", "entity", "weight", "split")
 
 
 @query
 def entity_split_sharded(spark, sf):
-    """T4, greedy in 4 hash shards (each with its share of the targets)."""
+    """T4 inside 4 hash shards (each with its share of the targets)."""
     return T.entity_split(V.docs_index(spark, sf), "entity", "weight", (800, 100, 100), seed=0, shards=4) \
             .select("key", "entity", "weight", "split")
 
