@@ -22,6 +22,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -29,19 +30,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from annolake.llm.common import text_batches
+from annolake.llm.common import per_worker, text_batches
 from annolake.session import cut_lineage
 
 BYTE_MODEL, PIECE_MODEL = "byte_bpe_50k.json", "piece_bpe_32k.model"
 MARK = "▁"
-FRAME = 1 << 19       # characters of texts whose tokens are merged at once; longer texts take several frames
-CACHE_ENTRIES = 200_000
-BLOCK_BYTES = 3 << 20
+FRAME = 1 << 18       # characters of texts whose tokens are merged at once; longer texts take several frames
+CACHE_ENTRIES = 120_000
+BLOCK_BYTES = 2 << 20
+ROW = 64              # units encoded as one text
 
 # A boundary needs a character from these ranges (no white space in any definition of it) before it.
 _SURE = "!-~¡-ɏͰ-ԯ一-鿿가-힣"
 _UNITS = re.compile(r"[ \n]+[^ \n]*")
 _OPEN_END = re.compile(rf"[^{_SURE}]\Z")
+_ANY_OPEN_END = re.compile(rf"[^{_SURE} \n][ \n]")
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -87,7 +90,7 @@ class Pair:
         if self.whole:
             return [" " + text]
         parts = _UNITS.findall(" " + text)
-        if not any(map(_OPEN_END.search, parts[:-1])):
+        if not _ANY_OPEN_END.search(text):
             return parts
         out, now = [], []
         for p in parts:
@@ -98,47 +101,79 @@ class Pair:
         return [*out, "".join(now)] if now else out
 
     def encode(self, units: list[str]):
-        """Ids and their bounds for both sides, and whether the tokens give back each unit's bytes."""
-        ids_a = [e.ids for e in self.a.encode_batch(units, add_special_tokens=False)]
-        ids_b = self.b.encode([u[1:] if u[0] == " " else u for u in units], num_threads=1)
-        ok = np.ones(len(units), bool)
-        for k, u in enumerate(units):
-            if u == " ":
-                ids_b[k] = [self.mark]      # nothing is left to encode, so the model puts no mark
-            elif u[0] != " ":
-                ok[k] = ids_b[k][:1] == [self.mark]
-                ids_b[k] = ids_b[k][1:]     # the mark that the model puts before the line feed
-            raw = u.encode()
-            ok[k] &= b"".join([self.bytes_a[i] for i in ids_a[k]]) == raw and b"".join([self.bytes_b[i] for i in ids_b[k]]) == raw
-        flat = [np.array([i for x in ids for i in x], np.int64) for ids in (ids_a, ids_b)]
-        size = [np.fromiter(map(len, ids), np.int64, len(ids)) for ids in (ids_a, ids_b)]
-        return flat, size, ok
+        """``units`` in some order, their ids and bounds on both sides, and whether the tokens give back each unit's bytes.
+
+        Units are parts that both tokenizers take alone, so a row of them is encoded as one text and cut at their ends; where the
+        bytes of a row do not come back, its units are encoded one by one.
+        """
+        ends = [k + 1 for k, u in enumerate(units) if k % ROW == ROW - 1 or _OPEN_END.search(u)]
+        rows = [units[lo:hi] for lo, hi in zip([0, *ends], [*ends, len(units)]) if lo < hi]
+        found = self._encode(["".join(r) for r in rows])
+        fine = [all(self._bytes(of, ids[k]) == "".join(r).encode() for of, ids in zip((self.bytes_a, self.bytes_b), found)) for k, r in enumerate(rows)]
+        names = [u for r, ok in zip(rows, fine) if ok for u in r]
+        bounds, flat, size = np.cumsum([len(u.encode()) for u in names]), [], []
+        for ids, lengths in zip(found, (self.len_a, self.len_b)):
+            f = np.fromiter(chain.from_iterable(x for x, ok in zip(ids, fine) if ok), np.int64)
+            at = np.searchsorted(np.cumsum(lengths[f]), bounds)
+            flat.append(f)
+            size.append(np.diff(at, prepend=-1))
+        alone = [u for r, ok in zip(rows, fine) if not ok for u in r]
+        found = self._encode(alone)
+        good = [all(self._bytes(of, ids[k]) == u.encode() for of, ids in zip((self.bytes_a, self.bytes_b), found)) for k, u in enumerate(alone)]
+        flat = [np.concatenate([f, np.fromiter(chain.from_iterable(ids), np.int64)]) for f, ids in zip(flat, found)]
+        size = [np.concatenate([n, np.fromiter(map(len, ids), np.int64, len(ids))]) for n, ids in zip(size, found)]
+        return names + alone, flat, size, np.array([True] * len(names) + good, bool)
+
+    def _encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        """Ids of texts that begin with white space; B itself puts a mark before each."""
+        ids_a = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+        ids_b = self.b.encode([t[1:] if t[0] == " " else t for t in texts], num_threads=1)
+        for k, t in enumerate(texts):
+            if t == " ":
+                ids_b[k] = [self.mark]      # nothing is left to encode, so there is no mark
+            elif t[0] != " " and ids_b[k][:1] == [self.mark]:
+                ids_b[k] = ids_b[k][1:]
+        return ids_a, ids_b
+
+    @staticmethod
+    def _bytes(of: list[bytes], ids: list[int]) -> bytes:
+        return b"".join(map(of.__getitem__, ids))
 
 
 class Units:
-    """Encoded units that a task remembers, up to a bound; then it begins anew, which only costs time."""
+    """Encoded units that a task remembers. Where they get too many, the half that was used most stays; the bounds only save time and memory."""
 
-    def __init__(self, pair: Pair, entries: int = CACHE_ENTRIES, characters: int = 8 << 20):
+    def __init__(self, pair: Pair, entries: int = CACHE_ENTRIES, characters: int = 4 << 20):
         self.pair, self.entries, self.characters = pair, entries, characters
-        self.clear()
+        self.keep(None)
 
-    def clear(self) -> None:
-        self.slot, self.room, none = {}, self.characters, np.zeros(0, np.int64)
-        self.flat, self.size, self.ok = [none, none], [none, none], np.zeros(0, bool)
+    def keep(self, at: np.ndarray | None) -> None:
+        none = np.zeros(0, np.int64)
+        if at is None:
+            self.slot, self.flat, self.size, self.ok, self.used = {}, [none, none], [none, none], np.zeros(0, bool), none
+        else:
+            names = list(self.slot)
+            self.slot = {names[k]: i for i, k in enumerate(at.tolist())}
+            self.flat = [_spread(f, n, at) for f, n in zip(self.flat, self.size)]
+            self.size, self.ok, self.used = [n[at] for n in self.size], self.ok[at], self.used[at]
+        self.room = self.characters - sum(map(len, self.slot))
 
     def find(self, units: list[str]) -> np.ndarray:
         """Places of ``units`` in ``size`` and ``ok``."""
+        if self.room < 0:
+            self.keep(None)
+        elif len(self.slot) > self.entries:
+            self.keep(np.argsort(-self.used, kind="stable")[:self.entries // 2])
         new = [u for u in dict.fromkeys(units) if u not in self.slot]
-        if len(self.slot) + len(new) > self.entries or self.room < 0:
-            self.clear()
-            new = list(dict.fromkeys(units))
         if new:
-            flat, size, ok = self.pair.encode(new)
+            new, flat, size, ok = self.pair.encode(new)
             self.slot.update(zip(new, range(len(self.slot), len(self.slot) + len(new))))
             self.room -= sum(map(len, new))
             self.flat, self.size = ([np.concatenate(x) for x in zip(*y)] for y in ((self.flat, flat), (self.size, size)))
             self.ok = np.concatenate([self.ok, ok])
-        return np.fromiter(map(self.slot.__getitem__, units), np.int64, len(units))
+        at = np.fromiter(map(self.slot.__getitem__, units), np.int64, len(units))
+        self.used = np.bincount(at, minlength=len(self.slot)) + np.pad(self.used, (0, len(self.slot) - len(self.used)))
+        return at
 
 
 def _spread(flat: np.ndarray, size: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -252,7 +287,7 @@ def aligned(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", byte_mo
 
         known, part, block = None, TaskContext.get().partitionId(), 0
         for batch in batches:
-            known = known or Units(Pair(byte_model, piece_model))
+            known = known or Units(per_worker(("align", byte_model, piece_model), lambda: Pair(byte_model, piece_model)))
             found = [d.result() for d in align_block(known, batch.column(1).to_pylist(), not with_groups)]
             keys, at, held = np.unique(np.concatenate([p for _, p, _ in found]), return_inverse=True, return_counts=True)
             places = np.split(at.astype("<i4"), np.cumsum([len(p) for _, p, _ in found])[:-1])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable, Iterable
 
 import pyarrow as pa
@@ -35,6 +37,15 @@ def text_batches(spark: SparkSession, most: int = BATCH_BYTES) -> None:
         spark.conf.set(key, str(most))
 
 
+def per_worker(key: tuple, make: Callable):
+    """What ``make`` gives, made once in a worker process: its later tasks find it there. (Functions travel by value,
+    so their own module is a new one for each task.)"""
+    held = sys.modules.setdefault("_kept_in_worker", types.ModuleType("_kept_in_worker")).__dict__
+    if key not in held:
+        held[key] = make()
+    return held[key]
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """``names``, each with underscores before it until no column of ``df`` is called so."""
     taken, out = {c.lower() for c in df.columns}, []
