@@ -1,103 +1,81 @@
 """Index tables (one CSV per corpus) and segment tables (many small CSVs
 whose columns differ by set).
 
-Files differ in their headers, so each file is parsed whole in the task that reads
-it and its rows become maps from column name to value. Only distinct column
+Files differ in their headers, so rows are maps from column name to value
+(``csv_records``: big files are read in byte ranges by many tasks, each file once). Only distinct column
 names ever come to the driver (S1, whose result has a column for each); the list
-of files never does. Paths, selections and the annotation index prune the files
-before their content is read. Cells may hold line breaks. Paths go through Spark's own
-reader, so any store that Spark reads will do. A file is one annotation index or one
-annotated stretch: small enough for one task by nature.
+of files never does. Paths, selections and the sets of an annotation index choose the files before
+they are opened. Cells may hold line breaks. Paths go through Spark's own
+reader, so any store that Spark reads will do.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annolake.functions.columns import NULL_WORDS, nullify
 from annolake.operators.curate import STANDARD_COLUMNS
+from annolake.sources.csv_records import csv_records, header_names, stored_lines
 
 # Columns of the index tables that are not text.
 LONG_COLUMNS = ("time_seek", "range_onset", "range_offset", "duration", "segment_onset", "segment_offset")
 DATE_COLUMNS = ("date_iso", "child_dob")
 
 
-def list_files(spark: SparkSession, root: str, glob: str) -> DataFrame:
-    """(path, content) of the files under ``root``; the content is only read where it is used."""
-    return (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-            .option("recursiveFileLookup", "true").load(root).select("path", "content"))
-
-
-def csv_rows(files: DataFrame, null_words: Iterable[str] = NULL_WORDS) -> DataFrame:
-    """(path, content) -> (path, row MAP<STRING,STRING>), one for each CSV row.
-
-    Cells that are null words and cells that a short row lacks are null; blank lines are
-    no rows; of two columns of one name the last counts."""
-    def parse(batches):
-        import csv
-        import io
-
-        import pyarrow as pa
-
-        csv.field_size_limit(1 << 30)
-        for batch in batches:
-            for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                lines = csv.reader(io.StringIO(content.decode("utf-8-sig"), newline=""))
-                head = [h.strip() for h in next(lines, [])]
-                rows = [list(dict(zip(head, [*r, *[None] * (len(head) - len(r))])).items()) for r in lines if r]
-                for k in range(0, len(rows), 4096):
-                    part = rows[k:k + 4096]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([path] * len(part), pa.string()), pa.array(part, pa.map_(pa.string(), pa.string()))],
-                        names=["path", "row"])
-
-    out = files.select("path", "content").mapInArrow(parse, "path string, row map<string,string>")
-    return out.select("path", F.transform_values("row", lambda k, v: nullify(v, null_words)).alias("row"))
-
-
 def _typed(name: str):
     v = F.col("row")[name]
     return (v.try_cast("long") if name in LONG_COLUMNS else v.try_cast("date") if name in DATE_COLUMNS else v).alias(name)
 
 
-def scan_index(spark: SparkSession, root: str, table: str, datasets: Sequence[str] | None = None) -> DataFrame:
+def scan_index(spark: SparkSession, root: str, table: str, datasets: Sequence[str] | None = None, layout: str | None = None) -> DataFrame:
     """``<root>/<dataset>/metadata/<table>.csv`` of every corpus, tagged with ``dataset``;
-    the union of all columns (missing -> null), times as longs and dates as dates."""
-    rx = rf"/([^/]+)/metadata/{table}\.csv$"
-    files = list_files(spark, root, f"{table}.csv").filter(F.col("path").rlike(rx))
+    the union of all columns (missing -> null), times as longs and dates as dates.
+
+    ``layout``: another place of the files, a pattern of their paths whose group is the corpus
+    (``r"/dataset=([^/]+)/[^/]+\\.csv$"`` for a partitioned table).
+    """
+    rx = layout or rf"/([^/]+)/metadata/{table}\.csv$"
+    keep = F.col("_metadata.file_path").rlike(rx)
     if datasets:
-        files = files.filter(F.regexp_extract("path", rx, 1).isin(list(datasets)))
-    rows = csv_rows(files)
-    names = sorted(r[0] for r in rows.select(F.explode(F.map_keys("row")).alias("k")).distinct().collect())
-    return rows.select(*[_typed(n) for n in names if n != "dataset"], F.regexp_extract("path", rx, 1).alias("dataset"))
+        keep = keep & F.regexp_extract("_metadata.file_path", rx, 1).isin(list(datasets))
+    lines = stored_lines(spark, root, "*.csv" if layout else f"{table}.csv", keep)
+    return csv_records(lines).select(*[_typed(n) for n in header_names(lines) if n != "dataset"], F.regexp_extract("path", rx, 1).alias("dataset"))
 
 
 def scan_segments(spark: SparkSession, root: str, index: DataFrame | None = None,
                   onset: str = "segment_onset", offset: str = "segment_offset",
-                  datasets: Sequence[str] | None = None) -> DataFrame:
+                  datasets: Sequence[str] | None = None, layout: str | None = None) -> DataFrame:
     """Segment CSVs under ``<root>/<dataset>/annotations/<set>/converted/``.
 
     Label columns (all but the standard ones, F6) are folded into
     ``labels MAP<STRING,STRING>`` (a header column that is all null stays a key
-    with null values). ``datasets`` and an annotation ``index`` (semi-join on dataset, set,
-    annotation_filename) choose the files before they are parsed.
+    with null values). ``datasets`` and the sets of an annotation ``index`` choose the files that are
+    opened, its file names (semi-join on dataset, set, annotation_filename) the lines that are parsed.
+    ``layout``: another place, a pattern whose groups are corpus, set and file.
     """
-    rx = r"/([^/]+)/annotations/(.+)/converted/([^/]+)$"
+    rx = layout or r"/([^/]+)/annotations/(.+)/converted/([^/]+)$"
     names = ("dataset", "set", "annotation_filename")
-    part = {n: F.regexp_extract("path", rx, k + 1) for k, n in enumerate(names)}
-    files = list_files(spark, root, "*.csv").filter(F.col("path").rlike(rx))
+
+    def part(path):
+        return {n: F.regexp_extract(path, rx, k + 1) for k, n in enumerate(names)}
+
+    opened = part("_metadata.file_path")
+    keep = F.col("_metadata.file_path").rlike(rx)
     if datasets:
-        files = files.filter(part["dataset"].isin(list(datasets)))
+        keep = keep & opened["dataset"].isin(list(datasets))
+    if index is not None:
+        sets = index.select("dataset", "set").distinct().collect()      # as many as there are annotation sets
+        keep = keep & F.concat_ws("/", opened["dataset"], opened["set"]).isin([f"{r[0]}/{r[1]}" for r in sets])
+    lines = stored_lines(spark, root, "*.csv", keep)
     if index is not None:
         wanted = index.select(*names).distinct()
-        chosen = files.select("path", *[part[n].alias(n) for n in names]).join(wanted, list(names), "left_semi").select("path")
-        files = files.join(chosen, "path", "left_semi")
+        chosen = lines.where("of_head and head is not null").select("path", *[c.alias(n) for n, c in part("path").items()])
+        lines = lines.join(chosen.join(wanted, list(names), "left_semi").select("path"), "path", "left_semi")
     standard = F.array(*[F.lit(c) for c in STANDARD_COLUMNS])
-    return csv_rows(files).select(
-        *[part[n].alias(n) for n in names],
+    return csv_records(lines).select(
+        *[c.alias(n) for n, c in part("path").items()],
         F.col("row")[onset].try_cast("long").alias(onset), F.col("row")[offset].try_cast("long").alias(offset),
         F.map_filter("row", lambda k, v: ~F.array_contains(standard, k)).alias("labels"))
 
