@@ -78,35 +78,47 @@ def support(df: DataFrame, by: Sequence[str], start: str = "start", end: str = "
             collar: int = 0, chunk: int = DEFAULT_CHUNK) -> DataFrame:
     """I4: merge overlapping / touching intervals per ``by`` key.
 
-    Support is associative, so rows are read and shuffled once, on (key, time chunk).
-    Inside a chunk equal starts fold to their largest end (a chunk then holds at
-    most ``chunk`` rows, however many intervals start in it), a running max of ends finds
-    the islands of the chunk alone, and only these partial islands go further.
-
-    Partial islands of a chunk are disjoint and ordered, so what an earlier chunk
-    reaches over is a leading run of them: with the largest end of all earlier chunks
-    (``_m``, one row a chunk), a partial island either opens an island of its own or continues
-    the last one opened before its chunk (``_open``). A final aggregate (map-side
-    combined) gives one row per island. Output: ``by`` + [start, end].
+    Support is associative. Equal starts fold to their largest end first, on (key, start), so a
+    stretch of the clock that holds a third of all rows is spread over all tasks and a chunk has at most
+    ``chunk`` rows left, however many intervals start in it. Then see ``partial_islands`` and ``join_islands``.
+    Output: ``by`` + [start, end].
     """
-    by = list(by)
-    gap_opens = lambda gap: (gap > 0) & (gap >= F.lit(collar))
+    return join_islands(partial_islands(df, by, start, end, collar, chunk), by, start, end, collar)
+
+
+def _gap_opens(gap: Column, collar: int) -> Column:
+    return (gap > 0) & (gap >= F.lit(collar))
+
+
+def partial_islands(df: DataFrame, by: Sequence[str], start: str = "start", end: str = "end",
+                    collar: int = 0, chunk: int = DEFAULT_CHUNK) -> DataFrame:
+    """The islands of each (key, time chunk) alone: (KEY, CHUNK, _ps, _pe). A running max of ends finds them."""
     d = (df.select(F.struct(*[F.col(b) for b in by]).alias(KEY), F.col(start).cast("long").alias("_s"),
                    F.col(end).cast("long").alias("_e"))
          .filter(F.col("_s") < F.col("_e"))
-         .withColumn(CHUNK, F.struct(F.floor(F.col("_s") / F.lit(chunk)).alias("c")))
-         .repartition(KEY, CHUNK)
-         .groupBy(KEY, CHUNK, "_s").agg(F.max("_e").alias("_e")))
+         .groupBy(KEY, "_s").agg(F.max("_e").alias("_e"))
+         .withColumn(CHUNK, F.struct(F.floor(F.col("_s") / F.lit(chunk)).alias("c"))))
     w = Window.partitionBy(KEY, CHUNK).orderBy("_s")
     d = d.withColumn("_prev", F.max("_e").over(w.rowsBetween(Window.unboundedPreceding, -1)))
-    new = F.col("_prev").isNull() | gap_opens(F.col("_s") - F.col("_prev"))
+    new = F.col("_prev").isNull() | _gap_opens(F.col("_s") - F.col("_prev"), collar)
     d = d.withColumn("_ps", F.max(F.when(new, F.col("_s"))).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    # the exchange of the partial islands is read by both branches below, the rows only once; its
-    # column order differs from the rows' so that it is not taken for the same partitioning and left out
-    partial = d.groupBy(KEY, CHUNK, "_ps").agg(F.max("_e").alias("_pe")).repartition(CHUNK, KEY)
+    return d.groupBy(KEY, CHUNK, "_ps").agg(F.max("_e").alias("_pe"))
+
+
+def join_islands(partial: DataFrame, by: Sequence[str], start: str = "start", end: str = "end", collar: int = 0) -> DataFrame:
+    """Partial islands, disjoint and ordered inside each chunk, joined to whole ones.
+
+    What an earlier chunk reaches over is then a leading run of partial islands: with the largest end of all
+    earlier chunks (``_m``, one row a chunk), a partial island either opens an island of its own or
+    continues the last one opened before its chunk (``_open``). A final aggregate (map-side
+    combined) gives one row per island.
+    """
+    # both branches below read the one exchange of the partial islands; its column order differs
+    # from that of the islands' window so that it is not taken for the same partitioning and left out
+    partial = partial.repartition(CHUNK, KEY)
     per_chunk = partial.groupBy(KEY, CHUNK).agg(F.max("_ps").alias("_last"), F.max("_pe").alias("_reach"))
     wc = Window.partitionBy(KEY).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    opens = lambda at: F.col("_m").isNull() | gap_opens(F.col(at) - F.col("_m"))
+    opens = lambda at: F.col("_m").isNull() | _gap_opens(F.col(at) - F.col("_m"), collar)
     carry = (per_chunk.withColumn("_m", F.max("_reach").over(wc))
              .withColumn("_open", F.max(F.when(opens("_last"), F.col("_last"))).over(wc))
              .select(KEY, CHUNK, "_m", "_open"))
@@ -121,22 +133,18 @@ def support_in_recording(df: DataFrame, recordings: DataFrame, key: str = "recor
                          chunk: int = DEFAULT_CHUNK) -> DataFrame:
     """I3 + I4: islands of the intervals inside ``[0, duration]`` of their recording.
 
-    With collar 0 the islands of the cropped intervals are the cropped islands
+    The islands of the cropped intervals are the cropped islands
     of the raw intervals (cropping keeps overlaps and touches inside the
     window), so the support runs first and only the islands meet the
     recordings table: a recording with a third of all segments never passes
-    through a join on its key. With a collar the crop must come first (a gap
-    outside the window could otherwise bridge two islands), as in the
-    crop-then-merge definition.
+    through a join on its key. A collar merges the cropped islands in a second step (a gap
+    outside the window must not bridge two of them).
     """
-    if collar:
-        c, _ = clip_to_recording(df, recordings, key, duration, start, end)
-        return support(c, [key], start, end, collar=collar, chunk=chunk)
     # null keys have no recording; said here, both branches of the support read the same rows and share their exchange
     known = df.where(F.col(key).isNotNull())
     islands = support(known.select(key, start, end), [key], start, end, chunk=chunk)
     c, _ = clip_to_recording(islands, recordings, key, duration, start, end)
-    return c
+    return support(c, [key], start, end, collar=collar, chunk=chunk) if collar else c
 
 
 def covered(clips: DataFrame, by: Sequence[str], start: str = "start", end: str = "end") -> DataFrame:
@@ -175,22 +183,24 @@ def assign_to_clip(df: DataFrame, clips: DataFrame, key: str = "recording_filena
     Clips of a recording are disjoint, so the only candidate is the clip with the
     largest start <= onset (an as-of lookup); the annotation is inside iff its
     offset <= that clip's end. The lookup is a chunked running max over the union
-    of clip starts and annotation onsets, so no range join and no pairs.
+    of clip starts and the distinct onsets (no range join and no pairs; a chunk holds at most
+    ``chunk`` onsets, however many annotations begin in it), and the clips found are joined
+    back on (recording, onset), where adaptive execution splits an onset that very many share.
     Returns (assigned + clip_start/clip_end columns, discarded).
     """
     ts = F.lit(0) if (ignore_time_seek or time_seek not in df.columns) else F.coalesce(F.col(time_seek), F.lit(0))
-    probes = (df.withColumn("_on", (F.col(onset) + ts).cast("long"))
-                .withColumn("_off", (F.col(offset) + ts).cast("long"))
-                .withColumn("_kind", F.lit(1))
-                .withColumn("_ref", F.lit(None).cast("struct<cs:bigint,ce:bigint>")))
+    probes = df.withColumn("_on", (F.col(onset) + ts).cast("long")).withColumn("_off", (F.col(offset) + ts).cast("long"))
+    at = F.struct(F.col(key), F.col("_on"))                  # in a struct, nulls meet like other values
+    none = F.lit(None).cast("struct<cs:bigint,ce:bigint>")
+    onsets = probes.select(key, "_on").distinct().withColumn("_kind", F.lit(1)).withColumn("_ref", none)
     refs = clips.select(
         F.col(key), F.col(clip_start).cast("long").alias("_on"), F.lit(0).alias("_kind"),
         F.struct(F.col(clip_start).cast("long").alias("cs"), F.col(clip_end).cast("long").alias("ce")).alias("_ref"))
-    u = probes.unionByName(refs, allowMissingColumns=True)
     # disjoint clips: max by start also has the max end, so one struct max carries both
-    u = running_agg(u, [key], ["_on", "_kind"], "_ref", "_cand", fn="max",
+    u = running_agg(onsets.unionByName(refs), [key], ["_on", "_kind"], "_ref", "_cand", fn="max",
                     chunk_of=F.floor(F.col("_on") / F.lit(chunk)), inclusive=True)
-    p = u.filter(F.col("_kind") == 1).drop("_kind", "_ref")
+    found = u.filter(F.col("_kind") == 1).select(at.alias("_at"), "_cand")
+    p = probes.withColumn("_at", at).join(found, "_at").drop("_at")
     inside = F.col("_cand").isNotNull() & (F.col("_off") <= F.col("_cand.ce"))
     p = p.withColumn("_in", F.coalesce(inside, F.lit(False)))
     assigned = (p.filter("_in")

@@ -8,6 +8,8 @@ match means two different formulations agree.
 
 from __future__ import annotations
 
+from annolake.functions.columns import NULL_WORDS
+
 # Fixed values shared with annolake/sources/tables.py
 EV_ONSET = "((epoch_us(ts) - epoch_us(TIMESTAMP '2024-01-01')) // 1000)"
 
@@ -798,3 +800,23 @@ ORACLES["create_dataset_copies"] = with_views(["ev_files", "ev_file_recordings",
              || regexp_replace(recording_filename, '\\.[^./]*$', '') || '.wav',
            './recordings/converted/standard/events/' || regexp_replace(recording_filename, '\\.[^./]*$', '') || '.wav'
       FROM kept""", [_FLAG[0]])
+
+ORACLES["interval_support_batches"] = ORACLES["interval_support"]
+
+_NULL_WORDS = ", ".join(f"'{w}'" for w in NULL_WORDS)
+
+
+def _cell(col: str) -> str:
+    return f"CASE WHEN trim({col}) IN ({_NULL_WORDS}) THEN NULL ELSE {col} END"
+
+
+ORACLES["scan_index_files"] = f"""
+    SELECT lang AS dataset, CAST(doc_id AS VARCHAR) AS doc_id, {_cell('source')} AS source, n_chars AS duration, {_cell('text')} AS notes
+    FROM documents"""
+ORACLES["scan_segment_files"] = f"""
+    WITH t AS (SELECT 'c' || conv_id % 4 AS dataset, role AS "set", conv_id * 100000 + turn AS segment_onset,
+                      CAST(length(text) AS BIGINT) AS segment_offset, text FROM conversations WHERE conv_id % 4 <> 1)
+    SELECT dataset, "set", segment_onset, segment_offset, 'transcription' AS label, {_cell('text')} AS value FROM t
+    UNION ALL
+    SELECT dataset, "set", segment_onset, segment_offset, 'speaker_type', CASE WHEN segment_offset % 2 = 0 THEN NULL ELSE "set" END FROM t
+    WHERE "set" <> 'user'"""

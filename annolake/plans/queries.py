@@ -46,6 +46,19 @@ def interval_support_collar(spark, sf):
     return sup.select("recording", F.col("start").alias("clip_start"), F.col("end").alias("clip_end"))
 
 
+@query
+def interval_support_batches(spark, sf):
+    """I4 kept up to date: three batches of segments into a store of partial islands, then the islands of all."""
+    from annolake.operators.island_store import IslandStore
+    from annolake.session import scratch_path
+    seg = _ev_padded(spark, sf, 0).where(F.col("recording").isNotNull()).select("recording", "seg_id", "start", "end")
+    store = IslandStore(spark, scratch_path(spark, "islands"))
+    for k in range(3):
+        store.add(seg.where(F.col("seg_id") % 3 == k), k)
+    inside, _ = I.clip_to_recording(store.islands(), V.ev_recordings(spark, sf))
+    return inside.select("recording", F.col("start").alias("clip_start"), F.col("end").alias("clip_end"))
+
+
 @query
 def interval_covered(spark, sf):
     """Covered milliseconds and clip count per recording (30 min padding)."""
@@ -760,3 +773,38 @@ def create_dataset_copies(spark, sf):
                 file_key=("dataset", "set", "seg_id"),
                 sidecars=_ev_sidecars(spark, sf))
     return res.copies.select("kind", "source", "target")
+
+
+# --- file sources -----------------------------------------------------------------
+
+def _csv(df, path, *by):
+    (df.write.partitionBy(*by).option("header", "true").option("quoteAll", "true").option("escape", '"')
+       .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path))
+    return path
+
+
+@query
+def scan_index_files(spark, sf):
+    """The documents as CSV index tables, one folder a corpus (quotes and line breaks in cells), scanned back."""
+    from annolake.session import scratch_path
+    from annolake.sources.index import scan_index
+    docs = V.table(spark, sf, "documents")
+    path = _csv(docs.select(F.col("lang").alias("dataset"), "doc_id", "source", F.col("n_chars").alias("duration"), F.col("text").alias("notes")),
+                scratch_path(spark, "index_files"), "dataset")
+    return scan_index(spark, path, "documents", layout=r"/dataset=([^/]+)/[^/]+\.csv$").select("dataset", "doc_id", "source", "duration", "notes")
+
+
+@query
+def scan_segment_files(spark, sf):
+    """S2 + F6: turns as segment CSVs whose label columns differ by set, chosen by corpus, as a long label map."""
+    from annolake.session import scratch_path
+    from annolake.sources.index import scan_segments, segments_long
+    t = V.table(spark, sf, "conversations").select(
+        F.concat(F.lit("c"), F.col("conv_id") % 4).alias("dataset"), F.col("role").alias("set"),
+        (F.col("conv_id") * 100_000 + F.col("turn")).alias("segment_onset"), F.length("text").alias("segment_offset"), F.col("text").alias("transcription"))
+    path = scratch_path(spark, "segment_files")
+    for users, kinds in ((True, []), (False, [F.when(F.col("segment_offset") % 2 == 0, F.lit("NA")).otherwise(F.col("set")).alias("speaker_type")])):
+        _csv(t.where((F.col("set") == "user") == users).select("dataset", "set", "segment_onset", *kinds, "segment_offset", "transcription"),
+             f"{path}/{int(users)}", "dataset", "set")
+    seg = scan_segments(spark, path, datasets=["c0", "c2", "c3"], layout=r"/dataset=([^/]+)/set=([^/]+)/([^/]+)$")
+    return segments_long(seg).select("dataset", "set", "segment_onset", "segment_offset", "label", "value")

@@ -69,17 +69,23 @@ def cut_lineage(df: DataFrame, name: str = "table") -> DataFrame:
     it back: one job, survives executor loss, and later reads prune columns and
     push filters. (An RDD checkpoint would compute its input twice.)"""
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    _WRITTEN.append(path)
     return spark.read.parquet(path)
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new place under the shared checkpoint folder; ``drop_tables`` deletes what is written there."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
+
+
 _WRITTEN: list[str] = []
 
 
 def drop_tables(spark: SparkSession) -> int:
-    """Delete the tables that ``cut_lineage`` has written in this process, and nothing else: to be
+    """Delete what this process has written at its scratch paths (``cut_lineage``), and nothing else: to be
     called when the results that read them have been written. Returns their number."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     n = 0

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from annolake.operators.island_store import IslandStore
 from annolake.session import checkpoint_dir
 
 BATCH = "batch_id"
@@ -60,3 +61,13 @@ def corpus_view(log: DataFrame, key: str | Sequence[str] | None = None) -> DataF
     latest = log.groupBy(*keys).agg(F.max(BATCH).alias("_latest"))
     cur = log.join(latest, keys, "inner").filter(F.col(BATCH) == F.col("_latest"))
     return cur.select(*cols).distinct()
+
+
+def start_island_store(stream: DataFrame, store: IslandStore, checkpoint: str, start: str = "start", end: str = "end",
+                       available_now: bool = True) -> StreamingQuery:
+    """Stream annotations (``by``, start, end) into an ``IslandStore``; a micro-batch is stored under its id, so a
+    retried one does not count twice."""
+    w = (stream.writeStream.foreachBatch(lambda df, batch_id: store.add(df, batch_id, start, end))
+               .option("checkpointLocation", checkpoint))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
+    return w.start()
