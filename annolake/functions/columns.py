@@ -193,11 +193,12 @@ def align(df: DataFrame, schema: Sequence[tuple[str, str]] | T.StructType) -> Da
     return df.select(*[(F.col(n).cast(t) if n in have else F.lit(None).cast(t)).alias(n) for n, t in fields])
 
 
-def drop_null_columns(df: DataFrame) -> DataFrame:
+def drop_null_columns(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Drop columns that are null in every row (one aggregate pass; only
-    the per-column counts reach the driver)."""
-    if not df.columns:
+    the per-column counts reach the driver). Columns in ``keep`` stay in any case."""
+    asked = [c for c in df.columns if c not in keep]
+    if not asked:
         return df
-    counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(df.columns)]).first()
-    keep = [c for i, c in enumerate(df.columns) if counts[f"c{i}"] > 0]
-    return df.select(*[F.col(f"`{c}`") for c in keep])
+    counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(asked)]).first()
+    gone = {c for i, c in enumerate(asked) if counts[f"c{i}"] == 0}
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c not in gone])

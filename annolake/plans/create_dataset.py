@@ -12,13 +12,18 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annolake.functions.columns import drop_discarded, with_stamp
+from annolake.functions.columns import drop_discarded, drop_null_columns, with_stamp
 from annolake.operators import curate as CU
 from annolake.operators import intervals as I
 from annolake.operators import merge as U
 from annolake.session import cut_lineage
 
 
+# Columns that the steps after the curation read.
+NEEDED = ("dataset", "child_id", "recording_filename", "duration", "set", "raw_filename", "time_seek", "range_onset", "range_offset",
+          "annotation_filename")
+
+
 @dataclass
 class Corpus:
     children: DataFrame
@@ -55,12 +60,14 @@ def select_files(corpus: Corpus, sidecars: DataFrame | None = None, children_exp
 
 def curate(corpus: Corpus, labels: DataFrame, index_long: DataFrame, category: str,
            file_key: tuple[str, ...] = ("dataset", "set", "annotation_filename"),
-           materialize: bool = False) -> Corpus:
+           materialize: bool = False, drop_empty: bool = False) -> Corpus:
     """Keep annotations of the category (F4), then the recordings and children they use.
     A set that the index does not know is an error.
 
     With ``materialize`` the kept annotations are written once (shared
-    checkpoint folder) and the recordings / children are derived from that table.
+    checkpoint folder) and the recordings / children are derived from that table. ``drop_empty``: columns
+    without any value in the kept rows go (P9; those that the cutting needs stay), for which
+    the other two tables are written, too.
     """
     files = corpus.annotations.withColumnRenamed("set", "set_name")
     keys = ["set_name" if k == "set" else k for k in file_key]
@@ -73,7 +80,12 @@ def curate(corpus: Corpus, labels: DataFrame, index_long: DataFrame, category: s
         kept = cut_lineage(kept, "curated_annotations")
     recs = corpus.recordings.join(kept.select("dataset", "recording_filename").distinct(),
                                   ["dataset", "recording_filename"], "left_semi")
+    if drop_empty:
+        kept = drop_null_columns(kept if materialize else cut_lineage(kept, "curated_annotations"), NEEDED)
+        recs = drop_null_columns(cut_lineage(recs, "curated_recordings"), NEEDED)
     kids = corpus.children.join(recs.select("dataset", "child_id").distinct(), ["dataset", "child_id"], "left_semi")
+    if drop_empty:
+        kids = drop_null_columns(cut_lineage(kids, "curated_children"), NEEDED)
     return Corpus(kids, recs, kept)
 
 
@@ -142,13 +154,14 @@ def create_dataset(corpus: Corpus, labels: DataFrame, index_long: DataFrame, cat
                    pad_ms: int = 0, existing: Corpus | None = None,
                    file_key: tuple[str, ...] = ("dataset", "set", "annotation_filename"),
                    materialize: bool = True, datasets_root: str = "datasets",
-                   sidecars: DataFrame | None = None, children_expr: str | None = None) -> CutResult:
+                   sidecars: DataFrame | None = None, children_expr: str | None = None, on_error: str = "raise",
+                   drop_empty: bool = True) -> CutResult:
     """select files -> curate -> namespace -> cut -> merge. With ``materialize`` the curated
     annotations and recordings (read by the clip list, the containment and the
     recordings table) are checkpointed once, like the source tool writing its
     metadata tables before cutting."""
-    kept = curate(select_files(corpus, sidecars, children_expr), labels, index_long, category, file_key,
-                  materialize=materialize)
+    kept = curate(select_files(corpus, sidecars, children_expr, on_error), labels, index_long, category, file_key,
+                  materialize=materialize, drop_empty=drop_empty)
     res = cut(namespace(kept), pad_ms, materialize=materialize)
     res.copies = copies_of(kept, datasets_root)
     res.corpus = merge(existing, res.corpus)

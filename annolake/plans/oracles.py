@@ -820,3 +820,27 @@ ORACLES["scan_segment_files"] = f"""
     UNION ALL
     SELECT dataset, "set", segment_onset, segment_offset, 'speaker_type', CASE WHEN segment_offset % 2 = 0 THEN NULL ELSE "set" END FROM t
     WHERE "set" <> 'user'"""
+
+
+def _events_where(sql: str, cond: str) -> str:
+    """``sql`` over the events that fulfil ``cond``."""
+    return sql.replace("FROM events", f"FROM (SELECT * FROM events WHERE {cond}) events")
+
+
+_OLD, _NEW = "event_id % 3 <> 0", "event_type IN ('view', 'click') AND event_id % 5 <> 0"
+ORACLES["create_dataset_merged"] = f"""
+    WITH old AS ({_events_where(ORACLES['create_dataset'], _OLD)}), new AS ({_events_where(ORACLES['create_dataset'], _NEW)})
+    SELECT * FROM new UNION SELECT * FROM old WHERE "set" NOT IN (SELECT "set" FROM new)"""
+ORACLES["create_dataset_merged_recordings"] = f"""
+    WITH old AS ({_events_where(ORACLES['create_dataset_recordings'], _OLD)}), new AS ({_events_where(ORACLES['create_dataset_recordings'], _NEW)})
+    SELECT * FROM new UNION SELECT * FROM old WHERE child_id NOT IN (SELECT child_id FROM new)"""
+
+_RAW_JOBS = with_views(
+    ["ev_files", "ev_file_recordings"],
+    """SELECT DISTINCT 'raw' AS version, 'recordings/raw/' || k AS source, cs AS "start", ce AS "end",
+              'recordings/raw/' || regexp_replace(k, '\\.[^./]*$', '') || '-' || cs || 'to' || ce || '.wav' AS output FROM islands""",
+    [("c", clipped_sql("ev_files", "ev_file_recordings", "recording_filename", "range_onset", "range_offset", 0))]
+    + support_sql("c", "recording_filename", "s", "e"))
+ORACLES["cut_manifest_existing"] = f"""
+    WITH jobs AS ({_RAW_JOBS}), done AS ({_events_where(_RAW_JOBS, _OLD)})
+    SELECT * FROM jobs WHERE output NOT IN (SELECT output FROM done)"""

@@ -668,6 +668,45 @@ def create_dataset_recordings(spark, sf):
     return res.corpus.recordings.select("recording_filename", "child_id", "duration", "experiment")
 
 
+def _ev_build(spark, sf, which=None, existing=None):
+    from annolake.plans.create_dataset import Corpus
+    from annolake.plans.create_dataset import create_dataset as build
+    c = _ev_corpus(spark, sf)
+    return build(Corpus(c.children, c.recordings, c.annotations.where(which) if which else c.annotations), _ev_labels_keyed(spark, sf),
+                 V.ev_category_index(spark, sf), "vtc", existing=existing, file_key=("dataset", "set", "seg_id"), sidecars=_ev_sidecars(spark, sf))
+
+
+def _ev_merged(spark, sf):
+    """An older state of the corpus (two thirds of the files), to which two sets are added anew."""
+    from annolake.plans.create_dataset import Corpus
+    from annolake.session import cut_lineage
+    old = _ev_build(spark, sf, "seg_id % 3 <> 0").corpus
+    stored = Corpus(*(cut_lineage(t, "existing") for t in (old.children, old.recordings, old.annotations)))
+    return _ev_build(spark, sf, "`set` in ('view', 'click') and seg_id % 5 <> 0", existing=stored).corpus
+
+
+@query
+def create_dataset_merged(spark, sf):
+    """E1 + U1 / U2: sets built anew replace those of an existing corpus, its other sets stay."""
+    return _ev_merged(spark, sf).annotations.select("seg_id", "set", "recording_filename", "range_onset", "range_offset",
+                                                    "time_seek", "annotation_filename", "raw_filename")
+
+
+@query
+def create_dataset_merged_recordings(spark, sf):
+    """E1 + U2: the recordings of children that are built anew replace theirs."""
+    return _ev_merged(spark, sf).recordings.select("recording_filename", "child_id", "duration", "experiment")
+
+
+@query
+def cut_manifest_existing(spark, sf):
+    """I8 with ``existing``: the cut jobs of all clips whose outputs an earlier run (two thirds of the files) has not made."""
+    raw = F.concat(F.lit("recordings/raw/"), F.col("recording_filename"))
+    files, rec = V.ev_files(spark, sf), V.ev_file_recordings(spark, sf)
+    done = I.cut_manifest(I.clip_list(files.where("seg_id % 3 <> 0"), rec, ignore_time_seek=True), sources=[("raw", raw)])
+    return I.cut_manifest(I.clip_list(files, rec, ignore_time_seek=True), sources=[("raw", raw)], existing=done.select("output"))
+
+
 # --- plan-level queries -------------------------------------------------------------------------
 
 

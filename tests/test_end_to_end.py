@@ -1,15 +1,16 @@
-"""E1 and E3 from files: a two-corpus tree on disk -> scans -> profile -> category
-filter -> cut -> rebased corpus, and the profile JSON round trip."""
+"""E1 and E3 from files: a corpus tree on disk -> scans -> profile -> category
+filter -> cut -> rebased corpus, additions to it, and the profile JSON round trip."""
 
 import json
 import os
 
+import pytest
+
 from annolake.operators import profile as A
 from annolake.plans.create_dataset import Corpus, create_dataset
+from annolake.plans.flows import build_corpus, profile_root, read_corpus, read_root
 from annolake.plans.profiling import profile_corpora, validation_report
-from annolake.sources.index import scan_index, scan_segments, segments_long
 from annolake.sources.profiles import scan_category_index, scan_profiles, write_profiles
-from annolake.sources.sidecars import scan_sidecars
 
 
 def _w(path, text):
@@ -19,88 +20,109 @@ def _w(path, text):
 
 
 def build_tree(root):
-    _w(f"{root}/lab/metadata/children.csv", "child_id,child_sex,child_dob\nK7,F,2019-11-05\nK9,M,2020-02-20\n")
-    _w(f"{root}/lab/metadata/recordings.csv",
-       "experiment,child_id,date_iso,recording_filename,duration\n"
-       "pilot,K7,2021-03-14,dawn.wav,71000\npilot,K9,2021-03-15,dusk.wav,64000\n")
-    _w(f"{root}/lab/metadata/annotations.csv",
-       "set,recording_filename,raw_filename,time_seek,range_onset,range_offset,annotation_filename\n"
-       "human,dawn.wav,dawn.wav,0,47000,66000,dawn_47000_66000.csv\n"
-       "human,dawn.wav,dawn.wav,0,0,33000,dawn_0_33000.csv\n"
-       "human,dusk.wav,dusk.mp3,2500,12000,41000,dusk_12000_41000.csv\n"
-       "auto,dusk.wav,dusk.mp3,0,0,64000,dusk_0_64000.csv\n")
-    _w(f"{root}/lab/annotations/human/converted/dawn_47000_66000.csv",
-       "segment_onset,segment_offset,speaker_type,transcription\n47000,48000,CHI,hi\n50000,52000,FEM,\n")
-    _w(f"{root}/lab/annotations/human/converted/dawn_0_33000.csv",
-       "segment_onset,segment_offset,speaker_type,transcription\n1000,2000,NA,\n")
-    _w(f"{root}/lab/annotations/human/converted/dusk_12000_41000.csv",
-       "segment_onset,segment_offset,speaker_type,transcription\n16000,17000,MAL,yo\n")
-    _w(f"{root}/lab/annotations/auto/converted/dusk_0_64000.csv",
-       "segment_onset,segment_offset,speaker_type\n0,100,CHI\n")
-    _w(f"{root}/lab/annotations/human/metannots.yml", "method: manual\nhas_speaker_type: Y\nhas_transcription: Y\n")
-    _w(f"{root}/lab/annotations/auto/metannots.yml", "method: automated\n")
-
-
-def test_create_dataset_from_files(spark, tmp_path):
-    root = str(tmp_path / "c")
-    build_tree(root)
-    ch, rc, an = (scan_index(spark, root, t) for t in ("children", "recordings", "annotations"))
-    seg = segments_long(scan_segments(spark, root)).withColumnRenamed("set", "set_name") \
-        .withColumnRenamed("segment_onset", "onset").withColumnRenamed("segment_offset", "offset_ms")
-    idx = spark.createDataFrame([("lab", "human", "vtc_cols", "speaker_type"),
-                                 ("lab", "human", "transcription_cols", "transcription"),
-                                 ("lab", "auto", "vtc_cols", "speaker_type")],
-                                "dataset string, set_name string, category string, column string")
-    # transcription: only files with a non-null transcription survive
-    res = create_dataset(Corpus(ch, rc, an), seg, idx, "transcription")
-    out = sorted((r.set, r.recording_filename, r.range_onset, r.range_offset, r.annotation_filename)
-                 for r in res.corpus.annotations.collect())
-    assert out == [
-        ("lab/human", "lab/dawn-47000to66000.wav", 0, 19000, "dawn-47000to66000_0_19000.csv"),
-        ("lab/human", "lab/dusk-12000to41000.wav", 0, 29000, "dusk-12000to41000_0_29000.csv"),
-    ]
-    recs = sorted((r.recording_filename, r.duration, r.child_id, r.experiment) for r in res.corpus.recordings.collect())
-    assert recs == [("lab/dawn-47000to66000.wav", 19000, "lab_K7", "benchmarking"),
-                    ("lab/dusk-12000to41000.wav", 29000, "lab_K9", "benchmarking")]
-    assert sorted(r.child_id for r in res.corpus.children.collect()) == ["lab_K7", "lab_K9"]
+    """One child with two recordings and one with one. A nested manual set with two touching files, a file without any
+    transcription and a whole recording; a small manual set; an automated set over everything."""
+    meta = f"{root}/coast/metadata"
+    _w(f"{meta}/children.csv", "child_id,child_sex,child_dob,notes\nP1,M,2018-07-30,\nP2,F,2019-01-11,\n")
+    _w(f"{meta}/recordings.csv", "recording_filename,duration,child_id,date_iso,device\n"
+       "r5.wav,90000,P1,2020-09-01,NA\nr6.wav,30000,P1,2020-10-01,NA\nr7.wav,45000,P2,2021-02-02,NA\n")
+    files = [("eaf/an1", "r5", 2000, 8000), ("eaf/an1", "r5", 8000, 15000), ("eaf/an1", "r5", 60000, 75000), ("eaf/an1", "r7", 0, 45000),
+             ("words", "r6", 5000, 9000), ("vtc", "r5", 0, 90000), ("vtc", "r6", 0, 30000)]
+    _w(f"{meta}/annotations.csv", "annotation_filename,set,raw_filename,recording_filename,range_onset,range_offset,time_seek\n" + "".join(
+        f"{r}_{a}_{b}.csv,{s},{r}.eaf,{r}.wav,{a},{b},0\n" for s, r, a, b in files))
+    both = "segment_onset,segment_offset,transcription,speaker_type\n"
+    text = {("eaf/an1", "r5_2000_8000"): both + "2100,2600,ba da,CHI\n3000,3400,NA,CHI\n",
+            ("eaf/an1", "r5_8000_15000"): both + "9000,9800,da,FEM\n",
+            ("eaf/an1", "r5_60000_75000"): both + "61000,61500,NA,OCH\n",
+            ("eaf/an1", "r7_0_45000"): both + "100,1100,,MAL\n40000,40250,,NA\n",
+            ("words", "r6_5000_9000"): "segment_onset,segment_offset,words\n5200,5900,moo\n",
+            ("vtc", "r5_0_90000"): "segment_onset,segment_offset,speaker_type\n10,20,CHI\n",
+            ("vtc", "r6_0_30000"): "segment_onset,segment_offset,speaker_type\n30,40,FEM\n"}
+    for (s, name), t in text.items():
+        _w(f"{root}/coast/annotations/{s}/converted/{name}.csv", t)
+    for s, t in {"eaf/an1": "method: manual\nhas_speaker_type: Y\nhas_transcription: Y\n", "vtc": "method: automated\n",
+                 "words": "method: manual\nhas_transcription: Y\nsampling_count: 2\nsampling_unit_duration: 3000\n"}.items():
+        _w(f"{root}/coast/annotations/{s}/metannots.yml", t)
+
+
+def index_file(path, **more):
+    empty = {k: [] for k in ("addressee_cols", "vcm_cols", "vtc_cols", "transcription_cols", "other")}
+    sets = {"eaf/an1": {"vtc_cols": ["speaker_type"], "transcription_cols": ["transcription"]}, "words": {"transcription_cols": ["words"]}, **more}
+    path.write_text(json.dumps({"datasets": [{"name": "coast", "sets": [{"name": n, **empty, **s} for n, s in sets.items()]}]}))
+    return str(path)
+
+
+AUTO = {"vtc": {"vtc_cols": ["speaker_type"]}}
+
+
+@pytest.fixture
+def root(tmp_path):
+    build_tree(str(tmp_path / "c"))
+    return str(tmp_path / "c")
+
+
+def test_create_dataset_from_files(spark, tmp_path, root):
+    r = read_root(spark, root)
+    idx, _ = scan_category_index(spark, index_file(tmp_path / "i.json", **AUTO))
+    # only files with a transcription survive; the touching two share a clip
+    res = create_dataset(r.corpus, r.labels, idx, "transcription")
+    out = sorted((x.set, x.recording_filename, x.range_onset, x.range_offset, x.annotation_filename) for x in res.corpus.annotations.collect())
+    assert out == [("coast/eaf/an1", "coast/r5-2000to15000.wav", 0, 6000, "r5-2000to15000_0_6000.csv"),
+                   ("coast/eaf/an1", "coast/r5-2000to15000.wav", 6000, 13000, "r5-2000to15000_6000_13000.csv"),
+                   ("coast/words", "coast/r6-5000to9000.wav", 0, 4000, "r6-5000to9000_0_4000.csv")]
+    recs = sorted((x.recording_filename, x.duration, x.child_id, x.experiment) for x in res.corpus.recordings.collect())
+    assert recs == [("coast/r5-2000to15000.wav", 13000, "coast_P1", "benchmarking"), ("coast/r6-5000to9000.wav", 4000, "coast_P1", "benchmarking")]
+    assert [x.child_id for x in res.corpus.children.collect()] == ["coast_P1"]
     assert res.discarded.count() == 0
-
-
-def test_profile_round_trip_and_checks(spark, tmp_path):
-    root = str(tmp_path / "c")
-    build_tree(root)
-    an = scan_index(spark, root, "annotations").withColumnRenamed("set", "set_name")
-    seg = segments_long(scan_segments(spark, root)).withColumnRenamed("set", "set_name") \
-        .withColumnRenamed("segment_onset", "onset").withColumnRenamed("segment_offset", "offset_ms")
-    sc = scan_sidecars(spark, root)
-    prof = profile_corpora(seg, an, sc)        # gold (manual) sets only
-    got = sorted((r.set_name, r.column, r.annotated_duration_ms, r.num_of_non_empty_segments,
-                  r.duration_from_samples_ms, r.number_of_samples) for r in prof.collect())
-    assert got == [("human", "speaker_type", 4000, 3, 19000 + 33000 + 29000, 3),
-                   ("human", "transcription", 2000, 2, 81000, 3)]
+    # columns without a value in what was kept are gone
+    assert "notes" not in res.corpus.children.columns and "device" not in res.corpus.recordings.columns
+    kept = create_dataset(r.corpus, r.labels, idx, "transcription", drop_empty=False)
+    assert "notes" in kept.corpus.children.columns and "device" in kept.corpus.recordings.columns
+
+
+def test_a_corpus_is_built_and_added_to(spark, tmp_path, root):
+    index, first, second = index_file(tmp_path / "i.json", **AUTO), str(tmp_path / "one"), str(tmp_path / "two")
+    build_corpus(spark, root, index, "transcription", first)
+    base = f"{root}/coast/annotations/words"
+    _w(f"{base}/converted/r6_5000_9000.csv", "segment_onset,segment_offset,words\n6000,6100,moo\n")
+    _w(f"{base}/converted/r6_20000_29000.csv", "segment_onset,segment_offset,words\n21000,21500,baa\n")
+    with open(f"{root}/coast/metadata/annotations.csv", "a") as f:
+        f.write("r6_20000_29000.csv,words,r6.eaf,r6.wav,20000,29000,0\n")
+    _w(f"{root}/coast/annotations/eaf/an1/metannots.yml", "method: converted\n")        # not built anew: stays as it is
+    build_corpus(spark, root, index, "transcription", second, existing=first)
+    got = sorted((r.set, r.recording_filename) for r in read_corpus(spark, second).annotations.collect())
+    assert got == [("coast/eaf/an1", "coast/r5-2000to15000.wav")] * 2 + [("coast/words", "coast/r6-20000to29000.wav"), ("coast/words", "coast/r6-5000to9000.wav")]
+    with pytest.raises(ValueError):
+        build_corpus(spark, root, index, "transcription", second, existing=second + "/")
+    none = build_corpus(spark, root, index, "vtc", str(tmp_path / "three"), children_expr="child_sex == 'X'")
+    assert none.corpus.annotations.count() == 0
+
+
+def test_profile_round_trip_and_checks(spark, tmp_path, root):
+    r = read_root(spark, root)
+    prof = profile_corpora(r.labels, r.corpus.annotations.withColumnRenamed("set", "set_name"), r.sidecars)        # manual sets only
+    got = sorted((x.set_name, x.column, x.annotated_duration_ms, x.num_of_non_empty_segments,
+                  x.duration_from_samples_ms, x.number_of_samples) for x in prof.collect())
+    assert got == [("eaf/an1", "speaker_type", 3200, 5, 73000, 4), ("eaf/an1", "transcription", 1300, 2, 73000, 4),
+                   ("words", "words", 700, 1, 6000, 2)]
     out = str(tmp_path / "profiles")
     write_profiles(prof, out)
     back = scan_profiles(spark, out)
-    assert sorted(tuple(r) for r in back.collect()) == sorted(tuple(r) for r in prof.select(*back.columns).collect())
-    p = tmp_path / "index.json"
-    p.write_text(json.dumps({"datasets": [{"name": "lab", "sets": [
-        {"name": "human", "addressee_cols": [], "vcm_cols": [], "vtc_cols": ["speaker_type"],
-         "transcription_cols": ["transcription"], "other": []},
-        {"name": "ghost", "addressee_cols": [], "vcm_cols": [], "vtc_cols": [], "transcription_cols": [],
-         "other": []}]}]}))
-    long, nested = scan_category_index(spark, str(p))
-    summ = A.category_summary(back, long, "vtc").collect()
-    assert [(r.set_name, r.annotated_total_duration_min, r.num_of_segments_non_empty) for r in summ] == \
-        [("human", 0.067, 3)]
-    raw = sc.select("dataset", "set_name", "raw")
-    rep = sorted((r.set_name, r.check, r.detail) for r in validation_report(long, nested, back, raw).collect())
-    assert rep == [("ghost", "index_sets", "set not in profile"), ("ghost", "sidecar_missing", "no sidecar")]
-
-
-def test_ingest_to_parquet(spark, tmp_path):
+    assert sorted(tuple(x) for x in back.collect()) == sorted(tuple(x) for x in prof.select(*back.columns).collect())
+    index = index_file(tmp_path / "index.json", ghost={})
+    long, nested = scan_category_index(spark, index)
+    assert [(x.set_name, x.annotated_total_duration_min, x.num_of_segments_non_empty) for x in A.category_summary(back, long, "vtc").collect()] == \
+        [("eaf/an1", 0.053, 5)]
+    want = [("ghost", "index_sets", "set not in profile"), ("ghost", "sidecar_missing", "no sidecar")]
+    rep = validation_report(long, nested, back, r.sidecars.select("dataset", "set_name", "raw"))
+    assert sorted((x.set_name, x.check, x.detail) for x in rep.collect()) == want
+    flow = profile_root(spark, root, index, str(tmp_path / "flow"))
+    assert sorted((x.set_name, x.check, x.detail) for x in flow.collect()) == want
+    assert scan_profiles(spark, str(tmp_path / "flow/profiles")).count() == 3
+
+
+def test_ingest_to_parquet(spark, tmp_path, root):
     from annolake.plans.ingest import ingest, read_ingested
-    root = str(tmp_path / "c")
-    build_tree(root)
     _w(f"{root}/other/metadata/recordings.csv", "recording_filename,duration\nq.wav,5\n")
     out = str(tmp_path / "pq")
     paths = ingest(spark, root, out)
@@ -110,50 +132,39 @@ def test_ingest_to_parquet(spark, tmp_path):
     plan = rec._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(dataset" in plan
     seg = read_ingested(spark, out, "segments")
-    assert seg.count() == 5 and dict(seg.dtypes)["labels"] == "map<string,string>"
+    assert seg.count() == 9 and dict(seg.dtypes)["labels"] == "map<string,string>"
 
 
-def test_write_corpus(spark, tmp_path):
+def test_write_corpus(spark, tmp_path, root):
     from annolake.plans.create_dataset import write_corpus
-    root = str(tmp_path / "c")
-    build_tree(root)
-    ch, rc, an = (scan_index(spark, root, t) for t in ("children", "recordings", "annotations"))
-    seg = segments_long(scan_segments(spark, root)).withColumnRenamed("set", "set_name") \
-        .withColumnRenamed("segment_onset", "onset").withColumnRenamed("segment_offset", "offset_ms")
-    idx = spark.createDataFrame([("lab", "human", "vtc_cols", "speaker_type"), ("lab", "auto", "vtc_cols", "speaker_type")],
-                                "dataset string, set_name string, category string, column string")
-    res = create_dataset(Corpus(ch, rc, an), seg, idx, "vtc")
+    r = read_root(spark, root)
+    idx, _ = scan_category_index(spark, index_file(tmp_path / "i.json", **AUTO))
+    res = create_dataset(r.corpus, r.labels, idx, "vtc")
     paths = write_corpus(res, str(tmp_path / "out"))
     back = spark.read.option("header", True).csv(paths["metadata/annotations"])
-    assert back.count() == res.corpus.annotations.count() == 3   # the NA-only file carries no vtc label
+    assert back.count() == res.corpus.annotations.count() == 6   # the set of words has no speakers
     jobs = spark.read.option("header", True).csv(paths["manifests/cut_jobs"])
-    assert sorted(r.output for r in jobs.collect()) == sorted(
-        "recordings/converted/standard/" + r.recording_filename for r in res.corpus.recordings.collect())
-
-
-def test_copy_manifest_of_flagship(spark, tmp_path):
-    root = str(tmp_path / "c")
-    build_tree(root)
-    ch, rc, an = (scan_index(spark, root, t) for t in ("children", "recordings", "annotations"))
-    seg = segments_long(scan_segments(spark, root)).withColumnRenamed("set", "set_name") \
-        .withColumnRenamed("segment_onset", "onset").withColumnRenamed("segment_offset", "offset_ms")
-    idx = spark.createDataFrame([("lab", "human", "transcription_cols", "transcription")],
-                                "dataset string, set_name string, category string, column string")
-    res = create_dataset(Corpus(ch, rc, an), seg, idx, "transcription", datasets_root=root, sidecars=scan_sidecars(spark, root))
-    got = sorted((r.kind, r.target) for r in res.copies.collect())
+    assert sorted(x.output for x in jobs.collect()) == sorted(
+        "recordings/converted/standard/" + x.recording_filename for x in res.corpus.recordings.collect())
+
+
+def test_copy_manifest_of_flagship(spark, tmp_path, root):
+    r = read_root(spark, root)
+    idx, _ = scan_category_index(spark, index_file(tmp_path / "i.json"))
+    res = create_dataset(r.corpus, r.labels, idx, "transcription", datasets_root=root, sidecars=r.sidecars)
+    got = sorted((x.kind, x.target) for x in res.copies.collect())
     assert got == [
-        ("annotation", "./annotations/lab/human/converted/dawn_47000_66000.csv"),
-        ("annotation", "./annotations/lab/human/converted/dusk_12000_41000.csv"),
-        ("raw", "./recordings/raw/lab/dawn.wav"), ("raw", "./recordings/raw/lab/dusk.wav"),
-        ("sidecar", "./annotations/lab/human/metannots.yml"),
-        ("standard", "./recordings/converted/standard/lab/dawn.wav"),
-        ("standard", "./recordings/converted/standard/lab/dusk.wav")]
+        ("annotation", "./annotations/coast/eaf/an1/converted/r5_2000_8000.csv"),
+        ("annotation", "./annotations/coast/eaf/an1/converted/r5_8000_15000.csv"),
+        ("annotation", "./annotations/coast/words/converted/r6_5000_9000.csv"),
+        ("raw", "./recordings/raw/coast/r5.wav"), ("raw", "./recordings/raw/coast/r6.wav"),
+        ("sidecar", "./annotations/coast/eaf/an1/metannots.yml"), ("sidecar", "./annotations/coast/words/metannots.yml"),
+        ("standard", "./recordings/converted/standard/coast/r5.wav"), ("standard", "./recordings/converted/standard/coast/r6.wav")]
 
 
 def test_flagship_selects_files(spark, tmp_path):
     """Discarded children and recordings, sets that are not manual and sets without a sidecar do not come out;
     a set that the index does not know is an error."""
-    import pytest
     kids = spark.createDataFrame([("d", "a", None, 1), ("d", "b", "1", 2), ("d", "c", None, 3)],
                                  "dataset string, child_id string, discard string, age int")
     recs = spark.createDataFrame([("d", "a.wav", "a", 100, None), ("d", "a2.wav", "a", 100, "1"), ("d", "b.wav", "b", 100, None),
