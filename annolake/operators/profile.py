@@ -30,10 +30,22 @@ def label_profile(labels: DataFrame, by: Sequence[str] = ("dataset", "set_name")
     millions of distinct values is spread over the (group, value) hash, never
     collected; value lists are only built for groups at or under the cutoff.
     """
-    keys = list(by) + [label]
-    lvl1 = labels.groupBy(*keys, value).agg(
+    counts = value_counts(labels, by, label, value, onset, offset)
+    return profile_of_values(counts, by, label, value, cutoff, with_values)
+
+
+def value_counts(labels: DataFrame, by: Sequence[str] = ("dataset", "set_name"), label: str = "label", value: str = "value",
+                 onset: str = "onset", offset: str = "offset_ms") -> DataFrame:
+    """The first level of ``label_profile``: (by.., label, value, _ms, _n), milliseconds and segments of each value."""
+    return labels.groupBy(*by, label, value).agg(
         F.sum((F.col(offset) - F.col(onset)).cast("long")).alias("_ms"),
         F.count(F.lit(1)).alias("_n"))
+
+
+def profile_of_values(lvl1: DataFrame, by: Sequence[str] = ("dataset", "set_name"), label: str = "label", value: str = "value",
+                      cutoff: int = CATEGORICAL_CUTOFF, with_values: bool = True) -> DataFrame:
+    """The second level of ``label_profile``, from ``value_counts``."""
+    keys = list(by) + [label]
     lvl2 = lvl1.groupBy(*keys).agg(
         F.coalesce(F.sum(F.when(F.col(value).isNotNull(), F.col("_ms"))), F.lit(0).cast("long")).alias("annotated_ms"),
         F.coalesce(F.sum(F.when(F.col(value).isNotNull(), F.col("_n"))), F.lit(0).cast("long")).alias("num_non_empty"),

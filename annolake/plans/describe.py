@@ -70,3 +70,28 @@ def describe(children: DataFrame, recordings: DataFrame, segments: DataFrame, si
     if sort_by_y is None:
         return out
     return out.orderBy(F.col(metric).desc_nulls_last(), x_axis) if sort_by_y else out.orderBy(x_axis)
+
+
+def describe_all(children: DataFrame, recordings: DataFrame, segments: DataFrame, sidecars: DataFrame,
+                 axes: Sequence[str] = S.CHILD_AXES + S.SEGMENT_AXES, set_keys: Sequence[str] = ("set_name",), rec_key: str = "recording") -> DataFrame:
+    """Every segment metric along every axis, of each corpus and of all together, from one pass over the segments:
+    (dataset, axis, x, count, duration_total in hours, duration_mean, duration_std in ms, pooled_std).
+
+    Rows of the corpus ``ALL`` have the true deviation of all segments and, as ``pooled_std``, the one that the per-corpus
+    deviations give (A9); other rows have none. The result can be stored as states instead: see ``operators.moments``.
+    """
+    from annolake.operators.moments import merge_moments, metrics_of, moments, pooled_std
+    from annolake.session import cut_lineage
+
+    ch, rec = drop_discarded(children), drop_discarded(recordings)
+    ch = S.child_age(rec, ch).withColumnRenamed("age_months", "child_age").select("dataset", "child_id", "child_sex", "child_age")
+    manual = gold_sets(sidecars).select(*set_keys).distinct()
+    seg = segments.join(manual, list(set_keys), "left_semi").select(
+        rec_key, (F.col("segment_offset") - F.col("segment_onset")).alias("duration"), *[a for a in S.SEGMENT_AXES if a in axes])
+    rows = child_segments(ch, rec.select(rec_key, "child_id"), seg, rec_key=rec_key)
+    states = cut_lineage(moments(rows, list(axes), "duration"), "moments")
+    keys = ["axis", "x"]
+    every = (metrics_of(merge_moments(states, keys), keys, HOUR_MS).join(pooled_std(states, keys), keys)
+             .select(F.lit(ALL).alias("dataset"), *keys, "count", "duration_total", "duration_mean", "duration_std", "pooled_std"))
+    each = metrics_of(states, ["dataset", *keys], HOUR_MS).withColumn("pooled_std", F.lit(None).cast("double"))
+    return each.unionByName(every)

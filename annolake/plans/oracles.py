@@ -844,3 +844,17 @@ _RAW_JOBS = with_views(
 ORACLES["cut_manifest_existing"] = f"""
     WITH jobs AS ({_RAW_JOBS}), done AS ({_events_where(_RAW_JOBS, _OLD)})
     SELECT * FROM jobs WHERE output NOT IN (SELECT output FROM done)"""
+
+ORACLES["label_profile_replaced"] = ORACLES["label_profile"]
+
+_AXES = {"child_id": "CAST(child_id AS VARCHAR)", "child_age": "child_age", "child_sex": "child_sex", "speaker_type": "speaker_type", "speaker_id": "speaker_id"}
+_EACH_AXIS = " UNION ALL ".join(f"SELECT dataset, '{a}' AS axis, coalesce(CAST({c} AS VARCHAR), 'N/A') AS x, d FROM dx" for a, c in _AXES.items())
+ORACLES["describe_all_axes"] = with_views(_SUBJECTS, """
+    SELECT dataset, axis, x, n AS "count", CAST(t AS DOUBLE) / 3600000.0 AS duration_total, round(m, 6) AS duration_mean,
+           round(s, 6) AS duration_std, CAST(NULL AS DOUBLE) AS pooled_std FROM per
+    UNION ALL
+    SELECT 'all datasets', axis, x, count(d), CAST(sum(d) AS DOUBLE) / 3600000.0, round(avg(d), 6), round(stddev_samp(d), 6),
+           (SELECT round(sqrt(sum(p.s * p.s * p.n) / sum(p.n)), 6) FROM per p WHERE p.axis = ea.axis AND p.x = ea.x)
+    FROM ea GROUP BY axis, x""", _DESC + [
+    ("dx", "SELECT ds.*, ss.child_sex FROM ds JOIN shop_subjects ss ON CAST(ss.child_id AS VARCHAR) = ds.child_id"), ("ea", _EACH_AXIS),
+    ("per", "SELECT dataset, axis, x, count(d) AS n, sum(d) AS t, avg(d) AS m, stddev_samp(d) AS s FROM ea GROUP BY ALL")])

@@ -254,6 +254,19 @@ def label_profile(spark, sf):
         "dataset", "set_name", "column", "annotated_ms", "num_non_empty", "n_values", "categorical", "values")
 
 
+@query
+def label_profile_replaced(spark, sf):
+    """A1 + A2 + U2: the stored profile after some sets, stale at first, were replaced."""
+    from annolake.operators.profile_store import ProfileStore
+    from annolake.session import scratch_path
+    labels = V.doc_labels(spark, sf).where("dataset is not null and set_name is not null")
+    late = F.col("set_name").endswith("1")
+    store = ProfileStore(spark, scratch_path(spark, "profile"))
+    store.replace(labels.withColumn("value", F.when(late, F.lit("stale")).otherwise(F.col("value"))))
+    store.replace(labels.where(late))
+    return store.profile().select("dataset", "set_name", "column", "annotated_ms", "num_non_empty", "n_values", "categorical", "values")
+
+
 @query
 def label_categorical(spark, sf):
     """A2: categorical test on the event labels (speaker_type small, k large)."""
@@ -467,6 +480,13 @@ def describe_age_bins_pooled(spark, sf):
     return _describe(spark, sf, "child_age", "recording", "duration_mean", aggregate=True, sort_by_y=False)
 
 
+@query
+def describe_all_axes(spark, sf):
+    """A8 + A9 + P15: every metric along every axis, per corpus and over all, from one pass and mergeable states."""
+    from annolake.plans.describe import describe_all
+    return describe_all(V.shop_subjects(spark, sf), V.shop_recordings(spark, sf), V.shop_segments(spark, sf), V.shop_sidecars(spark, sf))
+
+
 # --- incremental merge ------------------------------------------------------------------
 
 from annolake.operators import merge as U  # noqa: E402

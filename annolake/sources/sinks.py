@@ -24,3 +24,10 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Se
     else:
         w.parquet(path)
     return path
+
+
+def replace_partitions(df: DataFrame, path: str, keys: Sequence[str]) -> str:
+    """U2 at the sink: the rows of ``df`` replace those stored under the same ``keys`` (folders); no other folder is
+    touched, and a rerun leaves the same rows. ``df`` must not be read from ``path`` itself. A key that ``df`` lacks keeps its rows."""
+    (df.repartition(*keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path))
+    return path
