@@ -4,7 +4,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from annolake.operators.curate import CATEGORY_LISTS
@@ -25,7 +25,12 @@ def check_sidecar_values(sidecars_raw: DataFrame, map_col: str = "raw") -> DataF
     One expression per field over the map of each row (no join, no rule table
     shipped around): the bad fields of a row are collected and exploded.
     """
-    m = F.col(map_col)
+    return sidecars_raw.select(*KEYS, F.explode(bad_fields(F.col(map_col))).alias("detail")).select(
+        *KEYS, F.lit("sidecar_value").alias("check"), "detail")
+
+
+def bad_fields(m: Column) -> Column:
+    """``field=value`` of each field of a raw sidecar map that is not what SIDECAR_FIELDS says."""
     bad = []
     for name, kind, allowed in SIDECAR_FIELDS:
         v = m[name]
@@ -38,9 +43,7 @@ def check_sidecar_values(sidecars_raw: DataFrame, map_col: str = "raw") -> DataF
         else:
             continue
         bad.append(F.when(cond, F.concat(F.lit(name + "="), v)))
-    arr = F.filter(F.array(*bad), lambda x: x.isNotNull())
-    return sidecars_raw.select(*KEYS, F.explode(arr).alias("detail")).select(
-        *KEYS, F.lit("sidecar_value").alias("check"), "detail")
+    return F.filter(F.array(*bad), lambda x: x.isNotNull())
 
 
 def _sets(df: DataFrame) -> DataFrame:
@@ -121,8 +124,86 @@ def nest_index(index_long: DataFrame) -> DataFrame:
 
 def check_index_fields(index_nested: DataFrame) -> DataFrame:
     """V7: required fields of a set entry (name and the five lists) are present."""
-    missing = F.filter(F.array(
-        F.when(F.col("set_name").isNull(), F.lit("name")),
-        *[F.when(F.col(lst).isNull(), F.lit(lst)) for lst in INDEX_LISTS]), lambda x: x.isNotNull())
-    return index_nested.select(*KEYS, F.explode(missing).alias("f")).select(
+    return index_nested.select(*KEYS, F.explode(_missing_fields()).alias("f")).select(
         *KEYS, F.lit("index_field").alias("check"), F.concat(F.lit("missing "), F.col("f")).alias("detail"))
+
+
+def _missing_fields() -> Column:
+    return F.filter(F.array(F.when(F.col("set_name").isNull(), F.lit("name")),
+                            *[F.when(F.col(lst).isNull(), F.lit(lst)) for lst in INDEX_LISTS]), lambda x: x.isNotNull())
+
+
+# --- all rules in one pass ---------------------------------------------------------------
+
+def set_facts(index_long: DataFrame, index_nested: DataFrame, profile: DataFrame, sidecars_raw: DataFrame,
+              map_col: str = "raw") -> DataFrame:
+    """One row for each (corpus, set) that any input knows, with all that the rules ask of it: the index entries, the profiled
+    columns, the raw sidecars and the fields its entry lacks. Each input is read once, by one aggregate over their
+    union; a set's lists are as long as its label columns are many. Two flags say whether the corpus is indexed and profiled at all.
+    """
+    kinds = {"i": (index_long, F.struct("category", "column")), "p": (profile, F.struct("column", F.col("annotated_duration_ms").alias("ms"))),
+             "s": (sidecars_raw, F.col(map_col)), "m": (index_nested, _missing_fields())}
+    every = None
+    for name, (df, what) in kinds.items():
+        part = df.select(*KEYS, what.alias(name))
+        every = part if every is None else every.unionByName(part, allowMissingColumns=True)
+    facts = every.groupBy(*KEYS).agg(*[F.collect_list(n).alias(n) for n in kinds])
+    corpus = Window.partitionBy("dataset")
+    return (facts.withColumn("indexed", F.max(F.size("i") > 0).over(corpus)).withColumn("profiled", F.max(F.size("p") > 0).over(corpus))
+            .withColumn("first", F.row_number().over(corpus.orderBy(F.size("i") == 0, F.col("set_name"))) == 1))
+
+
+def _when(cond: Column, details: Column) -> Column:
+    return F.when(cond, details).otherwise(F.array().cast("array<string>"))
+
+
+def _one(cond: Column, detail: Column | str) -> Column:
+    return _when(cond, F.array(F.lit(detail) if isinstance(detail, str) else detail))
+
+
+def _flag_details(missing: bool) -> Column:
+    """V4 or V5 for each sidecar of a set and each category."""
+    def of(raw: Column) -> Column:
+        out = []
+        for category, lst in CATEGORY_LISTS.items():
+            flag = CATEGORY_FLAG[category]
+            mine = F.transform(F.filter("i", lambda e: e["category"] == lst), lambda e: F.aggregate(
+                F.filter("p", lambda p: p["column"] == e["column"]), F.lit(0).cast("long"), lambda x, p: x + F.coalesce(p["ms"], F.lit(0).cast("long"))))
+            ms = F.aggregate(mine, F.lit(0).cast("long"), lambda x, y: x + y)
+            yes = F.upper(F.coalesce(F.element_at(raw, F.lit(flag)), F.lit("N"))) == "Y"
+            out.append(F.when((ms > 0) & ~yes, F.concat(F.lit(flag + " missing ("), ms.cast("string"), F.lit(" ms)"))) if missing
+                       else F.when((ms == 0) & yes, F.lit(flag + " set but 0 ms")))
+        return F.filter(F.array(*out), lambda x: x.isNotNull())
+    return F.flatten(F.transform("s", of))
+
+
+def rules() -> list[tuple[str, Column]]:
+    """(check, details found) over ``set_facts``: V1 to V7 as data, to be shortened or added to."""
+    in_index, in_profile = F.size("i") > 0, F.size("p") > 0
+    named = F.array_distinct(F.filter(F.transform("i", lambda e: e["column"]), lambda c: c.isNotNull()))
+    profiled = F.array_distinct(F.transform("p", lambda p: p["column"]))
+
+    def but(a, b, text):
+        return F.transform(F.array_except(a, b), lambda c: F.concat(F.lit(text), c))
+
+    return [
+        ("sidecar_value", F.flatten(F.transform("s", bad_fields))),
+        ("index_columns", _when(in_index, F.concat(but(profiled, named, "not in index: "), but(named, profiled, "not in profile: ")))),
+        ("index_sets", _when(F.col("indexed") & F.col("profiled"), F.concat(
+            _one(in_profile & ~in_index, "set not in index"), _one(in_index & ~in_profile, "set not in profile")))),
+        ("unknown_corpus", _one(F.col("first") & F.col("indexed") & ~F.col("profiled"), "corpus not in profile")),
+        ("missing_flag", _when(in_index, _flag_details(True))),
+        ("false_flag", _when(in_index, _flag_details(False))),
+        ("sidecar_missing", _one(in_index & (F.size("s") == 0), "no sidecar")),
+        ("index_field", F.transform(F.flatten("m"), lambda f: F.concat(F.lit("missing "), f))),
+    ]
+
+
+def apply_rules(facts: DataFrame, checks: list[tuple[str, Column]] | None = None) -> DataFrame:
+    """(dataset, set_name, check, detail) of all rules; a corpus that is unknown has no set."""
+    def named(name: str, details: Column) -> Column:
+        return F.transform(details, lambda d: F.struct(F.lit(name).alias("check"), d.alias("detail")))
+
+    found = [named(name, details) for name, details in checks or rules()]
+    out = facts.select(*KEYS, F.explode(F.concat(*found)).alias("v")).select(*KEYS, "v.check", "v.detail")
+    return out.withColumn("set_name", F.when(F.col("check") != "unknown_corpus", F.col("set_name")))

@@ -95,6 +95,11 @@ def build_profile(labels: DataFrame, files: DataFrame, sidecars: DataFrame,
         "duration_from_samples_ms", "number_of_samples", F.col("num_non_empty").alias("num_of_non_empty_segments"))
 
 
+def profile_columns(labels: DataFrame, sidecars: DataFrame, by: Sequence[str] = ("dataset", "set_name"), label: str = "label") -> DataFrame:
+    """The (by.., column) rows that ``build_profile`` has, without its figures: enough for V2 and V3."""
+    return labels.select(*by, F.col(label).alias("column")).distinct().join(sidecars.select(*by).distinct(), list(by), "left_semi")
+
+
 def category_summary(profile: DataFrame, index_long: DataFrame, category: str,
                      by: Sequence[str] = ("dataset", "set_name")) -> DataFrame:
     """A5 + O1: per set, over the category's columns: sum of annotated ms, max of

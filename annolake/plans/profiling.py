@@ -8,12 +8,13 @@ violations table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from annolake.operators import checks as K
 from annolake.operators import profile as A
 from annolake.operators.curate import gold_sets
-from annolake.operators.merge import union_all
+from annolake.sources.sinks import write_table
 
 
 def profile_corpora(labels: DataFrame, files: DataFrame, sidecars: DataFrame) -> DataFrame:
@@ -23,13 +24,18 @@ def profile_corpora(labels: DataFrame, files: DataFrame, sidecars: DataFrame) ->
 
 def validation_report(index_long: DataFrame, index_nested: DataFrame, profile: DataFrame,
                       sidecars_raw: DataFrame) -> DataFrame:
-    """All checks in one table (dataset, set_name, check, detail); empty = good."""
-    return union_all([
-        K.check_sidecar_values(sidecars_raw),
-        K.check_index_columns(index_long, profile),
-        K.check_index_sets(index_long, profile),
-        K.check_missing_flag(index_long, profile, sidecars_raw),
-        K.check_false_flag(index_long, profile, sidecars_raw),
-        K.check_sidecar_missing(index_long, sidecars_raw),
-        K.check_index_fields(index_nested),
-    ])
+    """All checks in one table (dataset, set_name, check, detail); empty = good. Each input is read once."""
+    return K.apply_rules(K.set_facts(index_long, index_nested, profile, sidecars_raw))
+
+
+def write_validation(index_long: DataFrame, index_nested: DataFrame, profile: DataFrame, sidecars_raw: DataFrame,
+                     out: str) -> dict[str, int]:
+    """Write the violations under ``out/violations`` and the sidecars of the sets that have any under ``out/quarantine``.
+    Returns the number of violations of each check, counted while they are written."""
+    report = validation_report(index_long, index_nested, profile, sidecars_raw)
+    seen = Observation("violations")
+    report = report.observe(seen, *[F.count_if(F.col("check") == name).alias(name) for name, _ in K.rules()])
+    path = write_table(report, f"{out.rstrip('/')}/violations")
+    bad = sidecars_raw.sparkSession.read.parquet(path).select("dataset", "set_name").distinct()
+    write_table(sidecars_raw.join(bad, ["dataset", "set_name"], "left_semi"), f"{out.rstrip('/')}/quarantine")
+    return {k: v for k, v in seen.get.items() if v}

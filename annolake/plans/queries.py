@@ -313,6 +313,10 @@ def corpora_info(spark, sf):
 from annolake.operators import checks as K  # noqa: E402
 
 
+def _doc_columns(spark, sf):
+    return A.profile_columns(V.doc_labels(spark, sf), CU.gold_sets(V.doc_sidecars(spark, sf)))
+
+
 @query
 def check_sidecar_values(spark, sf):
     """V1: enum / integer / date / Y-N fields of every sidecar."""
@@ -322,13 +326,13 @@ def check_sidecar_values(spark, sf):
 @query
 def check_index_columns(spark, sf):
     """V2: index columns of a set equal the profile's."""
-    return K.check_index_columns(V.doc_category_index(spark, sf), _doc_profile(spark, sf))
+    return K.check_index_columns(V.doc_category_index(spark, sf), _doc_columns(spark, sf))
 
 
 @query
 def check_index_sets(spark, sf):
     """V3: indexed sets equal the profile's; unknown corpora."""
-    return K.check_index_sets(V.doc_category_index(spark, sf), _doc_profile(spark, sf))
+    return K.check_index_sets(V.doc_category_index(spark, sf), _doc_columns(spark, sf))
 
 
 @query

@@ -45,3 +45,34 @@ def test_flags(spark):
     raw = spark.createDataFrame([("d", "s", {"has_addressee": "y"})], "dataset string, set_name string, raw map<string,string>")
     assert [r.detail for r in K.check_missing_flag(idx, prof, raw).collect()] == ["has_speaker_type missing (10 ms)"]
     assert [r.detail for r in K.check_false_flag(idx, prof, raw).collect()] == ["has_addressee set but 0 ms"]
+
+
+def test_all_rules_in_one_pass_equal_the_checks(spark, tmp_path):
+    import random
+
+    from annolake.operators.merge import union_all
+    from annolake.plans.profiling import validation_report, write_validation
+    rng = random.Random(6)
+    corpora, sets, columns = ["c1", "c2", "c3"], ["s1", "s2", "s3", "s4"], ["a", "b", "c", "d"]
+    lists = [*K.INDEX_LISTS, "ignore"]
+    index = [(d, s, rng.choice(lists), c) for d in corpora[:2] + ["lost"] for s in sets if rng.random() < 0.8 for c in [*columns, None] if rng.random() < 0.6]
+    index += index[:2]
+    profile = [(d, s, c, rng.choice([0, 0, 5, 70])) for d in corpora for s in sets if rng.random() < 0.8 for c in columns if rng.random() < 0.6]
+    raw = [(d, s, {f: rng.choice(["Y", "y", "N", "?"]) for f in ("has_speaker_type", "has_addressee", "has_vcm_type", "has_words") if rng.random() < 0.6}
+            | ({"sampling_count": "many"} if rng.random() < 0.2 else {})) for d in [*corpora, "lost"] for s in sets if rng.random() < 0.7]
+    i = spark.createDataFrame(index, "dataset string, set_name string, category string, column string")
+    p = spark.createDataFrame(profile, "dataset string, set_name string, column string, annotated_duration_ms long")
+    r = spark.createDataFrame(raw, "dataset string, set_name string, raw map<string,string>")
+    n = K.nest_index(i).unionByName(spark.createDataFrame([("c2", None, ["x"])], "dataset string, set_name string, other array<string>"), allowMissingColumns=True)
+    want = sorted(map(str, union_all([
+        K.check_sidecar_values(r), K.check_index_columns(i, p), K.check_index_sets(i, p), K.check_missing_flag(i, p, r),
+        K.check_false_flag(i, p, r), K.check_sidecar_missing(i, r), K.check_index_fields(n)]).collect()))
+    report = validation_report(i, n, p, r)
+    assert sorted(map(str, report.collect())) == want and len(want) > 40
+    counts = write_validation(i, n, p, r, str(tmp_path))
+    assert sum(counts.values()) == len(want) and {"unknown_corpus", "missing_flag", "index_field"} <= counts.keys()
+    bad = {(x.dataset, x.set_name) for x in report.collect()}
+    quarantined = spark.read.parquet(str(tmp_path / "quarantine")).collect()
+    assert sorted((x.dataset, x.set_name) for x in quarantined) == sorted((d, s) for d, s, _ in raw if (d, s) in bad)
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") <= 6      # one for each input; the nested index is made from two here
