@@ -858,3 +858,10 @@ ORACLES["describe_all_axes"] = with_views(_SUBJECTS, """
     FROM ea GROUP BY axis, x""", _DESC + [
     ("dx", "SELECT ds.*, ss.child_sex FROM ds JOIN shop_subjects ss ON CAST(ss.child_id AS VARCHAR) = ds.child_id"), ("ea", _EACH_AXIS),
     ("per", "SELECT dataset, axis, x, count(d) AS n, sum(d) AS t, avg(d) AS m, stddev_samp(d) AS s FROM ea GROUP BY ALL")])
+
+ORACLES["cut_recordings"] = """
+    WITH d AS (SELECT 'd' || doc_id AS name, hex(encode(text)) AS h, octet_length(encode(text)) AS n FROM documents WHERE text IS NOT NULL),
+    c AS (SELECT name, h, n - n % 2 AS n, v.s, v.e FROM d, LATERAL (VALUES (10, 60), (100, 100 + n // 4), (10000000, 10000005)) v(s, e)),
+    b AS (SELECT *, least(2 * s, n) AS first, least(2 * e, n) AS last FROM c)
+    SELECT name || '-' || s || 'to' || e || '.wav' AS output, CAST(last - first AS BIGINT) AS n_bytes,
+           md5(substr(h, 2 * first + 1, 2 * (last - first))) AS samples_md5 FROM b"""

@@ -838,6 +838,26 @@ def create_dataset_copies(spark, sf):
     return res.copies.select("kind", "source", "target")
 
 
+@query
+def cut_recordings(spark, sf):
+    """I8 / I9 on WAV content: each document's bytes as the 16-bit samples of a recording, cut to three clips."""
+    from annolake.operators import audio
+    docs = V.table(spark, sf, "documents").where("text is not null").select(
+        F.concat(F.lit("d"), F.col("doc_id"), F.lit(".wav")).alias("recording_filename"), F.encode("text", "UTF-8").alias("samples"))
+    n = F.length("samples")
+    word = lambda h: F.unhex(F.lit(h))
+    files = docs.select("recording_filename", F.concat(
+        word("52494646"), audio.to_little_endian(n + 48, 4), word("57415645"), word("4C49535403000000414243" + "00"),      # RIFF, WAVE, an odd LIST chunk
+        word("666D7420" + "10000000" + "0100" + "0100" + "E8030000" + "D0070000" + "0200" + "1000"),                      # fmt: mono, 1,000 frames of 2 bytes a second
+        word("64617461"), audio.to_little_endian(n, 4), F.col("samples")).alias("content"))
+    ends = F.array(*[F.struct(F.lit(a).alias("start"), b.alias("end")) for a, b in (
+        (10, F.lit(60)), (100, 100 + F.floor(n / 4)), (10_000_000, F.lit(10_000_005)))])
+    clips = docs.select("recording_filename", F.explode(ends).alias("c")).select("recording_filename", "c.*")
+    pieces, _ = audio.cut_wav(files, clips)
+    size = audio.little_endian(F.col("content"), 40, 4)
+    return pieces.select("output", size.alias("n_bytes"), F.md5(F.hex(F.substring(F.col("content"), F.lit(45), size.cast("int")))).alias("samples_md5"))
+
+
 # --- file sources -----------------------------------------------------------------
 
 def _csv(df, path, *by):
