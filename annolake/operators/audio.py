@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from annolake.functions.columns import clip_name
 
-CHUNKS = 256       # chunks that may come before the samples (files have a handful); one with more is reported as no WAV file
+CHUNKS = (8, 4096)     # chunks looked at first, and, where the samples are not among them, further ones; a file with more is no WAV file
 
 
 def _swap(h: Column, size: int) -> Column:
@@ -56,7 +56,11 @@ def wav_layout(content: Column) -> Column:
                         F.when(data, s["at"] + 8).otherwise(s["data_at"]).alias("data_at"),
                         F.when(data, F.least(n, size - s["at"] - 8)).otherwise(s["data_len"]).alias("data_len"))
 
-    walked = F.aggregate(F.sequence(F.lit(1), F.lit(CHUNKS)), begin, step)
+    def walk(state, n):
+        return F.aggregate(F.sequence(F.lit(1), F.lit(n)), state, step)
+
+    walked = F.get(F.transform(F.array(walk(begin, CHUNKS[0])), lambda w: F.when(
+        w["data_at"].isNotNull() | (w["at"] + 8 > size), w).otherwise(walk(w, CHUNKS[1]))), 0)
     fine = (size >= 44) & (_text(content, 0) == _id("RIFF")) & (_text(content, 8) == _id("WAVE"))
     found = F.transform(F.array(walked), lambda w: F.when(
         w["fmt_at"].isNotNull() & w["data_at"].isNotNull() & (w["fmt_len"] >= 16),
@@ -79,10 +83,10 @@ def cut_wav(files: DataFrame, clips: DataFrame, key: str = "recording_filename",
     if existing is not None:
         asked = asked.join(existing.select(F.col(existing.columns[0]).alias("output")), "output", "left_anti")
     lists = asked.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("s", "e", "output"))).alias("_clips"))
-    f = files.select(F.col(key), F.col(content).alias("_content")).join(lists, key).withColumn("_at", wav_layout(F.col("_content")))
-    whole, at = F.col("_content"), F.col("_at")
+    f = files.select(F.col(key), F.col(content).alias("_content")).join(lists, key)
+    whole = F.col("_content")
 
-    def piece(c):
+    def piece(at, c):
         first, last = (F.least(F.greatest(F.floor(c[x] * at["rate"] / 1000), F.lit(0)) * at["frame"], at["data_len"]) for x in ("s", "e"))
         n = F.greatest(last - first, F.lit(0).cast("long"))
         samples = F.substring(whole, (at["data_at"] + first + 1).cast("int"), n.cast("int"))
@@ -94,8 +98,9 @@ def cut_wav(files: DataFrame, clips: DataFrame, key: str = "recording_filename",
             word("RIFF"), to_little_endian(size, 4), word("WAVE"), word("fmt "), to_little_endian(at["fmt_len"], 4), fmt, odd(at["fmt_len"]),
             word("data"), to_little_endian(n, 4), samples, odd(n)).alias("content"))
 
-    pieces = f.where("_at is not null").select(key, F.explode(F.transform("_clips", piece)).alias("p")).select(key, "p.*")
-    return pieces, f.where("_at is null").select(key)
+    # the layout is bound as a lambda's variable: as a column it would be worked out again at each use
+    cut = F.get(F.transform(F.array(wav_layout(whole)), lambda at: F.when(at.isNotNull(), F.transform("_clips", lambda c: piece(at, c)))), 0)
+    return f.select(key, F.explode(cut).alias("p")).select(key, "p.*"), f.where(wav_layout(whole).isNull()).select(key)
 
 
 def read_recordings(spark, root: str, glob: str = "*.wav", key: str = "recording_filename") -> DataFrame:

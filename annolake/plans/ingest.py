@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from annolake.session import temporary_tables
 from annolake.sources.index import scan_index, scan_segments
 from annolake.sources.sidecars import scan_sidecars
 from annolake.sources.sinks import write_table
@@ -19,9 +20,10 @@ TABLES = ("children", "recordings", "annotations")
 def ingest(spark: SparkSession, root: str, out: str, datasets=None) -> dict[str, str]:
     """Write children / recordings / annotations / segments / sidecars under ``out``."""
     paths = {}
-    for t in TABLES:
-        paths[t] = write_table(scan_index(spark, root, t, datasets), f"{out}/{t}", partition_by=["dataset"])
-    paths["segments"] = write_table(scan_segments(spark, root, datasets=datasets), f"{out}/segments", partition_by=["dataset"])
+    with temporary_tables(spark):
+        for t in TABLES:
+            paths[t] = write_table(scan_index(spark, root, t, datasets), f"{out}/{t}", partition_by=["dataset"])
+        paths["segments"] = write_table(scan_segments(spark, root, datasets=datasets), f"{out}/segments", partition_by=["dataset"])
     sidecars = scan_sidecars(spark, root)
     if datasets:
         sidecars = sidecars.filter(sidecars["dataset"].isin(list(datasets)))

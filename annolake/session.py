@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -84,12 +85,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 _WRITTEN: list[str] = []
 
 
-def drop_tables(spark: SparkSession) -> int:
+def drop_tables(spark: SparkSession, after: int = 0) -> int:
     """Delete what this process has written at its scratch paths (``cut_lineage``), and nothing else: to be
-    called when the results that read them have been written. Returns their number."""
+    called when the results that read them have been written. Returns their number. ``after``: leave the first ones."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     n = 0
-    while _WRITTEN:
+    while len(_WRITTEN) > after:
         path = jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
         n += bool(path.getFileSystem(conf).delete(path, True))
     return n
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession):
+    """What is written at scratch paths inside the block is deleted at its end: for flows that write their results in it."""
+    before = len(_WRITTEN)
+    try:
+        yield
+    finally:
+        drop_tables(spark, before)

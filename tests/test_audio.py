@@ -19,11 +19,11 @@ def wav(seed, rate, channels, width, frames, extra=b""):
         w.setframerate(rate)
         w.writeframes(rng.randbytes(frames * channels * width))
     raw = out.getvalue()
-    return raw[:12] + extra + raw[12:] if extra else raw
+    return raw[:4] + struct.pack("<I", len(raw) - 8 + len(extra)) + raw[8:12] + extra + raw[12:]
 
 
 FILES = {"a/r1.wav": wav(1, 8000, 1, 2, 16_000), "r2.wav": wav(2, 44_100, 2, 2, 50_000, b"LIST" + struct.pack("<I", 5) + b"hello\0"),
-         "r3.wav": wav(3, 11_025, 1, 1, 9999), "r4.wav": wav(4, 8000, 1, 2, 0)}
+         "r3.wav": wav(3, 11_025, 1, 1, 9999, b"note\2\0\0\0ab" * 40), "r4.wav": wav(4, 8000, 1, 2, 0)}
 CLIPS = [("a/r1.wav", 0, 500), ("a/r1.wav", 501, 1999), ("a/r1.wav", 1900, 99_999), ("a/r1.wav", 5000, 6000), ("r2.wav", 33, 777), ("r2.wav", 1000, 1001),
          ("r3.wav", 7, 100), ("r3.wav", 123, 900), ("r4.wav", 0, 10), ("nowhere.wav", 0, 9), ("a/r1.wav", 0, 500)]
 

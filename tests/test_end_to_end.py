@@ -81,6 +81,8 @@ def test_create_dataset_from_files(spark, tmp_path, root):
 
 
 def test_a_corpus_is_built_and_added_to(spark, tmp_path, root):
+    from annolake.session import drop_tables
+    drop_tables(spark)
     index, first, second = index_file(tmp_path / "i.json", **AUTO), str(tmp_path / "one"), str(tmp_path / "two")
     build_corpus(spark, root, index, "transcription", first)
     base = f"{root}/coast/annotations/words"
@@ -94,8 +96,10 @@ def test_a_corpus_is_built_and_added_to(spark, tmp_path, root):
     assert got == [("coast/eaf/an1", "coast/r5-2000to15000.wav")] * 2 + [("coast/words", "coast/r6-20000to29000.wav"), ("coast/words", "coast/r6-5000to9000.wav")]
     with pytest.raises(ValueError):
         build_corpus(spark, root, index, "transcription", second, existing=second + "/")
-    none = build_corpus(spark, root, index, "vtc", str(tmp_path / "three"), children_expr="child_sex == 'X'")
-    assert none.corpus.annotations.count() == 0
+    build_corpus(spark, root, index, "vtc", str(tmp_path / "three"), children_expr="child_sex == 'X'")
+    assert read_corpus(spark, str(tmp_path / "three")).annotations.count() == 0
+    from annolake.session import _WRITTEN
+    assert not [p for p in _WRITTEN if "csv_lines" in p]         # intermediate tables are gone
 
 
 def test_profile_round_trip_and_checks(spark, tmp_path, root):
@@ -116,7 +120,8 @@ def test_profile_round_trip_and_checks(spark, tmp_path, root):
     want = [("ghost", "index_sets", "set not in profile"), ("ghost", "sidecar_missing", "no sidecar")]
     rep = validation_report(long, nested, back, r.sidecars.select("dataset", "set_name", "raw"))
     assert sorted((x.set_name, x.check, x.detail) for x in rep.collect()) == want
-    flow = profile_root(spark, root, index, str(tmp_path / "flow"))
+    assert profile_root(spark, root, index, str(tmp_path / "flow")) == {"index_sets": 1, "sidecar_missing": 1}
+    flow = spark.read.parquet(str(tmp_path / "flow/violations"))
     assert sorted((x.set_name, x.check, x.detail) for x in flow.collect()) == want
     assert scan_profiles(spark, str(tmp_path / "flow/profiles")).count() == 3
 
