@@ -6,7 +6,8 @@ Files differ in their headers, so rows are maps from column name to value
 names ever come to the driver (S1, whose result has a column for each); the list
 of files never does. Paths, selections and the sets of an annotation index choose the files before
 they are opened. Cells may hold line breaks. Paths go through Spark's own
-reader, so any store that Spark reads will do.
+reader, so any store that Spark reads will do. What is scanned is stored once as a table in the shared
+folder: plans over it read its columns, not the files.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annolake.operators.curate import STANDARD_COLUMNS
+from annolake.session import cut_lineage
 from annolake.sources.csv_records import csv_records, header_names, stored_lines
 
 # Columns of the index tables that are not text.
@@ -41,7 +43,8 @@ def scan_index(spark: SparkSession, root: str, table: str, datasets: Sequence[st
     if datasets:
         keep = keep & F.regexp_extract("_metadata.file_path", rx, 1).isin(list(datasets))
     lines = stored_lines(spark, root, "*.csv" if layout else f"{table}.csv", keep)
-    return csv_records(lines).select(*[_typed(n) for n in header_names(lines) if n != "dataset"], F.regexp_extract("path", rx, 1).alias("dataset"))
+    out = csv_records(lines).select(*[_typed(n) for n in header_names(lines) if n != "dataset"], F.regexp_extract("path", rx, 1).alias("dataset"))
+    return cut_lineage(out, f"scan_{table}")
 
 
 def scan_segments(spark: SparkSession, root: str, index: DataFrame | None = None,
@@ -74,10 +77,10 @@ def scan_segments(spark: SparkSession, root: str, index: DataFrame | None = None
         chosen = lines.where("of_head and head is not null").select("path", *[c.alias(n) for n, c in part("path").items()])
         lines = lines.join(chosen.join(wanted, list(names), "left_semi").select("path"), "path", "left_semi")
     standard = F.array(*[F.lit(c) for c in STANDARD_COLUMNS])
-    return csv_records(lines).select(
+    return cut_lineage(csv_records(lines).select(
         *[c.alias(n) for n, c in part("path").items()],
         F.col("row")[onset].try_cast("long").alias(onset), F.col("row")[offset].try_cast("long").alias(offset),
-        F.map_filter("row", lambda k, v: ~F.array_contains(standard, k)).alias("labels"))
+        F.map_filter("row", lambda k, v: ~F.array_contains(standard, k)).alias("labels")), "scan_segments")
 
 
 def segments_long(segments: DataFrame, fill_set_columns: bool = True) -> DataFrame:

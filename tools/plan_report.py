@@ -17,7 +17,7 @@ sys.path.insert(0, ROOT)
 
 QUERIES = ["interval_support", "clip_assign_rebase", "slice_payload", "weighted_split", "entity_split",
            "label_profile", "category_summary", "check_missing_flag", "file_index", "split_finalize",
-           "distribution_std", "merge_replace", "copy_manifest", "create_dataset"]
+           "distribution_std", "describe_all_axes", "validation_report", "merge_replace", "copy_manifest", "create_dataset"]
 
 
 def shape(plan: str) -> dict:

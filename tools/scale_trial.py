@@ -1,6 +1,6 @@
 """Scaling trial: interval queries on event tables derived from the given sf0.1
-events (copies with re-keyed users, and a skewed copy where one recording holds
-a third of all rows). Writes the derived tables to a scratch folder given on the
+events (copies with re-keyed users, a skewed copy where one recording holds
+a third of all rows, and one where that third begins within one minute). Writes the derived tables to a scratch folder given on the
 command line. Prints one line per (variant, query): rows, seconds, and the
 longest task of the run (from the listener-free event log is not needed: we
 report wall time and output rows)."""
@@ -36,6 +36,10 @@ def main():
     # (one recording then holds a third of all rows, spread over its 29 days)
     variants["x16_hot"] = variants["x16"].withColumn(
         "user_id", F.when(F.col("event_id") % 3 == 0, F.lit(0)).otherwise(F.col("user_id")))
+    # density: that third begins within one minute of user 0's recording
+    variants["x16_minute"] = variants["x16_hot"].withColumn("ts", F.when(F.col("event_id") % 3 == 0, F.expr(
+        "timestamp_ntz'2024-01-10 00:00:00' + make_dt_interval(0, 0, 0, cast(pmod(xxhash64(event_id), 60000) / 1000 as decimal(18, 6)))"))
+        .otherwise(F.col("ts").cast("timestamp_ntz")))
     for name, df in variants.items():
         d = f"{scratch}/{name}"
         df.write.mode("overwrite").parquet(f"{d}/events.parquet")
