@@ -15,7 +15,7 @@ from tests.llm.test_text_ops import check_packed
 
 
 def test_names():
-    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in QUERIES] == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", list(ORACLES))
