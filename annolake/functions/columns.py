@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -202,3 +202,17 @@ def drop_null_columns(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(asked)]).first()
     gone = {c for i, c in enumerate(asked) if counts[f"c{i}"] == 0}
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c not in gone])
+
+
+def store_without_null_columns(df: DataFrame, name: str, keep: Sequence[str] = ()) -> DataFrame:
+    """P9 on a table that is stored anyway: the values of each column are counted while it is written, and the
+    columns without any are left out when it is read. Columns in ``keep`` stay in any case."""
+    from annolake.session import cut_lineage
+
+    asked = [c for c in df.columns if c not in keep]
+    if not asked:
+        return cut_lineage(df, name)
+    seen = Observation()
+    stored = cut_lineage(df.observe(seen, *[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(asked)]), name)
+    gone = {c for i, c in enumerate(asked) if not seen.get[f"c{i}"]}
+    return stored.select(*[F.col(f"`{c}`") for c in df.columns if c not in gone])

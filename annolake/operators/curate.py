@@ -11,7 +11,7 @@ from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annolake.functions.columns import age_months, drop_discarded, drop_null_columns, path_for
+from annolake.functions.columns import age_months, drop_discarded, path_for, store_without_null_columns
 from annolake.functions.expressions import FilterError, translate
 
 # Columns every annotation / segment table has; the rest are labels.
@@ -135,13 +135,10 @@ def propagate(selection: DataFrame, table: DataFrame, keys: Sequence[str], drop_
     """Rows of ``table`` whose key occurs in the selection; then P9 (drop all-null columns).
 
     P9 needs a census of the result before the result itself: the selected rows
-    are written once (shared checkpoint folder), the census and the output read
-    that table (the output reads only the kept columns)."""
+    are written once (shared checkpoint folder) and counted on the way, the output reads
+    only the kept columns of that table."""
     out = table.join(selection.select(*keys), list(keys), "left_semi")
-    if not drop_empty:
-        return out
-    from annolake.session import cut_lineage
-    return drop_null_columns(cut_lineage(out, "propagated"))
+    return store_without_null_columns(out, "propagated") if drop_empty else out
 
 
 def split_input(annotations: DataFrame, recordings: DataFrame, children: DataFrame,

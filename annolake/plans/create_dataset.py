@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annolake.functions.columns import drop_discarded, drop_null_columns, with_stamp
+from annolake.functions.columns import drop_discarded, store_without_null_columns, with_stamp
 from annolake.operators import curate as CU
 from annolake.operators import intervals as I
 from annolake.operators import merge as U
@@ -76,16 +76,17 @@ def curate(corpus: Corpus, labels: DataFrame, index_long: DataFrame, category: s
         raise ValueError(f"sets that the category index does not map: {[tuple(r) for r in unknown]}")
     kept = CU.filter_category(files, labels, index_long, category, file_key=keys) \
              .withColumnRenamed("set_name", "set")
-    if materialize:
+    if drop_empty:
+        kept = store_without_null_columns(kept, "curated_annotations", NEEDED)
+    elif materialize:
         kept = cut_lineage(kept, "curated_annotations")
     recs = corpus.recordings.join(kept.select("dataset", "recording_filename").distinct(),
                                   ["dataset", "recording_filename"], "left_semi")
     if drop_empty:
-        kept = drop_null_columns(kept if materialize else cut_lineage(kept, "curated_annotations"), NEEDED)
-        recs = drop_null_columns(cut_lineage(recs, "curated_recordings"), NEEDED)
+        recs = store_without_null_columns(recs, "curated_recordings", NEEDED)
     kids = corpus.children.join(recs.select("dataset", "child_id").distinct(), ["dataset", "child_id"], "left_semi")
     if drop_empty:
-        kids = drop_null_columns(cut_lineage(kids, "curated_children"), NEEDED)
+        kids = store_without_null_columns(kids, "curated_children", NEEDED)
     return Corpus(kids, recs, kept)
 
 
