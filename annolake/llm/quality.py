@@ -148,6 +148,15 @@ def held_out(doc_id) -> F.Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % FOLDS == HELD_OUT, F.lit(False))
 
 
+def feature_rows(table: pa.Table) -> list[tuple[object, int, np.ndarray, np.ndarray]]:
+    """(_id, _y, buckets, counts) of each row: views of the Arrow lists, so the features are held once and as no Python objects."""
+    out = []
+    for b in table.select(["_id", "_y", "idx", "cnt"]).to_batches():
+        ids, ys, (at, idx), (at2, cnt) = b.column(0), b.column(1), *((c.offsets.to_numpy(), c.values.to_numpy()) for c in b.columns[2:])
+        out += [(i, y, idx[at[k]:at[k + 1]], cnt[at2[k]:at2[k + 1]]) for k, (i, y) in enumerate(zip(ids.to_pylist(), ys.to_pylist()))]
+    return out
+
+
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
         label: str = "quality", sample: int = SAMPLE, **settings) -> Model:
     """Fit on at most ``sample`` labelled documents of each class, taken in the order of a hash of
@@ -169,10 +178,10 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
                     pa.array([list(g.values()) for g in got], pa.list_(pa.int32()))]
         return f
 
-    rows = text_columns(d, "_text", [("idx", T.ArrayType(T.IntegerType())), ("cnt", T.ArrayType(T.IntegerType()))],
-                        make).toArrow().to_pydict()
-    got = sorted(zip(rows["_id"], rows["_y"], rows["idx"], rows["cnt"]), key=lambda r: str(r[0]))     # a rerun fits the same model
-    return train([(np.array(i, np.int64), np.array(c, float), y) for _, y, i, c in got if i], **settings)
+    rows = feature_rows(text_columns(d, "_text", [("idx", T.ArrayType(T.IntegerType())), ("cnt", T.ArrayType(T.IntegerType()))],
+                                     make).toArrow())
+    rows.sort(key=lambda r: str(r[0]))     # a rerun fits the same model
+    return train([(i, c, y) for _, y, i, c in rows if len(i)], **settings)
 
 
 def score_documents(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text",

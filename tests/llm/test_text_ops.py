@@ -317,3 +317,24 @@ def test_mixed_documents_keeps_rows_that_share_an_id(spark):
         assert abs(words[s] - info[s].target) <= 10
     assert sum(r[0] is None for r in got) > 20
     assert got == Counter(map(tuple, mixing.mixed_documents(df.repartition(3)).collect()))
+
+
+def test_fitted_features_come_to_the_driver_once_and_not_as_python_objects(spark, monkeypatch):
+    import tracemalloc
+    texts = {k: " ".join(f"w{(k * 7919 + j * j) % 99991}x{j}" for j in range(3000)) for k in range(40)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in texts], "doc_id bigint, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "train", lambda rows, **kw: seen.extend(rows))
+    quality.fit(docs, labels)      # imports and caches are made
+    seen.clear()
+    tracemalloc.start()
+    quality.fit(docs, labels)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    ids = sorted((r.doc_id for r in labels.where(~quality.held_out("doc_id")).collect()), key=str)
+    assert [y for _, _, y in seen] == [k % 2 for k in ids]
+    for k, (idx, cnt, _) in zip(ids, seen):
+        assert dict(zip(idx.tolist(), cnt.tolist())) == quality.features(texts[k].encode())
+    n = sum(len(i) for i, _, _ in seen)
+    assert n > 100_000 and peak < 20 * n, (n, peak)      # as Python lists and 64-bit copies: over 40 bytes a feature
