@@ -54,7 +54,7 @@ def select_files(corpus: Corpus, sidecars: DataFrame | None = None, children_exp
     if sidecars is not None:
         gold = CU.gold_sets(sidecars)
         name = "set" if "set" in gold.columns else "set_name"
-        ann = ann.join(gold.select("dataset", F.col(name).alias("set")), ["dataset", "set"], "left_semi")
+        ann = CU.in_sets(ann, gold.select("dataset", F.col(name).alias("set")), ["dataset", "set"])
     return Corpus(kids, recs, ann)
 
 

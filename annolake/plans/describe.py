@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from annolake.functions.columns import drop_discarded
 from annolake.operators import stats as S
-from annolake.operators.curate import child_segments, gold_sets
+from annolake.operators.curate import child_segments, gold_sets, in_sets
 
 ALL = "all datasets"
 HOUR_MS = 3_600_000
@@ -48,8 +48,7 @@ def describe(children: DataFrame, recordings: DataFrame, segments: DataFrame, si
         ch = S.child_age(rec, ch).withColumnRenamed("age_months", "child_age")
     ch = ch.select(*dict.fromkeys(["dataset", "child_id", *([x_axis] if x_axis in S.CHILD_AXES else [])]))
     if y_axis == "segment":
-        manual = gold_sets(sidecars).select(*set_keys).distinct()
-        seg = segments.join(manual, list(set_keys), "left_semi").select(
+        seg = in_sets(segments, gold_sets(sidecars), set_keys).select(
             rec_key, (F.col("segment_offset") - F.col("segment_onset")).alias("duration"),
             *([x_axis] if x_axis in S.SEGMENT_AXES else []))
         d = child_segments(ch, rec.select(rec_key, "child_id"), seg, rec_key=rec_key)
@@ -85,8 +84,7 @@ def describe_all(children: DataFrame, recordings: DataFrame, segments: DataFrame
 
     ch, rec = drop_discarded(children), drop_discarded(recordings)
     ch = S.child_age(rec, ch).withColumnRenamed("age_months", "child_age").select("dataset", "child_id", "child_sex", "child_age")
-    manual = gold_sets(sidecars).select(*set_keys).distinct()
-    seg = segments.join(manual, list(set_keys), "left_semi").select(
+    seg = in_sets(segments, gold_sets(sidecars), set_keys).select(
         rec_key, (F.col("segment_offset") - F.col("segment_onset")).alias("duration"), *[a for a in S.SEGMENT_AXES if a in axes])
     rows = child_segments(ch, rec.select(rec_key, "child_id"), seg, rec_key=rec_key)
     states = cut_lineage(moments(rows, list(axes), "duration"), "moments")

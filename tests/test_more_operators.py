@@ -132,3 +132,25 @@ def test_support_reads_its_rows_once(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     final = plan.split("== Initial Plan ==")[0]
     assert final.count("Range (") == 1 and "ReusedExchange" in final
+
+
+def test_segments_are_not_shuffled_by_set(spark, monkeypatch):
+    """One manual set may hold most segments: neither flow may send a set's segments to one task, whatever the broadcast limit."""
+    from annolake import session
+    from annolake.plans.describe import describe, describe_all
+    ch, rec, seg, side = _shop(spark)
+    side = side.union(side).union(spark.createDataFrame([(None, "manual")], side.schema))     # repeated and null sets change nothing
+    seg = seg.union(spark.createDataFrame([("r1", None, 0, 9000, "CHI", "a")], seg.schema))
+    plans, cut = [], session.cut_lineage
+    monkeypatch.setattr(session, "cut_lineage", lambda df, name="table": plans.append(df) or cut(df, name))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = {(r.dataset, r.axis, r.x): r["count"] for r in describe_all(ch, rec, seg, side).collect()}
+        plans.append(describe(ch, rec, seg, side, "speaker_id"))
+        for df in plans:
+            semi = [x for x in df._jdf.queryExecution().sparkPlan().toString().splitlines() if "LeftSemi" in x]
+            assert semi and all("BroadcastHashJoin" in x for x in semi), semi
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(plans) == 2 and got["A", "speaker_id", "a"] == 2 and got["A", "child_id", "1"] == 2 and got["A", "speaker_id", "b"] == 1
